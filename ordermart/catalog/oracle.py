@@ -19,11 +19,11 @@ def r4(x: str) -> str:
 
 
 def ordered_text(x: str) -> str:
-    return f"array_to_string(list_transform({x}, e -> coalesce(CAST(e AS VARCHAR), 'null')), ',')"
+    return f"array_to_string(list_transform({x}, lambda e: coalesce(CAST(e AS VARCHAR), 'null')), ',')"
 
 
 def sorted_text(x: str) -> str:
-    return f"array_to_string(list_sort(list_transform({x}, e -> CAST(e AS VARCHAR))), ',')"
+    return f"array_to_string(list_sort(list_transform({x}, lambda e: CAST(e AS VARCHAR))), ',')"
 
 
 def date_text(x: str) -> str:
@@ -392,8 +392,8 @@ BODIES["k06_seller_revenue"] = (f"SELECT seller_id, {r2('sum(price)')} AS total_
                                 "FROM wide GROUP BY 1")
 BODIES["k07_distinct_sellers"] = "SELECT DISTINCT seller_id FROM wide"
 
-REVIEW_SUM = "list_sum(list_filter(review_scores, x -> x <> -1))"
-REVIEW_N = "len(list_filter(review_scores, x -> x <> -1))"
+REVIEW_SUM = "list_sum(list_filter(review_scores, lambda x: x <> -1))"
+REVIEW_N = "len(list_filter(review_scores, lambda x: x <> -1))"
 AVG_REVIEW = r2(f"CAST(sum({REVIEW_SUM}) AS DOUBLE) / nullif(sum({REVIEW_N}), 0)")
 BODIES["k08_seller_review"] = f"SELECT seller_id, {AVG_REVIEW} AS avg_review_per_seller FROM wide GROUP BY 1"
 BODIES["k10_top_customers_rows"] = """
