@@ -452,3 +452,314 @@ FROM wide"""
 
 def oracle_sql() -> dict[str, str]:
     return {k: with_base(v) for k, v in BODIES.items()}
+
+
+# --- data quality ------------------------------------------------------------------------
+def _dq_bodies() -> dict[str, str]:
+    from ..operators.wide import WIDE_COLUMNS
+    from ..sources.schemas import column_names
+
+    src_tables = ["orders", "order_items", "order_payments", "order_reviews", "products", "sellers",
+                  "customers", "geolocation", "category_translation"]
+    cols = {t: column_names(t) for t in src_tables}
+    b: dict[str, str] = {}
+    union = "\nUNION ALL\n".join
+    hexp = "'^[a-fA-F0-9]{32}$'"
+
+    b["dq_row_counts"] = union(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM src_{t}" for t in src_tables)
+
+    def dups(t, rel, c):
+        return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS count "
+                f"FROM {rel} GROUP BY {c} HAVING count(*) > 1")
+    b["dq_duplicates"] = union([dups("customers", "src_customers", "customer_id"),
+                                dups("order_items", "src_order_items", "order_id"),
+                                dups("order_reviews", "src_order_reviews", "review_id"),
+                                dups("orders", "src_orders", "order_id"),
+                                dups("products", "src_products", "product_id"),
+                                dups("sellers", "src_sellers", "seller_id")])
+    b["dq_uniqueness"] = union([dups("geolocation", "src_geolocation", "geolocation_lat"),
+                                dups("customers", "src_customers", "customer_id"),
+                                dups("customers", "src_customers", "customer_unique_id"),
+                                dups("orders", "clean_orders", "order_id"),
+                                dups("orders", "clean_orders", "order_customer_id"),
+                                dups("sellers", "src_sellers", "seller_id"),
+                                dups("sellers", "src_sellers", "seller_zip_code_prefix"),
+                                dups("products", "src_products", "product_id"),
+                                dups("products", "src_products", "product_category_name"),
+                                dups("order_reviews", "clean_reviews", "review_id"),
+                                dups("order_reviews", "clean_reviews", "review_order_id"),
+                                dups("category_translation", "src_category_translation", "product_category_name"),
+                                dups("category_translation", "src_category_translation",
+                                     "product_category_name_english")])
+
+    def nulls(t, rel, columns, value="null_count", nan=()):
+        parts = []
+        for c in columns:
+            cond = f"{c} IS NULL" + (f" OR isnan({c})" if c in nan else "")
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {cond}) AS {value} "
+                         f"FROM {rel}")
+        return union(parts)
+    b["dq_nulls"] = union([nulls(t, f"src_{t}", cols[t]) for t in src_tables if t != "category_translation"]
+                          + [nulls("final", "wide", WIDE_COLUMNS)])
+    b["dq_nulls_nan"] = nulls("order_payments", "clean_payments",
+                              ["payment_order_id", "payment_sequential", "payment_type", "payment_installments",
+                               "payment_value", "payment_value_imputed"], "missing_count",
+                              nan=("payment_value", "payment_value_imputed"))
+
+    def hexrep(t, rel, c):
+        return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                f"count(*) FILTER (WHERE regexp_matches({c}, {hexp})) AS valid, "
+                f"count(*) FILTER (WHERE NOT regexp_matches({c}, {hexp})) AS invalid, "
+                f"count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM {rel}")
+    b["dq_hex_ids"] = union([hexrep("final", "wide", "review_order_id"), hexrep("orders", "src_orders", "order_id"),
+                             hexrep("order_items", "src_order_items", "order_id"),
+                             hexrep("order_reviews", "src_order_reviews", "order_id"),
+                             hexrep("order_payments", "src_order_payments", "order_id")])
+    b["dq_hex_ids_valid"] = (f"SELECT order_id, item_order_item_id, review_order_id FROM wide "
+                             f"WHERE regexp_matches(review_order_id, {hexp})")
+
+    b["dq_join_reconcile"] = """
+, j1 AS (SELECT o.order_id, o.order_customer_id, i.item_product_id, i.item_seller_id
+         FROM clean_orders o JOIN clean_items i ON o.order_id = i.item_order_id),
+j2 AS (SELECT j1.*, p.product_category_name AS cat FROM j1 LEFT JOIN clean_products p ON j1.item_product_id = p.product_id),
+j3 AS (SELECT j2.* FROM j2 LEFT JOIN src_sellers s ON j2.item_seller_id = s.seller_id),
+j4 AS (SELECT j3.*, pa.payment_order_id AS pay_key FROM j3 LEFT JOIN pay_agg pa ON j3.order_id = pa.payment_order_id),
+j5 AS (SELECT j4.*, c.customer_zip_code_prefix AS zip FROM j4 LEFT JOIN src_customers c ON j4.order_customer_id = c.customer_id),
+j6 AS (SELECT j5.* FROM j5 LEFT JOIN rev_agg r ON j5.order_id = r.review_order_id),
+j7 AS (SELECT j6.* FROM j6 LEFT JOIN geo_dedup g ON j6.zip = g.geolocation_zip_code_prefix),
+j8 AS (SELECT j7.* FROM j7 LEFT JOIN src_category_translation t ON j7.cat = t.product_category_name)
+SELECT * FROM (
+  SELECT 1 AS stage, 'orders_items' AS stage_name, (SELECT count(*) FROM clean_items) AS right_rows,
+         (SELECT count(*) FROM j1) AS output_rows, CAST(NULL AS BIGINT) AS null_payment_rows
+  UNION ALL SELECT 2, 'products', (SELECT count(*) FROM clean_products), (SELECT count(*) FROM j2), NULL
+  UNION ALL SELECT 3, 'sellers', (SELECT count(*) FROM src_sellers), (SELECT count(*) FROM j3), NULL
+  UNION ALL SELECT 4, 'payments', (SELECT count(*) FROM pay_agg), (SELECT count(*) FROM j4),
+                   (SELECT count(*) FROM j4 WHERE pay_key IS NULL)
+  UNION ALL SELECT 5, 'customers', (SELECT count(*) FROM src_customers), (SELECT count(*) FROM j5), NULL
+  UNION ALL SELECT 6, 'reviews', (SELECT count(*) FROM rev_agg), (SELECT count(*) FROM j6), NULL
+  UNION ALL SELECT 7, 'geolocation', (SELECT count(*) FROM geo_dedup), (SELECT count(*) FROM j7), NULL
+  UNION ALL SELECT 8, 'translation', (SELECT count(*) FROM src_category_translation), (SELECT count(*) FROM j8), NULL)"""
+    b["dq_nulls_by_status"] = ("SELECT order_status, count(*) AS count FROM clean_orders "
+                               "WHERE order_delivered_customer_date IS NULL GROUP BY order_status")
+    b["dq_having_dupes"] = "SELECT order_id, count(*) AS count FROM wide GROUP BY order_id HAVING count(*) > 1"
+
+    key_columns = {
+        "orders": ["order_id", "customer_id", "order_status"],
+        "order_items": ["order_id", "order_item_id", "product_id", "seller_id"],
+        "order_reviews": ["review_id", "order_id"],
+        "order_payments": ["order_id"],
+        "products": ["product_id"],
+        "customers": ["customer_id"],
+        "sellers": ["seller_id"],
+    }
+    parts = []
+    for t, keys in key_columns.items():
+        for c in cols[t]:
+            lim = "0.0" if c in keys else "0.5"
+            ratio = f"(count(*) FILTER (WHERE {c} IS NULL))::DOUBLE / count(*)"
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count, "
+                         f"CAST(round(CAST({ratio} AS DECIMAL(38,10)), 6) AS DOUBLE) AS null_ratio, "
+                         f"CAST({lim} AS DOUBLE) AS max_ratio, coalesce({ratio}, 0.0) <= {lim} AS passed "
+                         f"FROM src_{t}")
+    b["dq_null_threshold"] = union(parts)
+
+    b["dq_dup_rows"] = union(
+        f"SELECT '{t}' AS table_name, count(*) AS duplicate_groups, "
+        f"CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS surplus_rows "
+        f"FROM (SELECT count(*) AS c FROM src_{t} GROUP BY {', '.join(cols[t])} HAVING count(*) > 1)"
+        for t in src_tables)
+
+    def rule(t, rel, name, checked, bad):
+        return (f"SELECT '{t}' AS table_name, '{name}' AS rule, count(*) FILTER (WHERE {checked}) AS checked_rows, "
+                f"count(*) FILTER (WHERE ({checked}) AND ({bad})) AS violations FROM {rel}")
+
+    def fmt(t, rel, name, c, pattern):
+        return rule(t, rel, name, f"{c} IS NOT NULL", f"NOT regexp_matches({c}, '{pattern}')")
+    b["dq_format"] = union([
+        fmt("customers", "src_customers", "zip_5_digits", "customer_zip_code_prefix", r"^\d{5}$"),
+        fmt("sellers", "src_sellers", "zip_5_digits", "seller_zip_code_prefix", r"^\d{5}$"),
+        fmt("geolocation", "src_geolocation", "zip_5_digits", "geolocation_zip_code_prefix", r"^\d{5}$"),
+        fmt("order_reviews", "src_order_reviews", "order_id_hex", "order_id", "^[a-fA-F0-9]{32}$"),
+        fmt("orders", "src_orders", "order_id_hex", "order_id", "^[a-fA-F0-9]{32}$"),
+        fmt("final", "wide", "year_month_format", "order_year_month", r"^\d{4}-\d{2}$")])
+
+    b["dq_allowed"] = """
+SELECT 'orders' AS table_name, 'order_status' AS column_name, CAST(order_status AS VARCHAR) AS value, count(*) AS count
+FROM src_orders WHERE NOT coalesce(order_status IN ('approved', 'canceled', 'created', 'delivered', 'invoiced',
+                                                    'processing', 'shipped', 'unavailable'), false)
+GROUP BY order_status
+UNION ALL
+SELECT 'order_payments', 'payment_type', CAST(payment_type AS VARCHAR), count(*)
+FROM src_order_payments WHERE NOT coalesce(payment_type IN ('boleto', 'credit_card', 'debit_card', 'voucher'), false)
+GROUP BY payment_type
+UNION ALL
+SELECT 'products', 'product_category_name', CAST(product_category_name AS VARCHAR), count(*)
+FROM src_products p
+WHERE NOT EXISTS (SELECT 1 FROM src_category_translation t WHERE t.product_category_name = p.product_category_name)
+GROUP BY product_category_name"""
+
+    def rng(t, rel, name, c, lo=None, hi=None):
+        bad = " OR ".join(([f"{c} < {lo}"] if lo is not None else []) + ([f"{c} > {hi}"] if hi is not None else []))
+        return rule(t, rel, name, f"{c} IS NOT NULL", bad)
+    b["dq_range"] = union([
+        rng("order_items", "src_order_items", "price_positive", "price", lo=0.01),
+        rng("order_items", "src_order_items", "freight_non_negative", "freight_value", lo=0),
+        rng("order_reviews", "src_order_reviews", "score_1_to_5", "review_score", 1, 5),
+        rng("order_payments", "src_order_payments", "installments_1_to_24", "payment_installments", 1, 24),
+        rng("order_payments", "src_order_payments", "value_non_negative", "payment_value", lo=0),
+        rng("geolocation", "src_geolocation", "lat_valid", "geolocation_lat", -90, 90),
+        rng("geolocation", "src_geolocation", "lng_valid", "geolocation_lng", -180, 180),
+        rng("products", "src_products", "weight_non_negative", "product_weight_g", lo=0)])
+
+    def iqr(t, rel, c):
+        q1 = f"(SELECT quantile_disc({c}, 0.25) FROM {rel})"
+        q3 = f"(SELECT quantile_disc({c}, 0.75) FROM {rel})"
+        lo = f"({q1} - CAST(1.5 AS DOUBLE) * ({q3} - {q1}))"
+        hi = f"({q3} + CAST(1.5 AS DOUBLE) * ({q3} - {q1}))"
+        return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, {q1} AS q1, {q3} AS q3, "
+                f"{r4(lo)} AS lower_fence, {r4(hi)} AS upper_fence, count({c}) AS checked_rows, "
+                f"count(*) FILTER (WHERE {c} < {lo}) AS below, count(*) FILTER (WHERE {c} > {hi}) AS above FROM {rel}")
+    b["dq_iqr"] = union([iqr("order_items", "src_order_items", "price"),
+                         iqr("order_items", "src_order_items", "freight_value"),
+                         iqr("order_payments", "src_order_payments", "payment_value")])
+
+    def z(t, rel, c):
+        mu, sd = f"(SELECT avg({c}) FROM {rel})", f"(SELECT stddev_samp({c}) FROM {rel})"
+        return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, {r4(mu)} AS mean, {r4(sd)} AS stddev, "
+                f"count({c}) AS checked_rows, count(*) FILTER (WHERE abs(({c} - {mu}) / {sd}) > 3) AS outliers "
+                f"FROM {rel}")
+    b["dq_zscore"] = union([z("order_items", "src_order_items", "price"),
+                            z("order_items", "src_order_items", "freight_value"),
+                            z("order_payments", "src_order_payments", "payment_value")])
+
+    cross = {
+        "approved_after_purchase": ("order_purchase_timestamp", "order_approved_at"),
+        "carrier_after_purchase": ("order_purchase_timestamp", "order_delivered_carrier_date"),
+        "delivered_after_purchase": ("order_purchase_timestamp", "order_delivered_customer_date"),
+        "estimate_after_purchase": ("order_purchase_timestamp", "order_estimated_delivery_date"),
+        "shipping_limit_after_purchase": ("order_purchase_timestamp", "shipping_limit_date"),
+    }
+    b["dq_cross_field"] = union(rule("final", "wide", n, f"{a} IS NOT NULL AND {c} IS NOT NULL", f"{c} < {a}")
+                                for n, (a, c) in cross.items())
+
+    rels = [("orders.customer_id->customers", "clean_orders", "order_customer_id", "src_customers", "customer_id"),
+            ("order_items.order_id->orders", "src_order_items", "order_id", "clean_orders", "order_id"),
+            ("order_items.product_id->products", "src_order_items", "product_id", "src_products", "product_id"),
+            ("order_items.seller_id->sellers", "src_order_items", "seller_id", "src_sellers", "seller_id"),
+            ("order_payments.order_id->orders", "src_order_payments", "order_id", "clean_orders", "order_id"),
+            ("order_reviews.order_id->orders", "src_order_reviews", "order_id", "clean_orders", "order_id")]
+    b["dq_fk_anti"] = union(
+        f"SELECT '{n}' AS relation, count(*) AS orphan_rows, count(DISTINCT ch.{ck}) AS orphan_keys FROM {child} ch "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {parent} pa WHERE pa.{pk} = ch.{ck})"
+        for n, child, ck, parent, pk in rels)
+    b["dq_fk_semi"] = union(
+        f"SELECT '{n}' AS relation, count(*) AS valid_rows FROM {child} ch "
+        f"WHERE EXISTS (SELECT 1 FROM {parent} pa WHERE pa.{pk} = ch.{ck})"
+        for n, child, ck, parent, pk in rels)
+
+    b["dq_reconcile"] = f"""
+SELECT coalesce(l.key, r.key) AS key, l.left_total, r.right_total,
+       {r2('l.left_total - r.right_total')} AS difference,
+       CASE WHEN r.right_total IS NULL AND l.left_total IS NOT NULL THEN 'left_only'
+            WHEN l.left_total IS NULL AND r.right_total IS NOT NULL THEN 'right_only'
+            WHEN abs(l.left_total - r.right_total) <= 0.005 THEN 'match' ELSE 'mismatch' END AS status
+FROM (SELECT item_order_id AS key, {r2('sum(price + freight_value)')} AS left_total FROM clean_items GROUP BY 1) l
+FULL OUTER JOIN (SELECT payment_order_id AS key, payment_value AS right_total FROM pay_agg) r ON l.key = r.key"""
+
+    b["dq_drift"] = """
+, drift_counts AS (
+  SELECT strftime(order_purchase_timestamp, '%Y-%m') AS order_year_month, order_status, count(*) AS rows
+  FROM clean_orders GROUP BY 1, 2),
+drift_share AS (
+  SELECT c.order_year_month, c.order_status, c.rows,
+         CAST(round(CAST(c.rows / t.total AS DECIMAL(38,10)), 6) AS DOUBLE) AS share
+  FROM drift_counts c JOIN (SELECT order_year_month, sum(rows) AS total FROM drift_counts GROUP BY 1) t
+    ON c.order_year_month = t.order_year_month)
+SELECT s.order_year_month, s.order_status, s.rows, s.share, p.share AS prev_share,
+       CAST(round(CAST(s.share - p.share AS DECIMAL(38,10)), 6) AS DOUBLE) AS delta
+FROM drift_share s LEFT JOIN drift_share p
+  ON s.order_status = p.order_status
+ AND s.order_year_month = strftime(CAST(p.order_year_month || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m')"""
+
+    def st(t, rel, c):
+        return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS count, {r4(f'avg({c})')} AS mean, "
+                f"{r4(f'stddev_samp({c})')} AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
+                f"CAST(quantile_disc({c}, 0.25) AS DOUBLE) AS p25, CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS median, "
+                f"CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM {rel}")
+    b["dq_stats"] = union([st("order_items", "src_order_items", "price"),
+                           st("order_items", "src_order_items", "freight_value"),
+                           st("order_payments", "src_order_payments", "payment_value"),
+                           st("products", "src_products", "product_weight_g")])
+
+    bad_text = r"'[\x{FFFD}\x{0000}-\x{0008}\x{000B}\x{000C}\x{000E}-\x{001F}\x{007F}]'"
+
+    def enc(t, rel, c):
+        return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                f"count(*) FILTER (WHERE regexp_matches({c}, {bad_text})) AS bad_rows FROM {rel}")
+    b["dq_encoding"] = union([enc("order_reviews", "src_order_reviews", "review_comment_title"),
+                              enc("order_reviews", "src_order_reviews", "review_comment_message"),
+                              enc("customers", "src_customers", "customer_city"),
+                              enc("products", "src_products", "product_category_name")])
+
+    def fresh(t, rel, c):
+        lag = f"CAST(datediff('day', CAST(max({c}) AS DATE), DATE '2002-01-01') AS INTEGER)"
+        return (f"SELECT '{t}' AS table_name, max({c}) AS latest, {lag} AS lag_days, {lag} <= 30 AS fresh "
+                f"FROM {rel}")
+    b["dq_freshness"] = union([fresh("orders", "src_orders", "order_purchase_timestamp"),
+                               fresh("order_items", "src_order_items", "shipping_limit_date"),
+                               fresh("order_reviews", "src_order_reviews", "review_answer_timestamp")])
+
+    b["dq_mask"] = """
+SELECT customer_id, sha256(customer_unique_id) AS customer_unique_id,
+       substring(customer_zip_code_prefix, 1, 2) || '***' AS customer_zip_code_prefix,
+       substring(customer_city, 1, 1) || repeat('*', greatest(length(customer_city) - 1, 0)) AS customer_city,
+       customer_state
+FROM src_customers"""
+    b["dq_units"] = """
+SELECT product_id, product_weight_g / 1000.0 AS product_weight_kg, product_length_cm / 100.0 AS product_length_m,
+       product_height_cm / 100.0 AS product_height_m, product_width_cm / 100.0 AS product_width_m,
+       product_length_cm * product_height_cm * product_width_cm / 1000.0 AS product_volume_l
+FROM clean_products"""
+    b["dq_deprecated"] = """
+SELECT 'order_payments' AS table_name, 'payment_type' AS column_name, payment_type AS value, count(*) AS count
+FROM src_order_payments WHERE payment_type IN ('not_defined') GROUP BY payment_type
+UNION ALL
+SELECT 'orders', 'order_status', order_status, count(*) FROM src_orders WHERE order_status IN ('invoiced')
+GROUP BY order_status"""
+
+    order_rules = {
+        "approved_before_purchase": "order_approved_at < order_purchase_timestamp",
+        "delivered_before_purchase": "order_delivered_customer_date < order_purchase_timestamp",
+        "delivered_without_date": "order_status = 'delivered' AND order_delivered_customer_date IS NULL",
+        "late_delivery": "order_delivered_customer_date > order_estimated_delivery_date",
+    }
+    item_rules = {"price_not_positive": "price <= 0", "freight_negative": "freight_value < 0",
+                  "product_missing": "item_product_id IS NULL"}
+    b["dq_failure_log"] = union(
+        [f"SELECT 'orders' AS table_name, order_id AS record_id, '{n}' AS rule FROM clean_orders "
+         f"WHERE coalesce({c}, false)" for n, c in order_rules.items()]
+        + [f"SELECT 'order_items', concat_ws('-', item_order_id, item_order_item_id), '{n}' FROM clean_items "
+           f"WHERE coalesce({c}, false)" for n, c in item_rules.items()])
+
+    def summ(t, rel, n, c):
+        f = f"count(*) FILTER (WHERE coalesce({c}, false))"
+        return (f"SELECT '{t}' AS table_name, '{n}' AS rule, count(*) AS checked_rows, {f} AS failures, "
+                f"CAST(round(CAST(1.0 - {f} / count(*) AS DECIMAL(38,10)), 6) AS DOUBLE) AS pass_rate, "
+                f"{f} = 0 AS passed FROM {rel}")
+    b["dq_summary"] = union([summ("orders", "clean_orders", n, c) for n, c in order_rules.items()]
+                            + [summ("order_items", "clean_items", n, c) for n, c in item_rules.items()])
+    return b
+
+
+_DQ_CACHE: dict[str, str] = {}
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811
+    if not _DQ_CACHE:
+        _DQ_CACHE.update(_dq_bodies())
+    out = {k: with_base(v) for k, v in BODIES.items()}
+    for k, v in _DQ_CACHE.items():
+        # bodies starting with ',' extend the WITH list before their SELECT
+        out[k] = f"WITH {BASE}{v}" if v.lstrip().startswith(",") else with_base(v)
+    return out

@@ -342,3 +342,339 @@ def k23d(spark, d):
 @query("k23_fact_items")
 def k23f(spark, d):
     return kpis.fact_items(wide_table(spark, d))
+
+
+# --- step 8: data quality (checks the original ran) -------------------------------
+from ..operators import quality as Q  # noqa: E402
+
+# Allowed and legacy code lists of the data model.
+ORDER_STATUSES = ["approved", "canceled", "created", "delivered", "invoiced", "processing", "shipped",
+                  "unavailable"]
+PAYMENT_CODES = ["boleto", "credit_card", "debit_card", "voucher"]
+LEGACY_CODES = {"order_payments.payment_type": ["not_defined"], "orders.order_status": ["invoiced"]}
+
+
+@query("dq_row_counts")
+def dq_row_counts(spark, d):
+    return Q.row_counts(src(spark, d).all())
+
+
+@query("dq_duplicates")
+def dq_duplicates(spark, d):
+    t = src(spark, d)
+    return Q.uniqueness({
+        "customers": (t.customers, ["customer_id"]), "order_items": (t.order_items, ["order_id"]),
+        "order_reviews": (t.order_reviews, ["review_id"]), "orders": (t.orders, ["order_id"]),
+        "products": (t.products, ["product_id"]), "sellers": (t.sellers, ["seller_id"]),
+    })
+
+
+@query("dq_nulls")
+def dq_nulls(spark, d):
+    tables = {k: v for k, v in src(spark, d).all().items() if k != "category_translation"}
+    tables["final"] = wide_table(spark, d)
+    return Q._union(Q.null_profile(df, name) for name, df in tables.items())
+
+
+@query("dq_nulls_nan")
+def dq_nulls_nan(spark, d):
+    return Q.missing_profile(clean.clean_payments(src(spark, d).order_payments), "order_payments")
+
+
+@query("dq_hex_ids")
+def dq_hex_ids(spark, d):
+    t = src(spark, d)
+    return Q._union([
+        Q.hex_id_report(wide_table(spark, d), "review_order_id", "final"),
+        Q.hex_id_report(t.orders, "order_id", "orders"),
+        Q.hex_id_report(t.order_items, "order_id", "order_items"),
+        Q.hex_id_report(t.order_reviews, "order_id", "order_reviews"),
+        Q.hex_id_report(t.order_payments, "order_id", "order_payments"),
+    ])
+
+
+@query("dq_hex_ids_valid")
+def dq_hex_ids_valid(spark, d):
+    w = wide_table(spark, d)
+    return Q.valid_hex_ids(w, "review_order_id").select(*ITEM_KEY, "review_order_id")
+
+
+@query("dq_uniqueness")
+def dq_uniqueness(spark, d):
+    t = src(spark, d)
+    return Q.uniqueness({
+        "geolocation": (t.geolocation, ["geolocation_lat"]),
+        "customers": (t.customers, ["customer_id", "customer_unique_id"]),
+        "orders": (clean.clean_orders(t.orders), ["order_id", "order_customer_id"]),
+        "sellers": (t.sellers, ["seller_id", "seller_zip_code_prefix"]),
+        "products": (t.products, ["product_id", "product_category_name"]),
+        "order_reviews": (clean.clean_reviews(t.order_reviews), ["review_id", "review_order_id"]),
+        "category_translation": (t.category_translation,
+                                 ["product_category_name", "product_category_name_english"]),
+    })
+
+
+@query("dq_join_reconcile")
+def dq_join_reconcile(spark, d):
+    return Q.join_reconciliation(silver(spark, d, geo_mode="as_written"))
+
+
+@query("dq_nulls_by_status")
+def dq_nulls_by_status(spark, d):
+    return clean.undelivered_by_status(clean.clean_orders(src(spark, d).orders))
+
+
+@query("dq_having_dupes")
+def dq_having_dupes(spark, d):
+    return Q.orders_per_key_having(spark, wide_table(spark, d))
+
+
+# --- step 9: data quality (the written checklist) ---------------------------------
+@query("dq_schema")
+def dq_schema(spark, d):
+    return Q.schema_report(spark, src(spark, d).all())
+
+
+KEY_COLUMNS = {
+    "orders": ["order_id", "customer_id", "order_status"],
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id"],
+    "order_reviews": ["review_id", "order_id"],
+    "order_payments": ["order_id"],
+    "products": ["product_id"],
+    "customers": ["customer_id"],
+    "sellers": ["seller_id"],
+}
+
+
+@query("dq_null_threshold")
+def dq_null_threshold(spark, d):
+    t = src(spark, d).all()
+    return Q._union(Q.null_thresholds(t[name], name, {c: 0.0 for c in keys}, default_limit=0.5)
+                    for name, keys in KEY_COLUMNS.items())
+
+
+@query("dq_dup_rows")
+def dq_dup_rows(spark, d):
+    return Q._union(Q.duplicate_rows(df, name) for name, df in src(spark, d).all().items())
+
+
+ZIP_PATTERN = r"^\d{5}$"
+YEAR_MONTH_PATTERN = r"^\d{4}-\d{2}$"
+
+
+@query("dq_format")
+def dq_format(spark, d):
+    t = src(spark, d)
+    return Q._union([
+        Q.rule_counts(t.customers, "customers", {"zip_5_digits": Q.format_rule("customer_zip_code_prefix", ZIP_PATTERN)}),
+        Q.rule_counts(t.sellers, "sellers", {"zip_5_digits": Q.format_rule("seller_zip_code_prefix", ZIP_PATTERN)}),
+        Q.rule_counts(t.geolocation, "geolocation",
+                      {"zip_5_digits": Q.format_rule("geolocation_zip_code_prefix", ZIP_PATTERN)}),
+        Q.rule_counts(t.order_reviews, "order_reviews", {"order_id_hex": Q.format_rule("order_id", C.HEX_ID_PATTERN)}),
+        Q.rule_counts(t.orders, "orders", {"order_id_hex": Q.format_rule("order_id", C.HEX_ID_PATTERN)}),
+        Q.rule_counts(wide_table(spark, d), "final",
+                      {"year_month_format": Q.format_rule("order_year_month", YEAR_MONTH_PATTERN)}),
+    ])
+
+
+@query("dq_allowed")
+def dq_allowed(spark, d):
+    t = src(spark, d)
+    return Q._union([
+        Q.allowed_values(t.orders, "orders", "order_status", ORDER_STATUSES),
+        Q.allowed_values(t.order_payments, "order_payments", "payment_type", PAYMENT_CODES),
+        Q.values_missing_from(t.products, "products", "product_category_name", t.category_translation,
+                              "product_category_name"),
+    ])
+
+
+@query("dq_range")
+def dq_range(spark, d):
+    t = src(spark, d)
+    return Q._union([
+        Q.rule_counts(t.order_items, "order_items", {"price_positive": Q.range_rule("price", low=0.01),
+                                                     "freight_non_negative": Q.range_rule("freight_value", low=0)}),
+        Q.rule_counts(t.order_reviews, "order_reviews", {"score_1_to_5": Q.range_rule("review_score", 1, 5)}),
+        Q.rule_counts(t.order_payments, "order_payments", {
+            "installments_1_to_24": Q.range_rule("payment_installments", 1, 24),
+            "value_non_negative": Q.range_rule("payment_value", low=0)}),
+        Q.rule_counts(t.geolocation, "geolocation", {"lat_valid": Q.range_rule("geolocation_lat", -90, 90),
+                                                     "lng_valid": Q.range_rule("geolocation_lng", -180, 180)}),
+        Q.rule_counts(t.products, "products", {"weight_non_negative": Q.range_rule("product_weight_g", low=0)}),
+    ])
+
+
+@query("dq_iqr")
+def dq_iqr(spark, d):
+    t = src(spark, d)
+    return Q._union([Q.iqr_outliers(t.order_items, "price", "order_items"),
+                     Q.iqr_outliers(t.order_items, "freight_value", "order_items"),
+                     Q.iqr_outliers(t.order_payments, "payment_value", "order_payments")])
+
+
+@query("dq_zscore")
+def dq_zscore(spark, d):
+    t = src(spark, d)
+    return Q._union([Q.zscore_outliers(t.order_items, "price", "order_items"),
+                     Q.zscore_outliers(t.order_items, "freight_value", "order_items"),
+                     Q.zscore_outliers(t.order_payments, "payment_value", "order_payments")])
+
+
+CROSS_FIELD_RULES = {
+    "approved_after_purchase": ("order_purchase_timestamp", "order_approved_at"),
+    "carrier_after_purchase": ("order_purchase_timestamp", "order_delivered_carrier_date"),
+    "delivered_after_purchase": ("order_purchase_timestamp", "order_delivered_customer_date"),
+    "estimate_after_purchase": ("order_purchase_timestamp", "order_estimated_delivery_date"),
+    "shipping_limit_after_purchase": ("order_purchase_timestamp", "shipping_limit_date"),
+}
+
+
+@query("dq_cross_field")
+def dq_cross_field(spark, d):
+    rules = {k: Q.order_rule(a, b) for k, (a, b) in CROSS_FIELD_RULES.items()}
+    return Q.rule_counts(wide_table(spark, d), "final", rules)
+
+
+def _fk_relations(t):
+    o = clean.clean_orders(t.orders)
+    return {
+        "orders.customer_id->customers": (o, "order_customer_id", t.customers, "customer_id"),
+        "order_items.order_id->orders": (t.order_items, "order_id", o, "order_id"),
+        "order_items.product_id->products": (t.order_items, "product_id", t.products, "product_id"),
+        "order_items.seller_id->sellers": (t.order_items, "seller_id", t.sellers, "seller_id"),
+        "order_payments.order_id->orders": (t.order_payments, "order_id", o, "order_id"),
+        "order_reviews.order_id->orders": (t.order_reviews, "order_id", o, "order_id"),
+    }
+
+
+@query("dq_fk_anti")
+def dq_fk_anti(spark, d):
+    """Orphan child rows per relation (left anti join)."""
+    frames = []
+    for name, (child, ck, parent, pk) in _fk_relations(src(spark, d)).items():
+        keys = parent.select(F.col(pk).alias("_pk")).distinct()
+        orphans = child.join(keys, F.col(ck) == F.col("_pk"), "left_anti")
+        frames.append(orphans.agg(F.count("*").alias("orphan_rows"),
+                                  F.countDistinct(ck).alias("orphan_keys")).select(
+            F.lit(name).alias("relation"), "orphan_rows", "orphan_keys"))
+    return Q._union(frames)
+
+
+@query("dq_fk_semi")
+def dq_fk_semi(spark, d):
+    """Child rows whose key exists in the parent (left semi join)."""
+    frames = []
+    for name, (child, ck, parent, pk) in _fk_relations(src(spark, d)).items():
+        keys = parent.select(F.col(pk).alias("_pk"))
+        valid = child.join(keys, F.col(ck) == F.col("_pk"), "left_semi")
+        frames.append(valid.agg(F.count("*").alias("valid_rows")).select(F.lit(name).alias("relation"), "valid_rows"))
+    return Q._union(frames)
+
+
+@query("dq_reconcile")
+def dq_reconcile(spark, d):
+    """Item totals (price + freight) against paid totals, per order."""
+    s = silver(spark, d)
+    items = s.items.groupBy(F.col("item_order_id").alias("order_id")).agg(
+        C.money_sum(F.col("price") + F.col("freight_value")).alias("items_total"))
+    pays = s.payments.select(F.col("payment_order_id").alias("order_id"), "payment_value")
+    return Q.reconcile_totals(items, pays, "order_id", "items_total", "payment_value")
+
+
+@query("dq_drift")
+def dq_drift(spark, d):
+    o = features.add_year_month(clean.clean_orders(src(spark, d).orders))
+    return Q.category_drift(o, "order_year_month", "order_status")
+
+
+@query("dq_stats")
+def dq_stats(spark, d):
+    t = src(spark, d)
+    return Q._union([Q.summary_stats(t.order_items, ["price", "freight_value"], "order_items"),
+                     Q.summary_stats(t.order_payments, ["payment_value"], "order_payments"),
+                     Q.summary_stats(t.products, ["product_weight_g"], "products")])
+
+
+@query("dq_line_count")
+def dq_line_count(spark, d):
+    """Land the reviews as a headered CSV in the shared scratch folder, then
+    compare physical lines with parsed records (messages hold newlines)."""
+    import uuid
+    from ..plans import sinks
+    from ..sources.readers import layer_path
+    root = sinks.scratch_root(spark)
+    path = layer_path(f"{root}/landing-{uuid.uuid4().hex}", "raw", "order_reviews")
+    sinks.write_csv(src(spark, d).order_reviews, path)
+    return Q.line_count_check(spark, path, "order_reviews")
+
+
+@query("dq_encoding")
+def dq_encoding(spark, d):
+    t = src(spark, d)
+    return Q._union([Q.encoding_report(t.order_reviews, "order_reviews",
+                                       ["review_comment_title", "review_comment_message"]),
+                     Q.encoding_report(t.customers, "customers", ["customer_city"]),
+                     Q.encoding_report(t.products, "products", ["product_category_name"])])
+
+
+FRESHNESS_AS_OF = "2002-01-01"
+
+
+@query("dq_freshness")
+def dq_freshness(spark, d):
+    t = src(spark, d)
+    return Q._union([Q.freshness(t.orders, "order_purchase_timestamp", "orders", FRESHNESS_AS_OF, 30),
+                     Q.freshness(t.order_items, "shipping_limit_date", "order_items", FRESHNESS_AS_OF, 30),
+                     Q.freshness(t.order_reviews, "review_answer_timestamp", "order_reviews", FRESHNESS_AS_OF, 30)])
+
+
+@query("dq_mask")
+def dq_mask(spark, d):
+    return Q.mask_customers(src(spark, d).customers)
+
+
+@query("dq_units")
+def dq_units(spark, d):
+    return Q.standardize_product_units(clean.clean_products(src(spark, d).products))
+
+
+@query("dq_deprecated")
+def dq_deprecated(spark, d):
+    t = src(spark, d)
+    return Q._union([
+        Q.deprecated_codes(t.order_payments, "order_payments", "payment_type",
+                           LEGACY_CODES["order_payments.payment_type"]),
+        Q.deprecated_codes(t.orders, "orders", "order_status", LEGACY_CODES["orders.order_status"]),
+    ])
+
+
+def _order_rules():
+    p = F.col("order_purchase_timestamp")
+    return {
+        "approved_before_purchase": F.col("order_approved_at") < p,
+        "delivered_before_purchase": F.col("order_delivered_customer_date") < p,
+        "delivered_without_date": (F.col("order_status") == "delivered")
+        & F.col("order_delivered_customer_date").isNull(),
+        "late_delivery": F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date"),
+    }
+
+
+def _item_rules():
+    return {"price_not_positive": F.col("price") <= 0,
+            "freight_negative": F.col("freight_value") < 0,
+            "product_missing": F.col("item_product_id").isNull()}
+
+
+@query("dq_failure_log")
+def dq_failure_log(spark, d):
+    s = silver(spark, d)
+    item_id = F.concat_ws("-", "item_order_id", "item_order_item_id")
+    return Q._union([Q.failure_log(s.orders, "orders", F.col("order_id"), _order_rules()),
+                     Q.failure_log(s.items, "order_items", item_id, _item_rules())])
+
+
+@query("dq_summary")
+def dq_summary(spark, d):
+    s = silver(spark, d)
+    return Q._union([Q.failure_summary(s.orders, "orders", _order_rules()),
+                     Q.failure_summary(s.items, "order_items", _item_rules())])
