@@ -763,3 +763,20 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811
         # bodies starting with ',' extend the WITH list before their SELECT
         out[k] = f"WITH {BASE}{v}" if v.lstrip().startswith(",") else with_base(v)
     return out
+
+
+BODIES["sink_roundtrip"] = (f"SELECT order_year_month, count(*) AS rows, {r2('sum(price)')} AS revenue "
+                            "FROM wide GROUP BY order_year_month")
+BODIES["bronze_roundtrip"] = """
+SELECT 'orders' AS table_name, count(*) AS row_count FROM clean_orders
+UNION ALL SELECT 'order_items', count(*) FROM clean_items
+UNION ALL SELECT 'products', count(*) FROM clean_products
+UNION ALL SELECT 'order_payments', count(*) FROM clean_payments
+UNION ALL SELECT 'order_reviews', count(*) FROM clean_reviews"""
+BODIES["sql_path_scan"] = (f"SELECT {ITEM_KEY}, order_year_month, price, aov_segment FROM wide "
+                           "ORDER BY order_year_month DESC")
+BODIES["sql_table_surface"] = ("SELECT order_year_month, count(*) AS rows, count(DISTINCT order_id) AS orders "
+                               "FROM wide GROUP BY order_year_month")
+BODIES["k23_dim_orders_table"] = f"SELECT DISTINCT {ORDER_COLS}, order_year_month FROM wide"
+BODIES["delivery_sink"] = BODIES["feat_delivery"]
+BODIES["stream_bronze_orders"] = "SELECT * FROM clean_orders"

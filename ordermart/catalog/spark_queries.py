@@ -678,3 +678,101 @@ def dq_summary(spark, d):
     s = silver(spark, d)
     return Q._union([Q.failure_summary(s.orders, "orders", _order_rules()),
                      Q.failure_summary(s.items, "order_items", _item_rules())])
+
+
+# --- step 10: sinks and the SQL surface ------------------------------------------------
+from ..plans import sinks as S  # noqa: E402
+from ..sources import readers as R  # noqa: E402
+
+
+def _scratch(spark, what: str) -> str:
+    import uuid
+    return f"{S.scratch_root(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+@query("sink_roundtrip")
+def sink_roundtrip(spark, d):
+    """Wide table written partitioned by month, read back; rows and revenue
+    per month partition."""
+    path = _scratch(spark, "silver") + "/final_df"
+    S.write_wide(wide_table(spark, d), path)
+    back = R.read_table(spark, path, merge_schema=True)
+    return back.groupBy("order_year_month").agg(F.count("*").alias("rows"), C.money_sum("price").alias("revenue"))
+
+
+@query("bronze_roundtrip")
+def bronze_roundtrip(spark, d):
+    """The five cleaned tables written to the bronze layer and read back."""
+    t = src(spark, d)
+    root = _scratch(spark, "lake")
+    cleaned = {"orders": clean.clean_orders(t.orders), "order_items": clean.clean_items(t.order_items),
+               "products": clean.clean_products(t.products),
+               "order_payments": clean.clean_payments(t.order_payments),
+               "order_reviews": clean.clean_reviews(t.order_reviews)}
+    frames = []
+    for name, df in cleaned.items():
+        path = R.layer_path(root, "bronze", name)
+        S.write_parquet(df, path)
+        frames.append(R.read_table(spark, path).agg(F.count("*").alias("row_count"))
+                      .select(F.lit(name).alias("table_name"), "row_count"))
+    from ..operators.quality import _union
+    return _union(frames)
+
+
+@query("sql_path_scan")
+def sql_path_scan(spark, d):
+    """``SELECT * FROM parquet.`path` ORDER BY order_year_month DESC``."""
+    path = _scratch(spark, "silver") + "/final_df"
+    S.write_wide(wide_table(spark, d), path)
+    return S.path_scan(spark, path, order_by="order_year_month DESC").select(
+        *ITEM_KEY, "order_year_month", "price", "aov_segment")
+
+
+@query("sql_table_surface")
+def sql_table_surface(spark, d):
+    """External table over the written wide table (database created first),
+    then the row-count and duplicate-order SQL run against it."""
+    import uuid
+    path = _scratch(spark, "silver") + "/final_df"
+    S.write_wide(wide_table(spark, d), path)
+    name = f"ordermart_prod.ecommerce_{uuid.uuid4().hex[:12]}"
+    S.create_external_table(spark, name, path)
+    return spark.sql(f"SELECT order_year_month, count(*) AS rows, count(DISTINCT order_id) AS orders "
+                     f"FROM {name} GROUP BY order_year_month")
+
+
+@query("k23_dim_orders_table")
+def k23_table(spark, d):
+    """Order dimension persisted as a catalog table over the shared folder."""
+    import uuid
+    path = _scratch(spark, "gold") + "/dim_orders"
+    S.write_parquet(kpis.dim_orders(wide_table(spark, d)), path)
+    name = f"ordermart_gold.dim_orders_{uuid.uuid4().hex[:12]}"
+    return S.create_external_table(spark, name, path)
+
+
+@query("delivery_sink")
+def delivery_sink(spark, d):
+    """Order-grain delivery facts written to bronze and read back."""
+    path = _scratch(spark, "bronze") + "/delivery"
+    S.write_parquet(features.delivery_table(clean.clean_orders(src(spark, d).orders)), path)
+    return R.read_table(spark, path)
+
+
+@query("stream_bronze_orders")
+def stream_bronze_orders(spark, d):
+    """Orders landed as CSV, ingested by an availableNow file stream with
+    the row-level cleaner, read back from bronze."""
+    from ..streaming import ingest
+    root = _scratch(spark, "stream")
+    landing = f"{root}/landing/orders"
+    S.write_csv(src(spark, d).orders, landing)
+    out = ingest.ingest_available(spark, landing, "orders", f"{root}/bronze/orders", f"{root}/checkpoint")
+    return out.select(*[F.col(c).cast("timestamp_ntz") if c.endswith(("_timestamp", "_at", "_date")) else F.col(c)
+                        for c in out.columns])
+
+
+@query("k05_price_summary_builtin")
+def k05_builtin(spark, d):
+    """``summary()`` as the original used it (approximate quartiles)."""
+    return kpis.price_summary_builtin(src(spark, d).order_items)

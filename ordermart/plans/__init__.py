@@ -1 +1 @@
-from . import physical  # noqa: F401
+from . import physical, sinks  # noqa: F401

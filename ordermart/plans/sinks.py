@@ -68,7 +68,8 @@ def create_external_table(spark: SparkSession, name: str, path: str, fmt: str =
     if "." in name:
         create_database(spark, name.split(".", 1)[0])
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
 
 
