@@ -77,6 +77,10 @@ class Silver:
         self.translation = _table(src, "category_translation")
         raw_geo = _table(src, "geolocation")
         self.geo = preagg.geo_one_per_zip(raw_geo) if geo_mode == "one_per_zip" else preagg.geo_dedupe(raw_geo)
+        # raw inputs whose row counts bound the derived dimension tables
+        self.bounds = {"products": _table(src, "products"), "geo": raw_geo, "sellers": self.sellers,
+                       "translation": self.translation}
+        self._segments: DataFrame | None = None
 
     def fanout(self) -> DataFrame | None:
         """Rows each customer's items are repeated by the geolocation join
@@ -90,15 +94,30 @@ class Silver:
                            F.greatest(F.coalesce("_pts", F.lit(0)), F.lit(1)).alias("_k")))
         return per_row.groupBy("order_customer_id").agg(F.sum("_k").alias("k"))
 
-    def customer_segments(self, approximate: bool = False) -> DataFrame:
-        spend = segments.customer_spend_from_orders(self.orders, self.items, self.fanout())
-        return segments.segment_customers(spend, approximate=approximate)
+    def customer_spend(self) -> DataFrame:
+        return segments.customer_spend_from_orders(self.orders, self.items, self.fanout())
+
+    def customer_segments(self, approximate: bool = False, materialize: bool = True) -> DataFrame:
+        """AOV segments. The spend table (one row per customer, but derived
+        from a full item scan) is read twice, by the percentile scalars and
+        by the banding; ``materialize`` writes it once to the shared
+        checkpoint folder so the item scan is not repeated, and cuts the
+        lineage there."""
+        if self._segments is None:
+            spend = self.customer_spend()
+            if materialize:
+                import uuid
+
+                from ..plans.sinks import materialize as write_back
+                spend = write_back(spend, spend.sparkSession, f"customer_spend-{uuid.uuid4().hex}")
+            self._segments = segments.segment_customers(spend, approximate=approximate)
+        return self._segments
 
 
 def item_side(silver: Silver, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Items with their product and seller attributes."""
-    products = broadcast_if_small(silver.products, broadcast_rows)
-    sellers = broadcast_if_small(silver.sellers, broadcast_rows)
+    products = broadcast_if_small(silver.products, broadcast_rows, silver.bounds["products"])
+    sellers = broadcast_if_small(silver.sellers, broadcast_rows, silver.bounds["sellers"])
     return (silver.items
             .join(products, F.col("item_product_id") == F.col("product_id"), "left")
             .join(sellers, F.col("item_seller_id") == F.col("seller_id"), "left"))
@@ -128,9 +147,10 @@ def join_wide(silver: Silver, *, with_segments: bool = True, partitions: int | N
     orders_part = hash_partition(order_side(silver, with_segments, broadcast_rows), "order_id", partitions)
     items_part = hash_partition(item_side(silver, broadcast_rows), "item_order_id", partitions)
     wide = orders_part.join(items_part, F.col("order_id") == F.col("item_order_id"), "inner")
-    geo = broadcast_if_small(silver.geo, broadcast_rows)
+    geo = broadcast_if_small(silver.geo, broadcast_rows, silver.bounds["geo"])
     wide = wide.join(geo, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
-    wide = wide.join(broadcast_if_small(silver.translation, broadcast_rows), on="product_category_name", how="left")
+    translation = broadcast_if_small(silver.translation, broadcast_rows, silver.bounds["translation"])
+    wide = wide.join(translation, on="product_category_name", how="left")
     cols = JOINED_COLUMNS + (SEGMENT_COLUMNS if with_segments else [])
     return wide.select(*cols)
 

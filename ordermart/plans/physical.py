@@ -20,9 +20,14 @@ def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only when its row count is proven small."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       bound_by: DataFrame | None = None) -> DataFrame:
+    """Hint ``df`` for broadcast only when its row count is proven small.
+
+    ``bound_by`` is an input whose row count bounds ``df``'s (``df`` is a
+    1:1 projection or an aggregate of it); checking the raw input needs no
+    aggregation job and the bound still holds."""
+    return F.broadcast(df) if rows_at_most(bound_by if bound_by is not None else df, max_rows) else df
 
 
 def hash_partition(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
