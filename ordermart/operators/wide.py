@@ -131,10 +131,17 @@ def order_side(silver: Silver, with_segments: bool = True,
     are shuffled once per key and leave hash-partitioned by order id, the
     partitioning the item join needs."""
     o = silver.orders
-    o = o.join(silver.customers, F.col("order_customer_id") == F.col("customer_id"), "left")
     if with_segments:
+        # customers and segments are both keyed by customer: combine them
+        # first (full outer keeps segment rows of customers missing from the
+        # customer table), so orders meet customer data in a single join
+        # whose skewed partitions AQE can split.
         seg = segments.segments_for_join(silver.customer_segments())
-        o = o.join(seg, F.col("order_customer_id") == F.col(segments.SEGMENT_KEY), "left")
+        cust = (silver.customers.join(seg, F.col("customer_id") == F.col(segments.SEGMENT_KEY), "full")
+                .withColumn("_cust_key", F.coalesce(F.col("customer_id"), F.col(segments.SEGMENT_KEY))))
+        o = o.join(cust, F.col("order_customer_id") == F.col("_cust_key"), "left").drop("_cust_key")
+    else:
+        o = o.join(silver.customers, F.col("order_customer_id") == F.col("customer_id"), "left")
     o = o.join(silver.payments, F.col("order_id") == F.col("payment_order_id"), "left")
     o = o.join(silver.reviews, F.col("order_id") == F.col("review_order_id"), "left")
     return o
