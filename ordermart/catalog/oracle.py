@@ -409,6 +409,10 @@ SELECT * FROM (
   SELECT seller_id, {ITEM_KEY}, price,
          CAST(rank() OVER (PARTITION BY seller_id ORDER BY price DESC NULLS LAST) AS INTEGER) AS rank
   FROM wide) WHERE rank <= 5"""
+BODIES["k12_seller_revenue_rank"] = f"""
+SELECT seller_id, total_revenue,
+       CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS INTEGER) AS revenue_rank
+FROM (SELECT seller_id, {r2('sum(price)')} AS total_revenue FROM wide GROUP BY seller_id)"""
 BODIES["k13_dense_rank"] = f"""
 SELECT * FROM (
   SELECT seller_id, {ITEM_KEY}, price,

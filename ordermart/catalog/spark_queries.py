@@ -293,6 +293,11 @@ def k12(spark, d):
     return kpis.top_items_per_seller(wide_table(spark, d), 5, dense=False)
 
 
+@query("k12_seller_revenue_rank")
+def k12r(spark, d):
+    return kpis.seller_revenue_rank(wide_table(spark, d))
+
+
 @query("k13_dense_rank")
 def k13(spark, d):
     return kpis.top_items_per_seller(wide_table(spark, d), 5, dense=True)

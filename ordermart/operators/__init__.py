@@ -1 +1 @@
-from . import clean, features, kpis, preagg, quality, segments, wide  # noqa: F401
+from . import clean, features, kpis, preagg, quality, ranking, segments, wide  # noqa: F401

@@ -145,6 +145,14 @@ def top_items_per_seller(wide: DataFrame, k: int = 5, dense: bool = False) -> Da
             .filter(F.col(name) <= k))
 
 
+def seller_revenue_rank(wide: DataFrame) -> DataFrame:
+    """Sellers ranked by summed item price (``rank``, ties share a rank),
+    computed with a distributed whole-table rank."""
+    from .ranking import global_rank
+    rev = wide.groupBy("seller_id").agg(C.money_sum("price").alias("total_revenue"))
+    return global_rank(rev, "total_revenue", "revenue_rank")
+
+
 def seller_scorecard(wide: DataFrame) -> DataFrame:
     return (wide.groupBy("seller_id").agg(
         F.count("order_id").alias("total_orders"),

@@ -184,3 +184,16 @@ def test_zscore_and_iqr(spark):
     q = quality.iqr_outliers(df, "x").first()
     assert (q.below, q.above) == (0, 1)
     assert not math.isnan(q.upper_fence)
+
+
+def test_global_rank_matches_window_rank(spark):
+    from pyspark.sql import Window
+
+    from ordermart.operators.ranking import global_rank
+    vals = [5.0, 3.0, 3.0, None, 9.0, 1.0, 3.0, 9.0, 0.5, None, 7.0]
+    df = spark.createDataFrame([(f"k{i}", v) for i, v in enumerate(vals)], "k string, v double")
+    w = Window.orderBy(F.desc_nulls_last("v"))
+    for dense in (False, True):
+        want = {r.k: r.r for r in df.select("k", (F.dense_rank() if dense else F.rank()).over(w).alias("r")).collect()}
+        got = {r.k: r.r for r in global_rank(df, "v", "r", dense=dense, partitions=4).collect()}
+        assert got == want
