@@ -55,3 +55,16 @@ def count_nodes(df: DataFrame, name: str) -> int:
     """Occurrences of a physical operator name in the simple plan."""
     text = plan_text(df, "simple")
     return sum(line.count(name) for line in text.splitlines())
+
+
+def persist_for_reuse(df: DataFrame, level: str = "MEMORY_AND_DISK") -> DataFrame:
+    """Persist a frame that several actions will read (spilling to disk
+    rather than recomputing). Use only where reuse is real; cached blocks
+    are lost with their executor, so results that must survive failures
+    are written with ``sinks.materialize`` instead."""
+    from pyspark import StorageLevel
+    return df.persist(getattr(StorageLevel, level))
+
+
+def storage_level(df: DataFrame) -> str:
+    return str(df.storageLevel)

@@ -197,3 +197,23 @@ def test_global_rank_matches_window_rank(spark):
         want = {r.k: r.r for r in df.select("k", (F.dense_rank() if dense else F.rank()).over(w).alias("r")).collect()}
         got = {r.k: r.r for r in global_rank(df, "v", "r", dense=dense, partitions=4).collect()}
         assert got == want
+
+
+def test_ml_imputer_matches_scalar_mean(spark):
+    df = spark.createDataFrame([("o1", 1, "boleto", 1, 10.0), ("o1", 2, "voucher", 1, None),
+                                ("o2", 1, "voucher", 2, 20.0)], schemas.ORDER_PAYMENTS)
+    ml = {r.payment_sequential * 10 + len(r.order_id): r.payment_value_imputed
+          for r in clean.impute_mean_ml(df).collect()}
+    ours = {r.payment_sequential * 10 + len(r.payment_order_id): r.payment_value_imputed
+            for r in clean.clean_payments(df).collect()}
+    assert ml == ours
+
+
+def test_registry_and_persist(spark):
+    from ordermart.plans import physical, sinks
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    assert sinks.register({"tmp_registry_x": df}) == ["tmp_registry_x"]
+    assert spark.table("tmp_registry_x").count() == 2
+    p = physical.persist_for_reuse(df)
+    assert "Disk" in physical.storage_level(p) or "disk" in physical.storage_level(p).lower()
+    p.unpersist()
