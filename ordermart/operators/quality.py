@@ -107,9 +107,6 @@ def join_reconciliation(silver) -> DataFrame:
     aggregates joined to one narrow base; no stage output is materialised.
     """
     o, i = silver.orders, silver.items
-    base = (o.select("order_id", "order_customer_id")
-            .join(i.select("item_order_id", "item_product_id", "item_seller_id"),
-                  F.col("order_id") == F.col("item_order_id"), "inner"))
 
     def per_key(df, key, k, count_name, weighted_name=None, weight: Column | None = None):
         aggs = [F.count("*").alias(count_name)]
@@ -117,22 +114,25 @@ def join_reconciliation(silver) -> DataFrame:
             aggs.append(F.sum(weight).alias(weighted_name))
         return df.groupBy(F.col(key).alias(k)).agg(*aggs)
 
+    one = F.lit(1)
     trans = silver.translation.groupBy("product_category_name").agg(F.count("*").alias("_t"))
     prods = silver.products.join(trans, "product_category_name", "left")
     geo_pts = silver.geo.groupBy("geolocation_zip_code_prefix").agg(F.count("*").alias("_g"))
     custs = silver.customers.join(geo_pts, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
-    one = F.lit(1)
-    lookups = [
-        ("item_product_id", per_key(prods, "product_id", "_k1", "P", "PT", F.greatest(F.coalesce("_t", F.lit(0)), one))),
-        ("item_seller_id", per_key(silver.sellers, "seller_id", "_k2", "S")),
-        ("order_id", per_key(silver.payments, "payment_order_id", "_k3", "Y")),
-        ("order_customer_id", per_key(custs, "customer_id", "_k4", "Cn", "CG",
-                                      F.greatest(F.coalesce("_g", F.lit(0)), one))),
-        ("order_id", per_key(silver.reviews, "review_order_id", "_k5", "R")),
-    ]
-    x = base
-    for n, (key, table) in enumerate(lookups, start=1):
-        x = x.join(table, F.col(key) == F.col(f"_k{n}"), "left")
+    # item-level multiplicities attach to items, order-level ones to orders;
+    # the two sides then meet once on the order id
+    item_side = (i.select("item_order_id", "item_product_id", "item_seller_id")
+                 .join(per_key(prods, "product_id", "_k1", "P", "PT", F.greatest(F.coalesce("_t", F.lit(0)), one)),
+                       F.col("item_product_id") == F.col("_k1"), "left")
+                 .join(per_key(silver.sellers, "seller_id", "_k2", "S"), F.col("item_seller_id") == F.col("_k2"), "left")
+                 .select("item_order_id", "P", "PT", "S"))
+    order_side = (o.select("order_id", "order_customer_id")
+                  .join(per_key(custs, "customer_id", "_k4", "Cn", "CG", F.greatest(F.coalesce("_g", F.lit(0)), one)),
+                        F.col("order_customer_id") == F.col("_k4"), "left")
+                  .join(per_key(silver.payments, "payment_order_id", "_k3", "Y"), F.col("order_id") == F.col("_k3"), "left")
+                  .join(per_key(silver.reviews, "review_order_id", "_k5", "R"), F.col("order_id") == F.col("_k5"), "left")
+                  .select("order_id", "Cn", "CG", "Y", "R"))
+    x = order_side.join(item_side, F.col("order_id") == F.col("item_order_id"), "inner")
     m = {c: F.coalesce(F.col(c), one).cast("bigint") for c in ("P", "PT", "S", "Y", "Cn", "CG", "R")}
     c2 = m["P"]
     c3 = c2 * m["S"]
