@@ -2,16 +2,17 @@
 
 Join plan (same rows as joining the fact first and dimensions after):
 
-1. items  <- products, sellers             (broadcast when size-checked small,
-                                             else planner/AQE decide)
+1. items  <- products, sellers only when they fail the size check (joined
+                                             while item rows are narrow)
 2. orders <- payments/order, reviews/order, customers, segments
                                             (all one row per key: the order
                                              side never multiplies)
 3. (2) INNER (1) on order id               the only join whose both sides are
                                             large; one shuffle per side, AQE
                                             splits a hot order id
-4. <- geolocation (one row per zip, bounded) and category translation, both
-   broadcast after a size check.
+4. <- size-checked small products/sellers, geolocation (one row per zip,
+   bounded) and category translation, all broadcast after the shuffle, so
+   the big shuffle carries only the narrow item columns.
 
 Order-level tables meet the items exactly once, so a skewed order id is
 handled by AQE's skew-join split of that single sort-merge join, and no
@@ -25,7 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.physical import DEFAULT_BROADCAST_ROWS, broadcast_if_small, hash_partition
+from ..plans.physical import DEFAULT_BROADCAST_ROWS, hash_partition, rows_at_most
 from . import clean, features, preagg, segments
 
 ORDER_COLUMNS = ["order_id", "order_customer_id", "order_status", "order_purchase_timestamp",
@@ -81,6 +82,14 @@ class Silver:
         self.bounds = {"products": _table(src, "products"), "geo": raw_geo, "sellers": self.sellers,
                        "translation": self.translation}
         self._segments: DataFrame | None = None
+        self._small: dict[tuple[str, int], bool] = {}
+
+    def is_small(self, name: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+        """Size check of a dimension against its raw bound, done once."""
+        key = (name, max_rows)
+        if key not in self._small:
+            self._small[key] = rows_at_most(self.bounds[name], max_rows)
+        return self._small[key]
 
     def fanout(self) -> DataFrame | None:
         """Rows each customer's items are repeated by the geolocation join
@@ -115,12 +124,24 @@ class Silver:
 
 
 def item_side(silver: Silver, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Items with their product and seller attributes."""
-    products = broadcast_if_small(silver.products, broadcast_rows, silver.bounds["products"])
-    sellers = broadcast_if_small(silver.sellers, broadcast_rows, silver.bounds["sellers"])
-    return (silver.items
-            .join(products, F.col("item_product_id") == F.col("product_id"), "left")
-            .join(sellers, F.col("item_seller_id") == F.col("seller_id"), "left"))
+    """Items with their product and seller attributes (all joins here)."""
+    return _attach_item_dims(silver.items, silver, broadcast_rows, post_shuffle=None)
+
+
+def _attach_item_dims(df: DataFrame, silver: Silver, broadcast_rows: int, post_shuffle: bool | None) -> DataFrame:
+    """Join products and sellers. ``post_shuffle`` selects which of them to
+    join now: True -> only the size-checked small ones (broadcast, after
+    the order join, so the big shuffle carries only the narrow item
+    columns); False -> only the large ones (before the order join, while
+    rows are narrow); None -> both."""
+    for name, dim, cond in (
+        ("products", silver.products, F.col("item_product_id") == F.col("product_id")),
+        ("sellers", silver.sellers, F.col("item_seller_id") == F.col("seller_id")),
+    ):
+        small = silver.is_small(name, broadcast_rows)
+        if post_shuffle is None or post_shuffle == small:
+            df = df.join(F.broadcast(dim) if small else dim, cond, "left")
+    return df
 
 
 def order_side(silver: Silver, with_segments: bool = True,
@@ -152,11 +173,15 @@ def join_wide(silver: Silver, *, with_segments: bool = True, partitions: int | N
     """All joins, no features: rows = items with a matching order (times the
     geolocation fan-out in as-written mode)."""
     orders_part = hash_partition(order_side(silver, with_segments, broadcast_rows), "order_id", partitions)
-    items_part = hash_partition(item_side(silver, broadcast_rows), "item_order_id", partitions)
+    items = _attach_item_dims(silver.items, silver, broadcast_rows, post_shuffle=False)
+    items_part = hash_partition(items, "item_order_id", partitions)
     wide = orders_part.join(items_part, F.col("order_id") == F.col("item_order_id"), "inner")
-    geo = broadcast_if_small(silver.geo, broadcast_rows, silver.bounds["geo"])
+    wide = _attach_item_dims(wide, silver, broadcast_rows, post_shuffle=True)
+    geo = F.broadcast(silver.geo) if silver.is_small("geo", broadcast_rows) else silver.geo
     wide = wide.join(geo, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
-    translation = broadcast_if_small(silver.translation, broadcast_rows, silver.bounds["translation"])
+    translation = silver.translation
+    if silver.is_small("translation", broadcast_rows):
+        translation = F.broadcast(translation)
     wide = wide.join(translation, on="product_category_name", how="left")
     cols = JOINED_COLUMNS + (SEGMENT_COLUMNS if with_segments else [])
     return wide.select(*cols)
