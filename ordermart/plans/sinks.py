@@ -23,23 +23,39 @@ def scratch_root(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/")
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Bronze/silver Parquet sink. With ``partition_by`` the rows are first
-    clustered by the partition columns so each task writes few files."""
-    writer = df
-    if partition_by:
-        writer = df.repartition(*partition_by)
-    w = writer.write.mode(mode)
+def cluster_for_write(df: DataFrame, partition_by: Sequence[str], how: str = "rebalance") -> DataFrame:
+    """Arrange rows for a partitioned write.
+
+    ``rebalance``: shuffle by the partition columns with the REBALANCE hint;
+    AQE then splits any oversized value (a month holding a third of the
+    rows is written by many tasks) and merges small ones, so files land
+    near the advisory size. ``sort``: no shuffle, each task sorts its rows
+    by the partition columns and writes one file per value it holds (more,
+    smaller files; no network). A plain ``repartition(month)`` is never
+    used: it sends each month to a single task."""
+    if not partition_by:
+        return df
+    if how == "rebalance":
+        return df.hint("rebalance", *partition_by)
+    if how == "sort":
+        return df.sortWithinPartitions(*partition_by)
+    raise ValueError("how must be 'rebalance' or 'sort'")
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+                  how: str = "rebalance") -> None:
+    """Bronze/silver Parquet sink, optionally partitioned."""
+    w = cluster_for_write(df, partition_by, how).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def write_wide(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_wide(df: DataFrame, path: str, fmt: str = "parquet", how: str = "rebalance") -> None:
     """The wide table, partitioned by month. ``fmt`` names the table format
     (a lakehouse format where installed); schema changes across overwrites
     are reconciled on read with ``mergeSchema``."""
-    (df.repartition(WIDE_PARTITION).write.format(fmt).mode("overwrite")
+    (cluster_for_write(df, [WIDE_PARTITION], how).write.format(fmt).mode("overwrite")
      .partitionBy(WIDE_PARTITION).save(path))
 
 
