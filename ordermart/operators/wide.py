@@ -26,7 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.physical import DEFAULT_BROADCAST_ROWS, hash_partition, rows_at_most
+from ..plans.physical import broadcast_row_limit, hash_partition, rows_at_most
 from . import clean, features, preagg, segments
 
 ORDER_COLUMNS = ["order_id", "order_customer_id", "order_status", "order_purchase_timestamp",
@@ -81,14 +81,22 @@ class Silver:
         # raw inputs whose row counts bound the derived dimension tables
         self.bounds = {"products": _table(src, "products"), "geo": raw_geo, "sellers": self.sellers,
                        "translation": self.translation}
+        # aggregated dimensions can be far smaller than their raw bound
+        self.derived = {"geo": self.geo}
         self._segments: DataFrame | None = None
         self._small: dict[tuple[str, int], bool] = {}
 
-    def is_small(self, name: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-        """Size check of a dimension against its raw bound, done once."""
+    def is_small(self, name: str, max_rows: int | None = None) -> bool:
+        """Size check of a dimension, done once: first against its raw bound
+        (a scan that stops after max_rows + 1 rows); when that fails and the
+        dimension is an aggregate, against the aggregate itself."""
+        max_rows = max_rows or broadcast_row_limit(self.orders.sparkSession)
         key = (name, max_rows)
         if key not in self._small:
-            self._small[key] = rows_at_most(self.bounds[name], max_rows)
+            ok = rows_at_most(self.bounds[name], max_rows)
+            if not ok and name in self.derived:
+                ok = rows_at_most(self.derived[name], max_rows)
+            self._small[key] = ok
         return self._small[key]
 
     def fanout(self) -> DataFrame | None:
@@ -123,12 +131,13 @@ class Silver:
         return self._segments
 
 
-def item_side(silver: Silver, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def item_side(silver: Silver, broadcast_rows: int | None = None) -> DataFrame:
     """Items with their product and seller attributes (all joins here)."""
     return _attach_item_dims(silver.items, silver, broadcast_rows, post_shuffle=None)
 
 
-def _attach_item_dims(df: DataFrame, silver: Silver, broadcast_rows: int, post_shuffle: bool | None) -> DataFrame:
+def _attach_item_dims(df: DataFrame, silver: Silver, broadcast_rows: int | None,
+                      post_shuffle: bool | None) -> DataFrame:
     """Join products and sellers. ``post_shuffle`` selects which of them to
     join now: True -> only the size-checked small ones (broadcast, after
     the order join, so the big shuffle carries only the narrow item
@@ -145,7 +154,7 @@ def _attach_item_dims(df: DataFrame, silver: Silver, broadcast_rows: int, post_s
 
 
 def order_side(silver: Silver, with_segments: bool = True,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int | None = None) -> DataFrame:
     """One row per order with customer (and segment), payments, reviews.
 
     Customer-keyed joins come first and order-keyed joins last, so orders
@@ -169,7 +178,7 @@ def order_side(silver: Silver, with_segments: bool = True,
 
 
 def join_wide(silver: Silver, *, with_segments: bool = True, partitions: int | None = None,
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              broadcast_rows: int | None = None) -> DataFrame:
     """All joins, no features: rows = items with a matching order (times the
     geolocation fan-out in as-written mode)."""
     orders_part = hash_partition(order_side(silver, with_segments, broadcast_rows), "order_id", partitions)
@@ -188,7 +197,7 @@ def join_wide(silver: Silver, *, with_segments: bool = True, partitions: int | N
 
 
 def build_wide(src, *, geo_mode: str = "one_per_zip", partitions: int | None = None,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, keep_sentinels: bool = False,
+               broadcast_rows: int | None = None, keep_sentinels: bool = False,
                as_written_review_label: bool = False) -> DataFrame:
     """The full 72-column wide table with features and ``order_year_month``."""
     silver = Silver(src, geo_mode)

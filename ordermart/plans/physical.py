@@ -12,7 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 500_000   # ~100 bytes/row for these dimensions -> tens of MB per executor
+BROADCAST_ROWS_CONF = "spark.ordermart.broadcastMaxRows"
+
+
+def broadcast_row_limit(spark, default: int = DEFAULT_BROADCAST_ROWS) -> int:
+    """Row bound for hinted broadcasts; a session can lower or raise it."""
+    return int(spark.conf.get(BROADCAST_ROWS_CONF, str(default)))
 
 
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
