@@ -784,3 +784,10 @@ BODIES["sql_table_surface"] = ("SELECT order_year_month, count(*) AS rows, count
 BODIES["k23_dim_orders_table"] = f"SELECT DISTINCT {ORDER_COLS}, order_year_month FROM wide"
 BODIES["delivery_sink"] = BODIES["feat_delivery"]
 BODIES["stream_bronze_orders"] = "SELECT * FROM clean_orders"
+BODIES["raw_csv_roundtrip"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_first_column "
+    f"FROM src_{t}"
+    for t, c in [("orders", "order_id"), ("order_items", "order_id"), ("order_payments", "order_id"),
+                 ("order_reviews", "review_id"), ("products", "product_id"), ("sellers", "seller_id"),
+                 ("customers", "customer_id"), ("geolocation", "geolocation_zip_code_prefix"),
+                 ("category_translation", "product_category_name")])
