@@ -311,11 +311,25 @@ SELECT review_order_id, {ordered_text('review_scores')} AS review_scores,
 FROM rev_agg"""
 BODIES["review_summary_per_order"] = f"""
 SELECT review_order_id, count(*) AS review_count,
-       {r4('avg(CASE WHEN review_score <> -1 THEN review_score END)')} AS review_score_avg,
-       bool_or(review_comment_title = 'No Review' AND review_comment_message = 'No Review') AS any_review_without_comment,
+       CAST(sum(CASE WHEN review_score <> -1 THEN review_score END) AS BIGINT) AS review_score_sum,
+       count(CASE WHEN review_score <> -1 THEN review_score END) AS review_score_n,
+       bool_or(review_comment_title = 'No Review') AS any_title_no_review,
+       bool_or(review_comment_message = 'No Review') AS any_message_no_review,
        {date_text('min(review_creation_date)')} AS review_creation_date,
        min(review_answer_timestamp) AS review_answer_timestamp
 FROM clean_reviews GROUP BY review_order_id"""
+BODIES["wide_review_summary"] = f"""
+SELECT w.order_id, w.item_order_item_id, s.review_order_id, s.review_count, s.review_score_sum, s.review_score_n,
+       s.any_title_no_review, s.any_message_no_review,
+       {date_text('w.review_creation_date')} AS review_creation_date, w.review_answer_timestamp,
+       w.has_review, w.time_from_delivery_to_review
+FROM wide w LEFT JOIN (
+  SELECT review_order_id, count(*) AS review_count,
+         CAST(sum(CASE WHEN review_score <> -1 THEN review_score END) AS BIGINT) AS review_score_sum,
+         count(CASE WHEN review_score <> -1 THEN review_score END) AS review_score_n,
+         bool_or(review_comment_title = 'No Review') AS any_title_no_review,
+         bool_or(review_comment_message = 'No Review') AS any_message_no_review
+  FROM clean_reviews GROUP BY review_order_id) s ON w.order_id = s.review_order_id"""
 BODIES["geo_dedupe"] = "SELECT * FROM geo_dedup"
 BODIES["geo_one_per_zip"] = "SELECT * FROM geo_zip"
 

@@ -116,8 +116,14 @@ def q_reviews_per_order(spark, d):
 
 @query("review_summary_per_order")
 def q_review_summary(spark, d):
-    return preagg.review_summary_per_order(clean.clean_reviews(src(spark, d).order_reviews)).withColumn(
-        "review_score_avg", F.round("review_score_avg", 4))
+    return preagg.review_summary_per_order(clean.clean_reviews(src(spark, d).order_reviews))
+
+
+@query("wide_review_summary")
+def q_wide_review_summary(spark, d):
+    """The wide table built with the list-free review summary."""
+    w = wide_table(spark, d, review_mode="summary")
+    return w.select(*ITEM_KEY, *wide.REVIEW_SUMMARY_COLUMNS, "has_review", "time_from_delivery_to_review")
 
 
 @query("geo_dedupe")

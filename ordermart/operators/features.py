@@ -15,19 +15,26 @@ FEATURE_COLUMNS = (
 
 
 def review_label(titles: str = "review_titles", messages: str = "review_message",
-                 as_written: bool = False):
+                 as_written: bool = False, summary: bool = False):
     """Both comment lists hold the 'No Review' marker -> ``No Reivew``.
 
     Orders with no review row at all (null lists) are labelled the same by
     default; ``as_written`` labels them 'Has Comment', as the original rule
-    did through a null predicate."""
-    both = F.array_contains(titles, C.NO_REVIEW) & F.array_contains(messages, C.NO_REVIEW)
+    did through a null predicate. ``summary`` reads the same facts from the
+    list-free review summary columns."""
+    if summary:
+        both = F.col("any_title_no_review") & F.col("any_message_no_review")
+        missing = F.col("review_count").isNull()
+    else:
+        both = F.array_contains(titles, C.NO_REVIEW) & F.array_contains(messages, C.NO_REVIEW)
+        missing = F.col(titles).isNull()
     if not as_written:
-        both = both | F.col(titles).isNull()
+        both = both | missing
     return F.when(both, C.NO_REVIEW_FLAG).otherwise(C.HAS_COMMENT)
 
 
-def feature_columns(keep_sentinels: bool = False, as_written_review_label: bool = False) -> dict:
+def feature_columns(keep_sentinels: bool = False, as_written_review_label: bool = False,
+                    review_summary: bool = False) -> dict:
     """Feature expressions. By default sentinel dates (1900-01-01) are
     treated as missing before date differences; ``keep_sentinels`` keeps
     them, reproducing the very large lags of the original rules."""
@@ -44,7 +51,7 @@ def feature_columns(keep_sentinels: bool = False, as_written_review_label: bool
         "is_canceled": C.flag(F.col("order_status") == "canceled"),
         "order_revenue": F.col("price") + F.col("freight_value"),
         "is_payment_missing": C.flag(F.col("payment_value").isNull()),
-        "has_review": review_label(as_written=as_written_review_label),
+        "has_review": review_label(as_written=as_written_review_label, summary=review_summary),
         "time_from_delivery_to_review": F.datediff(created, "order_delivered_customer_date"),
         "time_to_response": F.datediff(answered, created),
         "hour_of_day": F.hour(purchase),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 
 
-# --- review scores carried as per-order lists in the wide table -----------
+# --- review scores: per-order lists, or the list-free summary columns ------
 def _scored(arr: str = "review_scores") -> Column:
     return F.filter(arr, lambda x: x != C.SENTINEL_SCORE)
 
@@ -27,15 +27,23 @@ def review_score_count(arr: str = "review_scores") -> Column:
     return F.size(_scored(arr))
 
 
-def avg_review(arr: str = "review_scores") -> Column:
+def _has_lists(df: DataFrame) -> bool:
+    return "review_scores" in df.columns
+
+
+def avg_review(df: DataFrame) -> Column:
     """Mean of all real review scores (the -1 'no score' sentinel excluded)
     over the rows of a group, rounded to 2 decimals."""
-    return F.round(F.try_divide(F.sum(review_score_sum(arr)).cast("double"),
-                                F.sum(review_score_count(arr))), 2)
+    if _has_lists(df):
+        total, n = review_score_sum(), review_score_count()
+    else:
+        total, n = F.col("review_score_sum"), F.col("review_score_n")
+    return F.round(F.try_divide(F.sum(total).cast("double"), F.sum(n)), 2)
 
 
-def review_count(arr: str = "review_scores") -> Column:
-    return F.sum(F.coalesce(F.size(arr), F.lit(0))).cast("bigint")
+def review_count(df: DataFrame) -> Column:
+    per_row = F.size("review_scores") if _has_lists(df) else F.col("review_count")
+    return F.sum(F.coalesce(per_row, F.lit(0))).cast("bigint")
 
 
 # --- source-table KPIs --------------------------------------------------------
@@ -102,7 +110,7 @@ def distinct_sellers(seller_rev: DataFrame) -> DataFrame:
 
 
 def seller_review(wide: DataFrame) -> DataFrame:
-    return (wide.groupBy("seller_id").agg(avg_review().alias("avg_review_per_seller"))
+    return (wide.groupBy("seller_id").agg(avg_review(wide).alias("avg_review_per_seller"))
             .orderBy(F.desc("avg_review_per_seller")))
 
 
@@ -158,7 +166,7 @@ def seller_scorecard(wide: DataFrame) -> DataFrame:
         F.count("order_id").alias("total_orders"),
         F.countDistinct("order_id").alias("distinct_orders"),
         C.money_sum("price").alias("total_revenue"),
-        avg_review().alias("avg_review_score"),
+        avg_review(wide).alias("avg_review_score"),
         F.round(F.stddev_samp("price"), 2).alias("price_variability"),
     ).orderBy(F.desc("total_revenue")))
 
@@ -170,8 +178,8 @@ def product_scorecard(wide: DataFrame) -> DataFrame:
         C.money_avg("price").alias("avg_price"),
         F.round(F.stddev_samp("price"), 2).alias("price_volatility"),
         C.sorted_text(F.collect_set("seller_id")).alias("unique_seller"),
-        avg_review().alias("avg_review_score"),
-        review_count().alias("total_reviewes"),
+        avg_review(wide).alias("avg_review_score"),
+        review_count(wide).alias("total_reviewes"),
     ).orderBy(F.desc("total_sales")))
 
 

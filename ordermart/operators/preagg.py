@@ -47,14 +47,18 @@ def reviews_per_order(reviews_clean: DataFrame) -> DataFrame:
 
 
 def review_summary_per_order(reviews_clean: DataFrame) -> DataFrame:
-    """Constant-size review summary per order (count, scored mean, whether
-    every comment is missing): safe for any number of reviews per order."""
+    """Constant-size review summary per order: the same information the
+    feature and KPI rules read from the lists (review count, sum and count
+    of real scores, whether any title / any message is the no-review
+    marker, first dates), with partial aggregates only, so an order with
+    any number of reviews costs the same per task."""
     scored = F.when(F.col("review_score") != C.SENTINEL_SCORE, F.col("review_score"))
     return reviews_clean.groupBy("review_order_id").agg(
         F.count("*").alias("review_count"),
-        F.avg(scored).alias("review_score_avg"),
-        F.bool_or((F.col("review_comment_title") == C.NO_REVIEW)
-                  & (F.col("review_comment_message") == C.NO_REVIEW)).alias("any_review_without_comment"),
+        F.sum(scored).cast("bigint").alias("review_score_sum"),
+        F.count(scored).alias("review_score_n"),
+        F.bool_or(F.col("review_comment_title") == C.NO_REVIEW).alias("any_title_no_review"),
+        F.bool_or(F.col("review_comment_message") == C.NO_REVIEW).alias("any_message_no_review"),
         F.min("review_creation_date").alias("review_creation_date"),
         F.min("review_answer_timestamp").alias("review_answer_timestamp"),
     )

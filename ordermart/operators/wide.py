@@ -44,6 +44,10 @@ CUSTOMER_COLUMNS = ["customer_id", "customer_unique_id", "customer_zip_code_pref
                     "customer_state"]
 REVIEW_COLUMNS = ["review_order_id", "review_scores", "review_titles", "review_message",
                   "review_creation_date", "review_answer_timestamp"]
+REVIEW_SUMMARY_COLUMNS = ["review_order_id", "review_count", "review_score_sum", "review_score_n",
+                          "any_title_no_review", "any_message_no_review", "review_creation_date",
+                          "review_answer_timestamp"]
+REVIEW_MODES = ("lists", "summary")
 GEO_COLUMNS = list(preagg.GEO_ATTRS)
 SEGMENT_COLUMNS = [segments.SEGMENT_KEY, "total_orders", "total_spent", "AOV", "aov_segment"]
 
@@ -64,15 +68,19 @@ def _table(src, name: str) -> DataFrame:
 class Silver:
     """Cleaned and pre-aggregated inputs of the wide table (all lazy)."""
 
-    def __init__(self, src, geo_mode: str = "one_per_zip"):
+    def __init__(self, src, geo_mode: str = "one_per_zip", review_mode: str = "lists"):
         if geo_mode not in GEO_MODES:
             raise ValueError(f"geo_mode must be one of {GEO_MODES}")
-        self.geo_mode = geo_mode
+        if review_mode not in REVIEW_MODES:
+            raise ValueError(f"review_mode must be one of {REVIEW_MODES}")
+        self.geo_mode, self.review_mode = geo_mode, review_mode
         self.orders = clean.clean_orders(_table(src, "orders"))
         self.items = clean.clean_items(_table(src, "order_items"))
         self.products = clean.clean_products(_table(src, "products"))
         self.payments = preagg.payments_per_order(clean.clean_payments(_table(src, "order_payments")))
-        self.reviews = preagg.reviews_per_order(clean.clean_reviews(_table(src, "order_reviews")))
+        reviews = clean.clean_reviews(_table(src, "order_reviews"))
+        self.reviews = (preagg.reviews_per_order(reviews) if review_mode == "lists"
+                        else preagg.review_summary_per_order(reviews))
         self.customers = _table(src, "customers")
         self.sellers = _table(src, "sellers")
         self.translation = _table(src, "category_translation")
@@ -192,19 +200,34 @@ def join_wide(silver: Silver, *, with_segments: bool = True, partitions: int | N
     if silver.is_small("translation", broadcast_rows):
         translation = F.broadcast(translation)
     wide = wide.join(translation, on="product_category_name", how="left")
-    cols = JOINED_COLUMNS + (SEGMENT_COLUMNS if with_segments else [])
+    cols = joined_columns(silver.review_mode) + (SEGMENT_COLUMNS if with_segments else [])
     return wide.select(*cols)
 
 
-def build_wide(src, *, geo_mode: str = "one_per_zip", partitions: int | None = None,
-               broadcast_rows: int | None = None, keep_sentinels: bool = False,
-               as_written_review_label: bool = False) -> DataFrame:
-    """The full 72-column wide table with features and ``order_year_month``."""
-    silver = Silver(src, geo_mode)
+def joined_columns(review_mode: str = "lists") -> list[str]:
+    if review_mode == "lists":
+        return list(JOINED_COLUMNS)
+    i = JOINED_COLUMNS.index(REVIEW_COLUMNS[0])
+    return JOINED_COLUMNS[:i] + REVIEW_SUMMARY_COLUMNS + JOINED_COLUMNS[i + len(REVIEW_COLUMNS):]
+
+
+def wide_columns(review_mode: str = "lists") -> list[str]:
+    return joined_columns(review_mode) + SEGMENT_COLUMNS + list(features.FEATURE_COLUMNS) + ["order_year_month"]
+
+
+def build_wide(src, *, geo_mode: str = "one_per_zip", review_mode: str = "lists",
+               partitions: int | None = None, broadcast_rows: int | None = None,
+               keep_sentinels: bool = False, as_written_review_label: bool = False) -> DataFrame:
+    """The full wide table with features and ``order_year_month``: 72
+    columns with per-order review lists (the original data model), or with
+    the constant-size review summary (``review_mode="summary"``) when an
+    order may carry unbounded reviews."""
+    silver = Silver(src, geo_mode, review_mode)
     wide = join_wide(silver, partitions=partitions, broadcast_rows=broadcast_rows)
     wide = features.add_features(wide, keep_sentinels=keep_sentinels,
-                                 as_written_review_label=as_written_review_label)
-    return features.add_year_month(wide).select(*WIDE_COLUMNS)
+                                 as_written_review_label=as_written_review_label,
+                                 review_summary=review_mode == "summary")
+    return features.add_year_month(wide).select(*wide_columns(review_mode))
 
 
 def join_stages(src, geo_mode: str = "as_written") -> list[tuple[str, DataFrame, DataFrame]]:

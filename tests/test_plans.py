@@ -101,3 +101,14 @@ def test_large_dimensions_take_the_shuffle_path_with_same_result(spark, small_di
     default = wide.build_wide(t)
     forced = wide.build_wide(t, broadcast_rows=5)   # no dimension passes the size check
     assert _fingerprint(default) == _fingerprint(forced)
+
+
+def test_review_summary_mode_gives_the_same_kpis(spark, small_dir):
+    t = SourceTables(spark, small_dir)
+    lists = wide.build_wide(t)
+    summ = wide.build_wide(t, review_mode="summary")
+    assert "review_scores" not in summ.columns and "review_count" in summ.columns
+    for fn in (kpis.seller_scorecard, kpis.product_scorecard, kpis.seller_review):
+        assert _fingerprint(fn(lists)) == _fingerprint(fn(summ))
+    feats = ["order_id", "item_order_item_id", "has_review", "time_from_delivery_to_review", "time_to_response"]
+    assert _fingerprint(lists.select(*feats)) == _fingerprint(summ.select(*feats))
