@@ -30,7 +30,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
                   app: str = "ordermart") -> SparkSession:
     """A local session tuned like the cluster profile: AQE with partition
-    coalescing and skew-join splitting on, UI off, UTC session clock."""
+    coalescing, skew-join splitting and runtime (measured) broadcast
+    decisions, no estimate-based static broadcast, UI off, UTC clock."""
     cores = int(cores) if str(cores) != "*" else os.cpu_count() or 8
     parts = shuffle_partitions or max(8, int(cores))
     spark = (
@@ -42,6 +43,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # no broadcast from file-size estimates; AQE converts joins to
+        # broadcast only from measured shuffle sizes, and the library hints
+        # broadcast only after its own row-count check
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("ORDERMART_DRIVER_MEMORY", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
