@@ -70,8 +70,10 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several payment rows per order. ``payment_sequential`` numbers a user's
-    events in time order; at scale real payment files carry it, this window
-    only exists to derive it from the event table."""
+    events in time order. Real payment files carry this number; the window
+    here only derives it from the test event table (a user holding a large
+    share of events would be numbered in one task;
+    ``ranking.group_row_number`` is the balanced form)."""
     e, t = F.col("event_id"), F.col("event_type")
     seq = Window.partitionBy("user_id").orderBy("ts", "event_id")
     return _scan(spark, sf_dir, "events").select(

@@ -217,3 +217,16 @@ def test_registry_and_persist(spark):
     p = physical.persist_for_reuse(df)
     assert "Disk" in physical.storage_level(p) or "disk" in physical.storage_level(p).lower()
     p.unpersist()
+
+
+def test_group_row_number_matches_window_with_a_hot_group(spark):
+    from pyspark.sql import Window
+
+    from ordermart.operators.ranking import group_row_number
+    rows = [("hot", i % 37, i) for i in range(400)] + [(f"u{i % 7}", i % 5, 1000 + i) for i in range(60)]
+    rows.append((None, 1, 5000))
+    df = spark.createDataFrame(rows, "g string, ts int, id int")
+    want = {r.id: r.rn for r in df.select("id", F.row_number().over(
+        Window.partitionBy("g").orderBy("ts", "id")).alias("rn")).collect()}
+    got = {r.id: r.rn for r in group_row_number(df, "g", ["ts", "id"], "rn", partitions=6).collect()}
+    assert got == want
