@@ -51,6 +51,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("ORDERMART_DRIVER_MEMORY", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", os.environ.get("ORDERMART_WAREHOUSE",
+                                                          tempfile.mkdtemp(prefix="ordermart-warehouse-")))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -112,3 +112,13 @@ def test_review_summary_mode_gives_the_same_kpis(spark, small_dir):
         assert _fingerprint(fn(lists)) == _fingerprint(fn(summ))
     feats = ["order_id", "item_order_item_id", "has_review", "time_from_delivery_to_review", "time_to_response"]
     assert _fingerprint(lists.select(*feats)) == _fingerprint(summ.select(*feats))
+
+
+def test_managed_partitioned_table(spark, small_dir):
+    name = f"ordermart_gold_t.final_{uuid.uuid4().hex[:10]}"
+    sinks.create_database(spark, name.split(".")[0])
+    w = wide.build_wide(SourceTables(spark, small_dir)).select("order_id", "price", "order_year_month")
+    sinks.save_table(w, name)
+    t = spark.table(name)
+    assert t.count() == w.count()
+    assert "order_year_month" in [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
