@@ -15,11 +15,15 @@ from pyspark.sql import SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the session names.
 
-    Only when the setting is absent (local tests) is a private folder
-    created and registered.
+    Only when the setting is absent and Spark runs in local mode (tests) is
+    a private folder created and registered; on a cluster a missing setting
+    is an error, never a machine-local temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(scratch tables and lineage cuts are written there)")
         configured = tempfile.mkdtemp(prefix="ordermart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
