@@ -8,15 +8,15 @@ Join plan (same rows as joining the fact first and dimensions after):
                                             (all one row per key: the order
                                              side never multiplies)
 3. (2) INNER (1) on order id               the only join whose both sides are
-                                            large; one shuffle per side, AQE
-                                            splits a hot order id
+                                            large; hot order ids are salted
 4. <- size-checked small products/sellers, geolocation (one row per zip,
    bounded) and category translation, all broadcast after the shuffle, so
    the big shuffle carries only the narrow item columns.
 
-Order-level tables meet the items exactly once, so a skewed order id is
-handled by AQE's skew-join split of that single sort-merge join, and no
-order-level join re-shuffles the item-grain rows.
+Order-level tables meet the items exactly once, and no order-level join
+re-shuffles the item-grain rows. An order id holding a large share of the
+items is salted in that one join (``order_item_join``): AQE cannot split it
+because the order side arrives through co-partitioned joins.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.physical import broadcast_row_limit, hash_partition, rows_at_most
+from ..plans.physical import broadcast_row_limit, rows_at_most
 from . import clean, features, preagg, segments
 
 ORDER_COLUMNS = ["order_id", "order_customer_id", "order_status", "order_purchase_timestamp",
@@ -185,14 +185,58 @@ def order_side(silver: Silver, with_segments: bool = True,
     return o
 
 
+HOT_KEY_ROWS_CONF = "spark.ordermart.hotKeyRows"
+SALT_BUCKETS_CONF = "spark.ordermart.saltBuckets"
+
+
+def hot_orders(items: DataFrame, threshold: int) -> DataFrame:
+    """Order ids with more than ``threshold`` item rows (a partial aggregate
+    over one column). Its size is bounded by total rows / threshold."""
+    return (items.groupBy(F.col("item_order_id").alias("_hot_id")).agg(F.count("*").alias("_n"))
+            .filter(F.col("_n") > threshold).select("_hot_id"))
+
+
+def order_item_join(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """INNER join of order-grain rows with item rows on the order id, safe
+    for an order holding a large share of all items.
+
+    AQE cannot split a skewed partition of this join (the order side
+    arrives through co-partitioned joins, not a shuffle stage), so hot
+    order ids are salted: their item rows get a deterministic hash salt in
+    [0, buckets) and their single order row is replicated once per bucket;
+    every other order keeps salt 0. Without hot orders the plain join runs.
+    """
+    spark = items.sparkSession
+    threshold = int(spark.conf.get(HOT_KEY_ROWS_CONF, "1000000"))
+    buckets = int(spark.conf.get(SALT_BUCKETS_CONF, "64"))
+    cond = F.col("order_id") == F.col("item_order_id")
+    hot = hot_orders(items, threshold)
+    max_list = broadcast_row_limit(spark)
+    n_hot = hot.limit(max_list + 1).count()
+    if n_hot == 0 or buckets <= 1:
+        return orders.join(items, cond, "inner")
+    hot = F.broadcast(hot) if n_hot <= max_list else hot
+    item_salt = F.pmod(F.xxhash64(*[F.col(c) for c in items.columns]), F.lit(buckets))
+    items_s = (items.join(hot, F.col("item_order_id") == F.col("_hot_id"), "left")
+               .withColumn("_isalt", F.when(F.col("_hot_id").isNotNull(), item_salt).otherwise(F.lit(0)))
+               .drop("_hot_id"))
+    replicas = F.when(F.col("_hot_id").isNotNull(), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    orders_s = (orders.join(hot, F.col("order_id") == F.col("_hot_id"), "left")
+                .withColumn("_osalt", F.explode(replicas)).drop("_hot_id"))
+    return (orders_s.join(items_s, cond & (F.col("_osalt") == F.col("_isalt")), "inner")
+            .drop("_osalt", "_isalt"))
+
+
 def join_wide(silver: Silver, *, with_segments: bool = True, partitions: int | None = None,
               broadcast_rows: int | None = None) -> DataFrame:
     """All joins, no features: rows = items with a matching order (times the
     geolocation fan-out in as-written mode)."""
-    orders_part = hash_partition(order_side(silver, with_segments, broadcast_rows), "order_id", partitions)
+    orders_part = order_side(silver, with_segments, broadcast_rows)
     items = _attach_item_dims(silver.items, silver, broadcast_rows, post_shuffle=False)
-    items_part = hash_partition(items, "item_order_id", partitions)
-    wide = orders_part.join(items_part, F.col("order_id") == F.col("item_order_id"), "inner")
+    if partitions:
+        orders_part = orders_part.repartition(partitions, "order_id")
+        items = items.repartition(partitions, "item_order_id")
+    wide = order_item_join(orders_part, items)
     wide = _attach_item_dims(wide, silver, broadcast_rows, post_shuffle=True)
     geo = F.broadcast(silver.geo) if silver.is_small("geo", broadcast_rows) else silver.geo
     wide = wide.join(geo, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")

@@ -122,3 +122,18 @@ def test_managed_partitioned_table(spark, small_dir):
     t = spark.table(name)
     assert t.count() == w.count()
     assert "order_year_month" in [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def test_hot_order_is_salted_with_same_result(spark, small_dir):
+    t = SourceTables(spark, small_dir)
+    plain = wide.build_wide(t)
+    spark.conf.set(wide.HOT_KEY_ROWS_CONF, "5")      # orders with > 5 items count as hot here
+    spark.conf.set(wide.SALT_BUCKETS_CONF, "4")
+    try:
+        assert wide.hot_orders(wide.Silver(t).items, 5).count() > 0
+        salted = wide.build_wide(t)
+        assert "_isalt" in physical.plan_text(salted, "simple")
+        assert _fingerprint(plain) == _fingerprint(salted)
+    finally:
+        spark.conf.unset(wide.HOT_KEY_ROWS_CONF)
+        spark.conf.unset(wide.SALT_BUCKETS_CONF)
