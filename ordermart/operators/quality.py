@@ -132,7 +132,8 @@ def join_reconciliation(silver) -> DataFrame:
                   .join(per_key(silver.payments, "payment_order_id", "_k3", "Y"), F.col("order_id") == F.col("_k3"), "left")
                   .join(per_key(silver.reviews, "review_order_id", "_k5", "R"), F.col("order_id") == F.col("_k5"), "left")
                   .select("order_id", "Cn", "CG", "Y", "R"))
-    x = order_side.join(item_side, F.col("order_id") == F.col("item_order_id"), "inner")
+    from .wide import order_item_join
+    x = order_item_join(order_side, item_side)      # salts hot order ids
     m = {c: F.coalesce(F.col(c), one).cast("bigint") for c in ("P", "PT", "S", "Y", "Cn", "CG", "R")}
     c2 = m["P"]
     c3 = c2 * m["S"]
