@@ -519,10 +519,15 @@ def _dq_bodies() -> dict[str, str]:
         return union(parts)
     b["dq_nulls"] = union([nulls(t, f"src_{t}", cols[t]) for t in src_tables if t != "category_translation"]
                           + [nulls("final", "wide", WIDE_COLUMNS)])
-    b["dq_nulls_nan"] = nulls("order_payments", "clean_payments",
-                              ["payment_order_id", "payment_sequential", "payment_type", "payment_installments",
-                               "payment_value", "payment_value_imputed"], "missing_count",
-                              nan=("payment_value", "payment_value_imputed"))
+    b["dq_nulls_nan"] = union([
+        nulls("order_payments", "clean_payments",
+              ["payment_order_id", "payment_sequential", "payment_type", "payment_installments",
+               "payment_value", "payment_value_imputed"], "missing_count",
+              nan=("payment_value", "payment_value_imputed")),
+        nulls("order_payments_per_order", "pay_agg",
+              ["payment_order_id", "max_payment_sequence", "payment_type", "payment_installments",
+               "payment_split_count", "payment_value", "payment_value_imputed"], "missing_count",
+              nan=("payment_value", "payment_value_imputed"))])
 
     def hexrep(t, rel, c):
         return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
@@ -541,7 +546,8 @@ def _dq_bodies() -> dict[str, str]:
          FROM clean_orders o JOIN clean_items i ON o.order_id = i.item_order_id),
 j2 AS (SELECT j1.*, p.product_category_name AS cat FROM j1 LEFT JOIN clean_products p ON j1.item_product_id = p.product_id),
 j3 AS (SELECT j2.* FROM j2 LEFT JOIN src_sellers s ON j2.item_seller_id = s.seller_id),
-j4 AS (SELECT j3.*, pa.payment_order_id AS pay_key FROM j3 LEFT JOIN pay_agg pa ON j3.order_id = pa.payment_order_id),
+j4 AS (SELECT j3.*, pa.payment_order_id AS pay_key, pa.payment_value AS pay_value
+       FROM j3 LEFT JOIN pay_agg pa ON j3.order_id = pa.payment_order_id),
 j5 AS (SELECT j4.*, c.customer_zip_code_prefix AS zip FROM j4 LEFT JOIN src_customers c ON j4.order_customer_id = c.customer_id),
 j6 AS (SELECT j5.* FROM j5 LEFT JOIN rev_agg r ON j5.order_id = r.review_order_id),
 j7 AS (SELECT j6.* FROM j6 LEFT JOIN geo_dedup g ON j6.zip = g.geolocation_zip_code_prefix),
@@ -552,7 +558,7 @@ SELECT * FROM (
   UNION ALL SELECT 2, 'products', (SELECT count(*) FROM clean_products), (SELECT count(*) FROM j2), NULL
   UNION ALL SELECT 3, 'sellers', (SELECT count(*) FROM src_sellers), (SELECT count(*) FROM j3), NULL
   UNION ALL SELECT 4, 'payments', (SELECT count(*) FROM pay_agg), (SELECT count(*) FROM j4),
-                   (SELECT count(*) FROM j4 WHERE pay_key IS NULL)
+                   (SELECT count(*) FROM j4 WHERE pay_value IS NULL)
   UNION ALL SELECT 5, 'customers', (SELECT count(*) FROM src_customers), (SELECT count(*) FROM j5), NULL
   UNION ALL SELECT 6, 'reviews', (SELECT count(*) FROM rev_agg), (SELECT count(*) FROM j6), NULL
   UNION ALL SELECT 7, 'geolocation', (SELECT count(*) FROM geo_dedup), (SELECT count(*) FROM j7), NULL

@@ -389,7 +389,10 @@ def dq_nulls(spark, d):
 
 @query("dq_nulls_nan")
 def dq_nulls_nan(spark, d):
-    return Q.missing_profile(clean.clean_payments(src(spark, d).order_payments), "order_payments")
+    """Null+NaN profile of the payment rows and of the per-order payments."""
+    s = silver(spark, d)
+    return Q._union([Q.missing_profile(clean.clean_payments(src(spark, d).order_payments), "order_payments"),
+                     Q.missing_profile(s.payments, "order_payments_per_order")])
 
 
 @query("dq_hex_ids")

@@ -129,9 +129,11 @@ def join_reconciliation(silver) -> DataFrame:
     order_side = (o.select("order_id", "order_customer_id")
                   .join(per_key(custs, "customer_id", "_k4", "Cn", "CG", F.greatest(F.coalesce("_g", F.lit(0)), one)),
                         F.col("order_customer_id") == F.col("_k4"), "left")
-                  .join(per_key(silver.payments, "payment_order_id", "_k3", "Y"), F.col("order_id") == F.col("_k3"), "left")
+                  .join(per_key(silver.payments, "payment_order_id", "_k3", "Y", "Ynull",
+                                F.col("payment_value").isNull().cast("bigint")),
+                        F.col("order_id") == F.col("_k3"), "left")
                   .join(per_key(silver.reviews, "review_order_id", "_k5", "R"), F.col("order_id") == F.col("_k5"), "left")
-                  .select("order_id", "Cn", "CG", "Y", "R"))
+                  .select("order_id", "Cn", "CG", "Y", "Ynull", "R"))
     from .wide import order_item_join
     x = order_item_join(order_side, item_side)      # salts hot order ids
     m = {c: F.coalesce(F.col(c), one).cast("bigint") for c in ("P", "PT", "S", "Y", "Cn", "CG", "R")}
@@ -145,7 +147,9 @@ def join_reconciliation(silver) -> DataFrame:
     counts = x.agg(
         F.count("*").alias("s1"), F.sum(c2).alias("s2"), F.sum(c3).alias("s3"), F.sum(c4).alias("s4"),
         F.sum(c5).alias("s5"), F.sum(c6).alias("s6"), F.sum(c7).alias("s7"), F.sum(c8).alias("s8"),
-        F.sum(F.when(F.col("Y").isNull(), c3)).alias("u4"),
+        # rows whose payment_value is null after the payments join: no
+        # payment row, or payment rows whose values are all null
+        F.sum(F.when(F.col("Y").isNull(), c3).otherwise(c3 * F.col("Ynull"))).alias("u4"),
     )
     names = ["orders_items", "products", "sellers", "payments", "customers", "reviews", "geolocation",
              "translation"]
