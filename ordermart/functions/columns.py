@@ -40,10 +40,6 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round2(c: str | Column) -> Column:
-    return F.round(col(c), 2)
-
-
 def money_sum(c: str | Column) -> Column:
     """Exact cent total of a two-decimal money column."""
     return F.round(F.sum(col(c)), 2)

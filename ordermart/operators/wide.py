@@ -272,27 +272,3 @@ def build_wide(src, *, geo_mode: str = "one_per_zip", review_mode: str = "lists"
                                  as_written_review_label=as_written_review_label,
                                  review_summary=review_mode == "summary")
     return features.add_year_month(wide).select(*wide_columns(review_mode))
-
-
-def join_stages(src, geo_mode: str = "as_written") -> list[tuple[str, DataFrame, DataFrame]]:
-    """The eight joins in their original order as (stage, right input,
-    output) triples, for inspection; ``quality.join_reconciliation`` counts
-    them in one pass instead of evaluating each stage."""
-    s = Silver(src, geo_mode)
-    out = []
-    cur = s.orders.join(s.items, F.col("order_id") == F.col("item_order_id"), "inner")
-    out.append(("orders_items", s.items, cur))
-    steps = [
-        ("products", s.products, F.col("item_product_id") == F.col("product_id")),
-        ("sellers", s.sellers, F.col("item_seller_id") == F.col("seller_id")),
-        ("payments", s.payments, F.col("order_id") == F.col("payment_order_id")),
-        ("customers", s.customers, F.col("order_customer_id") == F.col("customer_id")),
-        ("reviews", s.reviews, F.col("order_id") == F.col("review_order_id")),
-        ("geolocation", s.geo, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix")),
-    ]
-    for name, right, cond in steps:
-        cur = cur.join(right, cond, "left")
-        out.append((name, right, cur))
-    cur = cur.join(s.translation, on="product_category_name", how="left")
-    out.append(("translation", s.translation, cur))
-    return out

@@ -36,12 +36,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(df) if rows_at_most(bound_by if bound_by is not None else df, max_rows) else df
 
 
-def hash_partition(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition on a join key. With ``partitions`` unset the planner's
-    own exchange (sized by AQE) is used, so no extra shuffle is added."""
-    return df.repartition(partitions, key) if partitions else df
-
-
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per partition, computed on the executors (no RDD round trip)."""
     return df.groupBy(F.spark_partition_id().alias("partition_id")).count()
@@ -57,12 +51,6 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
-def count_nodes(df: DataFrame, name: str) -> int:
-    """Occurrences of a physical operator name in the simple plan."""
-    text = plan_text(df, "simple")
-    return sum(line.count(name) for line in text.splitlines())
-
-
 def persist_for_reuse(df: DataFrame, level: str = "MEMORY_AND_DISK") -> DataFrame:
     """Persist a frame that several actions will read (spilling to disk
     rather than recomputing). Use only where reuse is real; cached blocks

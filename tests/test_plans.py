@@ -137,3 +137,12 @@ def test_hot_order_is_salted_with_same_result(spark, small_dir):
     finally:
         spark.conf.unset(wide.HOT_KEY_ROWS_CONF)
         spark.conf.unset(wide.SALT_BUCKETS_CONF)
+
+
+def test_explicit_join_partitioning(spark, small_dir):
+    t = SourceTables(spark, small_dir)
+    default = wide.build_wide(t)
+    parted = wide.build_wide(t, partitions=4)
+    plan = physical.plan_text(parted, "simple")
+    assert "hashpartitioning(order_id" in plan and ", 4)" in plan
+    assert _fingerprint(default) == _fingerprint(parted)
