@@ -146,3 +146,26 @@ def test_explicit_join_partitioning(spark, small_dir):
     plan = physical.plan_text(parted, "simple")
     assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(order_id" in plan
     assert _fingerprint(default) == _fingerprint(parted)
+
+
+def test_salting_spreads_a_hot_order_over_tasks(spark):
+    hot = "f" * 32
+    orders = spark.range(401).select(
+        F.when(F.col("id") == 400, F.lit(hot)).otherwise(F.md5(F.col("id").cast("string"))).alias("order_id"))
+    items = spark.range(8000).select(
+        F.when(F.col("id") < 5000, F.lit(hot)).otherwise(F.md5((F.col("id") % 400).cast("string"))).alias("item_order_id"),
+        F.col("id").cast("string").alias("item_order_item_id"))
+    confs = {"spark.sql.adaptive.enabled": "false", wide.HOT_KEY_ROWS_CONF: "1000", wide.SALT_BUCKETS_CONF: "16"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        plain = orders.join(items, F.col("order_id") == F.col("item_order_id"))
+        salted = wide.order_item_join(orders, items)
+        biggest = lambda df: max(r["count"] for r in physical.partition_sizes(df).collect())
+        assert plain.count() == salted.count() == 8000
+        assert biggest(plain) >= 5000
+        assert biggest(salted) < 0.5 * biggest(plain)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
