@@ -26,7 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.physical import broadcast_row_limit, rows_at_most
+from ..plans.physical import broadcast_row_limit, rows_at_most, rows_at_most_each
 from . import clean, features, preagg, segments
 
 ORDER_COLUMNS = ["order_id", "order_customer_id", "order_status", "order_purchase_timestamp",
@@ -99,13 +99,14 @@ class Silver:
         (a scan that stops after max_rows + 1 rows); when that fails and the
         dimension is an aggregate, against the aggregate itself."""
         max_rows = max_rows or broadcast_row_limit(self.orders.sparkSession)
-        key = (name, max_rows)
-        if key not in self._small:
-            ok = rows_at_most(self.bounds[name], max_rows)
-            if not ok and name in self.derived:
-                ok = rows_at_most(self.derived[name], max_rows)
-            self._small[key] = ok
-        return self._small[key]
+        if (name, max_rows) not in self._small:
+            # check every dimension's raw bound in one job
+            pending = {n: df for n, df in self.bounds.items() if (n, max_rows) not in self._small}
+            for n, ok in rows_at_most_each(pending, max_rows).items():
+                if not ok and n in self.derived:
+                    ok = rows_at_most(self.derived[n], max_rows)
+                self._small[(n, max_rows)] = ok
+        return self._small[(name, max_rows)]
 
     def fanout(self) -> DataFrame | None:
         """Rows each customer's items are repeated by the geolocation join

@@ -26,6 +26,20 @@ def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def rows_at_most_each(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """``rows_at_most`` for several frames in one job: a union of per-frame
+    ``limit(max_rows + 1)`` probes counted by name (the result holds at most
+    one small row per frame)."""
+    if not frames:
+        return {}
+    probes = [df.limit(max_rows + 1).select(F.lit(name).alias("_frame")) for name, df in frames.items()]
+    union = probes[0]
+    for p in probes[1:]:
+        union = union.unionByName(p)
+    counts = {r["_frame"]: r["count"] for r in union.groupBy("_frame").count().collect()}
+    return {name: counts.get(name, 0) <= max_rows for name in frames}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                        bound_by: DataFrame | None = None) -> DataFrame:
     """Hint ``df`` for broadcast only when its row count is proven small.

@@ -169,3 +169,9 @@ def test_salting_spreads_a_hot_order_over_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_batched_size_checks(spark, small_dir):
+    t = SourceTables(spark, small_dir)
+    got = physical.rows_at_most_each({"sellers": t.sellers, "items": t.order_items}, 1000)
+    assert got == {"sellers": True, "items": False}
