@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import written
+from .common import importable, written
 
 GROUP = 256                 # leftover windows merged by one task
 _PART_SHIFT, _LEVEL_SHIFT = 34, 58
@@ -120,6 +120,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, pat
     the piece), length, ids (little-endian unsigned 32-bit), doc_tokens,
     sequence_id, offset. A document is its ids and ``end_id``; each id lies
     in exactly one piece. All sequences but the last are full."""
+    importable(docs.sparkSession)
     path = path or tokens.default_path()
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     schema = _schema(rows.schema["doc_id"].dataType)

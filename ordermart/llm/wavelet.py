@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import shared_folder, written
+from .common import importable, shared_folder, written
 
 MAGIC = b"WVMX0001"
 RANK_BITS = 512             # one directory entry for so many bits
@@ -175,6 +175,7 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                  path: str | None = None, end_id: int = 2, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the shards below ``folder`` and return the manifest: part, seq
     (ascending with the ids), file, n_docs, n_tokens."""
+    importable(docs.sparkSession)
     path = path or tokens.default_path()
     rows = (docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
             .withColumn("h", F.xxhash64("text")))
