@@ -1,15 +1,27 @@
-"""The registered queries of this subpackage: one opN_<name> per operator
-and the pipeline, each over its whole table with production parameters."""
+"""The registered queries of this subpackage: one opN_<name> per operator,
+each over its whole table with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, wavelet
+from . import line_dedup, mixing, packing, quality, simhash, wavelet
 from .common import table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"))
 
@@ -20,5 +32,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op7_token_files, op8_packing)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source`` stands for the site; the documents' own lines are judged."""
+    cleaned = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), "source")
+    return cleaned.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op5_quality_rules, op6_simhash, op7_token_files, op8_packing,
+                                   op10_line_dedup)}
+ORACLE_SQL: dict[str, str] = {"op10_line_dedup": line_dedup.oracle()}
