@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality, simhash, wavelet
+from . import html_extract, line_dedup, mixing, packing, quality, simhash, topk, wavelet
 from .common import table
 
 
@@ -14,6 +14,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,6 +46,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op5_quality_rules, op6_simhash, op7_token_files, op8_packing,
-                                   op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_topk, op4_html_extraction, op5_quality_rules, op6_simhash,
+                                   op7_token_files, op8_packing, op10_line_dedup)}
 ORACLE_SQL: dict[str, str] = {"op10_line_dedup": line_dedup.oracle()}
