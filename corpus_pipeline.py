@@ -20,8 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: boilerplate lines go; the length column follows."""
-    cleaned = line_dedup.drop_boilerplate(docs, "source")
-    return cleaned.withColumn("n_chars", _length()).select(*docs.columns)
+    return _with_length(line_dedup.drop_boilerplate(docs, "source"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: the spans that the mix takes, repeats included."""
-    return mixing.mix(docs).withColumn("n_chars", _length()).select(*docs.columns)
+    return _with_length(mixing.mix(docs))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +38,9 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
-def _length():
-    return F.char_length("text").cast("long")
+def _with_length(docs: DataFrame) -> DataFrame:
+    """n_chars follows the text that is left."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 STAGES = [

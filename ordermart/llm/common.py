@@ -39,3 +39,10 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shielded(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with every column but the used ones renamed, so that none
+    clashes with an operator's own, and the new names in order."""
+    safe = [c if c in used else f"extra_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*safe), safe

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, shielded, written
 
 RATIO, MIN_PAGES = 0.02, 5
 
@@ -54,19 +54,23 @@ def boilerplate(docs: DataFrame, host: str, text: str = "text", ratio: float = R
 
 
 def drop_boilerplate(docs: DataFrame, host: str, text: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with the lines dropped from ``text``, and the columns
-    _n_lines and _n_dropped."""
-    drop = written(boilerplate(docs, host, text, ratio, min_pages), "boilerplate-lines")
-    rows = docs.join(drop, F.col(host).eqNullSafe(F.col("_host")), "left")
-    hits = F.array_intersect(F.transform(_lines(text), lambda x: F.xxhash64(x)), F.coalesce("_drop", F.array().cast("array<bigint>")))
-    rows = rows.withColumn("_hits", hits)
+                     min_pages: int = MIN_PAGES, measures: bool = False) -> DataFrame:
+    """``docs`` with the lines dropped from ``text``; with ``measures`` also
+    n_lines and n_dropped."""
+    rows, names = shielded(docs, host, text)
+    drop = written(boilerplate(rows, host, text, ratio, min_pages), "boilerplate-lines")
+    rows = rows.join(drop, F.col(host).eqNullSafe(F.col("_host")), "left")
+    none = F.array().cast("array<bigint>")
+    hits = F.array_intersect(F.transform(_lines(text), lambda x: F.xxhash64(x)), F.coalesce("_drop", none))
     kept = F.filter(_lines(text), lambda x: ~(F.array_contains("_hits", F.xxhash64(x)) & x.rlike(WORD)))
-    return (rows.withColumn("_kept", F.when(F.size("_hits") > 0, kept).otherwise(_lines(text)))
+    rows = (rows.withColumn("_hits", hits)
+            .withColumn("_kept", F.when(F.size("_hits") > 0, kept))      # null where nothing is dropped
             .withColumn("_n_lines", F.coalesce(F.size(F.when(F.col(text).isNotNull(), _lines(text))).cast("long"), F.lit(0)))
-            .withColumn("_n_dropped", F.when(F.col(text).isNull(), 0).otherwise(F.col("_n_lines") - F.size("_kept")).cast("long"))
-            .withColumn(text, F.when(F.col("_n_dropped") > 0, F.array_join("_kept", "\n")).otherwise(F.col(text)))
-            .select(*docs.columns, "_n_lines", "_n_dropped"))
+            .withColumn("_n_dropped", F.coalesce(F.col("_n_lines") - F.size("_kept"), F.lit(0)).cast("long"))
+            .withColumn(text, F.coalesce(F.array_join("_kept", "\n"), F.col(text))))
+    if not measures:
+        return rows.select(*names).toDF(*docs.columns)
+    return rows.select(*names, "_n_lines", "_n_dropped").toDF(*docs.columns, "n_lines", "n_dropped")
 
 
 def oracle(ratio: float = RATIO, min_pages: int = MIN_PAGES) -> str:

@@ -21,8 +21,8 @@ hangs on the seed and the rows alone.
 
 Rows: a null text has size 0 and is never taken; a null source is a source
 of its own, the last in order; rows that agree in id, source and text are
-interchangeable, each is counted; an empty table gives no rows; extra
-columns are kept (names that begin with ``_mix`` are this operator's own).
+interchangeable, each is counted; an empty table gives no rows; ``mix`` keeps
+extra columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, importable, written
+from .common import WORD, importable, shielded, written
 
 WEIGHTS, SHARE, MAX_REPEAT = (5, 2, 1), 1.5, 2.0
 BLOCK_WORDS, SHARD_BLOCKS, SEED = 8192, 128, 17
@@ -167,7 +167,7 @@ class Plan:
         return out
 
 
-def _placed(docs: DataFrame, text: str, source: str, id_col: str) -> tuple[DataFrame, dict[str | None, int]]:
+def _placed(docs: DataFrame, text: str, source: str, id_col: str, seed: int) -> tuple[DataFrame, dict[str | None, int]]:
     """``docs`` with _mix_size, _mix_source and _mix_offset (words of the
     source before the row, in the order of hashed buckets and hashes), and
     each source's size."""
@@ -175,7 +175,7 @@ def _placed(docs: DataFrame, text: str, source: str, id_col: str) -> tuple[DataF
         "_mix_size": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
         "_mix_source": F.col(source).cast("string"),
         "_mix_key": F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")),
-        "_mix_hash": F.xxhash64(id_col, source, text)})
+        "_mix_hash": F.xxhash64(F.lit(seed), id_col, source, text)})
     sums = written(rows.groupBy("_mix_source", "_mix_key", F.pmod("_mix_hash", F.lit(1 << 16)).alias("fine"))
                    .agg(F.sum("_mix_size").alias("words"), F.count("*").alias("n")), "mix-sizes")
     by_source = sums.groupBy("_mix_source").agg(F.sum("words").alias("words"), F.sum("n").alias("n")).collect()
@@ -197,7 +197,7 @@ def taken(docs: DataFrame, text: str = "text", source: str = "source", id_col: s
     """One row per document: doc_id, size, source_size, target (its
     source's), taken (words the mix takes, repeats counted)."""
     importable(docs.sparkSession)
-    rows, sizes = _placed(docs.select(id_col, text, source), text, source, id_col)
+    rows, sizes = _placed(docs.select(id_col, text, source), text, source, id_col, options.get("seed", SEED))
     plan = Plan(sizes, **options)
     rows = rows.select(F.col(id_col).alias("doc_id"), "_mix_source", "_mix_size", "_mix_offset")
 
@@ -226,14 +226,15 @@ def cut_words(text: str, first: int, words: int, size: int) -> str:
     return data[starts[0][0]:starts[-1][1]].decode("utf-8", "surrogatepass")
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", **options) -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", places: bool = False,
+        **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, one row for each span taken,
-    with its text cut to the span, and _mix_shard and _mix_position (sorting
-    a shard by it is the local shuffle)."""
+    with its text cut to the span; with ``places`` also mix_shard and
+    mix_position (sorting a shard by it is the local shuffle)."""
     importable(docs.sparkSession)
-    placed, sizes = _placed(docs, text, source, id_col)
+    shield, names = shielded(docs, text, source, id_col)
+    placed, sizes = _placed(shield, text, source, id_col, options.get("seed", SEED))
     plan = Plan(sizes, **options)
-    names = docs.columns
     rows = placed.select(*names, "_mix_source", "_mix_size", "_mix_offset")
     at, width = names.index(text), len(names)
     schema = T.StructType([*rows.schema.fields[:width], T.StructField("_mix_shard", T.LongType()),
@@ -255,4 +256,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str
             yield pa.RecordBatch.from_arrays([*columns, pa.array(shard, pa.int64()), pa.array(place, pa.int64())],
                                              names=schema.fieldNames())
 
-    return rows.mapInArrow(draw, schema)
+    mixed = rows.mapInArrow(draw, schema)
+    if places:
+        return mixed.toDF(*docs.columns, "mix_shard", "mix_position")
+    return mixed.select(*names).toDF(*docs.columns)

@@ -55,11 +55,11 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``source`` stands for the site; the documents' own lines are judged."""
-    cleaned = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), "source")
-    return cleaned.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+    cleaned = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), "source", measures=True)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
 
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_secret_scan, op3_topk, op4_html_extraction, op5_quality_rules,
                                    op6_simhash, op7_token_files, op8_packing, op9_chat_formatting,
                                    op10_line_dedup)}
-ORACLE_SQL: dict[str, str] = {"op10_line_dedup": line_dedup.oracle()}
+ORACLE_SQL: dict[str, str] = {"op3_topk": topk.oracle(), "op10_line_dedup": line_dedup.oracle()}

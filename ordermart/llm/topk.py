@@ -268,3 +268,15 @@ def _with_bounds(blocks: DataFrame, bound: DataFrame) -> DataFrame:
 
     return joined.select("chunk", "ids", "x", "each").mapInArrow(
         pack, "chunk long, ids binary, x binary, bounds binary, share double")
+
+
+def oracle() -> str:
+    """DuckDB SQL for the query: every pair is scored."""
+    return f"""
+    WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS v
+        FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {EVERY} = 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+    SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= {K}"""
