@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import importable, written
+from .common import importable, shielded, written
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 BLOCK = 2048                # fingerprints of a group that one side of a comparison holds
@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that are first in their component, one of each."""
-    tagged = written(fingerprints(docs, shingle), "tagged-documents")
+    rows, names = shielded(docs, "doc_id", "text")
+    tagged = written(fingerprints(rows, shingle), "tagged-documents")
     kept = _classes(tagged.select("doc_id", "_fp", "_row"), radius).select(F.col("first.row").alias("_row")).distinct()
-    return tagged.join(kept, "_row", "left_semi").select(*docs.columns)
+    return tagged.join(kept, "_row", "left_semi").select(*names).toDF(*docs.columns)

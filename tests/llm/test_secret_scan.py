@@ -65,10 +65,11 @@ def test_models_tell_random_strings_from_identifiers(spark, documents):
     assert not any(r.found for r in got if not r.label)
 
 
-def test_spans_found_by_the_models_touch_no_base_span(spark):
+def test_spans_found_by_the_models_touch_no_base_span(spark, documents):
     text = "key wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY and token=wJalrXUtnFEMI/K7MDENG/bPxRfi 4467920212765298"
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    assert S.digest(S.scan(docs)).first().spans == f"random:4:44,assign:{text.index('token')}:{text.rindex(' ')}"
+    samples = S.labelled_samples(documents, S.cut_out(documents))
+    assert S.digest(S.scan(docs, samples)).first().spans == f"random:4:44,assign:{text.index('token')}:{text.rindex(' ')}"
 
 
 def test_only_dataframe_functions(spark, small_dir):
