@@ -18,6 +18,11 @@ def r4(x: str) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,10)), 4) AS DOUBLE)"
 
 
+def total(x: str, places: int = 2) -> str:
+    """Exact decimal total, as a double."""
+    return f"CAST(sum(CAST({x} AS DECIMAL({16 + places},{places}))) AS DOUBLE)"
+
+
 def ordered_text(x: str) -> str:
     return f"array_to_string(list_transform({x}, lambda e: coalesce(CAST(e AS VARCHAR), 'null')), ',')"
 
@@ -54,23 +59,28 @@ src_order_items AS (
          l_quantity AS freight_value
   FROM lineitem),
 src_order_payments AS (
-  SELECT md5(CAST(user_id AS VARCHAR)) AS order_id,
-         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS payment_sequential,
+  SELECT md5(CAST(k AS VARCHAR)) AS order_id,
+         CAST(row_number() OVER (PARTITION BY k ORDER BY ts, event_id) AS INTEGER) AS payment_sequential,
          CASE event_type WHEN 'view' THEN 'boleto' WHEN 'click' THEN 'credit_card'
               WHEN 'purchase' THEN 'debit_card' WHEN 'signup' THEN 'voucher' ELSE 'not_defined' END AS payment_type,
          CAST(event_id % 12 + 1 AS INTEGER) AS payment_installments,
          CASE WHEN event_id % 29 = 0 THEN NULL ELSE value END AS payment_value
-  FROM events),
+  FROM (SELECT *, CASE WHEN event_id % 10 = 0 THEN event_id + 1 ELSE event_id END AS k FROM events)),
+review_keys AS (
+  SELECT k, k % 365 AS conv, k % 7 AS t, CASE WHEN k % 7 = 0 THEN k + 1 ELSE k END AS about, o.conv_id, o.lap % s.turns AS turn
+  FROM (SELECT o_orderkey AS k, o_orderkey % (SELECT max(conv_id) + 1 FROM conversations) AS conv_id,
+               o_orderkey // (SELECT max(conv_id) + 1 FROM conversations) AS lap FROM orders) o
+  JOIN (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id) s ON o.conv_id = s.conv_id),
 src_order_reviews AS (
-  SELECT md5(CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)) AS review_id,
-         CASE WHEN conv_id % 11 = 3 THEN '2018-01-01 10:00:00' ELSE md5(CAST(conv_id AS VARCHAR)) END AS order_id,
-         CASE WHEN (conv_id + turn) % 6 = 0 THEN NULL ELSE CAST((conv_id + turn) % 6 AS INTEGER) END AS review_score,
-         CASE WHEN (conv_id + turn) % 3 = 0 THEN NULL ELSE role END AS review_comment_title,
-         CASE WHEN (conv_id + turn) % 2 = 0 THEN NULL ELSE text END AS review_comment_message,
-         CASE WHEN (conv_id + turn) % 9 = 0 THEN NULL
-              ELSE CAST(TIMESTAMP '1998-01-01 00:00:00' + to_days(CAST(conv_id AS INTEGER)) AS DATE) END AS review_creation_date,
-         TIMESTAMP '1998-01-01 00:00:00' + to_days(CAST(conv_id + turn AS INTEGER)) AS review_answer_timestamp
-  FROM conversations),
+  SELECT md5('r' || CAST(k AS VARCHAR)) AS review_id,
+         CASE WHEN k % 11 = 3 THEN '2018-01-01 10:00:00' ELSE md5(CAST(about AS VARCHAR)) END AS order_id,
+         CASE WHEN (conv + t) % 6 = 0 THEN NULL ELSE CAST((conv + t) % 6 AS INTEGER) END AS review_score,
+         CASE WHEN (conv + t) % 3 = 0 THEN NULL ELSE role END AS review_comment_title,
+         CASE WHEN (conv + t) % 2 = 0 THEN NULL ELSE text END AS review_comment_message,
+         CASE WHEN (conv + t) % 9 = 0 THEN NULL
+              ELSE CAST(TIMESTAMP '1998-01-01 00:00:00' + to_days(CAST(conv AS INTEGER)) AS DATE) END AS review_creation_date,
+         TIMESTAMP '1998-01-01 00:00:00' + to_days(CAST(conv + t AS INTEGER)) AS review_answer_timestamp
+  FROM review_keys rk JOIN conversations c ON rk.conv_id = c.conv_id AND rk.turn = c.turn),
 src_products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id,
          CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_type END AS product_category_name,
@@ -103,8 +113,9 @@ src_geolocation AS (
          'S' || CAST(s_nationkey % 5 AS VARCHAR) AS geolocation_state
   FROM supplier),
 src_category_translation AS (
-  SELECT DISTINCT p_type AS product_category_name, lower(p_type) AS product_category_name_english
-  FROM part WHERE p_type <> 'PROMO')
+  SELECT DISTINCT p_type AS product_category_name,
+         CASE WHEN p_type <> 'PROMO' THEN lower(p_type) END AS product_category_name_english
+  FROM part)
 """
 
 CLEAN = r"""
@@ -155,7 +166,7 @@ clean_payments AS (
          CASE payment_type WHEN 'boleto' THEN 'Bank Transfer' WHEN 'credit_card' THEN 'Credit Card'
               WHEN 'debit_card' THEN 'Debit Card' WHEN 'voucher' THEN 'Voucher' ELSE 'other' END AS payment_type,
          payment_installments, payment_value,
-         coalesce(payment_value, (SELECT avg(payment_value) FROM src_order_payments)) AS payment_value_imputed
+         coalesce(payment_value, (SELECT CAST(sum(CAST(payment_value AS DECIMAL(18,2))) AS DOUBLE) / count(payment_value) FROM src_order_payments)) AS payment_value_imputed
   FROM src_order_payments),
 clean_items AS (
   SELECT order_id AS item_order_id, order_item_id AS item_order_item_id, product_id AS item_product_id,
@@ -170,8 +181,8 @@ pay_agg AS (
          list(DISTINCT payment_type) AS payment_type,
          CAST(sum(payment_installments) AS BIGINT) AS payment_installments,
          count(*) AS payment_split_count,
-         {r2('sum(payment_value)')} AS payment_value,
-         {r2('sum(payment_value_imputed)')} AS payment_value_imputed
+         {total('payment_value')} AS payment_value,
+         {r2(total('payment_value_imputed', 10))} AS payment_value_imputed
   FROM clean_payments GROUP BY payment_order_id),
 rev_agg AS (
   SELECT review_order_id,
@@ -214,8 +225,9 @@ def spend(src: str, name: str) -> str:
     return f"""
 {name} AS (
   SELECT order_customer_id, count(order_id) AS total_orders,
-         {r2('sum(price)')} AS total_spent,
-         {r2(r2('sum(price)') + ' / count(price)')} AS AOV
+         {total('price')} AS total_spent,
+         {r2(total('price') + ' / count(price)')} AS AOV, count(DISTINCT order_id) AS distinct_orders,
+         {r2(total('price') + ' / count(DISTINCT order_id)')} AS avg_order_value
   FROM {src} GROUP BY order_customer_id)"""
 
 
@@ -282,7 +294,7 @@ ITEM_KEY = "order_id, item_order_item_id"
 BODIES: dict[str, str] = {}
 
 BODIES["k09_top_products"] = f"""
-SELECT product_id, product_category_name_english, {r2('sum(price)')} AS top_10_most_sold_product
+SELECT product_id, product_category_name_english, {total('price')} AS top_10_most_sold_product
 FROM wide WHERE order_status = 'delivered'
 GROUP BY product_id, product_category_name_english
 ORDER BY top_10_most_sold_product DESC NULLS LAST, product_id ASC NULLS FIRST,
@@ -296,6 +308,12 @@ BODIES["clean_reviews_invalid"] = (f"SELECT {REVIEW_COLS} FROM reviews_flagged "
                                    r"WHERE regexp_matches(review_order_id, '^\d{4}-\d{2}-\d{2}.*')")
 BODIES["clean_orders"] = "SELECT * FROM clean_orders"
 BODIES["clean_products_size"] = "SELECT * FROM clean_products"
+BODIES["clean_products_size_present"] = """
+SELECT *, CASE WHEN product_weight_g <= (SELECT quantile_disc(product_weight_g, 0.25) FROM src_products) THEN 'Small'
+               WHEN product_weight_g <= (SELECT quantile_disc(product_weight_g, 0.5) FROM src_products) THEN 'Medium'
+               WHEN product_weight_g <= (SELECT quantile_disc(product_weight_g, 0.75) FROM src_products) THEN 'Large'
+               ELSE 'Extra Large' END AS product_size
+FROM products_filled"""
 BODIES["clean_payments_mean"] = "SELECT * FROM clean_payments"
 BODIES["clean_items_rename"] = "SELECT * FROM clean_items"
 BODIES["k22_weight_freq"] = "SELECT product_weight_g, count(*) AS count FROM clean_products GROUP BY 1"
@@ -339,6 +357,7 @@ ITEM_COLS = ("item_order_id, item_order_item_id, item_product_id, item_seller_id
              "price, freight_value")
 PRODUCT_COLS = ("product_id, product_name_lenght, product_description_lenght, product_photos_qty, "
                 "product_weight_g, product_length_cm, product_height_cm, product_width_cm, product_size")
+RANKED_ROW = f"{ORDER_COLS}, {ITEM_COLS}, seller_id, seller_zip_code_prefix, seller_city, seller_state"
 BODIES["orders_items_inner"] = f"SELECT {ORDER_COLS}, {ITEM_COLS} FROM wide"
 BODIES["wide_left_products"] = (f"SELECT {ITEM_KEY}, item_product_id, product_category_name, {PRODUCT_COLS} "
                                 "FROM wide")
@@ -359,7 +378,7 @@ GEO_COLS = ("geolocation_zip_code_prefix, geolocation_lat, geolocation_lng, geol
 BODIES["wide_geo_default"] = f"SELECT {ITEM_KEY}, customer_zip_code_prefix, {GEO_COLS} FROM wide"
 BODIES["wide_geo_as_written"] = f"""
 SELECT customer_zip_code_prefix, geolocation_lat, geolocation_lng, count(*) AS rows,
-       {r2('sum(price)')} AS revenue, count(DISTINCT order_id) AS orders
+       {total('price')} AS revenue, count(DISTINCT order_id) AS orders
 FROM wide_aw GROUP BY customer_zip_code_prefix, geolocation_lat, geolocation_lng"""
 BODIES["wide_translation_using"] = (f"SELECT {ITEM_KEY}, product_category_name, product_category_name_english "
                                     "FROM wide")
@@ -395,14 +414,14 @@ BODIES["k02_orders_by_status"] = "SELECT order_status, count(*) AS count FROM cl
 BODIES["k03_payment_types"] = "SELECT payment_type, count(*) AS count FROM clean_payments GROUP BY 1"
 BODIES["k03_payment_type_sets"] = (f"SELECT {sorted_text('payment_type')} AS payment_type, count(*) AS count "
                                    "FROM pay_agg GROUP BY 1")
-BODIES["k04_product_sales"] = (f"SELECT product_id, {r2('sum(price)')} AS total_sales "
+BODIES["k04_product_sales"] = (f"SELECT product_id, {total('price')} AS total_sales "
                                "FROM src_order_items GROUP BY 1")
 BODIES["k05_price_summary"] = f"""
 SELECT count(price) AS count, {r4('avg(price)')} AS mean, {r4('stddev_samp(price)')} AS stddev,
        min(price) AS min, quantile_disc(price, 0.25) AS p25, quantile_disc(price, 0.5) AS p50,
        quantile_disc(price, 0.75) AS p75, max(price) AS max
 FROM src_order_items"""
-BODIES["k06_seller_revenue"] = (f"SELECT seller_id, {r2('sum(price)')} AS total_revenue_per_seller "
+BODIES["k06_seller_revenue"] = (f"SELECT seller_id, {total('price')} AS total_revenue_per_seller "
                                 "FROM wide GROUP BY 1")
 BODIES["k07_distinct_sellers"] = "SELECT DISTINCT seller_id FROM wide"
 
@@ -411,36 +430,36 @@ REVIEW_N = "len(list_filter(review_scores, lambda x: x <> -1))"
 AVG_REVIEW = r2(f"CAST(sum({REVIEW_SUM}) AS DOUBLE) / nullif(sum({REVIEW_N}), 0)")
 BODIES["k08_seller_review"] = f"SELECT seller_id, {AVG_REVIEW} AS avg_review_per_seller FROM wide GROUP BY 1"
 BODIES["k10_top_customers_rows"] = """
-SELECT customer_id, count(order_id) AS total_order_per_customer
+SELECT customer_id, count(order_id) AS total_order_per_customer, count(DISTINCT order_id) AS distinct_orders
 FROM wide WHERE order_status = 'delivered' GROUP BY customer_id
 ORDER BY total_order_per_customer DESC NULLS LAST, customer_id ASC NULLS FIRST LIMIT 10"""
 BODIES["k11_top_customers_spend"] = f"""
-SELECT customer_id, {r2('sum(price)')} AS top_customer_per_spending
+SELECT customer_id, {total('price')} AS top_customer_per_spending
 FROM wide WHERE order_status = 'delivered' GROUP BY customer_id
 ORDER BY top_customer_per_spending DESC NULLS LAST, customer_id ASC NULLS FIRST LIMIT 10"""
 BODIES["k12_rank"] = f"""
 SELECT * FROM (
-  SELECT seller_id, {ITEM_KEY}, price,
+  SELECT {RANKED_ROW},
          CAST(rank() OVER (PARTITION BY seller_id ORDER BY price DESC NULLS LAST) AS INTEGER) AS rank
   FROM wide) WHERE rank <= 5"""
 BODIES["k12_seller_revenue_rank"] = f"""
 SELECT seller_id, total_revenue,
        CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS INTEGER) AS revenue_rank
-FROM (SELECT seller_id, {r2('sum(price)')} AS total_revenue FROM wide GROUP BY seller_id)"""
+FROM (SELECT seller_id, {total('price')} AS total_revenue FROM wide GROUP BY seller_id)"""
 BODIES["k13_dense_rank"] = f"""
 SELECT * FROM (
-  SELECT seller_id, {ITEM_KEY}, price,
+  SELECT {RANKED_ROW},
          CAST(dense_rank() OVER (PARTITION BY seller_id ORDER BY price DESC NULLS LAST) AS INTEGER) AS dense_rank
   FROM wide) WHERE dense_rank <= 5"""
 BODIES["k14_seller_scorecard"] = f"""
 SELECT seller_id, count(order_id) AS total_orders, count(DISTINCT order_id) AS distinct_orders,
-       {r2('sum(price)')} AS total_revenue, {AVG_REVIEW} AS avg_review_score,
+       {total('price')} AS total_revenue, {AVG_REVIEW} AS avg_review_score,
        {r2('stddev_samp(price)')} AS price_variability
 FROM wide GROUP BY seller_id"""
 BODIES["k15_product_scorecard"] = f"""
 SELECT product_id, product_category_name_english, count(order_id) AS total_sales,
-       {r2('sum(price)')} AS total_revenue,
-       {r2(r2('sum(price)') + ' / count(price)')} AS avg_price,
+       {total('price')} AS total_revenue,
+       {r2(total('price') + ' / count(price)')} AS avg_price,
        {r2('stddev_samp(price)')} AS price_volatility,
        coalesce({sorted_text('list(DISTINCT seller_id) FILTER (WHERE seller_id IS NOT NULL)')}, '') AS unique_seller,
        {AVG_REVIEW} AS avg_review_score,
@@ -449,17 +468,17 @@ FROM wide GROUP BY product_id, product_category_name_english"""
 BODIES["k16_retention"] = f"""
 SELECT customer_id, min(order_purchase_timestamp) AS first_order_date,
        max(order_purchase_timestamp) AS last_order_date, count(order_id) AS total_orders,
-       {r2('sum(price)')} AS total_revenue, {r2(r2('sum(price)') + ' / count(price)')} AS avg_price
+       {total('price')} AS total_revenue, {r2(total('price') + ' / count(price)')} AS avg_price
 FROM wide GROUP BY customer_id"""
 STATE_VOLUME = f"""
-SELECT geolocation_state, count(order_id) AS order_volume, {r2('sum(price)')} AS total_spending
+SELECT geolocation_state, count(order_id) AS order_volume, {total('price')} AS total_spending
 FROM {{t}} WHERE order_status = 'delivered' GROUP BY geolocation_state"""
 BODIES["k17_state_volume"] = STATE_VOLUME.format(t="wide")
 BODIES["k17_state_volume_as_written"] = STATE_VOLUME.format(t="wide_aw")
 BODIES["k18_row_count"] = "SELECT count(*) AS row_count FROM wide"
 BODIES["k19_seller_revenue_attrs"] = f"""
 SELECT r.seller_id, r.total_revenue_per_seller, s.seller_zip_code_prefix, s.seller_city, s.seller_state
-FROM (SELECT seller_id, {r2('sum(price)')} AS total_revenue_per_seller FROM src_order_items GROUP BY 1) r
+FROM (SELECT seller_id, {total('price')} AS total_revenue_per_seller FROM src_order_items GROUP BY 1) r
 LEFT JOIN src_sellers s ON r.seller_id = s.seller_id"""
 BODIES["k23_dim_orders"] = f"SELECT DISTINCT {ORDER_COLS}, order_year_month FROM wide"
 BODIES["k23_fact_items"] = """
@@ -468,10 +487,6 @@ SELECT order_id, item_order_item_id, item_product_id, item_seller_id, order_cust
 FROM wide"""
 
 
-def oracle_sql() -> dict[str, str]:
-    return {k: with_base(v) for k, v in BODIES.items()}
-
-
 # --- data quality ------------------------------------------------------------------------
 def _dq_bodies() -> dict[str, str]:
     from ..operators.wide import WIDE_COLUMNS
@@ -506,6 +521,9 @@ def _dq_bodies() -> dict[str, str]:
                                 dups("products", "src_products", "product_category_name"),
                                 dups("order_reviews", "clean_reviews", "review_id"),
                                 dups("order_reviews", "clean_reviews", "review_order_id"),
+                                *[dups("order_items", "clean_items", c) for c in (
+                                    "item_order_id", "item_order_item_id", "item_product_id", "item_seller_id")],
+                                dups("order_payments", "clean_payments", "payment_order_id"),
                                 dups("category_translation", "src_category_translation", "product_category_name"),
                                 dups("category_translation", "src_category_translation",
                                      "product_category_name_english")])
@@ -606,7 +624,13 @@ SELECT * FROM (
         fmt("geolocation", "src_geolocation", "zip_5_digits", "geolocation_zip_code_prefix", r"^\d{5}$"),
         fmt("order_reviews", "src_order_reviews", "order_id_hex", "order_id", "^[a-fA-F0-9]{32}$"),
         fmt("orders", "src_orders", "order_id_hex", "order_id", "^[a-fA-F0-9]{32}$"),
-        fmt("final", "wide", "year_month_format", "order_year_month", r"^\d{4}-\d{2}$")])
+        fmt("final", "wide", "year_month_format", "order_year_month", r"^\d{4}-\d{2}$"),
+        fmt("order_reviews", "(SELECT strftime(review_creation_date, '%Y-%m-%d') AS d FROM src_order_reviews)", "iso_date",
+            "d", r"^\d{4}-\d{2}-\d{2}$"),
+        fmt("order_reviews", "src_order_reviews", "order_id_iso_date", "order_id", r"^\d{4}-\d{2}-\d{2}$"),
+        fmt("customers", "(SELECT CASE WHEN CAST(customer_id AS BIGINT) % 2 = 0 THEN customer_id || '@mail.example.org' "
+            "ELSE customer_id END AS email FROM src_customers)", "email", "email",
+            r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$")])
 
     b["dq_allowed"] = """
 SELECT 'orders' AS table_name, 'order_status' AS column_name, CAST(order_status AS VARCHAR) AS value, count(*) AS count
@@ -620,7 +644,8 @@ GROUP BY payment_type
 UNION ALL
 SELECT 'products', 'product_category_name', CAST(product_category_name AS VARCHAR), count(*)
 FROM src_products p
-WHERE NOT EXISTS (SELECT 1 FROM src_category_translation t WHERE t.product_category_name = p.product_category_name)
+WHERE NOT EXISTS (SELECT 1 FROM src_category_translation t WHERE t.product_category_name = p.product_category_name
+                  AND t.product_category_name_english IS NOT NULL)
 GROUP BY product_category_name"""
 
     def rng(t, rel, name, c, lo=None, hi=None):
@@ -688,7 +713,7 @@ SELECT coalesce(l.key, r.key) AS key, l.left_total, r.right_total,
        CASE WHEN r.right_total IS NULL AND l.left_total IS NOT NULL THEN 'left_only'
             WHEN l.left_total IS NULL AND r.right_total IS NOT NULL THEN 'right_only'
             WHEN abs(l.left_total - r.right_total) <= 0.005 THEN 'match' ELSE 'mismatch' END AS status
-FROM (SELECT item_order_id AS key, {r2('sum(price + freight_value)')} AS left_total FROM clean_items GROUP BY 1) l
+FROM (SELECT item_order_id AS key, {total('price + freight_value')} AS left_total FROM clean_items GROUP BY 1) l
 FULL OUTER JOIN (SELECT payment_order_id AS key, payment_value AS right_total FROM pay_agg) r ON l.key = r.key"""
 
     b["dq_drift"] = """
@@ -745,6 +770,18 @@ SELECT product_id, product_weight_g / 1000.0 AS product_weight_kg, product_lengt
        product_height_cm / 100.0 AS product_height_m, product_width_cm / 100.0 AS product_width_m,
        product_length_cm * product_height_cm * product_width_cm / 1000.0 AS product_volume_l
 FROM clean_products"""
+    b["dq_unit_table"] = "\nUNION ALL\n".join(
+        f"SELECT product_id, '{c}' AS measure, '{u}' AS standard_unit, {c} / {k} AS standard_value FROM products_filled"
+        for c, u, k in (("product_weight_g", "kg", "1000.0"), ("product_length_cm", "m", "100.0"),
+                        ("product_height_cm", "m", "100.0"), ("product_width_cm", "m", "100.0")))
+    # lines of the landed reviews: a record takes one line and one more for each newline in its message; a
+    # reader without multi-line quoting takes each line that is not blank for a record
+    b["dq_line_count"] = """
+SELECT 'order_reviews' AS table_name,
+       CAST(sum(1 + length(m) - length(replace(m, chr(10), ''))) AS BIGINT) AS data_lines,
+       count(*) AS records_multiline,
+       CAST(sum(1 + length(m) - length(replace(m, chr(10), ''))) AS BIGINT) AS records_naive
+FROM (SELECT coalesce(review_comment_message, '') AS m FROM src_order_reviews)"""
     b["dq_deprecated"] = """
 SELECT 'order_payments' AS table_name, 'payment_type' AS column_name, payment_type AS value, count(*) AS count
 FROM src_order_payments WHERE payment_type IN ('not_defined') GROUP BY payment_type
@@ -779,7 +816,7 @@ GROUP BY order_status"""
 _DQ_CACHE: dict[str, str] = {}
 
 
-def oracle_sql() -> dict[str, str]:  # noqa: F811
+def oracle_sql() -> dict[str, str]:
     if not _DQ_CACHE:
         _DQ_CACHE.update(_dq_bodies())
     out = {k: with_base(v) for k, v in BODIES.items()}
@@ -789,8 +826,9 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811
     return out
 
 
-BODIES["sink_roundtrip"] = (f"SELECT order_year_month, count(*) AS rows, {r2('sum(price)')} AS revenue "
+BODIES["sink_roundtrip"] = (f"SELECT order_year_month, count(*) AS rows, {total('price')} AS revenue "
                             "FROM wide GROUP BY order_year_month")
+BODIES["managed_table"] = BODIES["sink_roundtrip"]
 BODIES["bronze_roundtrip"] = """
 SELECT 'orders' AS table_name, count(*) AS row_count FROM clean_orders
 UNION ALL SELECT 'order_items', count(*) FROM clean_items

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType
 
 from ..functions import columns as C
-from ..operators import clean, features, kpis, preagg, segments, wide
+from ..operators import clean, features, kpis, preagg, wide
 from ..sources.adapter import SourceTables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,18 +53,20 @@ def silver(spark: SparkSession, d: str, geo_mode: str = "one_per_zip") -> wide.S
     return wide.Silver(src(spark, d), geo_mode)
 
 
-def wide_table(spark: SparkSession, d: str, **kw) -> DataFrame:
-    return wide.build_wide(src(spark, d), **kw)
+def wide_table(spark: SparkSession, d: str, columns=None, **kw) -> DataFrame:
+    return wide.build_wide(src(spark, d), columns, **kw)
 
 
 ITEM_KEY = ["order_id", "item_order_item_id"]
+REVIEW_SUMS = ["review_count", "review_score_sum", "review_score_n"]
+RANKED_ROW = wide.ORDER_COLUMNS + wide.ITEM_COLUMNS + wide.SELLER_COLUMNS
 
 
 # --- step 1: the flagship KPI ----------------------------------------------------
 @query("k09_top_products")
 def k09(spark, d):
     """Top-10 products by delivered revenue."""
-    return kpis.top_products(wide_table(spark, d))
+    return kpis.top_products(wide_table(spark, d, ["order_status", "product_id", "product_category_name_english", "price"]))
 
 
 # --- step 2: cleaning ------------------------------------------------------------
@@ -98,9 +100,15 @@ def q_clean_items(spark, d):
     return clean.clean_items(src(spark, d).order_items)
 
 
+@query("clean_products_size_present")
+def q_clean_products_present(spark, d):
+    """Size bands from the quartiles of the weights that are not missing."""
+    return clean.clean_products(src(spark, d).products, weights="present")
+
+
 @query("k22_weight_freq")
 def k22(spark, d):
-    return clean.weight_frequency(clean.clean_products(src(spark, d).products)).orderBy(F.desc("count"))
+    return clean.weight_frequency(clean.fill_products(src(spark, d).products)).orderBy(F.desc("count"))
 
 
 # --- step 3: pre-aggregates ----------------------------------------------------
@@ -122,8 +130,8 @@ def q_review_summary(spark, d):
 @query("wide_review_summary")
 def q_wide_review_summary(spark, d):
     """The wide table built with the list-free review summary."""
-    w = wide_table(spark, d, review_mode="summary")
-    return w.select(*ITEM_KEY, *wide.REVIEW_SUMMARY_COLUMNS, "has_review", "time_from_delivery_to_review")
+    return wide_table(spark, d, [*ITEM_KEY, *wide.REVIEW_SUMMARY_COLUMNS, "has_review", "time_from_delivery_to_review"],
+                      review_mode="summary")
 
 
 @query("geo_dedupe")
@@ -138,7 +146,7 @@ def q_geo_one_per_zip(spark, d):
 
 # --- step 4: joins (projections of the one wide table) ---------------------------
 def _wide_cols(spark, d, cols, **kw):
-    return wide_table(spark, d, **kw).select(*cols)
+    return wide_table(spark, d, cols, **kw)
 
 
 @query("orders_items_inner")
@@ -179,11 +187,9 @@ def q_wide_geo(spark, d):
 @query("wide_geo_as_written")
 def q_wide_geo_fanout(spark, d):
     """Geolocation joined on zip after (lat, lng) dedupe: rows multiply by the
-    points in the zip. Checked in aggregate (rows and revenue per point)."""
-    w = wide_table(spark, d, geo_mode="as_written")
-    return (w.groupBy("customer_zip_code_prefix", "geolocation_lat", "geolocation_lng")
-            .agg(F.count("*").alias("rows"), C.money_sum("price").alias("revenue"),
-                 F.countDistinct("order_id").alias("orders")))
+    points in the zip. Rows, revenue and orders per point."""
+    s = silver(spark, d, geo_mode="as_written")
+    return kpis.zip_points(wide_table(spark, d, ["customer_zip_code_prefix", "order_id", "price"]), s.geo)
 
 
 @query("wide_translation_using")
@@ -229,8 +235,7 @@ def q_feat_has_review(spark, d):
 # --- step 6: segments ----------------------------------------------------------------
 @query("k20_customer_spend")
 def k20(spark, d):
-    w = wide.join_wide(silver(spark, d), with_segments=False)
-    return segments.customer_spend(w).orderBy(F.desc("total_spent"))
+    return silver(spark, d).customer_spend().orderBy(F.desc("total_spent"))
 
 
 @query("k21_aov_segment")
@@ -271,72 +276,75 @@ def k05(spark, d):
 
 @query("k06_seller_revenue")
 def k06(spark, d):
-    return kpis.seller_revenue(wide_table(spark, d))
+    return kpis.seller_revenue(wide_table(spark, d, ["seller_id", "price"]))
 
 
 @query("k07_distinct_sellers")
 def k07(spark, d):
-    return kpis.distinct_sellers(kpis.seller_revenue(wide_table(spark, d)))
+    return kpis.distinct_sellers(wide_table(spark, d, ["seller_id"]))
 
 
 @query("k08_seller_review")
 def k08(spark, d):
-    return kpis.seller_review(wide_table(spark, d))
+    return kpis.seller_review(wide_table(spark, d, ["seller_id", *REVIEW_SUMS], review_mode="summary"))
 
 
 @query("k10_top_customers_rows")
 def k10(spark, d):
-    return kpis.top_customers_by_rows(wide_table(spark, d))
+    return kpis.top_customers_by_rows(wide_table(spark, d, ["order_status", "customer_id", "order_id"]))
 
 
 @query("k11_top_customers_spend")
 def k11(spark, d):
-    return kpis.top_customers_by_spend(wide_table(spark, d))
+    return kpis.top_customers_by_spend(wide_table(spark, d, ["order_status", "customer_id", "price"]))
 
 
 @query("k12_rank")
 def k12(spark, d):
-    return kpis.top_items_per_seller(wide_table(spark, d), 5, dense=False)
+    return kpis.top_items_per_seller(wide_table(spark, d, RANKED_ROW), 5, dense=False)
 
 
 @query("k12_seller_revenue_rank")
 def k12r(spark, d):
-    return kpis.seller_revenue_rank(wide_table(spark, d))
+    return kpis.seller_revenue_rank(wide_table(spark, d, ["seller_id", "price"]))
 
 
 @query("k13_dense_rank")
 def k13(spark, d):
-    return kpis.top_items_per_seller(wide_table(spark, d), 5, dense=True)
+    return kpis.top_items_per_seller(wide_table(spark, d, RANKED_ROW), 5, dense=True)
 
 
 @query("k14_seller_scorecard")
 def k14(spark, d):
-    return kpis.seller_scorecard(wide_table(spark, d))
+    return kpis.seller_scorecard(wide_table(spark, d, ["seller_id", "order_id", "price", *REVIEW_SUMS], review_mode="summary"))
 
 
 @query("k15_product_scorecard")
 def k15(spark, d):
-    return kpis.product_scorecard(wide_table(spark, d))
+    return kpis.product_scorecard(wide_table(
+        spark, d, ["product_id", "product_category_name_english", "seller_id", "order_id", "price", *REVIEW_SUMS],
+        review_mode="summary"))
 
 
 @query("k16_retention")
 def k16(spark, d):
-    return kpis.customer_retention(wide_table(spark, d))
+    return kpis.customer_retention(wide_table(spark, d, ["customer_id", "order_id", "order_purchase_timestamp", "price"]))
 
 
 @query("k17_state_volume")
 def k17(spark, d):
-    return kpis.state_volume(wide_table(spark, d))
+    return kpis.state_volume(wide_table(spark, d, ["order_status", "geolocation_state", "order_id", "price"]))
 
 
 @query("k17_state_volume_as_written")
 def k17w(spark, d):
-    return kpis.state_volume(wide_table(spark, d, geo_mode="as_written"))
+    w = wide_table(spark, d, ["order_status", "customer_zip_code_prefix", "order_id", "price"])
+    return kpis.state_volume_as_written(w, silver(spark, d, geo_mode="as_written").geo)
 
 
 @query("k18_row_count")
 def k18(spark, d):
-    return kpis.row_count(wide_table(spark, d))
+    return kpis.row_count(wide_table(spark, d, ["order_id"]))
 
 
 @query("k19_seller_revenue_attrs")
@@ -347,12 +355,12 @@ def k19(spark, d):
 
 @query("k23_dim_orders")
 def k23d(spark, d):
-    return kpis.dim_orders(wide_table(spark, d))
+    return kpis.dim_orders(wide_table(spark, d, kpis.ORDER_DIMENSION))
 
 
 @query("k23_fact_items")
 def k23f(spark, d):
-    return kpis.fact_items(wide_table(spark, d))
+    return kpis.fact_items(wide_table(spark, d, kpis.ITEM_FACT))
 
 
 # --- step 8: data quality (checks the original ran) -------------------------------
@@ -399,7 +407,7 @@ def dq_nulls_nan(spark, d):
 def dq_hex_ids(spark, d):
     t = src(spark, d)
     return Q._union([
-        Q.hex_id_report(wide_table(spark, d), "review_order_id", "final"),
+        Q.hex_id_report(wide_table(spark, d, ["review_order_id"]), "review_order_id", "final"),
         Q.hex_id_report(t.orders, "order_id", "orders"),
         Q.hex_id_report(t.order_items, "order_id", "order_items"),
         Q.hex_id_report(t.order_reviews, "order_id", "order_reviews"),
@@ -409,8 +417,7 @@ def dq_hex_ids(spark, d):
 
 @query("dq_hex_ids_valid")
 def dq_hex_ids_valid(spark, d):
-    w = wide_table(spark, d)
-    return Q.valid_hex_ids(w, "review_order_id").select(*ITEM_KEY, "review_order_id")
+    return Q.valid_hex_ids(wide_table(spark, d, [*ITEM_KEY, "review_order_id"]), "review_order_id")
 
 
 @query("dq_uniqueness")
@@ -425,6 +432,8 @@ def dq_uniqueness(spark, d):
         "order_reviews": (clean.clean_reviews(t.order_reviews), ["review_id", "review_order_id"]),
         "category_translation": (t.category_translation,
                                  ["product_category_name", "product_category_name_english"]),
+        "order_items": (clean.clean_items(t.order_items), list(clean.ITEM_RENAMES.values())),
+        "order_payments": (clean.clean_payments(t.order_payments), ["payment_order_id"]),
     })
 
 
@@ -440,15 +449,10 @@ def dq_nulls_by_status(spark, d):
 
 @query("dq_having_dupes")
 def dq_having_dupes(spark, d):
-    return Q.orders_per_key_having(spark, wide_table(spark, d))
+    return Q.orders_per_key_having(spark, wide_table(spark, d, ["order_id"]))
 
 
 # --- step 9: data quality (the written checklist) ---------------------------------
-@query("dq_schema")
-def dq_schema(spark, d):
-    return Q.schema_report(spark, src(spark, d).all())
-
-
 KEY_COLUMNS = {
     "orders": ["order_id", "customer_id", "order_status"],
     "order_items": ["order_id", "order_item_id", "product_id", "seller_id"],
@@ -486,18 +490,31 @@ def dq_format(spark, d):
                       {"zip_5_digits": Q.format_rule("geolocation_zip_code_prefix", ZIP_PATTERN)}),
         Q.rule_counts(t.order_reviews, "order_reviews", {"order_id_hex": Q.format_rule("order_id", C.HEX_ID_PATTERN)}),
         Q.rule_counts(t.orders, "orders", {"order_id_hex": Q.format_rule("order_id", C.HEX_ID_PATTERN)}),
-        Q.rule_counts(wide_table(spark, d), "final",
+        Q.rule_counts(wide_table(spark, d, ["order_year_month"]), "final",
                       {"year_month_format": Q.format_rule("order_year_month", YEAR_MONTH_PATTERN)}),
+        Q.rule_counts(t.order_reviews.withColumn("_day", F.col("review_creation_date").cast("string")), "order_reviews",
+                      {"iso_date": Q.format_rule("_day", Q.ISO_DATE_PATTERN),
+                       "order_id_iso_date": Q.format_rule("order_id", Q.ISO_DATE_PATTERN)}),
+        Q.rule_counts(customer_mail(t.customers), "customers", {"email": Q.format_rule("email", Q.EMAIL_PATTERN)}),
     ])
 
 
+def customer_mail(customers: DataFrame) -> DataFrame:
+    """The source has no mail column; one is made of its own: a mail address
+    where the key is even, the bare key elsewhere."""
+    key = F.col("customer_id")
+    return customers.withColumn("email", F.when(key.cast("long") % 2 == 0, F.concat(key, F.lit("@mail.example.org")))
+                                .otherwise(key))
+
+
 @query("dq_allowed")
 def dq_allowed(spark, d):
     t = src(spark, d)
     return Q._union([
         Q.allowed_values(t.orders, "orders", "order_status", ORDER_STATUSES),
         Q.allowed_values(t.order_payments, "order_payments", "payment_type", PAYMENT_CODES),
-        Q.values_missing_from(t.products, "products", "product_category_name", t.category_translation,
+        Q.values_missing_from(t.products, "products", "product_category_name",
+                              t.category_translation.filter(F.col("product_category_name_english").isNotNull()),
                               "product_category_name"),
     ])
 
@@ -546,7 +563,8 @@ CROSS_FIELD_RULES = {
 @query("dq_cross_field")
 def dq_cross_field(spark, d):
     rules = {k: Q.order_rule(a, b) for k, (a, b) in CROSS_FIELD_RULES.items()}
-    return Q.rule_counts(wide_table(spark, d), "final", rules)
+    columns = sorted({c for pair in CROSS_FIELD_RULES.values() for c in pair})
+    return Q.rule_counts(wide_table(spark, d, columns), "final", rules)
 
 
 def _fk_relations(t):
@@ -652,6 +670,13 @@ def dq_units(spark, d):
     return Q.standardize_product_units(clean.clean_products(src(spark, d).products))
 
 
+@query("dq_unit_table")
+def dq_unit_table(spark, d):
+    """The same by a join with the unit table, one row per measure."""
+    return Q.standardize_units(clean.fill_products(src(spark, d).products), Q.unit_table(spark), {
+        "product_weight_g": "g", "product_length_cm": "cm", "product_height_cm": "cm", "product_width_cm": "cm"})
+
+
 @query("dq_deprecated")
 def dq_deprecated(spark, d):
     t = src(spark, d)
@@ -710,7 +735,7 @@ def sink_roundtrip(spark, d):
     per month partition."""
     path = _scratch(spark, "silver") + "/final_df"
     S.write_wide(wide_table(spark, d), path)
-    back = R.read_table(spark, path, merge_schema=True)
+    back = R.read_table(spark, path)
     return back.groupBy("order_year_month").agg(F.count("*").alias("rows"), C.money_sum("price").alias("revenue"))
 
 
@@ -737,7 +762,7 @@ def bronze_roundtrip(spark, d):
 def sql_path_scan(spark, d):
     """``SELECT * FROM parquet.`path` ORDER BY order_year_month DESC``."""
     path = _scratch(spark, "silver") + "/final_df"
-    S.write_wide(wide_table(spark, d), path)
+    S.write_wide(wide_table(spark, d, [*ITEM_KEY, "price", "aov_segment", "order_year_month"]), path)
     return S.path_scan(spark, path, order_by="order_year_month DESC").select(
         *ITEM_KEY, "order_year_month", "price", "aov_segment")
 
@@ -748,7 +773,7 @@ def sql_table_surface(spark, d):
     then the row-count and duplicate-order SQL run against it."""
     import uuid
     path = _scratch(spark, "silver") + "/final_df"
-    S.write_wide(wide_table(spark, d), path)
+    S.write_wide(wide_table(spark, d, [*ITEM_KEY, "price", "order_year_month"]), path)
     name = f"ordermart_prod.ecommerce_{uuid.uuid4().hex[:12]}"
     S.create_external_table(spark, name, path)
     return spark.sql(f"SELECT order_year_month, count(*) AS rows, count(DISTINCT order_id) AS orders "
@@ -760,7 +785,7 @@ def k23_table(spark, d):
     """Order dimension persisted as a catalog table over the shared folder."""
     import uuid
     path = _scratch(spark, "gold") + "/dim_orders"
-    S.write_parquet(kpis.dim_orders(wide_table(spark, d)), path)
+    S.write_parquet(kpis.dim_orders(wide_table(spark, d, kpis.ORDER_DIMENSION)), path)
     name = f"ordermart_gold.dim_orders_{uuid.uuid4().hex[:12]}"
     return S.create_external_table(spark, name, path)
 
@@ -786,10 +811,14 @@ def stream_bronze_orders(spark, d):
                         for c in out.columns])
 
 
-@query("k05_price_summary_builtin")
-def k05_builtin(spark, d):
-    """``summary()`` as the original used it (approximate quartiles)."""
-    return kpis.price_summary_builtin(src(spark, d).order_items)
+@query("managed_table")
+def managed_table(spark, d):
+    """Managed table partitioned by month, read back from the catalog."""
+    import uuid
+    name = f"ordermart_silver.final_{uuid.uuid4().hex[:12]}"
+    S.create_database(spark, name.split(".")[0])
+    S.save_table(wide_table(spark, d, [*ITEM_KEY, "price", "order_year_month"]), name)
+    return spark.table(name).groupBy("order_year_month").agg(F.count("*").alias("rows"), C.money_sum("price").alias("revenue"))
 
 
 @query("raw_csv_roundtrip")

@@ -1,8 +1,7 @@
 """Column expressions shared by the operators (all built-in, JVM-side).
 
-Money columns carry exactly two decimals, so a double sum rounded to cents
-is the exact decimal sum whatever order partial sums are merged in; that
-keeps results identical across partitionings without a decimal buffer.
+Money is summed as decimals: partial sums of decimals are exact, so a total
+is the same whatever order they are merged in. Results are doubles again.
 """
 
 from __future__ import annotations
@@ -40,18 +39,20 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money_sum(c: str | Column) -> Column:
-    """Exact cent total of a two-decimal money column."""
-    return F.round(F.sum(col(c)), 2)
+def money_total(c: str | Column, places: int = 2) -> Column:
+    """Exact decimal total of a column of at most ``places`` decimals."""
+    return F.sum(col(c).cast(f"decimal({16 + places},{places})"))
+
+
+def money_sum(c: str | Column, places: int = 2) -> Column:
+    """Exact total of a money column, rounded to cents."""
+    return F.round(money_total(c, places), 2).cast("double")
 
 
 def money_avg(c: str | Column) -> Column:
-    """Mean of a two-decimal money column rounded half-up to cents. The cent
-    total is exact, and the division is decimal, so ties (e.g. 10.01 / 2)
-    round the same way on every partitioning."""
-    c = col(c)
-    total = F.round(F.sum(c), 2).cast("decimal(20,2)")
-    return F.round(F.try_divide(total, F.count(c)), 2).cast("double")
+    """Mean of a two-decimal money column rounded half-up to cents; total and
+    division are decimal, so ties (e.g. 10.01 / 2) always round the same."""
+    return F.round(F.try_divide(money_total(c), F.count(col(c))), 2).cast("double")
 
 
 def flag(cond: Column) -> Column:
@@ -72,10 +73,7 @@ def quartile_band(c: str | Column, q1: Column, q2: Column, q3: Column) -> Column
     """<=q1 Small, <=q2 Medium, <=q3 Large, else Extra Large (null too)."""
     c = col(c)
     small, medium, large, xlarge = SIZE_LABELS
-    return (F.when(c <= q1, small)
-            .when((c > q1) & (c <= q2), medium)
-            .when((c > q2) & (c <= q3), large)
-            .otherwise(xlarge))
+    return F.when(c <= q1, small).when(c <= q2, medium).when(c <= q3, large).otherwise(xlarge)
 
 
 def aov_band(c: str | Column, low: Column, high: Column) -> Column:

@@ -28,18 +28,16 @@ def fill(df: DataFrame, values: dict) -> DataFrame:
 # --- reviews --------------------------------------------------------------
 def reviews_with_comment_flags(reviews: DataFrame) -> DataFrame:
     """Score sentinel, joint-null comment flag, comment/date defaults."""
-    both_null = F.col("review_comment_title").isNull() & F.col("review_comment_message").isNull()
-    df = fill(reviews, {"review_score": C.SENTINEL_SCORE})
-    df = df.withColumn("both_null", F.when(both_null, C.NO_COMMENT).otherwise(C.HAS_COMMENT))
-    no_comment = F.col("both_null") == C.NO_COMMENT
-    df = df.withColumns({
-        "review_comment_title": F.when(no_comment, C.NO_REVIEW).otherwise(F.col("review_comment_title")),
-        "review_comment_message": F.when(no_comment, C.NO_REVIEW).otherwise(F.col("review_comment_message")),
-    })
-    df = fill(df, {"review_comment_title": C.REVIEW_GIVEN, "review_comment_message": C.REVIEW_GIVEN})
-    df = fill(df, {"review_creation_date": C.SENTINEL_DATE, "review_answer_timestamp": C.SENTINEL_DATE})
-    df = df.dropna(subset=["review_id"]).dropna(subset=["order_id"])
-    return df.withColumnsRenamed({"order_id": "review_order_id", "both_null": "has_review"})
+    title, message = F.col("review_comment_title"), F.col("review_comment_message")
+    silent = title.isNull() & message.isNull()
+    said = lambda c: F.when(silent, C.NO_REVIEW).otherwise(F.coalesce(c, F.lit(C.REVIEW_GIVEN)))
+    return reviews.filter(F.col("review_id").isNotNull() & F.col("order_id").isNotNull()).select(
+        "review_id", F.col("order_id").alias("review_order_id"),
+        _typed_fill(reviews, "review_score", C.SENTINEL_SCORE).alias("review_score"),
+        said(title).alias("review_comment_title"), said(message).alias("review_comment_message"),
+        _typed_fill(reviews, "review_creation_date", C.SENTINEL_DATE).alias("review_creation_date"),
+        _typed_fill(reviews, "review_answer_timestamp", C.SENTINEL_DATE).alias("review_answer_timestamp"),
+        F.when(silent, C.NO_COMMENT).otherwise(C.HAS_COMMENT).alias("has_review"))
 
 
 def invalid_review_rows(reviews: DataFrame) -> DataFrame:
@@ -72,10 +70,6 @@ def undelivered_by_status(orders: DataFrame) -> DataFrame:
             .groupBy("order_status").count())
 
 
-def invoiced_undelivered(orders: DataFrame) -> DataFrame:
-    return orders.filter((F.col("order_status") == "invoiced") & F.col("order_delivered_customer_date").isNull())
-
-
 # --- products -------------------------------------------------------------
 PRODUCT_DEFAULTS = {
     "product_category_name": C.UNKNOWN_CATEGORY,
@@ -84,13 +78,20 @@ PRODUCT_DEFAULTS = {
 }
 
 
-def clean_products(products: DataFrame) -> DataFrame:
-    """Defaults for missing attributes, then ``product_size`` by weight
-    quartile (exact, computed over the zero-filled weights)."""
-    df = fill(products, PRODUCT_DEFAULTS)
-    q1, q2, q3 = stats.quantiles(df, "product_weight_g", (0.25, 0.5, 0.75))
-    df = df.withColumn("product_size", C.quartile_band("product_weight_g", q1, q2, q3))
-    return df.dropna(subset=["product_category_name"])
+def fill_products(products: DataFrame) -> DataFrame:
+    """Defaults for missing attributes."""
+    return fill(products, PRODUCT_DEFAULTS)
+
+
+def clean_products(products: DataFrame, weights: str = "filled") -> DataFrame:
+    """Defaults for missing attributes, then ``product_size`` by exact weight
+    quartile: over the zero-filled weights, or with ``weights="present"``
+    over those that are not missing (missing ones still count as 0 g)."""
+    if weights not in ("filled", "present"):
+        raise ValueError("weights must be 'filled' or 'present'")
+    df = fill_products(products)
+    q1, q2, q3 = stats.quantiles(df if weights == "filled" else products, "product_weight_g", (0.25, 0.5, 0.75))
+    return df.withColumn("product_size", C.quartile_band("product_weight_g", q1, q2, q3))
 
 
 def weight_frequency(products_clean: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def weight_frequency(products_clean: DataFrame) -> DataFrame:
 def clean_payments(payments: DataFrame) -> DataFrame:
     """Mean-impute ``payment_value`` into ``payment_value_imputed`` (the mean
     is a scalar subquery), recode the type, rename the order key."""
-    mean_value = stats.mean(payments, "payment_value")
+    mean_value = stats.money_mean(payments, "payment_value")
     df = payments.withColumn("payment_value_imputed", F.coalesce(F.col("payment_value"), mean_value))
     df = df.withColumn("payment_type", C.recode_payment_type("payment_type"))
     return df.withColumnRenamed("order_id", "payment_order_id")

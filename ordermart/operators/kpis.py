@@ -72,25 +72,17 @@ def product_sales(items: DataFrame, product: str = "product_id") -> DataFrame:
 
 
 def price_summary(items: DataFrame, column: str = "price") -> DataFrame:
-    """count, mean, stddev, min, exact quartiles and max in one aggregate."""
-    from ..functions.stats import percentile_disc
+    """count, mean, stddev, min, exact quartiles and max."""
+    from ..functions.stats import quantiles
     c = F.col(column)
+    p25, p50, p75 = quantiles(items, column, (0.25, 0.5, 0.75))
     return items.agg(
         F.count(c).alias("count"),
         F.round(F.avg(c), 4).alias("mean"),
         F.round(F.stddev_samp(c), 4).alias("stddev"),
         F.min(c).alias("min"),
-        percentile_disc(column, 0.25).alias("p25"),
-        percentile_disc(column, 0.5).alias("p50"),
-        percentile_disc(column, 0.75).alias("p75"),
         F.max(c).alias("max"),
-    )
-
-
-def price_summary_builtin(items: DataFrame, column: str = "price") -> DataFrame:
-    """``DataFrame.summary()`` as the original used it (approximate quartiles,
-    values rendered as strings)."""
-    return items.select(column).summary()
+    ).select("count", "mean", "stddev", "min", p25.alias("p25"), p50.alias("p50"), p75.alias("p75"), "max")
 
 
 def seller_revenue_with_attributes(items: DataFrame, sellers: DataFrame) -> DataFrame:
@@ -127,7 +119,8 @@ def top_products(wide: DataFrame, k: int = 10) -> DataFrame:
 
 def top_customers_by_rows(wide: DataFrame, k: int = 10) -> DataFrame:
     return (_delivered(wide).groupBy("customer_id")
-            .agg(F.count("order_id").alias("total_order_per_customer"))
+            .agg(F.count("order_id").alias("total_order_per_customer"),
+                 F.countDistinct("order_id").alias("distinct_orders"))
             .orderBy(F.desc("total_order_per_customer"), "customer_id").limit(k))
 
 
@@ -142,15 +135,13 @@ def _seller_price_window():
 
 
 def top_items_per_seller(wide: DataFrame, k: int = 5, dense: bool = False) -> DataFrame:
-    """Item rows ranked by price within each seller, ranks <= k. The filter
-    on the rank lets Spark cut each group to its top rows on the map side
-    (``WindowGroupLimit``) before the shuffle, so a hot seller is reduced
-    before it reaches a single task."""
+    """Whole item rows ranked by price within each seller, ranks <= k. The
+    filter on the rank lets Spark cut each group to its top rows on the map
+    side (``WindowGroupLimit``) before the shuffle, so a hot seller is
+    reduced before it reaches a single task."""
     name = "dense_rank" if dense else "rank"
     fn = F.dense_rank() if dense else F.rank()
-    return (wide.select("seller_id", "order_id", "item_order_item_id", "price")
-            .withColumn(name, fn.over(_seller_price_window()))
-            .filter(F.col(name) <= k))
+    return wide.withColumn(name, fn.over(_seller_price_window())).filter(F.col(name) <= k)
 
 
 def seller_revenue_rank(wide: DataFrame) -> DataFrame:
@@ -177,7 +168,7 @@ def product_scorecard(wide: DataFrame) -> DataFrame:
         C.money_sum("price").alias("total_revenue"),
         C.money_avg("price").alias("avg_price"),
         F.round(F.stddev_samp("price"), 2).alias("price_volatility"),
-        C.sorted_text(F.collect_set("seller_id")).alias("unique_seller"),
+        F.collect_set("seller_id").alias("unique_seller"),
         avg_review(wide).alias("avg_review_score"),
         review_count(wide).alias("total_reviewes"),
     ).orderBy(F.desc("total_sales")))
@@ -200,6 +191,30 @@ def state_volume(wide: DataFrame) -> DataFrame:
     ).orderBy(F.desc("order_volume")))
 
 
+def zip_points(wide: DataFrame, geo_points: DataFrame) -> DataFrame:
+    """Rows, revenue and orders per point when every item row meets all points
+    of its customer's zip: items are summed up by zip first, so the fan-out
+    is one of zips, not of items."""
+    per_zip = wide.groupBy("customer_zip_code_prefix").agg(
+        F.count("*").alias("rows"), C.money_sum("price").alias("revenue"), F.countDistinct("order_id").alias("orders"))
+    points = geo_points.select("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng")
+    return (per_zip.join(points, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
+            .select("customer_zip_code_prefix", "geolocation_lat", "geolocation_lng", "rows", "revenue", "orders"))
+
+
+def state_volume_as_written(wide: DataFrame, geo_points: DataFrame) -> DataFrame:
+    """``state_volume`` with every point of a zip counted: the zip's sums times
+    its points in each state."""
+    per_zip = (_delivered(wide).groupBy("customer_zip_code_prefix")
+               .agg(F.count("order_id").alias("_n"), C.money_total("price").alias("_spent")))
+    points = (geo_points.groupBy("geolocation_zip_code_prefix", "geolocation_state").agg(F.count("*").alias("_k")))
+    rows = per_zip.join(points, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
+    k = F.coalesce("_k", F.lit(1))
+    return (rows.groupBy("geolocation_state").agg(
+        F.sum(F.col("_n") * k).alias("order_volume"),
+        F.sum(F.col("_spent") * k).cast("double").alias("total_spending")).orderBy(F.desc("order_volume")))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 

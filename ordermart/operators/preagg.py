@@ -22,7 +22,7 @@ def payments_per_order(payments_clean: DataFrame) -> DataFrame:
         F.sum("payment_installments").alias("payment_installments"),
         F.count("*").alias("payment_split_count"),
         C.money_sum("payment_value").alias("payment_value"),
-        C.money_sum("payment_value_imputed").alias("payment_value_imputed"),
+        C.money_sum("payment_value_imputed", places=10).alias("payment_value_imputed"),   # may hold the mean
     )
 
 
@@ -64,6 +64,15 @@ def review_summary_per_order(reviews_clean: DataFrame) -> DataFrame:
     )
 
 
+def one_per_key(dimension: DataFrame, key: str) -> DataFrame:
+    """One row per key: the smallest of its rows. A dimension joined this way
+    never multiplies rows, and a join whose columns nobody reads can be left
+    out of the plan."""
+    rest = [c for c in dimension.columns if c != key]
+    return (dimension.groupBy(key).agg(F.min(F.struct(*rest)).alias("_d"))
+            .select(*[F.col(c) if c == key else F.col(f"_d.{c}").alias(c) for c in dimension.columns]))
+
+
 GEO_ATTRS = ("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng",
              "geolocation_city", "geolocation_state")
 

@@ -99,14 +99,18 @@ def duplicate_columns(df: DataFrame) -> list[str]:
 # --- DQ9 / DQ10 join reconciliation -------------------------------------------------
 def join_reconciliation(silver) -> DataFrame:
     """Row counts of the eight joins of the wide table in their original
-    order, computed in one pass.
+    order, over the raw dimensions (repeated keys count).
 
     Each left join multiplies a row by max(1, matches of its key), so the
     count after stage j is the sum over (order, item) pairs of the running
     product of those multiplicities. The per-key match counts are small
     aggregates joined to one narrow base; no stage output is materialised.
+    Items are scanned for the join and, without columns, for their count.
     """
+    from . import clean
     o, i = silver.orders, silver.items
+    products, sellers = clean.fill_products(silver.raw("products")), silver.raw("sellers")
+    customers, translation = silver.raw("customers"), silver.raw("category_translation")
 
     def per_key(df, key, k, count_name, weighted_name=None, weight: Column | None = None):
         aggs = [F.count("*").alias(count_name)]
@@ -115,16 +119,16 @@ def join_reconciliation(silver) -> DataFrame:
         return df.groupBy(F.col(key).alias(k)).agg(*aggs)
 
     one = F.lit(1)
-    trans = silver.translation.groupBy("product_category_name").agg(F.count("*").alias("_t"))
-    prods = silver.products.join(trans, "product_category_name", "left")
+    trans = translation.groupBy("product_category_name").agg(F.count("*").alias("_t"))
+    prods = products.join(trans, "product_category_name", "left")
     geo_pts = silver.geo.groupBy("geolocation_zip_code_prefix").agg(F.count("*").alias("_g"))
-    custs = silver.customers.join(geo_pts, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
+    custs = customers.join(geo_pts, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
     # item-level multiplicities attach to items, order-level ones to orders;
     # the two sides then meet once on the order id
     item_side = (i.select("item_order_id", "item_product_id", "item_seller_id")
                  .join(per_key(prods, "product_id", "_k1", "P", "PT", F.greatest(F.coalesce("_t", F.lit(0)), one)),
                        F.col("item_product_id") == F.col("_k1"), "left")
-                 .join(per_key(silver.sellers, "seller_id", "_k2", "S"), F.col("item_seller_id") == F.col("_k2"), "left")
+                 .join(per_key(sellers, "seller_id", "_k2", "S"), F.col("item_seller_id") == F.col("_k2"), "left")
                  .select("item_order_id", "P", "PT", "S"))
     order_side = (o.select("order_id", "order_customer_id")
                   .join(per_key(custs, "customer_id", "_k4", "Cn", "CG", F.greatest(F.coalesce("_g", F.lit(0)), one)),
@@ -135,7 +139,7 @@ def join_reconciliation(silver) -> DataFrame:
                   .join(per_key(silver.reviews, "review_order_id", "_k5", "R"), F.col("order_id") == F.col("_k5"), "left")
                   .select("order_id", "Cn", "CG", "Y", "Ynull", "R"))
     from .wide import order_item_join
-    x = order_item_join(order_side, item_side)      # salts hot order ids
+    x = order_item_join(order_side, item_side)
     m = {c: F.coalesce(F.col(c), one).cast("bigint") for c in ("P", "PT", "S", "Y", "Cn", "CG", "R")}
     c2 = m["P"]
     c3 = c2 * m["S"]
@@ -153,8 +157,7 @@ def join_reconciliation(silver) -> DataFrame:
     )
     names = ["orders_items", "products", "sellers", "payments", "customers", "reviews", "geolocation",
              "translation"]
-    rights = [i, silver.products, silver.sellers, silver.payments, silver.customers, silver.reviews,
-              silver.geo, silver.translation]
+    rights = [i, products, sellers, silver.payments, customers, silver.reviews, silver.geo, translation]
     right_counts = _union(r.agg(F.count("*").alias("right_rows")).select(F.lit(n).alias("stage_name"), "right_rows")
                           for n, r in zip(names, rights))
     stacked = counts.select(F.explode(F.array(*[
@@ -167,11 +170,6 @@ def join_reconciliation(silver) -> DataFrame:
                                                            "null_payment_rows")
 
 
-def unmatched_after_left_join(joined: DataFrame, right_column: str) -> DataFrame:
-    """Rows a left join left without a match (right column null)."""
-    return joined.agg(F.count_if(F.col(right_column).isNull()).alias("unmatched_rows"))
-
-
 # --- DQ11 / DQ12 -----------------------------------------------------------------------
 def orders_per_key_having(spark: SparkSession, df: DataFrame, key: str = "order_id") -> DataFrame:
     """``GROUP BY key HAVING count(*) > 1`` through the SQL surface."""
@@ -316,7 +314,7 @@ def zscore_outliers(df: DataFrame, column: str, table: str = "", limit: float =
 # --- DQ21 reconciliation of totals -------------------------------------------------------------
 def reconcile_totals(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str,
                      tolerance: float = 0.005) -> DataFrame:
-    """Full outer join of two per-key totals with a status per key."""
+    """Full outer join of two per-key totals (exact cents) with a status per key."""
     l = left.select(F.col(key).alias("key"), F.col(left_value).alias("left_total"))
     r = right.select(F.col(key).alias("key"), F.col(right_value).alias("right_total"))
     j = l.join(r, "key", "full")
@@ -343,26 +341,28 @@ def category_drift(df: DataFrame, period: str, category: str) -> DataFrame:
 
 # --- DQ23 summary statistics -------------------------------------------------------------------------
 def summary_stats(df: DataFrame, columns: Sequence[str], table: str = "") -> DataFrame:
+    """Count, mean, deviation, range and exact quartiles per column."""
     def one(c):
         x = F.col(c)
+        p25, median, p75 = [q.cast("double") for q in stats.quantiles(df, c, (0.25, 0.5, 0.75))]
         return df.agg(F.count(x).alias("count"), F.round(F.avg(x), 4).alias("mean"),
                       F.round(F.stddev_samp(x), 4).alias("stddev"), F.min(x).cast("double").alias("min"),
-                      stats.percentile_disc(c, 0.25).cast("double").alias("p25"),
-                      stats.percentile_disc(c, 0.5).cast("double").alias("median"),
-                      stats.percentile_disc(c, 0.75).cast("double").alias("p75"),
                       F.max(x).cast("double").alias("max")).select(
-            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), "*")
+            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), "count", "mean", "stddev", "min",
+            p25.alias("p25"), median.alias("median"), p75.alias("p75"), "max")
     return _union(one(c) for c in columns)
 
 
 # --- DQ24 file lines vs parsed records ---------------------------------------------------------------
 def line_count_check(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Physical lines of a headered CSV against records parsed with and
-    without multi-line quoting (a gap means embedded newlines)."""
+    """Physical lines of headered CSV files against records parsed with and
+    without multi-line quoting (a gap means embedded newlines). Every file
+    that has a line has a header."""
     from ..sources.readers import read_csv
     multi = read_csv(spark, path, table, multiline=True).agg(F.count("*")).scalar()
     naive = read_csv(spark, path, table, multiline=False).agg(F.count("*")).scalar()
-    return spark.read.text(path).agg((F.count("*") - F.lit(1)).alias("data_lines")).select(
+    files = spark.read.text(path).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("lines"))
+    return files.agg(F.coalesce(F.sum(F.col("lines") - 1), F.lit(0)).alias("data_lines")).select(
         F.lit(table).alias("table_name"), "data_lines", multi.alias("records_multiline"),
         naive.alias("records_naive"))
 
@@ -401,6 +401,25 @@ def mask_customers(customers: DataFrame) -> DataFrame:
 
 
 # --- DQ28 units -------------------------------------------------------------------------------------------
+#: fixed values: unit of a measure, the standard unit, and how many of the one make one of the other
+UNITS = [("g", "kg", 1000.0), ("cm", "m", 100.0), ("mm", "m", 1000.0), ("kg", "kg", 1.0), ("m", "m", 1.0)]
+
+
+def unit_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(UNITS, "unit string, standard_unit string, per_standard double")
+
+
+def standardize_units(products: DataFrame, units: DataFrame, measures: Mapping[str, str]) -> DataFrame:
+    """Measures in their standard units, by a join with the unit table: one
+    row per product and measure (``measures``: column -> unit). A unit that
+    the table lacks leaves the value null."""
+    long = products.select("product_id", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("measure"), F.lit(u).alias("unit"), F.col(c).cast("double").alias("value"))
+        for c, u in measures.items()])).alias("m")).select("product_id", "m.*")
+    return (long.join(F.broadcast(units), "unit", "left")                       # UNITS: a handful of rows
+            .select("product_id", "measure", "standard_unit", (F.col("value") / F.col("per_standard")).alias("standard_value")))
+
+
 def standardize_product_units(products: DataFrame) -> DataFrame:
     """Grams -> kilograms, centimetres -> metres, plus volume in litres."""
     cm = ["product_length_cm", "product_height_cm", "product_width_cm"]

@@ -15,6 +15,10 @@ strictly greater value, computed as:
    branches see the same partition ids;
 5. rank = 1 + partition offset + rows before within the partition, joined
    back to the rows on the value (null-safe: nulls sort last).
+
+The rows are written once and read by both branches, so the input is
+evaluated once and both see the same values. The window over partition
+offsets runs in one task; it has one row per range partition.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ def global_rank(df: DataFrame, value: str, name: str = "rank", dense: bool = Fal
     from ..plans.sinks import materialize
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = materialize(df, spark, f"global-rank-rows-{uuid.uuid4().hex}")
     order = F.desc_nulls_last(value)
     weight = F.lit(1).cast("bigint") if dense else F.count("*")
     hist = df.groupBy(value).agg(weight.alias("_n"))
@@ -46,37 +51,3 @@ def global_rank(df: DataFrame, value: str, name: str = "rank", dense: bool = Fal
              .select(F.col(value).alias("_v"), (F.lit(1) + F.col("_off") + F.col("_before")).cast("int").alias(name)))
     return df.join(ranks, df[value].eqNullSafe(ranks["_v"]), "inner").drop("_v")
 
-
-def group_row_number(df: DataFrame, group: str, order: list[str], name: str = "row_number",
-                     partitions: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY group ORDER BY order)`` that stays
-    balanced when one group holds a large share of the rows.
-
-    Rows are range-partitioned by (group, order...), so a hot group spans
-    many partitions. Each (partition, group) slice is numbered locally, and
-    the slice's offset is the row count of the same group in earlier
-    partitions: a side table with one row per (partition, group), at most
-    one row per partition for any single group. ``order`` must make rows
-    unique within a group for the numbering to be deterministic.
-
-    Partition ids are a property of one physical execution, so the
-    range-partitioned rows are written once (with their id) to the shared
-    checkpoint folder and both the numbering and the offsets read that
-    copy; recomputing the exchange in two branches could assign different
-    ids.
-    """
-    import uuid
-
-    from ..plans.sinks import materialize
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, group, *order).withColumn("_pid", F.spark_partition_id()),
-                         spark, f"group-row-number-{uuid.uuid4().hex}")
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", group).orderBy(*order)))
-    # slice sizes come from the numbered rows themselves (same lineage)
-    counts = local.groupBy("_pid", group).agg(F.max("_local").alias("_c"))
-    prior = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("_pid").alias("_opid"), F.col(group).alias("_ogrp"),
-                            F.coalesce(F.sum("_c").over(prior), F.lit(0)).alias("_off"))
-    joined = local.join(offsets, (F.col("_pid") == F.col("_opid")) & F.col(group).eqNullSafe(F.col("_ogrp")))
-    return joined.select(*df.columns, (F.col("_local") + F.col("_off")).cast("int").alias(name))

@@ -13,12 +13,20 @@ SEGMENT_KEY = "order_customer_id_customer_segmented"
 
 def customer_spend(item_rows: DataFrame, customer: str = "order_customer_id") -> DataFrame:
     """Per customer over item-grain rows: row count (``total_orders``, the
-    original's name for it), cent total and mean item price (``AOV``)."""
-    return item_rows.groupBy(customer).agg(
+    original's name for it), cent total, mean item price (``AOV``), and the
+    plain orders beside them: ``distinct_orders`` and revenue per order
+    (``avg_order_value``)."""
+    return _with_order_value(item_rows.groupBy(customer).agg(
         F.count("order_id").alias("total_orders"),
         C.money_sum("price").alias("total_spent"),
         C.money_avg("price").alias("AOV"),
-    )
+        F.countDistinct("order_id").alias("distinct_orders"),
+    ))
+
+
+def _with_order_value(spend: DataFrame) -> DataFrame:
+    value = F.try_divide(F.col("total_spent").cast("decimal(20,2)"), F.col("distinct_orders"))
+    return spend.withColumn("avg_order_value", F.round(value, 2).cast("double"))
 
 
 def customer_spend_from_orders(orders_clean: DataFrame, items_clean: DataFrame,
@@ -29,7 +37,7 @@ def customer_spend_from_orders(orders_clean: DataFrame, items_clean: DataFrame,
     ``(order_customer_id, k)`` weights customers whose wide rows are
     repeated k times (geolocation fan-out)."""
     per_order = items_clean.groupBy("item_order_id").agg(
-        F.count("*").alias("_rows"), F.count("price").alias("_priced"), F.sum("price").alias("_sum"))
+        F.count("*").alias("_rows"), F.count("price").alias("_priced"), C.money_total("price").alias("_sum"))
     j = (orders_clean.select("order_id", "order_customer_id")
          .join(per_order, F.col("order_id") == F.col("item_order_id"), "inner"))
     k = F.lit(1)
@@ -38,11 +46,14 @@ def customer_spend_from_orders(orders_clean: DataFrame, items_clean: DataFrame,
         k = F.coalesce(F.col("k"), F.lit(1))
     agg = j.groupBy("order_customer_id").agg(
         F.sum(F.col("_rows") * k).alias("total_orders"),
-        F.round(F.sum(F.col("_sum") * k), 2).alias("total_spent"),
+        F.sum(F.col("_sum") * k).cast("decimal(28,2)").alias("_spent"),
         F.sum(F.col("_priced") * k).alias("_priced"),
+        F.countDistinct("order_id").alias("distinct_orders"),
     )
-    aov = F.round(F.try_divide(F.col("total_spent").cast("decimal(20,2)"), F.col("_priced")), 2).cast("double")
-    return agg.select("order_customer_id", "total_orders", "total_spent", aov.alias("AOV"))
+    aov = F.round(F.try_divide(F.col("_spent"), F.col("_priced")), 2).cast("double")
+    return _with_order_value(agg.select("order_customer_id", "total_orders",
+                                        F.col("_spent").cast("double").alias("total_spent"), aov.alias("AOV"),
+                                        "distinct_orders"))
 
 
 def segment_customers(spend: DataFrame, approximate: bool = False) -> DataFrame:
@@ -54,4 +65,5 @@ def segment_customers(spend: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def segments_for_join(segmented: DataFrame) -> DataFrame:
-    return segmented.withColumnRenamed("order_customer_id", SEGMENT_KEY)
+    return segmented.select(F.col("order_customer_id").alias(SEGMENT_KEY), "total_orders", "total_spent", "AOV",
+                            "aov_segment")

@@ -1,32 +1,31 @@
 """The wide order-item table: cleaned sources, pre-aggregates and eight joins.
 
-Join plan (same rows as joining the fact first and dimensions after):
-
-1. items  <- products, sellers only when they fail the size check (joined
-                                             while item rows are narrow)
-2. orders <- payments/order, reviews/order, customers, segments
-                                            (all one row per key: the order
-                                             side never multiplies)
-3. (2) INNER (1) on order id               the only join whose both sides are
-                                            large; hot order ids are salted
-4. <- size-checked small products/sellers, geolocation (one row per zip,
-   bounded) and category translation, all broadcast after the shuffle, so
-   the big shuffle carries only the narrow item columns.
-
-Order-level tables meet the items exactly once, and no order-level join
-re-shuffles the item-grain rows. An order id holding a large share of the
-items is salted in that one join (``order_item_join``): AQE cannot split it
-because the order side arrives through co-partitioned joins.
+Every dimension has one row per key (``preagg.one_per_key``; geolocation one
+per zip), so the left joins never multiply rows and a build that does not
+ask for a dimension's columns leaves its join out. Join plan:
+
+1. items  <- products, sellers only when they are not small (joined while
+                                             item rows are narrow)
+2. orders <- customers, segments, payments/order, reviews/order
+                                            (one row per order)
+3. (2) INNER (1) on order id               the only join of two large sides
+4. <- small products/sellers, geolocation and category translation,
+   broadcast after the shuffle, so the big shuffle carries only the narrow
+   item columns.
+
+Order-level tables meet the items exactly once. Building the table runs no
+job, unless segment columns are asked for (``Silver.customer_segments``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.physical import broadcast_row_limit, rows_at_most, rows_at_most_each
+from ..plans import physical
 from . import clean, features, preagg, segments
 
 ORDER_COLUMNS = ["order_id", "order_customer_id", "order_status", "order_purchase_timestamp",
@@ -61,52 +60,68 @@ WIDE_COLUMNS = JOINED_COLUMNS + SEGMENT_COLUMNS + list(features.FEATURE_COLUMNS)
 GEO_MODES = ("one_per_zip", "as_written")
 
 
+
 def _table(src, name: str) -> DataFrame:
     return src[name] if isinstance(src, Mapping) else getattr(src, name)
 
 
 class Silver:
-    """Cleaned and pre-aggregated inputs of the wide table (all lazy)."""
+    """Cleaned and pre-aggregated inputs of the wide table (all lazy; each is
+    planned when it is first asked for)."""
 
     def __init__(self, src, geo_mode: str = "one_per_zip", review_mode: str = "lists"):
         if geo_mode not in GEO_MODES:
             raise ValueError(f"geo_mode must be one of {GEO_MODES}")
         if review_mode not in REVIEW_MODES:
             raise ValueError(f"review_mode must be one of {REVIEW_MODES}")
-        self.geo_mode, self.review_mode = geo_mode, review_mode
-        self.orders = clean.clean_orders(_table(src, "orders"))
-        self.items = clean.clean_items(_table(src, "order_items"))
-        self.products = clean.clean_products(_table(src, "products"))
-        self.payments = preagg.payments_per_order(clean.clean_payments(_table(src, "order_payments")))
-        reviews = clean.clean_reviews(_table(src, "order_reviews"))
-        self.reviews = (preagg.reviews_per_order(reviews) if review_mode == "lists"
-                        else preagg.review_summary_per_order(reviews))
-        self.customers = _table(src, "customers")
-        self.sellers = _table(src, "sellers")
-        self.translation = _table(src, "category_translation")
-        raw_geo = _table(src, "geolocation")
-        self.geo = preagg.geo_one_per_zip(raw_geo) if geo_mode == "one_per_zip" else preagg.geo_dedupe(raw_geo)
-        # raw inputs whose row counts bound the derived dimension tables
-        self.bounds = {"products": _table(src, "products"), "geo": raw_geo, "sellers": self.sellers,
-                       "translation": self.translation}
-        # aggregated dimensions can be far smaller than their raw bound
-        self.derived = {"geo": self.geo}
-        self._segments: DataFrame | None = None
-        self._small: dict[tuple[str, int], bool] = {}
-
-    def is_small(self, name: str, max_rows: int | None = None) -> bool:
-        """Size check of a dimension, done once: first against its raw bound
-        (a scan that stops after max_rows + 1 rows); when that fails and the
-        dimension is an aggregate, against the aggregate itself."""
-        max_rows = max_rows or broadcast_row_limit(self.orders.sparkSession)
-        if (name, max_rows) not in self._small:
-            # check every dimension's raw bound in one job
-            pending = {n: df for n, df in self.bounds.items() if (n, max_rows) not in self._small}
-            for n, ok in rows_at_most_each(pending, max_rows).items():
-                if not ok and n in self.derived:
-                    ok = rows_at_most(self.derived[n], max_rows)
-                self._small[(n, max_rows)] = ok
-        return self._small[(name, max_rows)]
+        self.src, self.geo_mode, self.review_mode = src, geo_mode, review_mode
+
+    def raw(self, name: str) -> DataFrame:
+        return _table(self.src, name)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return clean.clean_orders(self.raw("orders"))
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return clean.clean_items(self.raw("order_items"))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return preagg.one_per_key(clean.clean_products(self.raw("products")), "product_id")
+
+    @cached_property
+    def products_unsized(self) -> DataFrame:
+        """Without ``product_size``, for builds that do not ask for it: no
+        quartiles are computed."""
+        return preagg.one_per_key(clean.fill_products(self.raw("products")), "product_id")
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return preagg.payments_per_order(clean.clean_payments(self.raw("order_payments")))
+
+    @cached_property
+    def reviews(self) -> DataFrame:
+        reviews = clean.clean_reviews(self.raw("order_reviews"))
+        return (preagg.reviews_per_order(reviews) if self.review_mode == "lists"
+                else preagg.review_summary_per_order(reviews))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return preagg.one_per_key(self.raw("customers"), "customer_id")
+
+    @cached_property
+    def sellers(self) -> DataFrame:
+        return preagg.one_per_key(self.raw("sellers"), "seller_id")
+
+    @cached_property
+    def translation(self) -> DataFrame:
+        return preagg.one_per_key(self.raw("category_translation"), "product_category_name")
+
+    @cached_property
+    def geo(self) -> DataFrame:
+        return (preagg.geo_one_per_zip if self.geo_mode == "one_per_zip" else preagg.geo_dedupe)(self.raw("geolocation"))
 
     def fanout(self) -> DataFrame | None:
         """Rows each customer's items are repeated by the geolocation join
@@ -114,139 +129,121 @@ class Silver:
         if self.geo_mode == "one_per_zip":
             return None
         points = self.geo.groupBy("geolocation_zip_code_prefix").agg(F.count("*").alias("_pts"))
-        per_row = (self.customers
-                   .join(points, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
-                   .select(F.col("customer_id").alias("order_customer_id"),
-                           F.greatest(F.coalesce("_pts", F.lit(0)), F.lit(1)).alias("_k")))
-        return per_row.groupBy("order_customer_id").agg(F.sum("_k").alias("k"))
+        return (self.customers
+                .join(points, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
+                .select(F.col("customer_id").alias("order_customer_id"),
+                        F.greatest(F.coalesce("_pts", F.lit(0)), F.lit(1)).alias("k")))
 
     def customer_spend(self) -> DataFrame:
         return segments.customer_spend_from_orders(self.orders, self.items, self.fanout())
 
-    def customer_segments(self, approximate: bool = False, materialize: bool = True) -> DataFrame:
-        """AOV segments. The spend table (one row per customer, but derived
-        from a full item scan) is read twice, by the percentile scalars and
-        by the banding; ``materialize`` writes it once to the shared
-        checkpoint folder so the item scan is not repeated, and cuts the
-        lineage there."""
-        if self._segments is None:
-            spend = self.customer_spend()
-            if materialize:
-                import uuid
-
-                from ..plans.sinks import materialize as write_back
-                spend = write_back(spend, spend.sparkSession, f"customer_spend-{uuid.uuid4().hex}")
-            self._segments = segments.segment_customers(spend, approximate=approximate)
+    @cached_property
+    def _segments(self) -> DataFrame:
+        import uuid
+
+        from ..plans.sinks import materialize
+        spend = self.customer_spend()
+        spend = materialize(spend, spend.sparkSession, f"customer_spend-{uuid.uuid4().hex}")
+        return segments.segment_customers(spend)
+
+    def customer_segments(self) -> DataFrame:
+        """AOV segments. The spend table (one row per customer, from a scan
+        of all items) is read by the percentiles and by the banding, so it is
+        written once to the shared folder, which also cuts the lineage: this
+        is the one build step that runs a job."""
         return self._segments
 
 
-def item_side(silver: Silver, broadcast_rows: int | None = None) -> DataFrame:
-    """Items with their product and seller attributes (all joins here)."""
-    return _attach_item_dims(silver.items, silver, broadcast_rows, post_shuffle=None)
+def _attach(df: DataFrame, dim: DataFrame, raw: DataFrame, cond, max_bytes: int | None) -> DataFrame:
+    """Left join of a dimension, broadcast when its raw table is small."""
+    return df.join(F.broadcast(dim) if physical.is_small(raw, max_bytes) else dim, cond, "left")
 
 
-def _attach_item_dims(df: DataFrame, silver: Silver, broadcast_rows: int | None,
-                      post_shuffle: bool | None) -> DataFrame:
-    """Join products and sellers. ``post_shuffle`` selects which of them to
-    join now: True -> only the size-checked small ones (broadcast, after
-    the order join, so the big shuffle carries only the narrow item
-    columns); False -> only the large ones (before the order join, while
-    rows are narrow); None -> both."""
-    for name, dim, cond in (
-        ("products", silver.products, F.col("item_product_id") == F.col("product_id")),
-        ("sellers", silver.sellers, F.col("item_seller_id") == F.col("seller_id")),
+def _attach_item_dims(df: DataFrame, silver: Silver, needed: set[str], max_bytes: int | None,
+                      small: bool) -> DataFrame:
+    """Join those of products and sellers that are needed and small (after
+    the order join) or not small (before it, while rows are narrow)."""
+    products = silver.products if "product_size" in needed else silver.products_unsized
+    translated = {"product_category_name", "product_category_name_english"}
+    for name, dim, columns, cond in (
+        ("products", products, {*PRODUCT_COLUMNS, *translated}, F.col("item_product_id") == F.col("product_id")),
+        ("sellers", silver.sellers, set(SELLER_COLUMNS), F.col("item_seller_id") == F.col("seller_id")),
     ):
-        small = silver.is_small(name, broadcast_rows)
-        if post_shuffle is None or post_shuffle == small:
-            df = df.join(F.broadcast(dim) if small else dim, cond, "left")
+        if needed & columns and physical.is_small(silver.raw(name), max_bytes) == small:
+            df = _attach(df, dim, silver.raw(name), cond, max_bytes)
     return df
 
 
-def order_side(silver: Silver, with_segments: bool = True,
-               broadcast_rows: int | None = None) -> DataFrame:
-    """One row per order with customer (and segment), payments, reviews.
-
-    Customer-keyed joins come first and order-keyed joins last, so orders
-    are shuffled once per key and leave hash-partitioned by order id, the
-    partitioning the item join needs."""
+def order_side(silver: Silver, needed: set[str]) -> DataFrame:
+    """One row per order with what is needed of customer, segment, payments
+    and reviews. Customer-keyed joins come first and order-keyed ones last,
+    so orders are shuffled once per key."""
     o = silver.orders
-    if with_segments:
-        # customers and segments are both keyed by customer: combine them
-        # first (full outer keeps segment rows of customers missing from the
-        # customer table), so orders meet customer data in a single join
-        # whose skewed partitions AQE can split.
+    if needed & set(SEGMENT_COLUMNS):
+        # customers and segments share their key: combined first (full outer
+        # keeps segments of customers missing from the customer table), so
+        # orders meet customer data in one join that AQE can split
         seg = segments.segments_for_join(silver.customer_segments())
         cust = (silver.customers.join(seg, F.col("customer_id") == F.col(segments.SEGMENT_KEY), "full")
                 .withColumn("_cust_key", F.coalesce(F.col("customer_id"), F.col(segments.SEGMENT_KEY))))
         o = o.join(cust, F.col("order_customer_id") == F.col("_cust_key"), "left").drop("_cust_key")
-    else:
+    elif needed & {*CUSTOMER_COLUMNS, *GEO_COLUMNS}:
         o = o.join(silver.customers, F.col("order_customer_id") == F.col("customer_id"), "left")
-    o = o.join(silver.payments, F.col("order_id") == F.col("payment_order_id"), "left")
-    o = o.join(silver.reviews, F.col("order_id") == F.col("review_order_id"), "left")
+    if needed & set(PAYMENT_COLUMNS):
+        o = o.join(silver.payments, F.col("order_id") == F.col("payment_order_id"), "left")
+    if needed & {*REVIEW_COLUMNS, *REVIEW_SUMMARY_COLUMNS}:
+        o = o.join(silver.reviews, F.col("order_id") == F.col("review_order_id"), "left")
     return o
 
 
-HOT_KEY_ROWS_CONF = "spark.ordermart.hotKeyRows"
-SALT_BUCKETS_CONF = "spark.ordermart.saltBuckets"
-
-
-def hot_orders(items: DataFrame, threshold: int) -> DataFrame:
-    """Order ids with more than ``threshold`` item rows (a partial aggregate
-    over one column). Its size is bounded by total rows / threshold."""
-    return (items.groupBy(F.col("item_order_id").alias("_hot_id")).agg(F.count("*").alias("_n"))
-            .filter(F.col("_n") > threshold).select("_hot_id"))
-
-
 def order_item_join(orders: DataFrame, items: DataFrame) -> DataFrame:
     """INNER join of order-grain rows with item rows on the order id, safe
-    for an order holding a large share of all items.
-
-    AQE cannot split a skewed partition of this join (the order side
-    arrives through co-partitioned joins, not a shuffle stage), so hot
-    order ids are salted: their item rows get a deterministic hash salt in
-    [0, buckets) and their single order row is replicated once per bucket;
-    every other order keeps salt 0. Without hot orders the plain join runs.
-    """
-    spark = items.sparkSession
-    threshold = int(spark.conf.get(HOT_KEY_ROWS_CONF, "1000000"))
-    buckets = int(spark.conf.get(SALT_BUCKETS_CONF, "64"))
-    cond = F.col("order_id") == F.col("item_order_id")
-    hot = hot_orders(items, threshold)
-    max_list = broadcast_row_limit(spark)
-    n_hot = hot.limit(max_list + 1).count()
-    if n_hot == 0 or buckets <= 1:
-        return orders.join(items, cond, "inner")
-    hot = F.broadcast(hot) if n_hot <= max_list else hot
-    item_salt = F.pmod(F.xxhash64(*[F.col(c) for c in items.columns]), F.lit(buckets))
-    items_s = (items.join(hot, F.col("item_order_id") == F.col("_hot_id"), "left")
-               .withColumn("_isalt", F.when(F.col("_hot_id").isNotNull(), item_salt).otherwise(F.lit(0)))
-               .drop("_hot_id"))
-    replicas = F.when(F.col("_hot_id").isNotNull(), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    orders_s = (orders.join(hot, F.col("order_id") == F.col("_hot_id"), "left")
-                .withColumn("_osalt", F.explode(replicas)).drop("_hot_id"))
-    return (orders_s.join(items_s, cond & (F.col("_osalt") == F.col("_isalt")), "inner")
-            .drop("_osalt", "_isalt"))
-
-
-def join_wide(silver: Silver, *, with_segments: bool = True, partitions: int | None = None,
-              broadcast_rows: int | None = None) -> DataFrame:
-    """All joins, no features: rows = items with a matching order (times the
-    geolocation fan-out in as-written mode)."""
-    orders_part = order_side(silver, with_segments, broadcast_rows)
-    items = _attach_item_dims(silver.items, silver, broadcast_rows, post_shuffle=False)
+    for an order that holds a large share of all items.
+
+    AQE splits a skewed partition only where both inputs come straight from
+    a shuffle, but the order side leaves its own joins partitioned by order
+    id already. The join is therefore keyed by (hash of the id, id): no input
+    has that partitioning, so both are shuffled and AQE can split a hot order
+    (``SortMergeJoin(skew=true)``)."""
+    return orders.join(items, (F.xxhash64("order_id") == F.xxhash64("item_order_id"))
+                       & (F.col("order_id") == F.col("item_order_id")), "inner")
+
+
+#: joined columns that features read
+_FEATURE_INPUTS = {
+    "order_revenue": {"price", "freight_value"}, "is_payment_missing": {"payment_value"},
+    "has_review": {"review_titles", "review_message", "review_count", "any_title_no_review", "any_message_no_review"},
+    "time_from_delivery_to_review": {"review_creation_date"},
+    "time_to_response": {"review_creation_date", "review_answer_timestamp"},
+}
+
+
+def join_wide(silver: Silver, needed: Iterable[str] | None = None, *, partitions: int | None = None,
+              max_bytes: int | None = None) -> DataFrame:
+    """The joins that the needed columns ask for (all by default), without
+    features: rows = items with a matching order (times the geolocation
+    fan-out in as-written mode)."""
+    every = joined_columns(silver.review_mode) + SEGMENT_COLUMNS
+    needed = set(every if needed is None else needed)
+    orders_part = order_side(silver, needed)
+    items = _attach_item_dims(silver.items, silver, needed, max_bytes, small=False)
     if partitions:
         orders_part = orders_part.repartition(partitions, "order_id")
         items = items.repartition(partitions, "item_order_id")
-    wide = order_item_join(orders_part, items)
-    wide = _attach_item_dims(wide, silver, broadcast_rows, post_shuffle=True)
-    geo = F.broadcast(silver.geo) if silver.is_small("geo", broadcast_rows) else silver.geo
-    wide = wide.join(geo, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
-    translation = silver.translation
-    if silver.is_small("translation", broadcast_rows):
-        translation = F.broadcast(translation)
-    wide = wide.join(translation, on="product_category_name", how="left")
-    cols = joined_columns(silver.review_mode) + (SEGMENT_COLUMNS if with_segments else [])
-    return wide.select(*cols)
+        wide = orders_part.join(items, F.col("order_id") == F.col("item_order_id"), "inner")
+    else:
+        wide = order_item_join(orders_part, items)
+    wide = _attach_item_dims(wide, silver, needed, max_bytes, small=True)
+    if needed & set(GEO_COLUMNS) or silver.geo_mode == "as_written":
+        if "customer_zip_code_prefix" not in wide.columns:
+            raise ValueError("as_written geolocation needs a customer or geolocation column")
+        wide = _attach(wide, silver.geo, silver.raw("geolocation"),
+                       F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), max_bytes)
+    if "product_category_name_english" in needed:
+        dim = silver.translation.withColumnRenamed("product_category_name", "_category")
+        wide = _attach(wide, dim, silver.raw("category_translation"),
+                       F.col("product_category_name") == F.col("_category"), max_bytes)
+    return wide.select(*[c for c in every if c in needed])
 
 
 def joined_columns(review_mode: str = "lists") -> list[str]:
@@ -260,16 +257,28 @@ def wide_columns(review_mode: str = "lists") -> list[str]:
     return joined_columns(review_mode) + SEGMENT_COLUMNS + list(features.FEATURE_COLUMNS) + ["order_year_month"]
 
 
-def build_wide(src, *, geo_mode: str = "one_per_zip", review_mode: str = "lists",
-               partitions: int | None = None, broadcast_rows: int | None = None,
+def build_wide(src, columns: Iterable[str] | None = None, *, geo_mode: str = "one_per_zip", review_mode: str = "lists",
+               partitions: int | None = None, max_bytes: int | None = None,
                keep_sentinels: bool = False, as_written_review_label: bool = False) -> DataFrame:
-    """The full wide table with features and ``order_year_month``: 72
-    columns with per-order review lists (the original data model), or with
-    the constant-size review summary (``review_mode="summary"``) when an
-    order may carry unbounded reviews."""
-    silver = Silver(src, geo_mode, review_mode)
-    wide = join_wide(silver, partitions=partitions, broadcast_rows=broadcast_rows)
-    wide = features.add_features(wide, keep_sentinels=keep_sentinels,
-                                 as_written_review_label=as_written_review_label,
-                                 review_summary=review_mode == "summary")
-    return features.add_year_month(wide).select(*wide_columns(review_mode))
+    """The wide table with features and ``order_year_month``: 72 columns with
+    per-order review lists (the original data model), or with the
+    constant-size review summary (``review_mode="summary"``) when an order
+    may carry unbounded reviews. With ``columns`` only these are built, and
+    only the joins that they need are in the plan."""
+    silver = src if isinstance(src, Silver) else Silver(src, geo_mode, review_mode)
+    every = wide_columns(silver.review_mode)
+    wanted = every if columns is None else list(columns)
+    unknown = set(wanted) - set(every)
+    if unknown:
+        raise ValueError(f"not columns of the wide table: {sorted(unknown)}")
+    joined = set(joined_columns(silver.review_mode)) | set(SEGMENT_COLUMNS)
+    needed = (set(wanted) & joined) | set().union(*[_FEATURE_INPUTS.get(c, set()) for c in wanted]) & joined
+    needed |= {"order_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date",
+               "order_estimated_delivery_date"}
+    if silver.geo_mode == "as_written":
+        needed.add("customer_zip_code_prefix")
+    wide = join_wide(silver, needed, partitions=partitions, max_bytes=max_bytes)
+    derived = features.feature_columns(keep_sentinels=keep_sentinels, as_written_review_label=as_written_review_label,
+                                       review_summary=silver.review_mode == "summary")
+    wide = wide.withColumns({n: e for n, e in derived.items() if n in wanted})
+    return features.add_year_month(wide).select(*wanted)

@@ -1,10 +1,9 @@
 """Physical controls: size-checked broadcast, key partitioning, inspection.
 
-Broadcast policy: a side is hinted for broadcast only after a row-count
-check proves it small (a ``limit(n + 1).count()`` job, which stops reading
-as soon as the bound is exceeded). Beyond the bound the join is left to the
-planner and AQE, which measure the real shuffle sizes at run time and pick
-broadcast hash join or sort-merge join (with skew splitting) themselves.
+Broadcast policy: a side is hinted for broadcast only when the optimizer's
+statistics (file sizes of the scans below it) put it under a bound in bytes.
+The check reads no data and runs no job. Beyond the bound the join is left
+to the planner and AQE, which measure the real shuffle sizes at run time.
 """
 
 from __future__ import annotations
@@ -12,42 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 500_000   # ~100 bytes/row for these dimensions -> tens of MB per executor
-BROADCAST_ROWS_CONF = "spark.ordermart.broadcastMaxRows"
+DEFAULT_BROADCAST_BYTES = 16 << 20   # of compressed files; a few times that in memory
+BROADCAST_BYTES_CONF = "spark.ordermart.broadcastMaxBytes"
 
 
-def broadcast_row_limit(spark, default: int = DEFAULT_BROADCAST_ROWS) -> int:
-    """Row bound for hinted broadcasts; a session can lower or raise it."""
-    return int(spark.conf.get(BROADCAST_ROWS_CONF, str(default)))
+def broadcast_byte_limit(spark, default: int = DEFAULT_BROADCAST_BYTES) -> int:
+    """Byte bound for hinted broadcasts; a session can lower or raise it."""
+    return int(spark.conf.get(BROADCAST_BYTES_CONF, str(default)))
 
 
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded-cost check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def plan_bytes(df: DataFrame) -> int:
+    """Size of ``df`` by the optimizer's statistics; without any (data that
+    comes from no file) it is unbounded."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def rows_at_most_each(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """``rows_at_most`` for several frames in one job: a union of per-frame
-    ``limit(max_rows + 1)`` probes counted by name (the result holds at most
-    one small row per frame)."""
-    if not frames:
-        return {}
-    probes = [df.limit(max_rows + 1).select(F.lit(name).alias("_frame")) for name, df in frames.items()]
-    union = probes[0]
-    for p in probes[1:]:
-        union = union.unionByName(p)
-    counts = {r["_frame"]: r["count"] for r in union.groupBy("_frame").count().collect()}
-    return {name: counts.get(name, 0) <= max_rows for name in frames}
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    return plan_bytes(df) <= (broadcast_byte_limit(df.sparkSession) if max_bytes is None else max_bytes)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       bound_by: DataFrame | None = None) -> DataFrame:
-    """Hint ``df`` for broadcast only when its row count is proven small.
-
-    ``bound_by`` is an input whose row count bounds ``df``'s (``df`` is a
-    1:1 projection or an aggregate of it); checking the raw input needs no
-    aggregation job and the bound still holds."""
-    return F.broadcast(df) if rows_at_most(bound_by if bound_by is not None else df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Hint ``df`` for broadcast only when its size is bounded."""
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:

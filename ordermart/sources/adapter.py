@@ -69,15 +69,14 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several payment rows per order. ``payment_sequential`` numbers a user's
-    events in time order. Real payment files carry this number; the window
-    here only derives it from the test event table (a user holding a large
-    share of events would be numbered in one task;
-    ``ranking.group_row_number`` is the balanced form)."""
+    """One payment row per event, spread over the orders: every tenth event
+    pays for its neighbour's order, so orders have none, one or two rows.
+    ``payment_sequential`` numbers an order's rows in time order."""
     e, t = F.col("event_id"), F.col("event_type")
-    seq = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    key = F.when(e % 10 == 0, e + 1).otherwise(e)
+    seq = Window.partitionBy(key).orderBy("ts", "event_id")
     return _scan(spark, sf_dir, "events").select(
-        F.md5(F.col("user_id").cast("string")).alias("order_id"),
+        F.md5(key.cast("string")).alias("order_id"),
         F.row_number().over(seq).cast("int").alias("payment_sequential"),
         F.when(t == "view", "boleto").when(t == "click", "credit_card")
         .when(t == "purchase", "debit_card").when(t == "signup", "voucher")
@@ -88,12 +87,24 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, t = F.col("conv_id"), F.col("turn")
+    """One review row per order key, its text a turn of a conversation: the
+    keys go round the conversations and, in each, round its turns, so all
+    turns are used. Every seventh review is about its neighbour's order, so
+    orders have none, one or two."""
+    texts = _scan(spark, sf_dir, "conversations")
+    size = texts.groupBy("conv_id").agg(F.count("*").alias("turns"))
+    n = texts.agg(F.max("conv_id") + 1).scalar()
+    keys = (_scan(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % n).alias("conv_id"),
+                                                  F.floor(F.col("o_orderkey") / n).alias("round"))
+            .join(size, "conv_id").withColumn("turn", F.col("round") % F.col("turns")))
+    k = F.col("k")
+    c, t = k % 365, k % 7
     ct = c + t
+    about = F.when(k % 7 == 0, k + 1).otherwise(k)
     epoch = F.lit(REVIEW_EPOCH).cast("timestamp_ntz")
-    return _scan(spark, sf_dir, "conversations").select(
-        F.md5(F.concat(c.cast("string"), F.lit("-"), t.cast("string"))).alias("review_id"),
-        F.when(c % 11 == 3, F.lit(DATE_LIKE_ORDER_ID)).otherwise(F.md5(c.cast("string"))).alias("order_id"),
+    return keys.join(texts, ["conv_id", "turn"]).select(
+        F.md5(F.concat(F.lit("r"), k.cast("string"))).alias("review_id"),
+        F.when(k % 11 == 3, F.lit(DATE_LIKE_ORDER_ID)).otherwise(F.md5(about.cast("string"))).alias("order_id"),
         F.when(ct % 6 != 0, (ct % 6).cast("int")).alias("review_score"),
         F.when(ct % 3 != 0, F.col("role")).alias("review_comment_title"),
         F.when(ct % 2 != 0, F.col("text")).alias("review_comment_message"),
@@ -151,10 +162,11 @@ def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per category with an English name; one category left out."""
+    """One row per category; one category has no English name."""
     ty = F.col("p_type")
-    return (_scan(spark, sf_dir, "part").filter(ty != UNTRANSLATED_CATEGORY)
-            .select(ty.alias("product_category_name"), F.lower(ty).alias("product_category_name_english"))
+    return (_scan(spark, sf_dir, "part")
+            .select(ty.alias("product_category_name"),
+                    F.when(ty != UNTRANSLATED_CATEGORY, F.lower(ty)).alias("product_category_name_english"))
             .distinct())
 
 

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import clean
 from ..plans.sinks import scratch_root
 from ..sources import schemas
+from ..sources.readers import MULTILINE_TABLES
 
 ROW_LEVEL_CLEANERS = {
     "orders": clean.clean_orders,
@@ -31,7 +32,7 @@ ROW_LEVEL_CLEANERS = {
 def landing_stream(spark: SparkSession, landing_path: str, table: str,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(schemas.struct(table)).option("header", True)
-              .option("multiLine", True).option("escape", '"'))
+              .option("multiLine", table in MULTILINE_TABLES).option("escape", '"'))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(landing_path)
