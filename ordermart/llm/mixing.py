@@ -42,7 +42,7 @@ from .common import WORD, importable, shielded, written
 
 WEIGHTS, SHARE, MAX_REPEAT = (5, 2, 1), 1.5, 2.0
 BLOCK_WORDS, SHARD_BLOCKS, SEED = 8192, 128, 17
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 NODES = 200_000             # tree nodes a task remembers
 
