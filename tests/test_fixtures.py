@@ -219,14 +219,37 @@ def test_registry_and_persist(spark):
     p.unpersist()
 
 
-def test_group_row_number_matches_window_with_a_hot_group(spark):
-    from pyspark.sql import Window
+def test_exact_quantiles_match_sorting(spark):
+    import random
+
+    from ordermart.functions import stats
+    rng, probs = random.Random(5), (0.0, 0.25, 0.5, 0.75, 0.999, 1.0)
+    for n in (0, 1, 7, 4000):
+        values = [rng.choice([rng.gauss(0, 1), 1.5, 2.5]) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in values + [None] * 3], "x double").repartition(4)
+        got = df.agg(F.count("x")).select(*[q.alias(f"q{i}") for i, q in enumerate(stats.quantiles(df, "x", probs))]).first()
+        s = sorted(values)
+        assert list(got) == [s[max(1, math.ceil(p * n)) - 1] if n else None for p in probs]
+
+
+def test_line_counts_over_several_files(spark, scratch):
+    header = ",".join(schemas.column_names("order_reviews"))
+    for k in range(3):
+        write_text(f"{scratch}/many/part-{k}.csv", header + "\n" + "".join(
+            f'r{k}{i},o1,5,title,"one\ntwo",2018-01-02,2018-01-03 10:00:00\n' for i in range(k)))
+    check = quality.line_count_check(spark, f"{scratch}/many", "order_reviews").first()
+    assert (check.data_lines, check.records_multiline, check.records_naive) == (6, 3, 6)
+
+
+def test_schema_report(spark, small_dir):
+    from ordermart.sources.adapter import SourceTables
+    rows = quality.schema_report(spark, SourceTables(spark, small_dir).all()).collect()
+    assert rows and {r.status for r in rows} <= {"ok", "type_mismatch"}
+    bad = quality.schema_report(spark, {"sellers": spark.range(1)}).collect()
+    assert {r.status for r in bad} == {"missing", "unexpected"}
+
 
-    from ordermart.operators.ranking import group_row_number
-    rows = [("hot", i % 37, i) for i in range(400)] + [(f"u{i % 7}", i % 5, 1000 + i) for i in range(60)]
-    rows.append((None, 1, 5000))
-    df = spark.createDataFrame(rows, "g string, ts int, id int")
-    want = {r.id: r.rn for r in df.select("id", F.row_number().over(
-        Window.partitionBy("g").orderBy("ts", "id")).alias("rn")).collect()}
-    got = {r.id: r.rn for r in group_row_number(df, "g", ["ts", "id"], "rn", partitions=6).collect()}
-    assert got == want
+def test_unit_join_leaves_unknown_units_null(spark):
+    df = spark.createDataFrame([("p", 1500.0, 2.0)], "product_id string, w double, x double")
+    rows = {r.measure: r.standard_value for r in quality.standardize_units(df, quality.unit_table(spark), {"w": "g", "x": "ell"}).collect()}
+    assert rows == {"w": 1.5, "x": None}

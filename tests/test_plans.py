@@ -2,10 +2,11 @@
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from ordermart.catalog import spark_queries as SQ
-from ordermart.operators import clean, kpis, quality, wide
+from ordermart.operators import clean, kpis, quality, segments, wide
 from ordermart.plans import physical, sinks
 from ordermart.sources.adapter import SourceTables
 
@@ -69,10 +70,75 @@ def test_silver_partition_pruning_and_column_pruning(spark, small_dir, scratch):
 
 def test_broadcast_only_after_size_check(spark, small_dir):
     t = SourceTables(spark, small_dir)
-    small = physical.broadcast_if_small(t.sellers, max_rows=1000)
-    big = physical.broadcast_if_small(t.order_items, max_rows=1000)
+    bound = physical.plan_bytes(t.order_items) - 1
+    assert physical.plan_bytes(t.sellers) < bound
+    small = physical.broadcast_if_small(t.sellers, bound)
+    big = physical.broadcast_if_small(t.order_items, bound)
     assert "broadcast" in physical.plan_text(small, "extended").lower()
     assert "ResolvedHint" not in physical.plan_text(big, "extended")
+    unknown = spark.createDataFrame([(1,)], "x int").rdd.toDF()
+    assert not physical.is_small(unknown)
+
+
+@pytest.fixture()
+def jobs(spark):
+    """Counts the jobs that run inside ``with jobs() as n``."""
+    from contextlib import contextmanager
+
+    @contextmanager
+    def counted():
+        group = f"count-{uuid.uuid4().hex}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = []
+        try:
+            yield found
+        finally:
+            found += spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return counted
+
+
+@pytest.mark.parametrize("key", ["k06_seller_revenue", "k18_row_count", "orders_items_inner", "k09_top_products", "dq_hex_ids"])
+def test_building_a_query_runs_no_job_and_scans_items_once(spark, small_dir, jobs, key):
+    with jobs() as ran:
+        df = SQ.QUERIES[key](spark, small_dir)
+        plan = physical.plan_text(df, "formatted")
+    # reading a table's schema is the only job: one short footer read per table
+    assert all(len(spark.sparkContext.statusTracker().getJobInfo(j).stageIds) == 1 for j in ran)
+    tables = [ln for ln in plan.splitlines() if "Location" in ln]
+    assert sum("lineitem.parquet" in ln for ln in tables) == (2 if key == "dq_hex_ids" else 1)
+
+
+def test_build_joins_only_what_is_asked_for(spark, small_dir):
+    t = SourceTables(spark, small_dir)
+    plan = physical.plan_text(wide.build_wide(t, ["order_id", "price"]), "simple")
+    assert plan.count("Join") == 1
+    with pytest.raises(ValueError):
+        wide.build_wide(t, ["no_such_column"])
+
+
+def test_money_totals_do_not_depend_on_the_partitioning(spark):
+    from ordermart.functions import columns as C
+    df = spark.range(2_000_000).select(((F.col("id") * 7919 % 1_000_003) / 100).alias("v"))
+    totals = {df.repartition(n).agg(C.money_sum("v"), C.money_avg("v")).first() for n in (4, 7, 64)}
+    assert len(totals) == 1
+
+
+def test_no_single_partition_fed_by_limits(spark, small_dir):
+    for key in ("k06_seller_revenue", "wide_geo_default"):
+        assert "LocalLimit" not in physical.plan_text(SQ.QUERIES[key](spark, small_dir), "formatted")
+
+
+@pytest.mark.parametrize("dimension,key", [("products", "product_id"), ("sellers", "seller_id"),
+                                           ("customers", "customer_id"), ("category_translation", "product_category_name")])
+def test_segments_equal_the_wide_tables_own_aggregate_with_repeated_keys(spark, small_dir, dimension, key):
+    t = SourceTables(spark, small_dir).all()
+    t[dimension] = t[dimension].unionByName(t[dimension])
+    w = wide.build_wide(t, ["order_customer_id", "order_id", "price", *wide.SEGMENT_COLUMNS])
+    own = segments.customer_spend(w)
+    got = w.select(F.col("order_customer_id"), "total_orders", "total_spent", "AOV").distinct()
+    assert got.count() == own.count()
+    assert got.exceptAll(own.select(*got.columns)).count() == 0
 
 
 def test_reliable_lineage_cut(spark, small_dir):
@@ -99,7 +165,7 @@ def _fingerprint(df):
 def test_large_dimensions_take_the_shuffle_path_with_same_result(spark, small_dir):
     t = SourceTables(spark, small_dir)
     default = wide.build_wide(t)
-    forced = wide.build_wide(t, broadcast_rows=5)   # no dimension passes the size check
+    forced = wide.build_wide(t, max_bytes=0)   # no dimension passes the size check
     assert _fingerprint(default) == _fingerprint(forced)
 
 
@@ -124,21 +190,6 @@ def test_managed_partitioned_table(spark, small_dir):
     assert "order_year_month" in [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def test_hot_order_is_salted_with_same_result(spark, small_dir):
-    t = SourceTables(spark, small_dir)
-    plain = wide.build_wide(t)
-    spark.conf.set(wide.HOT_KEY_ROWS_CONF, "5")      # orders with > 5 items count as hot here
-    spark.conf.set(wide.SALT_BUCKETS_CONF, "4")
-    try:
-        assert wide.hot_orders(wide.Silver(t).items, 5).count() > 0
-        salted = wide.build_wide(t)
-        assert "_isalt" in physical.plan_text(salted, "simple")
-        assert _fingerprint(plain) == _fingerprint(salted)
-    finally:
-        spark.conf.unset(wide.HOT_KEY_ROWS_CONF)
-        spark.conf.unset(wide.SALT_BUCKETS_CONF)
-
-
 def test_explicit_join_partitioning(spark, small_dir):
     t = SourceTables(spark, small_dir)
     default = wide.build_wide(t)
@@ -148,30 +199,26 @@ def test_explicit_join_partitioning(spark, small_dir):
     assert _fingerprint(default) == _fingerprint(parted)
 
 
-def test_salting_spreads_a_hot_order_over_tasks(spark):
+def test_a_hot_order_is_split_by_the_engine(spark):
+    """The order side comes out of a join on the order id, as in the wide
+    table, and the hot order's partition is still split at run time."""
     hot = "f" * 32
     orders = spark.range(401).select(
         F.when(F.col("id") == 400, F.lit(hot)).otherwise(F.md5(F.col("id").cast("string"))).alias("order_id"))
-    items = spark.range(8000).select(
-        F.when(F.col("id") < 5000, F.lit(hot)).otherwise(F.md5((F.col("id") % 400).cast("string"))).alias("item_order_id"),
-        F.col("id").cast("string").alias("item_order_item_id"))
-    confs = {"spark.sql.adaptive.enabled": "false", wide.HOT_KEY_ROWS_CONF: "1000", wide.SALT_BUCKETS_CONF: "16"}
+    paid = orders.select(F.col("order_id").alias("payment_order_id"), F.lit(1).alias("n")).groupBy("payment_order_id").agg(F.sum("n").alias("n"))
+    items = spark.range(0, 80000, 1, 8).select(
+        F.when(F.col("id") < 50000, F.lit(hot)).otherwise(F.md5((F.col("id") % 400).cast("string"))).alias("item_order_id"),
+        F.md5(F.col("id").cast("string")).alias("note"))
+    confs = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k"}
     old = {k: spark.conf.get(k, None) for k in confs}
     try:
         for k, v in confs.items():
             spark.conf.set(k, v)
-        plain = orders.join(items, F.col("order_id") == F.col("item_order_id"))
-        salted = wide.order_item_join(orders, items)
-        biggest = lambda df: max(r["count"] for r in physical.partition_sizes(df).collect())
-        assert plain.count() == salted.count() == 8000
-        assert biggest(plain) >= 5000
-        assert biggest(salted) < 0.5 * biggest(plain)
+        joined = wide.order_item_join(orders.join(paid, F.col("order_id") == F.col("payment_order_id"), "left"), items)
+        assert len(joined.collect()) == 80000
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
-def test_batched_size_checks(spark, small_dir):
-    t = SourceTables(spark, small_dir)
-    got = physical.rows_at_most_each({"sellers": t.sellers, "items": t.order_items}, 1000)
-    assert got == {"sellers": True, "items": False}

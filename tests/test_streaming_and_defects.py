@@ -39,15 +39,16 @@ def _rows(df):
 
 
 def test_quality_reports_find_the_injected_defects(spark):
-    assert SQ.QUERIES["clean_reviews_invalid"](spark, MID).count() == 55
+    assert SQ.QUERIES["clean_reviews_invalid"](spark, MID).count() == 1364
     anti = {r.relation: r.orphan_rows for r in SQ.QUERIES["dq_fk_anti"](spark, MID).collect()}
     assert anti["order_items.seller_id->sellers"] == 577
     nulls = {(r.table_name, r.column_name): r.null_count for r in SQ.QUERIES["dq_nulls"](spark, MID).collect()}
-    assert nulls[("order_reviews", "review_score")] == 92
-    assert nulls[("order_reviews", "review_creation_date")] == 59
+    assert nulls[("order_reviews", "review_score")] == 2500
+    assert nulls[("order_reviews", "review_creation_date")] == 1661
     assert nulls[("orders", "order_delivered_customer_date")] == 10326
     dup = {r.column_name: r.count for r in SQ.QUERIES["dq_uniqueness"](spark, MID).collect()
            if r.table_name == "geolocation"}
     assert dup  # repeated latitudes exist by construction
     stages = {r.stage_name: r.output_rows for r in SQ.QUERIES["dq_join_reconcile"](spark, MID).collect()}
+    assert nulls[("final", "payment_order_id")] == 24004 and nulls[("final", "review_order_id")] == 12574
     assert stages["orders_items"] == 60000 and stages["geolocation"] == 160412
