@@ -81,6 +81,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus}))
+    sinks.clean_scratch(spark)
     spark.stop()
 
 

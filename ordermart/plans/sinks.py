@@ -19,8 +19,15 @@ WIDE_PARTITION = "order_year_month"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared scratch folder (the session's checkpoint directory)."""
-    return checkpoint_dir(spark).rstrip("/")
+    """This application's folder below the shared checkpoint directory."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/ordermart-{spark.sparkContext.applicationId}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote there; call it when its results
+    have been read (frames that were materialized are lazy scans of it)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cluster_for_write(df: DataFrame, partition_by: Sequence[str], how: str = "rebalance") -> DataFrame:
@@ -111,10 +118,3 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/materialized/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def reliable_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
-    """``DataFrame.checkpoint`` into the session's checkpoint directory
-    (reliable storage; never ``localCheckpoint``)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)

@@ -6,12 +6,21 @@ session comes from the platform and already names ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
+def _private_folder(prefix: str) -> str:
+    """A folder for one local run, removed when the process ends."""
+    path = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the session names.
 
@@ -24,7 +33,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
                                "(scratch tables and lineage cuts are written there)")
-        configured = tempfile.mkdtemp(prefix="ordermart-ckpt-")
+        configured = _private_folder("ordermart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
@@ -47,16 +56,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # no broadcast from file-size estimates; AQE converts joins to
-        # broadcast only from measured shuffle sizes, and the library hints
-        # broadcast only after its own row-count check
+        # no broadcast from estimates of joined or aggregated inputs; AQE
+        # converts joins from measured shuffle sizes, and the library hints
+        # broadcast only where the files below a dimension are small
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("ORDERMART_DRIVER_MEMORY", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.warehouse.dir", os.environ.get("ORDERMART_WAREHOUSE",
-                                                          tempfile.mkdtemp(prefix="ordermart-warehouse-")))
+                                                          _private_folder("ordermart-warehouse-")))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -13,6 +13,8 @@ def spark():
     from ordermart.session import local_session
     s = local_session("*", shuffle_partitions=8, app="ordermart-tests")
     yield s
+    from ordermart.plans.sinks import clean_scratch
+    clean_scratch(s)
     s.stop()
 
 
