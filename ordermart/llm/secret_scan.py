@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import sample, written
 
 #: fixed values: the base patterns, in the order in which ties are listed
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -83,11 +83,13 @@ def cut_out(docs: DataFrame) -> DataFrame:
 
 def labelled_samples(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """value and label (1 random, 0 ordinary) of bounded samples."""
-    words = (docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-             .select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z_-]{4,}"), F.lit(0))).alias("value")))
+    n_docs, n_values = spans.agg(F.count("*"), F.coalesce(F.sum(F.size("base")), F.lit(0))).first()
+    few = sample(docs.select("doc_id", "text"), F.col("doc_id"), SAMPLE_DOCS, n_docs)
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z_-]{4,}"), F.lit(0))
+    words = written(few.select(F.explode(words).alias("value")), "ordinary-words")
     ordinary = words.unionByName(words.select(F.upper("value").alias("value")))
-    values = (spans.select(F.explode("base").alias("b")).select(F.col("b.value").alias("value"))
-              .orderBy(F.xxhash64("value"), "value").limit(SAMPLE_VALUES))
+    values = sample(spans.select(F.explode("base").alias("b")).select(F.col("b.value").alias("value")), F.col("value"),
+                    SAMPLE_VALUES, n_values)
     digests = words.distinct().orderBy(F.xxhash64("value"), "value").limit(SAMPLE_VALUES).select(F.explode(F.array(
         F.md5("value"), F.base64(F.unhex(F.sha2("value", 256))), F.upper(F.md5("value")))).alias("value"))
     return (ordinary.withColumn("label", F.lit(0)).unionByName(values.withColumn("label", F.lit(1)))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import importable, written
+from .common import importable, sample, written
 
 K, EVERY, SCALE = 20, 20, 64
 PIVOTS, SAMPLE = 32, 2048
@@ -91,12 +91,12 @@ class Space:
 
 def _fit(vectors: DataFrame) -> Space | None:
     size = F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)
-    dim, longest = vectors.agg(F.max(F.size("v")), F.max(size)).first()
+    dim, longest, n = vectors.agg(F.max(F.size("v")), F.max(size), F.count("*")).first()
     if dim is None:
         return None
-    sample = [r["v"] for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
-    x = np.zeros((len(sample), dim))
-    for row, v in zip(x, sample):
+    few = [r["v"] for r in sample(vectors, F.col("vec_id"), SAMPLE, n).collect()]
+    x = np.zeros((len(few), dim))
+    for row, v in zip(x, few):
         row[:len(v)] = v
     return Space(dim, float(np.sqrt(longest)), x)
 
