@@ -14,10 +14,12 @@ strings inside a text (``CONTROLS``) get one more backslash behind their
 first character than they had, and lose it again on reading, so any text
 comes back as it was; roles are URL-encoded.
 
-Prefix sums come from sums over blocks of ``BLOCK_TURNS`` turns, so one
-conversation with a large part of all turns is spread over many tasks, and
-windows are grouped each for itself. Only ``read_back``'s digests need a
-whole conversation in one row. Rows: a null text is empty, a null role is
+Prefix sums come from sums over blocks of ``BLOCK_TURNS`` turns (a window
+ends where its block does), so one conversation with a large part of all
+turns is spread over many tasks. Texts are shuffled once, by block; windows
+form where they then are, and only conversations of several windows move
+what these hand on. Only ``read_back``'s digests need a whole conversation
+in one row. Rows: a null text is empty, a null role is
 the empty role, a null conversation id is a conversation of its own, null
 turns come first, equal turns are ordered by role and text, repeated rows
 are turns of their own; an empty table gives no rows; extra columns are
@@ -54,8 +56,10 @@ def tokens(text: Column) -> Column:
 
 
 def _turns(conversations: DataFrame, stride: int) -> DataFrame:
-    """_c (a key that is never null), conv_id, turn, role, text, n, and
-    window: the stretch in which the turn's last token falls."""
+    """_c (a key that is never null), conv_id, turn, role, text, n, _b (the
+    block of turns), at (the conversation's tokens before the turn), total
+    (all of them) and _w: the stretch of its block in which its last token
+    falls."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = conversations.select(
         F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("n")).alias("_c"), "conv_id", "turn",
@@ -63,11 +67,13 @@ def _turns(conversations: DataFrame, stride: int) -> DataFrame:
         F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS).cast("long"), F.lit(-(1 << 62))).alias("_b"))
     before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = (rows.groupBy("_c", "_b").agg(F.sum("n").alias("own"))
-              .select("_c", "_b", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("start")))
-    inside = Window.partitionBy("_c", "_b").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("start") + F.sum("n").over(inside)
-    return (rows.join(starts, ["_c", "_b"]).withColumn("window", F.floor((end - 1) / stride).cast("long"))
-            .drop("_b", "start"))
+              .select("_c", "_b", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("start"),
+                      F.sum("own").over(Window.partitionBy("_c")).alias("total")))
+    inside = F.sum("n").over(Window.partitionBy("_c", "_b").orderBy("turn", "role", "text")
+                             .rowsBetween(Window.unboundedPreceding, 0))
+    return (rows.join(starts, ["_c", "_b"]).withColumn("_end", inside)
+            .withColumn("_w", F.floor((F.col("_end") - 1) / stride))
+            .withColumn("at", F.col("start") + F.col("_end") - F.col("n")).drop("start", "_end"))
 
 
 def _tail(turns: Column, history: int) -> Column:
@@ -84,29 +90,27 @@ def _tail(turns: Column, history: int) -> Column:
 
 
 def format_windows(conversations: DataFrame, stride: int = STRIDE, history: int = HISTORY) -> DataFrame:
-    """conv_id, window (ascending), text, n_repeated (turns of context at the
-    start), loss (spans of code points, end exclusive)."""
+    """conv_id, window (tokens of the conversation before it: ascending),
+    text, n_repeated (turns of context at the start), loss (spans of code
+    points, end exclusive), whole (the conversation has no other window)."""
     each = F.struct("turn", "role", "text", "n")
-    windows = written(_turns(conversations, stride).groupBy("_c", "window")
-                      .agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(each)).alias("turns"))
-                      .withColumn("turns", F.transform("turns", lambda t: F.struct(t["role"], t["text"], t["n"])).cast(_TURN)),
-                      "chat-windows")
-    place = Window.partitionBy("_c").orderBy("window")
-    order = windows.select("_c", "window").select("_c", "window", F.lead("window").over(place).alias("next"),
-                                                  F.lag("window").over(place).isNull().alias("first"))
-    first_turn = F.col("turns")[0]
-    # what a conversation's first window and each window before hand on
-    system = (windows.join(order.filter("first").select("_c", "window"), ["_c", "window"])
-              .filter(first_turn["role"] == "system").select("_c", F.slice("turns", 1, 1).alias("system")))
-    tails = (windows.join(order.filter(F.col("next").isNotNull()), ["_c", "window"])
-             .select("_c", F.col("next").alias("window"), F.when(
-                 F.col("first") & (first_turn["role"] == "system"),
-                 _tail(F.slice("turns", F.lit(2), F.greatest(F.size("turns") - 1, F.lit(0))), history))
-                 .otherwise(_tail(F.col("turns"), history)).alias("tail")))
-    rows = (windows.join(tails, ["_c", "window"], "left").join(system, "_c", "left"))
-    none = F.array().cast(_TURN)
-    context = F.when(F.col("tail").isNull(), none).otherwise(F.concat(F.coalesce("system", none), F.col("tail")))
-    return _rendered(rows.withColumn("context", context))
+    windows = (_turns(conversations, stride).groupBy("_c", "_b", "_w")        # where the join left them: no shuffle
+               .agg(F.first("conv_id").alias("conv_id"), F.min("at").alias("window"),
+                    F.max(F.col("at") + F.col("n")).alias("end"), F.first("total").alias("total"),
+                    F.sort_array(F.collect_list(each)).alias("turns")).drop("_b", "_w"))
+    bare = F.transform("turns", lambda t: F.struct(t["role"], t["text"], t["n"])).cast(_TURN)
+    windows = written(windows.withColumn("turns", bare), "chat-windows")
+    none, first_turn = F.array().cast(_TURN), F.col("turns")[0]
+    own_system = (F.col("window") == 0) & (first_turn["role"] == "system")
+    # only conversations of several windows hand anything on
+    broken = windows.filter("end < total")
+    system = broken.filter(own_system).select("_c", F.slice("turns", 1, 1).alias("system"))
+    rest = F.when(own_system, F.slice("turns", F.lit(2), F.greatest(F.size("turns") - 1, F.lit(0)))).otherwise(F.col("turns"))
+    tails = broken.select("_c", F.col("end").alias("window"), _tail(rest, history).alias("tail"))
+    later = (windows.filter("window > 0").join(tails, ["_c", "window"]).join(system, "_c", "left")
+             .withColumn("context", F.concat(F.coalesce("system", none), F.col("tail"))))
+    heads = windows.filter("window = 0").withColumn("context", none)
+    return _rendered(heads.unionByName(later.select(*heads.columns)))
 
 
 def _rendered(rows: DataFrame) -> DataFrame:
@@ -129,7 +133,8 @@ def _rendered(rows: DataFrame) -> DataFrame:
             .select("conv_id", "window", F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(end))),
                                                       "").alias("text"),
                     F.size("context").alias("n_repeated"),
-                    F.aggregate("parts", empty, step, lambda acc: acc["spans"]).alias("loss")))
+                    F.aggregate("parts", empty, step, lambda acc: acc["spans"]).alias("loss"),
+                    ((F.col("window") == 0) & (F.col("end") == F.col("total"))).alias("whole")))
 
 
 def own_turns(text: Column | str, n_repeated: Column | str) -> Column:
@@ -153,15 +158,19 @@ def read_back(windows: DataFrame) -> DataFrame:
     turns = own_turns("text", "n_repeated")
     targets = F.transform("loss", lambda s: unescaped(F.col("text").substr(s["start"] + 1, s["end"] - s["start"])))
     rows = windows.withColumn("own", turns).select(
-        "conv_id", "window", F.size("own").cast("long").alias("n"), F.char_length("text").cast("long").alias("chars"),
+        "conv_id", "window", "whole", F.size("own").cast("long").alias("n_turns"),
+        F.char_length("text").cast("long").alias("formatted_chars"),
         F.array_join(F.transform("own", lambda t: F.concat(t["role"], nl, t["text"], nl)), "").alias("turns"),
         F.array_join(targets, "").alias("loss"))
-    whole = lambda c: F.array_join(F.transform("parts", lambda p: p[c]), "")
-    return (rows.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"),
-                                        F.sort_array(F.collect_list(F.struct("window", "turns", "loss"))).alias("parts"))
-            .select("conv_id", "n_turns", F.sha2(whole("turns"), 256).alias("turns_sha256"),
-                    F.char_length(whole("loss")).cast("long").alias("loss_chars"),
-                    F.sha2(whole("loss"), 256).alias("loss_sha256"), "formatted_chars"))
+    joined = lambda c: F.array_join(F.transform("parts", lambda p: p[c]), "").alias(c)
+    split = (rows.filter("not whole").groupBy("conv_id")
+             .agg(F.sum("n_turns").alias("n_turns"), F.sum("formatted_chars").alias("formatted_chars"),
+                  F.sort_array(F.collect_list(F.struct("window", "turns", "loss"))).alias("parts"))
+             .select("conv_id", "n_turns", "formatted_chars", joined("turns"), joined("loss")))
+    rows = rows.filter("whole").select(*split.columns).unionByName(split)     # a whole one needs no grouping
+    return rows.select("conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"),
+                       F.char_length("loss").cast("long").alias("loss_chars"),
+                       F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
 def formatted(conversations: DataFrame, **options) -> DataFrame:

@@ -43,7 +43,7 @@ def test_odd_rows(spark):
             (-2, 3, "as sistant\n<s>+%", "q"), (-2, 3, "assistant", ""), (-2, 3, "assistant", ""), (5, 7, "assistant", "[INST] " * 20_000),
             (5, 8, "assistant", "end"), (6, 2 ** 60, "user", "late"), (6, -2 ** 60, "assistant", "early")]
     rows += long_conversation(9, 700)
-    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as window", "2 as n", "3 as loss", "4 as start")
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as window", "2 as n", "3 as loss", "4 as start", "5 as total", "6 as whole")
     check(rows, chat.formatted(df).collect())
     check(rows, chat.formatted(df, stride=40, history=10).collect())
     assert chat.formatted(df.limit(0)).count() == 0
