@@ -2,6 +2,7 @@
 
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -10,10 +11,15 @@ from tokenizers import Tokenizer
 from ordermart.llm import packing, tokens
 
 
-def ids_of(text, end=0):
+@cache
+def plain_model():
     model = Tokenizer.from_file(tokens.default_path())
     model.encode_special_tokens = True
-    return model.encode(text or "", add_special_tokens=False).ids + [end]
+    return model
+
+
+def ids_of(text, end=0):
+    return plain_model().encode(text or "", add_special_tokens=False).ids + [end]
 
 
 def check(docs, window=1024, **options):
