@@ -25,6 +25,7 @@ extra columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,27 +45,74 @@ CANDIDATE = rf"[A-Za-z0-9+/_-]{{{RUN},}}"
 SAMPLE_DOCS, SAMPLE_VALUES = 300, 5000
 MIN_TOTAL, MIN_MEAN = 20.0, 1.0
 SMOOTHING = 0.5
+CHUNK = 256                 # spans that one growing array holds
+_SPAN = "struct<start:int,kind:int,end:int,value:string>"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the value, which is computed once however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(items: Column, zero: Column, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """The spans that ``step`` (state, item -> state, array of spans) gives
+    item by item. Arrays are copied when they grow, so they grow in chunks of
+    CHUNK items, which are put together at the end."""
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def one(acc: Column, x: Column) -> Column:
+        state, out = step(acc["state"], x)
+        return F.struct(state.alias("state"), F.concat(acc["out"], out).alias("out"))
+
+    def every(rows: Column) -> Column:
+        def chunk(acc: Column, k: Column) -> Column:
+            part = F.aggregate(F.slice(rows, k * CHUNK + 1, F.lit(CHUNK)),
+                               F.struct(acc["state"].alias("state"), none.alias("out")), one)
+            return _let(part, lambda p: F.struct(p["state"].alias("state"),
+                                                 F.concat(acc["out"], F.array(p["out"])).alias("out")))
+
+        empty = F.struct(zero.alias("state"), F.array().cast(f"array<array<{_SPAN}>>").alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.floor(F.size(rows) / CHUNK).cast("int")), empty, chunk,
+                           lambda acc: F.flatten(acc["out"]))
+
+    return _let(items, every)
 
 
 def _found(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
     """array of (start, kind, end, value): the pattern's matches, leftmost
     and non-overlapping, with the group's text as value."""
     rx = F.lit(pattern)
-    size = lambda c: F.char_length(c)
-    row = lambda start, end, value: F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
-                                             end.alias("end"), value.alias("value"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, rx, F.lit(0)).alias("hit"),
                          F.regexp_extract_all(text, rx, F.lit(group)).alias("value"))
-    empty = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + size(x["gap"])
-        end = start + size(x["hit"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(row(start, end, x["value"]))).alias("out"))
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + F.char_length(x["gap"])
+        end = start + F.char_length(x["hit"])
+        return end, F.array(F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"),
+                                     x["value"].alias("value")))
+
+    spans = _running(F.filter(parts, lambda x: x["hit"].isNotNull()), F.lit(0), step)
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
+
+
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs (which do not overlap each other) that touch no base span: one
+    sweep over both in order. A run is held until what follows starts behind
+    its end; ``reach`` is how far base spans have come."""
+    is_run = lambda x: x["kind"] == len(KINDS) - 1
+    none, far = F.lit(None).cast(_SPAN), F.lit((1 << 31) - 1)
+    last = F.struct(far.alias("start"), F.lit(0).alias("kind"), far.alias("end"), F.lit("").alias("value"))
+
+    def step(state: Column, x: Column) -> tuple[Column, Column]:
+        held, reach = state["held"], state["reach"]
+        done = F.when(held["end"] <= x["start"], F.array(held)).otherwise(F.array().cast(f"array<{_SPAN}>"))
+        now = F.struct(F.when(is_run(x), reach).otherwise(F.greatest(reach, x["end"])).alias("reach"),
+                       F.when(is_run(x) & (reach <= x["start"]), x).otherwise(none).alias("held"))
+        return now, done
 
-    spans = F.aggregate(F.filter(parts, lambda x: x["hit"].isNotNull()), empty, step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    swept = _running(F.concat(F.sort_array(F.concat(base, runs)), F.array(last)),
+                     F.struct(F.lit(0).alias("reach"), none.alias("held")), step)
+    return F.when(F.size(runs) > 0, swept).otherwise(runs)
 
 
 def cut_out(docs: DataFrame) -> DataFrame:
@@ -77,8 +125,7 @@ def cut_out(docs: DataFrame) -> DataFrame:
         _found(F.col("text"), ACCESS, "access").alias("access"), _found(F.col("text"), HEX, "hex").alias("hex"),
         F.filter(_found(F.col("text"), CANDIDATE, "random"), lambda x: x["value"].rlike("[A-Za-z]")).alias("runs"))
     rows = rows.withColumn("base", F.sort_array(F.concat("assign", "access", "hex")))
-    apart = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    return rows.select("doc_id", "base", F.filter("runs", apart).alias("candidates"))
+    return rows.select("doc_id", "base", _apart(F.col("runs"), F.col("base")).alias("candidates"))
 
 
 def labelled_samples(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -51,6 +51,23 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert S.digest(S.scan(no_documents)).count() == 0
 
 
+def test_many_spans_in_one_text(spark):
+    """Lists longer than a chunk, and runs before, behind, inside and across base spans."""
+    digest = lambda k: hashlib.md5(str(k).encode()).hexdigest()
+    lines = [(f"token = {digest(k)}", "Xy9Zq" * 4, f"{digest(k)}/{digest(-k)}", f"secret:{'Zk8' * 3}==.{'qW3' * 8} {'aB-' * 9}",
+              f"é AKIA{digest(k).upper()}")[k % 5] for k in range(5 * S.CHUNK + 3)]
+    texts = ["\n".join(lines), "\n".join(lines[:S.CHUNK]), "\n".join(lines[1:S.CHUNK:5]), " ".join(["Xy9Zq" * 4] * S.CHUNK)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).persist()
+    check(docs)
+    for r in S.cut_out(docs).join(docs, "doc_id").collect():
+        base = [(x.start, x.end) for x in r.base]
+        runs = [m.span() for m in re.finditer(S.CANDIDATE, r.text) if re.search("[A-Za-z]", m[0])]
+        apart = [(a, b) for a, b in runs if not any(c < b and a < d for c, d in base)]
+        assert [(x.start, x.end) for x in r.candidates] == apart
+        assert [r.text[x.start:x.end] for x in r.candidates] == [x.value for x in r.candidates]
+    docs.unpersist()
+
+
 def test_models_tell_random_strings_from_identifiers(spark, documents):
     samples = S.labelled_samples(documents, S.cut_out(documents))
     table = S.ratio_table(samples)
