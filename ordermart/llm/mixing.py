@@ -5,7 +5,9 @@ into blocks of ``block_words`` words. A source's target says how many of its
 words the mix takes; the first whole pass over the source comes first, what
 is above it is a second pass. A pass visits the blocks in a keyed
 permutation, so the blocks drawn are a random, disjoint choice, and the last
-one may be cut, so targets are met to the word.
+one may be cut, so targets are met to the word. Blocks are twice as long, or
+four times and so on, where the mix would otherwise have ``MOST_BLOCKS``
+(beyond about 8 * 10**12 words).
 
 The drawn blocks go to output shards: a tree halves the shards again and
 again, and at each node a multivariate hypergeometric draw splits the exact
@@ -45,6 +47,7 @@ BLOCK_WORDS, SHARD_BLOCKS, SEED = 8192, 128, 17
 BUCKET_ROWS = 512
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 NODES = 200_000             # tree nodes a task remembers
+MOST_BLOCKS = 10 ** 9       # numpy's hypergeometric draws are exact below this
 
 
 def targets(sizes: list[int], weights: tuple = WEIGHTS, share: float = SHARE, most: float = MAX_REPEAT) -> list[float]:
@@ -107,11 +110,11 @@ class Plan:
         self.targets = targets(self.sizes, weights, share, most)
         self.words = [min(round(t), math.floor(most * n)) for t, n in zip(self.targets, self.sizes)]
         self.block, self.seed = block_words, seed
-        self.per_pass = [-(-n // block_words) for n in self.sizes]
+        while sum(words // self.block for words in self.words) + 3 * len(order) >= MOST_BLOCKS:
+            self.block *= 2
+        self.per_pass = [-(-n // self.block) for n in self.sizes]
         self.quota = [self._blocks(i) for i in range(len(order))]
         self.total = sum(self.quota)
-        if self.total >= 10 ** 9:
-            raise ValueError("choose larger blocks: the tree draws from fewer than 10**9")
         self.shards = max(1, -(-self.total // shard_blocks))
         self._tree: dict[tuple[int, int], np.ndarray] = {}
         self._permutations: dict[tuple[int, int], Permutation] = {}

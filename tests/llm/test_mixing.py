@@ -72,3 +72,12 @@ def test_odd_rows(odd_documents, no_documents):
     assert mixed.dtypes == odd_documents.dtypes and mixed.filter("text is null").count() == 0
     assert mixing.taken(no_documents).count() == 0 and mixing.mix(no_documents).count() == 0
     assert {r.taken for r in mixing.taken(odd_documents.filter("text is null")).collect()} == {0}
+
+
+def test_blocks_grow_before_the_tree_has_too_many():
+    plan = mixing.Plan({"a": 10 ** 13, "b": 6 * 10 ** 12, None: 10 ** 12})
+    assert plan.total < mixing.MOST_BLOCKS and plan.block == 4 * mixing.BLOCK_WORDS
+    assert all(abs(t - w) <= 1 for t, w in zip(plan.targets, plan.words))
+    shards = {plan.shard(0, draw) for draw in range(0, plan.quota[0], plan.quota[0] // 50)}
+    assert len(shards) > 40 and max(shards) < plan.shards
+    assert mixing.Plan({"a": 10 ** 6, "b": 5}).block == mixing.BLOCK_WORDS
