@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -54,8 +56,9 @@ IN_WORDS = frozenset("article main".split())
 
 SHORT, LONG = 70, 200                   # characters
 LINKS, STOP_LOW, STOP_HIGH = 0.4, 0.1, 0.25
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _WORDS = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -96,13 +99,15 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks that have text, in order, with place and links."""
     out, current = [], Block()
     stack: list[tuple[str, str]] = []   # open elements: name, place
-    at, links = 0, 0
+    names: dict[str, int] = defaultdict(int)     # how many are open, by name and by place: nothing walks the whole stack
+    places: dict[str, int] = defaultdict(int)
+    at, last = 0, page.rfind(">") + 1   # no tag ends behind the last ">"
 
     def add(text: str) -> None:
         nonlocal current
         if text:
             current.parts.append(text)
-            if links:
+            if names["a"]:
                 current.linked += len("".join(html.unescape(text).split()))
 
     def close() -> None:
@@ -110,33 +115,33 @@ def blocks(page: str) -> list[Block]:
         current.text = " ".join(html.unescape("".join(current.parts)).split())
         if current.text:
             out.append(current)
-        places = [p for _, p in stack if p]
-        names = [n for n, _ in stack]
-        current = Block(place="out" if "out" in places else "in" if "in" in places else "",
-                        heading=any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n in names), item="li" in names)
+        current = Block(place="out" if places["out"] else "in" if places["in"] else "",
+                        heading=any(names[n] for n in _HEADINGS), item=names["li"] > 0)
 
     def pop_to(k: int) -> None:
-        nonlocal links
         turned = any(n in BLOCK or p for n, p in stack[k:])
-        links -= sum(n == "a" for n, _ in stack[k:])
+        for n, p in stack[k:]:
+            names[n] -= 1
+            places[p] -= 1
         del stack[k:]
         if turned:
             close()
 
     while True:
-        m = _TAG.search(page, at)
-        if not m:
-            add(page[at:])
+        m = _TAG.search(page, at, last)
+        if not m:                       # what follows is text, up to markup that never ends
+            add(re.split("<[!?]", page[at:], maxsplit=1)[0])
             break
         add(page[at:m.start()])
         at = m.end()
         if not m[2]:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = last = len(page)   # a comment without an end
             continue
         name, attrs = m[2].lower(), m[3]
         if m[1]:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if k is not None:
-                pop_to(k)
+            if names[name]:
+                pop_to(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             elif name in BLOCK:
                 close()
             continue
@@ -154,17 +159,18 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in BLOCK:               # a paragraph ends where the next block begins, a list item at the next one
             ends = "p" if name not in ("li", "dt", "dd", "tr", "td", "th", "option") else name
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if names[ends] else ():
                 if stack[k][0] == ends:
                     pop_to(k)
                     break
                 if stack[k][0] in BLOCK and stack[k][0] != "p":
                     break
-        place = _place(name, attrs, any(p == "in" for _, p in stack))
+        place = _place(name, attrs, places["in"] > 0)
         if attrs.endswith("/") and name in ("svg", "path", "object"):
             continue
         stack.append((name, place))
-        links += name == "a"
+        names[name] += 1
+        places[place] += 1
         if name in BLOCK or place:
             close()
     close()
@@ -205,8 +211,9 @@ def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
     out = []
     for k, x in enumerate(labels):
         if x is None:
-            before = max((d for d in decided if d < k), default=None)
-            after = min((d for d in decided if d > k), default=None)
+            at = bisect(decided, k)
+            before = decided[at - 1] if at else None
+            after = decided[at] if at < len(decided) else None
             near = [(abs(d - k), labels[d]) for d in (before, after) if d is not None]
             least = min(n for n, _ in near)
             ties = {v for n, v in near if n == least}

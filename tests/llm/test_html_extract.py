@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -47,3 +48,15 @@ def test_odd_rows(spark):
     found = extract(df).collect()
     assert [r.n_chars for r in sorted(found, key=lambda r: r.n_chars)] == [0, 0, 4, 59_999]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_long_odd_pages_take_linear_time():
+    """Pages whose cost would be quadratic if a step walked what is open or left."""
+    began, n, text = time.monotonic(), 20000, "the of and to a in is " * 12
+    assert main_text("<div>" * n + "x" + "</div>" * n) == "x"
+    assert main_text("<b>" * n + "<div>x</div>" * n) == "\n".join("x" * n)
+    assert main_text("<p " * n) == " ".join(["<p"] * n)
+    assert main_text("<p>short words</p>" * n) == "\n".join(["short words"] * n)
+    assert main_text(f"<p>{text}</p>" + "<p>short</p>" * n).count("short") == n
+    assert main_text("x <!-- a > b") == main_text("x <!-- a") == main_text("x <? b") == "x"
+    assert time.monotonic() - began < 30
