@@ -14,7 +14,9 @@ again, and at each node a multivariate hypergeometric draw splits the exact
 quota of every source between the halves. The draw of a node depends only on
 the seed and the node, so a task finds the shard of a block by walking the
 tree, without a table of all shards. Within a shard, blocks are ordered by a
-hash (the local shuffle).
+hash (the local shuffle). ``mix`` deals its rows to one task for each range
+of shards and sorts them there by shard, position and word of the source, so
+its partitions, in order, are the shards in order.
 
 Sizes and offsets come from sums over hashed buckets of a source, so a
 source with a third of all rows is spread over many tasks; only one row per
@@ -47,6 +49,7 @@ BLOCK_WORDS, SHARD_BLOCKS, SEED = 8192, 128, 17
 BUCKET_ROWS = 512
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 NODES = 200_000             # tree nodes a task remembers
+TASK_SHARDS = 16            # most shards one task sorts, where there are more than shuffle partitions
 MOST_BLOCKS = 10 ** 9       # numpy's hypergeometric draws are exact below this
 
 
@@ -198,7 +201,9 @@ def _placed(docs: DataFrame, text: str, source: str, id_col: str, seed: int) ->
 
 def taken(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target (its
-    source's), taken (words the mix takes, repeats counted)."""
+    source's), taken (words the mix takes, repeats counted), and of each span
+    taken, in shard and position order, its place in the mix: shards,
+    positions."""
     importable(docs.sparkSession)
     rows, sizes = _placed(docs.select(id_col, text, source), text, source, id_col, options.get("seed", SEED))
     plan = Plan(sizes, **options)
@@ -208,15 +213,18 @@ def taken(docs: DataFrame, text: str = "text", source: str = "source", id_col: s
         for b in batches:
             own = list(zip(*(b.column(k).to_pylist() for k in (1, 2, 3))))
             index = [plan.index[s] for s, _, _ in own]
-            words = [sum(x[3] for x in plan.spans(s, at, n)) for s, n, at in own]
+            spans = [sorted(plan.spans(s, at, n)) for s, n, at in own]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array([plan.sizes[i] for i in index], pa.int64()),
-                 pa.array([plan.targets[i] for i in index], pa.float64()), pa.array(words, pa.int64())],
-                names=["doc_id", "size", "source_size", "target", "taken"])
+                 pa.array([plan.targets[i] for i in index], pa.float64()),
+                 pa.array([sum(x[3] for x in found) for found in spans], pa.int64()),
+                 *(pa.array([[x[k] for x in found] for found in spans], pa.list_(pa.int64())) for k in (0, 1))],
+                names=["doc_id", "size", "source_size", "target", "taken", "shards", "positions"])
 
     return rows.mapInArrow(count, T.StructType([
         rows.schema["doc_id"], T.StructField("size", T.LongType()), T.StructField("source_size", T.LongType()),
-        T.StructField("target", T.DoubleType()), T.StructField("taken", T.LongType())]))
+        T.StructField("target", T.DoubleType()), T.StructField("taken", T.LongType()),
+        T.StructField("shards", T.ArrayType(T.LongType())), T.StructField("positions", T.ArrayType(T.LongType()))]))
 
 
 def cut_words(text: str, first: int, words: int, size: int) -> str:
@@ -233,7 +241,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str
         **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, one row for each span taken,
     with its text cut to the span; with ``places`` also mix_shard and
-    mix_position (sorting a shard by it is the local shuffle)."""
+    mix_position. Rows stand in the order of shards and of positions within
+    a shard; a shard lies in one partition."""
     importable(docs.sparkSession)
     shield, names = shielded(docs, text, source, id_col)
     placed, sizes = _placed(shield, text, source, id_col, options.get("seed", SEED))
@@ -241,11 +250,11 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str
     rows = placed.select(*names, "_mix_source", "_mix_size", "_mix_offset")
     at, width = names.index(text), len(names)
     schema = T.StructType([*rows.schema.fields[:width], T.StructField("_mix_shard", T.LongType()),
-                           T.StructField("_mix_position", T.LongType())])
+                           T.StructField("_mix_position", T.LongType()), T.StructField("_mix_word", T.LongType())])
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, which, cut, shard, place = b.column(at).to_pylist(), [], [], [], []
+            texts, which, cut, shard, place, word = b.column(at).to_pylist(), [], [], [], [], []
             own = zip(*(b.column(width + k).to_pylist() for k in range(3)))
             for k, (s, n, offset) in enumerate(own):
                 for to, position, first, words in plan.spans(s, offset, n):
@@ -253,13 +262,18 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str
                     cut.append(cut_words(texts[k], first, words, n))
                     shard.append(to)
                     place.append(position)
+                    word.append(offset + first)
             index = pa.array(which, pa.int64())
             columns = [b.column(k).take(index) for k in range(width)]
             columns[at] = pa.array(cut, b.column(at).type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(shard, pa.int64()), pa.array(place, pa.int64())],
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.int64()) for x in (shard, place, word))],
                                              names=schema.fieldNames())
 
-    mixed = rows.mapInArrow(draw, schema)
+    tasks = min(plan.shards, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                                 -(-plan.shards // TASK_SHARDS)))
+    task = F.floor(F.col("_mix_shard") * tasks / plan.shards).cast("int")    # exact: no product reaches 2**53
+    mixed = (rows.mapInArrow(draw, schema).repartitionById(tasks, task)
+             .sortWithinPartitions("_mix_shard", "_mix_position", "_mix_word"))
     if places:
-        return mixed.toDF(*docs.columns, "mix_shard", "mix_position")
+        return mixed.drop("_mix_word").toDF(*docs.columns, "mix_shard", "mix_position")
     return mixed.select(*names).toDF(*docs.columns)

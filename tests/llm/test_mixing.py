@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordermart.llm import mixing
 
@@ -66,6 +67,37 @@ def test_mix_gives_the_words_that_were_counted(documents, monkeypatch):
     assert len({r.mix_shard for r in mixed}) > 5
 
 
+def changes(keys):
+    return sum(a != b for a, b in zip(keys, keys[1:]))
+
+
+def test_rows_stand_in_shards_that_hold_the_quotas_of_the_tree(documents):
+    options = {"block_words": 64, "shard_blocks": 16}
+    sizes = Counter()
+    for r in documents.collect():
+        sizes[r.source] += WORDS(r.text)
+    plan = mixing.Plan(dict(sizes), **options)
+    quotas = Counter((plan.shard(plan.index[s], d), s) for s in sizes for d in range(plan.quota[plan.index[s]]))
+    rows = mixing.mix(documents, places=True, **options).withColumn("task", F.spark_partition_id()).collect()
+    places = [(r.task, r.mix_shard, r.mix_position) for r in rows]
+    assert places == sorted(places) and len({r.task for r in rows}) > 3
+    assert len({(r.task, r.mix_shard) for r in rows}) == len({r.mix_shard for r in rows}) == plan.shards > 10
+    assert Counter((shard, s) for shard, _, s in {(r.mix_shard, r.mix_position, r.source) for r in rows}) == quotas
+    plain = mixing.mix(documents, **options).collect()
+    assert [(r.doc_id, r.text) for r in plain] == [(r.doc_id, r.text) for r in rows]
+    apart = 1 - sum((q / plan.total) ** 2 for q in plan.quota)                # neighbours that differ by chance
+    assert changes([r.source for r in plain]) > 0.8 * apart * plan.total
+
+
+def test_taken_names_the_places_of_the_mix(documents):
+    options = {"block_words": 200, "shard_blocks": 4}
+    want = defaultdict(list)
+    for r in mixing.mix(documents, places=True, **options).collect():
+        want[r.doc_id].append((r.mix_shard, r.mix_position))
+    got = {r.doc_id: list(zip(r.shards, r.positions)) for r in mixing.taken(documents, **options).collect()}
+    assert {k: v for k, v in got.items() if v} == {k: sorted(v) for k, v in want.items()}
+
+
 def test_odd_rows(odd_documents, no_documents):
     check(odd_documents)
     mixed = mixing.mix(odd_documents)

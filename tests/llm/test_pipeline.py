@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline as P
+from ordermart.llm import mixing
 from ordermart.llm.common import table, written
 
 from .test_line_dedup import brute as brute_lines
@@ -70,6 +71,16 @@ def test_packing(stages):
     assert got == want
 
 
+def test_packed_windows_come_from_mixed_sources(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents").filter("doc_id % 4 = 0")
+    source = {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
+    mixed = written(P.mix_sources(spark, docs, None), "test-mixed")
+    blocks = sum(len(r.text.split()) for r in mixed.select("text").collect()) / mixing.BLOCK_WORDS
+    first = P.pack_documents(spark, mixed, None).filter("offset = 0").select("sequence_id", "doc_id").orderBy("sequence_id").collect()
+    runs = sum(source[a.doc_id] != source[b.doc_id] for a, b in zip(first, first[1:]))
+    assert runs > 0.8 * blocks > 100
+
+
 def test_odd_tables(spark, small_dir, odd_documents, no_documents):
     for docs in (odd_documents, no_documents):
         for name, stage in P.STAGES:
