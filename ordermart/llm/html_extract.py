@@ -1,13 +1,20 @@
 """Main text of HTML pages, by two passes of block rules.
 
-A page is cut into blocks at block-level tags. The first pass decides a
-block by where it stands (inside the article element, or inside a menu,
-header, footer, sidebar, notice, advert, form or comment section, told by
-tag, role, class and id) and, where that says nothing, by its stop-word
-density, length and link density. The second pass gives each block that is
-still undecided (short or middling) the label of the nearest decided block;
-where the nearest on both sides differ, stop words decide. Pages that name
-no article are judged by the text rules alone.
+A page is cut into blocks at block-level tags. The text rules look at the
+stop-word density, length and link density of every block. Where a block
+stands (inside the article element, or inside a menu, header, footer,
+sidebar, notice, advert, form or comment section, told by tag, role, class
+and id) is one strong feature beside them: what stands in a menu and the like
+is out; inside the article a block stays unless it is full of links, outside
+it must be long and dense prose. Where the prose outside an article outweighs
+that inside (a teaser card), and on pages that name none, the text rules
+decide alone. An element that looks like a menu and the like but holds the
+article, or nearly all of a page without one, is a wrapper and says nothing.
+
+The second pass gives each block that is still undecided (short, middling or
+full of links) the label of the nearest decided block on its side of the
+article's border; where the nearest before and after differ, stop words
+decide, and where there is none, the side.
 
 Scripts, styles and hidden elements are no text. Character references are
 decoded after the markup is cut, white space inside a block becomes one
@@ -49,9 +56,11 @@ _STOP = frozenset(w for words in STOP_WORDS.values() for w in words.split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
+WRAP = frozenset("form fieldset header".split())        # may hold a whole page
 OUT = frozenset("head nav menu footer aside form button select option script style noscript iframe template svg object canvas audio video dialog textarea fieldset title map".split())
 IN = frozenset("article main".split())
 OUT_WORDS = frozenset("nav navbar navigation menu sidebar footer cookie cookies consent gdpr notice notices banner ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist disqus reply replies respond share sharing social related breadcrumb breadcrumbs popup modal overlay newsletter subscribe signup login search widget toolbar pagination pager masthead topbar contentinfo complementary alert skip".split())
+LAYOUT_WORDS = frozenset("nav navbar navigation menu sidebar footer header banner ad ads share sharing social breadcrumb breadcrumbs search widget toolbar masthead topbar skip".split())    # also name what a wrapper has or lacks
 IN_WORDS = frozenset("article main".split())
 
 SHORT, LONG = 70, 200                   # characters
@@ -63,10 +72,14 @@ _WORDS = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+_BOTH = {"layout": "laid", "wrap": "wrapped"}
+
+
 @dataclass
 class Block:
     parts: list[str] = field(default_factory=list)
-    place: str = ""                     # "in" the article, "out" of it, or nothing known
+    place: str = ""                     # "in" the article, "out" of it, or nothing known; before ``settle`` also those of ``close``
+    depth: int = 0                      # open elements that layout words mark
     heading: bool = False
     item: bool = False
     linked: int = 0                     # characters inside links
@@ -74,9 +87,12 @@ class Block:
 
 
 def _place(name: str, attrs: str, inside: bool) -> str:
-    """What an element says about its content; ``inside`` an article, a
-    header is the article's own."""
-    if name in OUT or name == "header" and not inside:
+    """What an element says about its content: "in", "out", nothing, or, as
+    it may be a wrapper, "layout" or "wrap" ("laid" or "wrapped" where it is
+    an article too); ``inside`` an article, a header is the article's own and
+    nothing is a wrapper."""
+    said = "wrap" if name in WRAP and not inside else ""
+    if name in OUT and not said:
         return "out"
     found = ""
     if attrs and not attrs.isspace():
@@ -84,14 +100,17 @@ def _place(name: str, attrs: str, inside: bool) -> str:
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id", "role"):
                 words = {w.lower() for w in _WORDS.findall(value)}
-                if words & OUT_WORDS or "header" in words and not inside:
-                    return "out" if name not in ("body", "html") else ""
-                if words & IN_WORDS:
+                marks = words & OUT_WORDS | ({"header"} & words if not inside else set())
+                if marks and name not in ("body", "html"):
+                    said = "out" if inside else "layout" if marks <= LAYOUT_WORDS and said != "wrap" else "wrap"
+                elif not marks and words & IN_WORDS:
                     found = "in"
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 return "out"
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return "out"
+    if said:
+        return _BOTH.get(said, said) if name in IN else said
     return "in" if name in IN else found
 
 
@@ -103,6 +122,9 @@ def blocks(page: str) -> list[Block]:
     places: dict[str, int] = defaultdict(int)
     at, last = 0, page.rfind(">") + 1   # no tag ends behind the last ">"
 
+    def inside() -> bool:
+        return places["in"] + places["laid"] + places["wrapped"] > 0
+
     def add(text: str) -> None:
         nonlocal current
         if text:
@@ -115,7 +137,11 @@ def blocks(page: str) -> list[Block]:
         current.text = " ".join(html.unescape("".join(current.parts)).split())
         if current.text:
             out.append(current)
-        current = Block(place="out" if places["out"] else "in" if places["in"] else "",
+        place = ("out" if places["out"] else "wrap" if places["wrap"] or places["wrapped"]
+                 else "layout" if places["layout"] or places["laid"] else "")
+        if inside() and place != "out":
+            place = _BOTH.get(place, "in")
+        current = Block(place=place, depth=places["layout"],
                         heading=any(names[n] for n in _HEADINGS), item=names["li"] > 0)
 
     def pop_to(k: int) -> None:
@@ -165,7 +191,7 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[k][0] in BLOCK and stack[k][0] != "p":
                     break
-        place = _place(name, attrs, places["in"] > 0)
+        place = _place(name, attrs, inside())
         if attrs.endswith("/") and name in ("svg", "path", "object"):
             continue
         stack.append((name, place))
@@ -182,41 +208,86 @@ def stop_density(text: str) -> float:
     return sum(w in _STOP for w in words) / len(words) if words else 0.0
 
 
+def link_density(b: Block) -> float:
+    return b.linked / max(1, len("".join(b.text.split())))
+
+
+def text_label(b: Block) -> bool | None:
+    """What links, length and stop words say: True for prose, False for
+    boilerplate, None for neither."""
+    density = link_density(b)
+    if density > LINKS or "©" in b.text:
+        return False
+    if b.heading or len(b.text) < SHORT:
+        return False if density > 0 and not b.heading else None
+    stops = stop_density(b.text)
+    return True if stops >= STOP_HIGH or len(b.text) >= LONG and stops >= STOP_LOW else None
+
+
+def settle(found: list[Block], texts: list[bool | None]) -> None:
+    """Leave only the places "in", "out" and nothing known: a wrapper says
+    nothing, anything else that looks like a menu is out."""
+    size: dict[str, int] = defaultdict(int)         # characters by place
+    prose: dict[str, int] = defaultdict(int)        # those of prose
+    for b, t in zip(found, texts):
+        size[b.place] += len(b.text)
+        prose[b.place] += len(b.text) if t else 0
+    opened, least = {}, 0
+    alone = not size["in"] and not prose[""]
+    if prose["laid"] > prose[""] and not prose["in"] or alone and size["laid"] > size[""]:
+        opened = {"laid": "in"}
+    elif alone and (prose["wrapped"] or size["wrapped"] > size[""]):
+        opened = {"wrapped": "in"}
+    elif not size["in"] and prose["layout"] and not prose[""] and size["layout"] > 4 * size[""]:
+        opened = {"layout": ""}
+        least = min(b.depth for b, t in zip(found, texts) if t and b.place == "layout")
+    for b in found:
+        if b.place not in ("in", ""):
+            b.place = opened.get(b.place, "out") if not least or b.depth <= least else "out"
+
+
 def first_pass(found: list[Block]) -> list[bool | None]:
     """True for article text, False for boilerplate, None for undecided."""
-    named = any(b.place == "in" for b in found)
+    texts = [text_label(b) for b in found]
+    settle(found, texts)
+    inside = sum(len(b.text) for b, t in zip(found, texts) if t and b.place == "in")
+    outside = sum(len(b.text) for b, t in zip(found, texts) if t and not b.place)
+    named = any(b.place == "in" for b in found) and inside >= outside
     labels: list[bool | None] = []
-    for b in found:
-        density = b.linked / max(1, len("".join(b.text.split())))
-        if b.place == "out" or named and b.place != "in":
-            labels.append(False)
-        elif named:
-            labels.append(not (b.item and density > 0.9))
-        elif density > LINKS or "©" in b.text:
+    for b, t in zip(found, texts):
+        if b.place == "out":
             labels.append(False)
-        elif b.heading or len(b.text) < SHORT:
-            labels.append(False if density > 0 and not b.heading else None)
+        elif not named:
+            labels.append(t)
+            b.place = ""                # no border that the second pass would have to mind
+        elif b.place == "in":
+            linked = link_density(b)
+            labels.append(False if b.item and linked > 0.9 else None if t is False and (linked > LINKS or "©" in b.text) else True)
         else:
-            stops = stop_density(b.text)
-            labels.append(True if stops >= STOP_HIGH or len(b.text) >= LONG and stops >= STOP_LOW else None)
+            labels.append(None if t and (len(b.text) < LONG or stop_density(b.text) < STOP_HIGH) else t)
     return labels
 
 
 def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
-    """Undecided blocks take the label of the nearest decided block. Without
-    any decided article block, undecided text stands for itself."""
-    if True not in labels:
+    """Undecided blocks take the label of the nearest decided block on their
+    side. On a page without any decided article block, undecided text stands
+    for itself; on a side without decided prose, where it stands."""
+    border = any(b.place == "in" for b in found)
+    if True not in labels and not border:
         return [x is None for x in labels]
-    decided = [k for k, x in enumerate(labels) if x is not None]
+    sides = {side: [k for k, x in enumerate(labels) if x is not None and (found[k].place == "in") == side]
+             for side in (True, False)}
     out = []
     for k, x in enumerate(labels):
         if x is None:
+            side = found[k].place == "in"
+            decided = sides[side]
             at = bisect(decided, k)
             before = decided[at - 1] if at else None
             after = decided[at] if at < len(decided) else None
             near = [(abs(d - k), labels[d]) for d in (before, after) if d is not None]
-            least = min(n for n, _ in near)
-            ties = {v for n, v in near if n == least}
+            least = min((n for n, _ in near), default=0)
+            ties = {v for n, v in near if n == least} or {side}
             if len(ties) == 1:
                 x = ties.pop()
             else:                       # a heading belongs to what follows it

@@ -42,6 +42,34 @@ def test_pages_without_article_go_by_the_text_rules():
     assert main_text(page) == f"Heading here\n{STOPS}\nShort.\n{STOPS}"
 
 
+LONG_STOPS = f"{STOPS} {STOPS}"
+TEASER = "<article class='card'><h3>Other story</h3><a href=x>Read it</a></article>"
+WIDE = f"<nav><p>Menu</p></nav><h1>Title</h1><p>{LONG_STOPS}</p><p>Short.</p><p>{LONG_STOPS}</p>"
+BODY = f"Title\n{LONG_STOPS}\nShort.\n{LONG_STOPS}"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<div>{WIDE}</div><footer>f</footer>{TEASER}", BODY),                       # the only article is a teaser card
+    (f"<article><p>{LONG_STOPS}</p></article><div><p>{LONG_STOPS}</p><p>Short.</p></div><footer>f</footer>",
+     f"{LONG_STOPS}\n{LONG_STOPS}"),                                              # dense prose beside the article stays
+    (f"<article><p>{STOPS}</p><p>k</p></article><div><p>Tail of page</p><p>Imprint</p></div>", f"{STOPS}\nk"),
+    (f"<div class='page with-sidebar'><article>{WIDE}</article><div class='sidebar'>s</div></div>", BODY),
+    (f"<form id=search-page><main>{WIDE}</main></form>", BODY),
+    (f"<div class='post-with-comments'><article>{WIDE}</article></div>", BODY),
+    (f"<div class='has-menu'><div class='menu'><p>m</p></div>{WIDE}</div>", BODY),   # a wrapper of bare blocks
+    (f"<article><p>a</p></article><div id=comments><article><p>{LONG_STOPS}</p></article></div>", "a"),
+    (f"<main>{WIDE}</main><div class='sidebar'><article><p>{LONG_STOPS}</p></article></div>", BODY),
+    (f"<div style='display:none'><article><p>{LONG_STOPS}</p></article></div><p>{STOPS}</p>", STOPS),
+    (f"<article><p>{STOPS}</p><p><a href=x>All link</a></p><ul><li><a href=x>i</a><li><a href=x>j</a></ul><div><a href=x>All of it</a></div></article>",
+     f"{STOPS}\nAll link"),                                                       # a link alone goes with its neighbour
+    (f"<main class='with-sidebar'>{WIDE}</main><p>Imprint of the site</p>", BODY),
+    (f"<div class='sidebar'><article>Short teaser</article></div><div>{WIDE}</div>", BODY),
+    ("<form><article><p>a</p></article></form>", "a"), ("<article class=comment>c</article><p>body of a page</p>", "body of a page"),
+])
+def test_text_rules_run_beside_the_place(page, text):
+    assert main_text(page) == text
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (1, None, None), (None, "u", "<article>" + "<p>x" * 30_000 + "</article>"), (3, "u", "<div>" * 5000 + "deep")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
