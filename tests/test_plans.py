@@ -220,3 +220,12 @@ def test_a_hot_order_is_split_by_the_engine(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["sql_path_scan", "sql_table_surface"])
+def test_scans_of_the_silver_table_read_the_whole_wide_table(spark, small_dir, monkeypatch, name):
+    written = []
+    write = sinks.write_wide
+    monkeypatch.setattr(sinks, "write_wide", lambda df, path: (write(df, path), written.append(path)))
+    assert SQ.QUERIES[name](spark, small_dir).count() > 0
+    assert len(spark.read.parquet(*written).columns) == 72
