@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_extract, line_dedup, mixing, packing, quality, secret_scan, simhash, topk, wavelet
+from . import (chat, divergence, fill_middle, html_extract, line_dedup, mixing, packing, pq_dedup, quality, secret_scan,
+               simhash, topk, wavelet)
 from .common import table
 
 
@@ -59,7 +60,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_secret_scan, op3_topk, op4_html_extraction, op5_quality_rules,
                                    op6_simhash, op7_token_files, op8_packing, op9_chat_formatting,
-                                   op10_line_dedup)}
-ORACLE_SQL: dict[str, str] = {"op3_topk": topk.oracle(), "op10_line_dedup": line_dedup.oracle()}
+                                   op10_line_dedup, op11_fill_middle, op12_divergence, op13_embedding_dedup)}
+ORACLE_SQL: dict[str, str] = {"op3_topk": topk.oracle(), "op10_line_dedup": line_dedup.oracle(),
+                              "op11_fill_middle": fill_middle.oracle(), "op12_divergence": divergence.oracle(),
+                              "op13_embedding_dedup": pq_dedup.oracle()}

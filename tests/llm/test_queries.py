@@ -9,7 +9,7 @@ from ordermart.llm.queries import ORACLE_SQL, QUERIES
 
 def test_every_operator_is_registered_once():
     names = [k for k in entry.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
