@@ -115,11 +115,13 @@ class _Rows:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, path: str | None = None,
-         window: int = 1024, open_windows: int = 32, end_id: int = 0) -> DataFrame:
+         window: int = 1024, open_windows: int = 32, end_id: int = 0, controls_as_text: bool = False) -> DataFrame:
     """Pieces of packed sequences: doc_id, start (the document's ids before
     the piece), length, ids (little-endian unsigned 32-bit), doc_tokens,
     sequence_id, offset. A document is its ids and ``end_id``; each id lies
-    in exactly one piece. All sequences but the last are full."""
+    in exactly one piece. All sequences but the last are full. Control strings
+    inside texts are the vocabulary's control tokens, or with
+    ``controls_as_text`` ordinary text."""
     importable(docs.sparkSession)
     path = path or tokens.default_path()
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
@@ -127,13 +129,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, pat
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encoder, out, windows = tokens.tokenizer(path), None, None
+        encoder, out, windows = tokens.tokenizer(path, controls_as_text), None, None
         end = np.array([end_id], dtype="<u4")
         for b in batches:
             if out is None:
                 out = _Rows(b.column(0).type, TaskContext.get().partitionId() << _PART_SHIFT)
                 windows = Windows(window, open_windows, out.emit)
-            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist())):
+            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).cast(pa.binary()).to_pylist())):
                 ids = np.concatenate([ids, end])
                 windows.add(doc, 0, ids, len(ids))
                 if len(out.rows) >= FLUSH_ROWS:

@@ -172,9 +172,12 @@ def _directory(plane: np.ndarray) -> np.ndarray:
 
 
 def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", *,
-                 path: str | None = None, end_id: int = 2, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+                 path: str | None = None, end_id: int = 2, shard_tokens: int = SHARD_TOKENS,
+                 controls_as_text: bool = False) -> DataFrame:
     """Write the shards below ``folder`` and return the manifest: part, seq
-    (ascending with the ids), file, n_docs, n_tokens."""
+    (ascending with the ids), file, n_docs, n_tokens. Control strings inside
+    texts are the vocabulary's control tokens, or with ``controls_as_text``
+    ordinary text."""
     importable(docs.sparkSession)
     path = path or tokens.default_path()
     rows = (docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
@@ -184,7 +187,7 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
         from pyspark import TaskContext
-        encoder, part, seq = tokens.tokenizer(path), TaskContext.get().partitionId(), 0
+        encoder, part, seq = tokens.tokenizer(path, controls_as_text), TaskContext.get().partitionId(), 0
         store, root = fs.FileSystem.from_uri(folder)
         end, ids, names, held = np.array([end_id], "<u4"), [], [], 0
 
@@ -200,7 +203,7 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 
         for b in batches:
             done = []
-            for doc, x in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist())):
+            for doc, x in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).cast(pa.binary()).to_pylist())):
                 names.append(doc)
                 ids.append(np.concatenate([x, end]).astype(np.uint32))
                 held += len(ids[-1])

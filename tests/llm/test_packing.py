@@ -14,7 +14,6 @@ from ordermart.llm import packing, tokens
 @cache
 def plain_model():
     model = Tokenizer.from_file(tokens.default_path())
-    model.encode_special_tokens = True
     return model
 
 
