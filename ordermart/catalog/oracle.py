@@ -456,6 +456,10 @@ SELECT seller_id, count(order_id) AS total_orders, count(DISTINCT order_id) AS d
        {total('price')} AS total_revenue, {AVG_REVIEW} AS avg_review_score,
        {r2('stddev_samp(price)')} AS price_variability
 FROM wide GROUP BY seller_id"""
+BODIES["k14_seller_price_quartiles"] = """
+SELECT seller_id, count(price) AS items, quantile_disc(price, 0.25) AS price_p25, quantile_disc(price, 0.5) AS price_median,
+       quantile_disc(price, 0.75) AS price_p75
+FROM wide WHERE seller_id IS NOT NULL AND price IS NOT NULL GROUP BY seller_id"""
 BODIES["k15_product_scorecard"] = f"""
 SELECT product_id, product_category_name_english, count(order_id) AS total_sales,
        {total('price')} AS total_revenue,
@@ -673,6 +677,17 @@ GROUP BY product_category_name"""
                          iqr("order_items", "src_order_items", "freight_value"),
                          iqr("order_payments", "src_order_payments", "payment_value")])
 
+    lo, hi = (f"({a} {sign} CAST(1.5 AS DOUBLE) * (q3 - q1))" for a, sign in (("q1", "-"), ("q3", "+")))
+    b["dq_iqr_by_category"] = f"""
+, category_quartiles AS (
+  SELECT product_category_name AS category, CAST(quantile_disc(price, 0.25) AS DOUBLE) AS q1,
+         CAST(quantile_disc(price, 0.75) AS DOUBLE) AS q3
+  FROM wide WHERE product_category_name IS NOT NULL AND price IS NOT NULL GROUP BY 1)
+SELECT product_category_name, q1, q3, {r4(lo)} AS lower_fence, {r4(hi)} AS upper_fence, count(price) AS checked_rows,
+       count(*) FILTER (WHERE price < {lo}) AS below, count(*) FILTER (WHERE price > {hi}) AS above
+FROM wide JOIN category_quartiles ON product_category_name = category WHERE price IS NOT NULL
+GROUP BY product_category_name, q1, q3"""
+
     def z(t, rel, c):
         mu, sd = f"(SELECT avg({c}) FROM {rel})", f"(SELECT stddev_samp({c}) FROM {rel})"
         return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, {r4(mu)} AS mean, {r4(sd)} AS stddev, "

@@ -319,6 +319,11 @@ def k14(spark, d):
     return kpis.seller_scorecard(wide_table(spark, d, ["seller_id", "order_id", "price", *REVIEW_SUMS], review_mode="summary"))
 
 
+@query("k14_seller_price_quartiles")
+def k14q(spark, d):
+    return kpis.price_quartiles(wide_table(spark, d, ["seller_id", "price"]))
+
+
 @query("k15_product_scorecard")
 def k15(spark, d):
     return kpis.product_scorecard(wide_table(
@@ -538,9 +543,14 @@ def dq_range(spark, d):
 @query("dq_iqr")
 def dq_iqr(spark, d):
     t = src(spark, d)
-    return Q._union([Q.iqr_outliers(t.order_items, "price", "order_items"),
-                     Q.iqr_outliers(t.order_items, "freight_value", "order_items"),
-                     Q.iqr_outliers(t.order_payments, "payment_value", "order_payments")])
+    return Q.iqr_outliers({"order_items": (t.order_items, ["price", "freight_value"]),
+                           "order_payments": (t.order_payments, ["payment_value"])})
+
+
+@query("dq_iqr_by_category")
+def dq_iqr_by_category(spark, d):
+    """Price outliers within each product category."""
+    return Q.group_outliers(wide_table(spark, d, ["product_category_name", "price"]), "product_category_name", "price")
 
 
 @query("dq_zscore")
@@ -622,9 +632,9 @@ def dq_drift(spark, d):
 @query("dq_stats")
 def dq_stats(spark, d):
     t = src(spark, d)
-    return Q._union([Q.summary_stats(t.order_items, ["price", "freight_value"], "order_items"),
-                     Q.summary_stats(t.order_payments, ["payment_value"], "order_payments"),
-                     Q.summary_stats(t.products, ["product_weight_g"], "products")])
+    return Q.summary_stats({"order_items": (t.order_items, ["price", "freight_value"]),
+                            "order_payments": (t.order_payments, ["payment_value"]),
+                            "products": (t.products, ["product_weight_g"])})
 
 
 @query("dq_line_count")

@@ -6,53 +6,27 @@ partial aggregation on every executor, and inlines the value in the outer
 plan. No value travels through driver code and no global window pulls all
 rows into one task.
 
-Exact quantiles are found without a reducer that holds all values: a bounded
-sketch names ``CUTS`` values that divide the column, the histogram by value
-(a partial aggregate) is counted between them, prefix counts over those few
-buckets name the bucket of each quantile, and only that bucket's values are
-put in order. The result is an element of the column: the smallest one whose
-share of rows at or below it reaches the probability.
+Exact quantiles are those of ``functions.quantiles``, as scalars of one row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CUTS = 256
+from .quantiles import exact_quantiles
 
 
 def quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[Column]:
     """Exact discrete quantiles of ``column`` as scalar columns (null for a
     column without values)."""
-    found = exact_quantiles(df, column, probs).scalar()
+    rows = df.select(F.lit(column).alias("column_name"), F.col(column).alias("v"))
+    found = exact_quantiles(rows, ["column_name"], probs).select("quantiles").scalar()
     return [F.get(found, F.lit(i)) for i in range(len(probs))]
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
-    """One row, one column: the array of quantiles."""
-    values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
-    cuts = values.agg(F.percentile_approx("v", [k / CUTS for k in range(1, CUTS)], 10 * CUTS)).scalar()
-    hist = (values.groupBy("v").agg(F.count("*").alias("n"))
-            .withColumn("cuts", cuts).withColumn("bucket", F.size(F.filter("cuts", lambda c: c < F.col("v")))).drop("cuts"))
-    buckets = hist.groupBy("bucket").agg(F.sum("n").alias("own"))                # at most CUTS rows
-    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    buckets = buckets.select("bucket", (F.sum("own").over(upto) - F.col("own")).alias("before"), "own",
-                             F.sum("own").over(whole).alias("total"))
-    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
-    rank = F.greatest(F.ceil(F.col("q.p") * F.col("total")), F.lit(1))
-    targets = (buckets.withColumn("q", wanted).withColumn("rank", rank)
-               .filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("own")))
-               .select("bucket", F.col("q.i").alias("i"), (F.col("rank") - F.col("before")).alias("rank")))
-    inside = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    picked = (hist.join(F.broadcast(targets), "bucket").withColumn("upto", F.sum("n").over(inside))
-              .filter(F.col("upto") >= F.col("rank")).groupBy("i").agg(F.min("v").alias("v")))
-    return picked.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("quantiles"))
-
-
 def approx_quantiles(df: DataFrame, column: str, probs: Sequence[float],
                      accuracy: int = 10000) -> list[Column]:
     """Quantile sketch (results may differ from exact)."""

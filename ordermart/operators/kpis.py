@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions.quantiles import exact_quantiles
 
 
 # --- review scores: per-order lists, or the list-free summary columns ------
@@ -72,17 +73,20 @@ def product_sales(items: DataFrame, product: str = "product_id") -> DataFrame:
 
 
 def price_summary(items: DataFrame, column: str = "price") -> DataFrame:
-    """count, mean, stddev, min, exact quartiles and max."""
-    from ..functions.stats import quantiles
-    c = F.col(column)
-    p25, p50, p75 = quantiles(items, column, (0.25, 0.5, 0.75))
-    return items.agg(
-        F.count(c).alias("count"),
-        F.round(F.avg(c), 4).alias("mean"),
-        F.round(F.stddev_samp(c), 4).alias("stddev"),
-        F.min(c).alias("min"),
-        F.max(c).alias("max"),
-    ).select("count", "mean", "stddev", "min", p25.alias("p25"), p50.alias("p50"), p75.alias("p75"), "max")
+    """count, mean, stddev, min, exact quartiles and max (one row)."""
+    v, q = F.col("v"), F.col("quantiles")
+    rows = items.select(F.lit(column).alias("column_name"), F.col(column).alias("v"))
+    found = exact_quantiles(rows, ["column_name"], (0.25, 0.5, 0.75), count=F.count(v), mean=F.round(F.avg(v), 4),
+                            stddev=F.round(F.stddev_samp(v), 4), min=F.min(v), max=F.max(v))
+    return found.select("count", "mean", "stddev", "min", q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), "max")
+
+
+def price_quartiles(wide: DataFrame, group: str = "seller_id") -> DataFrame:
+    """Exact quartiles of the item price within each seller (or another
+    group), beside the number of priced items."""
+    q = F.col("quantiles")
+    found = exact_quantiles(wide.select(group, F.col("price").alias("v")), [group], (0.25, 0.5, 0.75), items=F.count("v"))
+    return found.select(group, "items", q[0].alias("price_p25"), q[1].alias("price_median"), q[2].alias("price_p75"))
 
 
 def seller_revenue_with_attributes(items: DataFrame, sellers: DataFrame) -> DataFrame:

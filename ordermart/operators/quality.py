@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from ..functions import columns as C
 from ..functions import stats
+from ..functions.quantiles import LONG_KEYS, exact_quantiles, long_values, outliers
 from ..sources import schemas
 
 
@@ -287,17 +288,20 @@ def order_rule(earlier: str, later: str) -> tuple[Column, Column]:
 
 
 # --- DQ19 outliers -------------------------------------------------------------------------
-def iqr_outliers(df: DataFrame, column: str, table: str = "", k: float = 1.5) -> DataFrame:
-    """Tukey fences from exact quartiles; counts below/above."""
-    q1, q3 = stats.quantiles(df, column, (0.25, 0.75))
-    iqr = q3 - q1
-    lo, hi = q1 - F.lit(k) * iqr, q3 + F.lit(k) * iqr
-    c = F.col(column)
-    return df.agg(F.count(c).alias("checked_rows"), F.count_if(c < lo).alias("below"),
-                  F.count_if(c > hi).alias("above")).select(
-        F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), q1.alias("q1"), q3.alias("q3"),
-        F.round(lo, 4).alias("lower_fence"), F.round(hi, 4).alias("upper_fence"),
-        "checked_rows", "below", "above")
+def iqr_outliers(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], k: float = 1.5) -> DataFrame:
+    """Tukey fences from exact quartiles of some columns of some tables, and
+    the rows below and above them: each table is read twice, whatever the
+    number of columns."""
+    found = outliers(long_values(tables), LONG_KEYS, k)
+    return found.select(*LONG_KEYS, "q1", "q3", F.round("lower", 4).alias("lower_fence"),
+                        F.round("upper", 4).alias("upper_fence"), "checked_rows", "below", "above")
+
+
+def group_outliers(df: DataFrame, group: str, column: str, k: float = 1.5) -> DataFrame:
+    """The same within each group (a hot one is no single task's work)."""
+    found = outliers(df.select(F.col(group), F.col(column).cast("double").alias("v")), [group], k)
+    return found.select(group, "q1", "q3", F.round("lower", 4).alias("lower_fence"),
+                        F.round("upper", 4).alias("upper_fence"), "checked_rows", "below", "above")
 
 
 def zscore_outliers(df: DataFrame, column: str, table: str = "", limit: float = 3.0) -> DataFrame:
@@ -340,17 +344,15 @@ def category_drift(df: DataFrame, period: str, category: str) -> DataFrame:
 
 
 # --- DQ23 summary statistics -------------------------------------------------------------------------
-def summary_stats(df: DataFrame, columns: Sequence[str], table: str = "") -> DataFrame:
-    """Count, mean, deviation, range and exact quartiles per column."""
-    def one(c):
-        x = F.col(c)
-        p25, median, p75 = [q.cast("double") for q in stats.quantiles(df, c, (0.25, 0.5, 0.75))]
-        return df.agg(F.count(x).alias("count"), F.round(F.avg(x), 4).alias("mean"),
-                      F.round(F.stddev_samp(x), 4).alias("stddev"), F.min(x).cast("double").alias("min"),
-                      F.max(x).cast("double").alias("max")).select(
-            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), "count", "mean", "stddev", "min",
-            p25.alias("p25"), median.alias("median"), p75.alias("p75"), "max")
-    return _union(one(c) for c in columns)
+def summary_stats(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Count, mean, deviation, range and exact quartiles of some columns of
+    some tables; each table is read twice."""
+    v = F.col("v")
+    found = exact_quantiles(long_values(tables), LONG_KEYS, (0.25, 0.5, 0.75), count=F.count(v),
+                            mean=F.round(F.avg(v), 4), stddev=F.round(F.stddev_samp(v), 4), min=F.min(v), max=F.max(v))
+    q = F.col("quantiles")
+    return found.select(*LONG_KEYS, "count", "mean", "stddev", "min", q[0].alias("p25"), q[1].alias("median"),
+                        q[2].alias("p75"), "max")
 
 
 # --- DQ24 file lines vs parsed records ---------------------------------------------------------------

@@ -181,7 +181,7 @@ def test_zscore_and_iqr(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     z = quality.zscore_outliers(df, "x").first()
     assert z.outliers == 1
-    q = quality.iqr_outliers(df, "x").first()
+    q = quality.iqr_outliers({"t": (df, ["x"])}).first()
     assert (q.below, q.above) == (0, 1)
     assert not math.isnan(q.upper_fence)
 
