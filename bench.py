@@ -59,8 +59,8 @@ def main() -> None:
         "k09_top_products": lambda: kpis.top_products(final),
         "k10_top_customers_rows": lambda: kpis.top_customers_by_rows(final),
         "k11_top_customers_spend": lambda: kpis.top_customers_by_spend(final),
-        "k12_rank": lambda: kpis.top_items_per_seller(final.select(*SQ.RANKED_ROW), 5),
-        "k13_dense_rank": lambda: kpis.top_items_per_seller(final.select(*SQ.RANKED_ROW), 5, dense=True),
+        "k12_rank": lambda: kpis.top_rows_per_seller(spark, silver_path, 5),
+        "k13_dense_rank": lambda: kpis.top_rows_per_seller(spark, silver_path, 5, dense=True),
         "k14_seller_scorecard": lambda: kpis.seller_scorecard(final),
         "k15_product_scorecard": lambda: kpis.product_scorecard(final),
         "k16_retention": lambda: kpis.customer_retention(final),

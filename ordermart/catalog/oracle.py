@@ -357,7 +357,9 @@ ITEM_COLS = ("item_order_id, item_order_item_id, item_product_id, item_seller_id
              "price, freight_value")
 PRODUCT_COLS = ("product_id, product_name_lenght, product_description_lenght, product_photos_qty, "
                 "product_weight_g, product_length_cm, product_height_cm, product_width_cm, product_size")
-RANKED_ROW = f"{ORDER_COLS}, {ITEM_COLS}, seller_id, seller_zip_code_prefix, seller_city, seller_state"
+WHOLE_ROW = f"""* REPLACE ({sorted_text('payment_type')} AS payment_type, {ordered_text('review_scores')} AS review_scores,
+    {ordered_text('review_titles')} AS review_titles, {ordered_text('review_message')} AS review_message,
+    {date_text('review_creation_date')} AS review_creation_date)"""
 BODIES["orders_items_inner"] = f"SELECT {ORDER_COLS}, {ITEM_COLS} FROM wide"
 BODIES["wide_left_products"] = (f"SELECT {ITEM_KEY}, item_product_id, product_category_name, {PRODUCT_COLS} "
                                 "FROM wide")
@@ -380,6 +382,12 @@ BODIES["wide_geo_as_written"] = f"""
 SELECT customer_zip_code_prefix, geolocation_lat, geolocation_lng, count(*) AS rows,
        {total('price')} AS revenue, count(DISTINCT order_id) AS orders
 FROM wide_aw GROUP BY customer_zip_code_prefix, geolocation_lat, geolocation_lng"""
+BODIES["wide_geo_as_written_rows"] = f"""
+SELECT order_year_month, geolocation_state, order_status, count(*) AS rows, {total('price')} AS revenue,
+       count(DISTINCT order_id) AS orders,
+       count(DISTINCT CASE WHEN geolocation_lat IS NOT NULL AND geolocation_lng IS NOT NULL
+                           THEN (geolocation_lat, geolocation_lng) END) AS points
+FROM wide_aw GROUP BY 1, 2, 3"""
 BODIES["wide_translation_using"] = (f"SELECT {ITEM_KEY}, product_category_name, product_category_name_english "
                                     "FROM wide")
 BODIES["wide_segments"] = (f"SELECT {ITEM_KEY}, order_customer_id, order_customer_id_customer_segmented, "
@@ -439,7 +447,7 @@ FROM wide WHERE order_status = 'delivered' GROUP BY customer_id
 ORDER BY top_customer_per_spending DESC NULLS LAST, customer_id ASC NULLS FIRST LIMIT 10"""
 BODIES["k12_rank"] = f"""
 SELECT * FROM (
-  SELECT {RANKED_ROW},
+  SELECT {WHOLE_ROW},
          CAST(rank() OVER (PARTITION BY seller_id ORDER BY price DESC NULLS LAST) AS INTEGER) AS rank
   FROM wide) WHERE rank <= 5"""
 BODIES["k12_seller_revenue_rank"] = f"""
@@ -448,7 +456,7 @@ SELECT seller_id, total_revenue,
 FROM (SELECT seller_id, {total('price')} AS total_revenue FROM wide GROUP BY seller_id)"""
 BODIES["k13_dense_rank"] = f"""
 SELECT * FROM (
-  SELECT {RANKED_ROW},
+  SELECT {WHOLE_ROW},
          CAST(dense_rank() OVER (PARTITION BY seller_id ORDER BY price DESC NULLS LAST) AS INTEGER) AS dense_rank
   FROM wide) WHERE dense_rank <= 5"""
 BODIES["k14_seller_scorecard"] = f"""
@@ -844,6 +852,7 @@ def oracle_sql() -> dict[str, str]:
 BODIES["sink_roundtrip"] = (f"SELECT order_year_month, count(*) AS rows, {total('price')} AS revenue "
                             "FROM wide GROUP BY order_year_month")
 BODIES["managed_table"] = BODIES["sink_roundtrip"]
+BODIES["bucketed_orders_items"] = BODIES["orders_items_inner"]
 BODIES["bronze_roundtrip"] = """
 SELECT 'orders' AS table_name, count(*) AS row_count FROM clean_orders
 UNION ALL SELECT 'order_items', count(*) FROM clean_items

@@ -57,9 +57,18 @@ def wide_table(spark: SparkSession, d: str, columns=None, **kw) -> DataFrame:
     return wide.build_wide(src(spark, d), columns, **kw)
 
 
+def written_wide(spark: SparkSession, d: str) -> str:
+    """Write the wide table partitioned by month; its path."""
+    import uuid
+
+    from ..plans import sinks
+    path = f"{sinks.scratch_root(spark)}/silver-{uuid.uuid4().hex}/final_df"
+    sinks.write_wide(wide_table(spark, d), path)
+    return path
+
+
 ITEM_KEY = ["order_id", "item_order_item_id"]
 REVIEW_SUMS = ["review_count", "review_score_sum", "review_score_n"]
-RANKED_ROW = wide.ORDER_COLUMNS + wide.ITEM_COLUMNS + wide.SELLER_COLUMNS
 
 
 # --- step 1: the flagship KPI ----------------------------------------------------
@@ -192,6 +201,17 @@ def q_wide_geo_fanout(spark, d):
     return kpis.zip_points(wide_table(spark, d, ["customer_zip_code_prefix", "order_id", "price"]), s.geo)
 
 
+@query("wide_geo_as_written_rows")
+def q_wide_geo_rows(spark, d):
+    """The wide table as written, every item row with every point of its
+    zip: rows, revenue and points per month, state and status."""
+    w = wide_table(spark, d, ["order_year_month", "geolocation_state", "order_status", "price", "geolocation_lat",
+                              "geolocation_lng", "order_id"], geo_mode="as_written")
+    return w.groupBy("order_year_month", "geolocation_state", "order_status").agg(
+        F.count("*").alias("rows"), C.money_sum("price").alias("revenue"),
+        F.countDistinct("order_id").alias("orders"), F.countDistinct("geolocation_lat", "geolocation_lng").alias("points"))
+
+
 @query("wide_translation_using")
 def q_wide_translation(spark, d):
     return _wide_cols(spark, d, ITEM_KEY + ["product_category_name", "product_category_name_english"])
@@ -301,7 +321,8 @@ def k11(spark, d):
 
 @query("k12_rank")
 def k12(spark, d):
-    return kpis.top_items_per_seller(wide_table(spark, d, RANKED_ROW), 5, dense=False)
+    """Whole rows of the written wide table."""
+    return kpis.top_rows_per_seller(spark, written_wide(spark, d), 5)
 
 
 @query("k12_seller_revenue_rank")
@@ -311,7 +332,7 @@ def k12r(spark, d):
 
 @query("k13_dense_rank")
 def k13(spark, d):
-    return kpis.top_items_per_seller(wide_table(spark, d, RANKED_ROW), 5, dense=True)
+    return kpis.top_rows_per_seller(spark, written_wide(spark, d), 5, dense=True)
 
 
 @query("k14_seller_scorecard")
@@ -827,10 +848,23 @@ def managed_table(spark, d):
     import uuid
     name = f"ordermart_silver.final_{uuid.uuid4().hex[:12]}"
     S.create_database(spark, name.split(".")[0])
-    S.save_table(wide_table(spark, d, [*ITEM_KEY, "price", "order_year_month"]), name)
+    S.save_table(wide_table(spark, d), name)
     return spark.table(name).groupBy("order_year_month").agg(F.count("*").alias("rows"), C.money_sum("price").alias("revenue"))
 
 
+@query("bucketed_orders_items")
+def bucketed_orders_items(spark, d):
+    """Orders and items as managed tables bucketed by the order id: the join
+    of the two needs no shuffle."""
+    import uuid
+    s, tag = silver(spark, d), uuid.uuid4().hex[:12]
+    S.create_database(spark, "ordermart_silver")
+    for name, df, key in (("orders", s.orders, "order_id"), ("items", s.items, "item_order_id")):
+        S.save_bucketed(df, f"ordermart_silver.{name}_{tag}", key, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    orders, items = (spark.table(f"ordermart_silver.{x}_{tag}") for x in ("orders", "items"))
+    return orders.join(items, F.col("order_id") == F.col("item_order_id")).select(*wide.ORDER_COLUMNS, *wide.ITEM_COLUMNS)
+
+
 @query("raw_csv_roundtrip")
 def raw_csv_roundtrip(spark, d):
     """All nine source tables landed as headered CSV and read back with the

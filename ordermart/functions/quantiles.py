@@ -5,11 +5,9 @@ the values of groups. The first scan makes a bounded sketch per key. For each
 probability it brackets the quantile: the sketch's values a little below and
 a little above it, farther apart than the sketch can be wrong. The second
 scan counts, for each bracket, what lies below it and how often each value
-inside it occurs; all of it is a partial aggregate, so only the few values
-inside the brackets are shuffled, spread by value, and a hot key is as good
-as any other. Inside a bracket the values are cut into ``CELLS`` equal cells;
-prefix sums over the cells name the cell of the quantile, and only that
-cell's values are put in order.
+inside it occurs. All of it is a partial aggregate, so only the values inside
+the brackets (six in ``ACCURACY`` of the rows) are shuffled and put in order,
+and a hot key is as good as any other.
 
 The quantile is an element of the column: the smallest one whose share of
 rows at or below it reaches the probability. Keys without values have none.
@@ -25,7 +23,6 @@ from pyspark.sql import functions as F
 
 ACCURACY = 4000             # a sketch's ranks are off by at most 1/ACCURACY of the rows
 MARGIN = 3 / ACCURACY       # brackets reach this far below and above
-CELLS = 1024
 
 LONG_KEYS = ("table_name", "column_name")
 
@@ -41,6 +38,12 @@ def long_values(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFr
     return out.filter("v is not null")
 
 
+def column_values(df: DataFrame, column: str) -> DataFrame:
+    """column_name, v of one column, in its own type."""
+    x = F.explode(F.array(F.struct(F.lit(column).alias("column_name"), F.col(column).alias("v"))))
+    return df.select(x.alias("x")).select("x.*")
+
+
 def sketched(rows: DataFrame, keys: Sequence[str], probs: Sequence[float], **more: Column) -> DataFrame:
     """One row per key: _n, brackets _low_i and _high_i, and ``more``
     aggregates of the same scan."""
@@ -72,37 +75,34 @@ def counted(rows: DataFrame, keys: Sequence[str], brackets: DataFrame, n: int, c
 def selected(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], carry: Sequence[str] = ()) -> DataFrame:
     """keys, carried columns, quantiles (an array, in the order of ``probs``)."""
     by = [*keys, "target"]
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("target") + 1)
-    width = F.col("high").cast("double") - F.col("low").cast("double")
-    at = F.floor((F.col("v").cast("double") - F.col("low").cast("double")) / width * CELLS)
-    cell = F.when(F.col("v").isNull(), -1).when(width > 0, at).otherwise(0).cast("int")
-    hist = counts.filter(F.col("target") < len(probs)).select(
-        *by, F.greatest(F.ceil(prob * F.col("total")), F.lit(1)).alias("rank"), "v", "rows", cell.alias("cell"), *carry)
-    upto = Window.partitionBy(*by).orderBy("cell")
-    cells = (hist.groupBy(*by, "rank", "cell").agg(F.sum("rows").alias("own"))            # at most CELLS + 2 a target
-             .withColumn("before", F.sum("own").over(upto) - F.col("own"))
-             .withColumn("all", F.sum("own").over(Window.partitionBy(*by))))
-    misses = F.raise_error(F.lit("a bracket does not hold its quantile"))
-    inside = (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("own"))
-    target = (cells.filter(inside | (F.col("rank") > F.col("all")))
-              .withColumn("cell", F.when((F.col("cell") < 0) | (F.col("rank") > F.col("all")), misses.cast("int"))
-                          .otherwise(F.col("cell")))
-              .select(*by, "cell", (F.col("rank") - F.col("before")).alias("wanted")))
-    order = Window.partitionBy(*by).orderBy("v")
+    prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("target"))
+    upto = F.sum("rows").over(Window.partitionBy(*by).orderBy(F.asc_nulls_first("v")))
+    ranked = counts.withColumns({"rank": F.when(prob.isNotNull(), F.greatest(F.ceil(prob * F.col("total")), F.lit(1))),
+                                 "upto": upto})
+    reached = F.col("upto") >= F.col("rank")
     kept = [F.first(c).alias(c) for c in carry]
-    picked = (hist.select(*by, "cell", "v", "rows", *carry).join(target, [*by, "cell"])
-              .repartition(*keys)                                # a cell's values; what follows needs no other shuffle
-              .withColumn("upto", F.sum("rows").over(order)).filter(F.col("upto") >= F.col("wanted"))
-              .groupBy(*by).agg(F.min("v").alias("v"), *kept))
-    listed = F.array_sort(F.collect_list(F.struct("target", "v")))
+    picked = ranked.groupBy(*by).agg(F.min(F.when(reached, F.col("v"))).alias("v"),
+                                     F.bool_or(reached & F.col("v").isNull()).alias("below"),
+                                     F.max("rank").alias("rank"), *kept)
+    picked = picked.filter("rank is not null")     # brackets without a probability; asked here, not before the counts
+    misses = F.raise_error(F.lit("a bracket does not hold its quantile"))
+    found = F.when(F.col("below") | F.col("v").isNull(), misses.cast(counts.schema["v"].dataType)).otherwise(F.col("v"))
+    listed = F.array_sort(F.collect_list(F.struct("target", found.alias("v"))))
     return picked.groupBy(*keys).agg(*kept, F.transform(listed, lambda x: x["v"]).alias("quantiles"))
 
 
+def _few(keys: Sequence[str]) -> bool:
+    """Keys that name tables and columns are as few as the caller wrote down,
+    so what there is one row of for each may be broadcast."""
+    return set(keys) <= set(LONG_KEYS)
+
+
 def exact_quantiles(rows: DataFrame, keys: Sequence[str], probs: Sequence[float], **more: Column) -> DataFrame:
     """One row per key that has values: keys, ``more`` aggregates of the
     first scan, quantiles. ``rows``: keys and v. Null keys are left out."""
     rows = rows.dropna(subset=[*keys, "v"])
     brackets = sketched(rows, keys, probs, **more)
+    brackets = F.broadcast(brackets) if _few(keys) else brackets
     return selected(counted(rows, keys, brackets, len(probs), list(more)), keys, probs, list(more))
 
 
@@ -116,11 +116,13 @@ def outliers(rows: DataFrame, keys: Sequence[str], k: float = 1.5) -> DataFrame:
     slack = F.lit(1e-9) * F.greatest(F.abs(l1), F.abs(h3), F.abs(h1), F.abs(l3))     # rounding of the fences
     fences = {"_low_2": l1 - k * (h3 - l1) - slack, "_high_2": h1 - k * (l3 - h1) + slack,
               "_low_3": l3 + k * (l3 - h1) - slack, "_high_3": h3 + k * (h3 - l1) + slack}
-    counts = counted(rows, keys, ends.withColumns(fences), 4)
+    ends = ends.withColumns(fences)
+    counts = counted(rows, keys, F.broadcast(ends) if _few(keys) else ends, 4)
     quartiles = selected(counts, keys, (0.25, 0.75)).select(*keys, F.col("quantiles")[0].alias("q1"),
                                                             F.col("quantiles")[1].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     quartiles = quartiles.withColumns({"lower": F.col("q1") - F.lit(k) * iqr, "upper": F.col("q3") + F.lit(k) * iqr})
+    quartiles = F.broadcast(quartiles) if _few(keys) else quartiles
     tally = lambda target, cond: F.coalesce(F.sum(F.when((F.col("target") == target) & cond, F.col("rows"))), F.lit(0))
     beyond = (counts.join(quartiles, list(keys)).groupBy(*keys, "q1", "q3", "lower", "upper", F.col("total").alias("checked_rows"))
               .agg(tally(2, F.col("v").isNull() | (F.col("v") < F.col("lower"))).alias("below"),

@@ -16,14 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import column_values, exact_quantiles
 
 
 def quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[Column]:
     """Exact discrete quantiles of ``column`` as scalar columns (null for a
     column without values)."""
-    rows = df.select(F.lit(column).alias("column_name"), F.col(column).alias("v"))
-    found = exact_quantiles(rows, ["column_name"], probs).select("quantiles").scalar()
+    found = exact_quantiles(column_values(df, column), ["column_name"], probs).select("quantiles").scalar()
     return [F.get(found, F.lit(i)) for i in range(len(probs))]
 
 

@@ -8,11 +8,11 @@ group key as the last sort column so ties resolve the same way every run.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import column_values, exact_quantiles
 
 
 # --- review scores: per-order lists, or the list-free summary columns ------
@@ -75,9 +75,8 @@ def product_sales(items: DataFrame, product: str = "product_id") -> DataFrame:
 def price_summary(items: DataFrame, column: str = "price") -> DataFrame:
     """count, mean, stddev, min, exact quartiles and max (one row)."""
     v, q = F.col("v"), F.col("quantiles")
-    rows = items.select(F.lit(column).alias("column_name"), F.col(column).alias("v"))
-    found = exact_quantiles(rows, ["column_name"], (0.25, 0.5, 0.75), count=F.count(v), mean=F.round(F.avg(v), 4),
-                            stddev=F.round(F.stddev_samp(v), 4), min=F.min(v), max=F.max(v))
+    found = exact_quantiles(column_values(items, column), ["column_name"], (0.25, 0.5, 0.75), count=F.count(v),
+                            mean=F.round(F.avg(v), 4), stddev=F.round(F.stddev_samp(v), 4), min=F.min(v), max=F.max(v))
     return found.select("count", "mean", "stddev", "min", q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), "max")
 
 
@@ -148,6 +147,24 @@ def top_items_per_seller(wide: DataFrame, k: int = 5, dense: bool = False) -> Da
     return wide.withColumn(name, fn.over(_seller_price_window())).filter(F.col(name) <= k)
 
 
+def top_rows_per_seller(spark: SparkSession, path: str, k: int = 5, dense: bool = False) -> DataFrame:
+    """The same over a written wide table, whole rows out. Only the seller,
+    the price and each row's address (file and row in it) are ranked and
+    shuffled; the addresses that are left are written, and the other columns
+    are read for them. They are broadcast only if what was written is small:
+    ties at the last rank can be any number of rows."""
+    import uuid
+
+    from ..plans import physical, sinks
+    name = "dense_rank" if dense else "rank"
+    rows = spark.read.parquet(path)
+    address = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    ranked = top_items_per_seller(rows.withColumns(address).select("seller_id", "price", *address), k, dense)
+    kept = sinks.materialize(ranked.select(*address, name), spark, f"top-rows-{uuid.uuid4().hex}")
+    return (rows.withColumns(address).join(physical.broadcast_if_small(kept), list(address))
+            .select(*rows.columns, name))
+
+
 def seller_revenue_rank(wide: DataFrame) -> DataFrame:
     """Sellers ranked by summed item price (``rank``, ties share a rank),
     computed with a distributed whole-table rank."""

@@ -43,14 +43,25 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 # --- DQ2 / DQ7 duplicate keys -------------------------------------------------
 def duplicate_values(df: DataFrame, column: str, table: str = "") -> DataFrame:
     """Values of ``column`` that occur more than once, with their counts."""
-    return (df.groupBy(column).count().filter("count > 1")
-            .select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-                    F.col(column).cast("string").alias("value"), "count"))
+    return uniqueness({table: (df, [column])})
 
 
 def uniqueness(checks: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Duplicate values for each (table, column) pair."""
-    return _union(duplicate_values(df, c, name) for name, (df, cols) in checks.items() for c in cols)
+    """Duplicate values of some columns of some tables: each table is read
+    once, its rows give one (table, column, value) per column, and all of
+    them meet in one shuffle, added up before it. A value is compared as the
+    text it is reported as (0.0 and -0.0 are the same)."""
+    def entry(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        c = c + F.lit(0.0).cast(f.dataType) if isinstance(f.dataType, (DoubleType, FloatType)) else c
+        return F.struct(F.lit(f.name).alias("column_name"), c.cast("string").alias("value"))
+
+    def rows(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        each = F.array(*[entry(df.schema[c]) for c in columns])
+        return df.select(F.lit(table).alias("table_name"), F.explode(each).alias("x")).select("table_name", "x.*")
+
+    return (_union(rows(t, df, columns) for t, (df, columns) in checks.items())
+            .groupBy("table_name", "column_name", "value").count().filter("count > 1"))
 
 
 # --- DQ3 / DQ4 / DQ5 null profiles ----------------------------------------------

@@ -174,6 +174,32 @@ def _attach_item_dims(df: DataFrame, silver: Silver, needed: set[str], max_bytes
     return df
 
 
+ZIP_ROWS = 1_000_000        # item rows of a zip that one task joins with the zip's points
+
+
+def _attach_points(df: DataFrame, silver: "Silver", rows: int | None = None) -> DataFrame:
+    """Left join of every point of the customer's zip, for a geolocation that
+    is not small. A zip with many item rows is cut into slices of about
+    ``rows`` of them: its items are dealt out by their key, its points are
+    repeated once for each slice. Slices come from a count of items by zip
+    over narrow columns; zips of one slice are not in that table."""
+    per_order = silver.items.groupBy("item_order_id").agg(F.count("*").alias("_n"))
+    per_zip = (silver.orders.select("order_id", "order_customer_id")
+               .join(per_order, F.col("order_id") == F.col("item_order_id"))
+               .join(silver.customers.select("customer_id", "customer_zip_code_prefix"),
+                     F.col("order_customer_id") == F.col("customer_id"))
+               .groupBy(F.col("customer_zip_code_prefix").alias("_zip")).agg(F.sum("_n").alias("_n")))
+    cut = (per_zip.withColumn("_slices", F.ceil(F.col("_n") / F.lit(rows or ZIP_ROWS)).cast("int"))
+           .filter("_slices > 1").select("_zip", "_slices"))
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    points = (silver.geo.join(cut, F.col("geolocation_zip_code_prefix") == F.col("_zip"), "left")
+              .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("_zip", "_slices"))
+    items = (df.join(cut, F.col("customer_zip_code_prefix") == F.col("_zip"), "left")
+             .withColumn("_of", F.pmod(F.xxhash64("order_id", "item_order_item_id"), slices).cast("int")).drop("_zip", "_slices"))
+    return items.join(points, (F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"))
+                      & (F.col("_of") == F.col("_slice")), "left").drop("_of", "_slice")
+
+
 def order_side(silver: Silver, needed: set[str]) -> DataFrame:
     """One row per order with what is needed of customer, segment, payments
     and reviews. Customer-keyed joins come first and order-keyed ones last,
@@ -237,8 +263,11 @@ def join_wide(silver: Silver, needed: Iterable[str] | None = None, *, partitions
     if needed & set(GEO_COLUMNS) or silver.geo_mode == "as_written":
         if "customer_zip_code_prefix" not in wide.columns:
             raise ValueError("as_written geolocation needs a customer or geolocation column")
-        wide = _attach(wide, silver.geo, silver.raw("geolocation"),
-                       F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), max_bytes)
+        if silver.geo_mode == "as_written" and not physical.is_small(silver.raw("geolocation"), max_bytes):
+            wide = _attach_points(wide, silver)
+        else:
+            wide = _attach(wide, silver.geo, silver.raw("geolocation"),
+                           F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), max_bytes)
     if "product_category_name_english" in needed:
         dim = silver.translation.withColumnRenamed("product_category_name", "_category")
         wide = _attach(wide, dim, silver.raw("category_translation"),

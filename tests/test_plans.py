@@ -42,6 +42,64 @@ def test_top_k_per_seller_uses_window_group_limit(spark, small_dir):
     assert "WindowGroupLimit" in physical.plan_text(df, "formatted")
 
 
+def test_whole_rows_per_seller_are_read_by_address(spark, small_dir, scratch):
+    """Seller, price and address are ranked; no other column is shuffled."""
+    path = f"{scratch}/silver/final_df"
+    sinks.write_wide(wide.build_wide(SourceTables(spark, small_dir)), path)
+    seen = []
+    write = sinks.materialize
+    try:
+        sinks.materialize = lambda df, *a: (seen.append(df), write(df, *a))[1]
+        top = kpis.top_rows_per_seller(spark, path, 5)
+    finally:
+        sinks.materialize = write
+    ranked = physical.plan_text(seen[0])
+    read = [line for line in ranked.splitlines() if "ReadSchema" in line]
+    assert "WindowGroupLimit" in ranked and len(read) == 1 and "seller_id" in read[0] and read[0].count(":") <= 4
+    assert len(top.columns) == 73 and "Window" not in physical.plan_text(top)
+    assert "Exchange hashpartitioning" not in physical.plan_text(top)          # the addresses are broadcast
+    want = kpis.top_items_per_seller(spark.read.parquet(path), 5)
+    key = ["seller_id", "price", "rank", "order_id", "item_order_item_id", "customer_city"]
+    assert sorted(map(str, top.select(*key).collect())) == sorted(map(str, want.select(*key).collect()))
+
+
+def test_uniqueness_reads_each_table_once(spark, small_dir):
+    t = SourceTables(spark, small_dir)
+    report = quality.uniqueness({"order_items": (t.order_items, ["order_id", "product_id", "seller_id"]),
+                                 "sellers": (t.sellers, ["seller_id", "seller_city"])})
+    plan = physical.plan_text(report, "simple")
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange") == 1
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (None,), (None,), (1.0,)], "x double")
+    rows = quality.uniqueness({"z": (zeros, ["x"])}).collect()
+    assert sorted((str(r.value), r["count"]) for r in rows) == [("0.0", 2), ("None", 2)]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, small_dir):
+    joined = SQ.QUERIES["bucketed_orders_items"](spark, small_dir)
+    plan = physical.plan_text(joined, "simple")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_as_written_geolocation_splits_a_hot_zip(spark, small_dir, monkeypatch):
+    """The split join gives the rows of the plain one, and a zip's items go
+    to as many tasks as it has slices."""
+    t = SourceTables(spark, small_dir)
+    columns = ["order_id", "item_order_item_id", "customer_zip_code_prefix", *wide.GEO_COLUMNS, "price"]
+    plain = wide.build_wide(t, columns, geo_mode="as_written", max_bytes=1 << 60)
+    monkeypatch.setattr(wide, "ZIP_ROWS", 50)
+    split = wide.build_wide(t, columns, geo_mode="as_written", max_bytes=0)
+    assert ["_slice" in physical.plan_text(df, "extended") for df in (split, plain)] == [True, False]
+    assert _fingerprint(split) == _fingerprint(plain)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        split = wide.build_wide(t, columns, geo_mode="as_written", max_bytes=0)
+        parts = (split.withColumn("part", F.spark_partition_id()).groupBy("customer_zip_code_prefix")
+                 .agg(F.countDistinct("part").alias("n"), F.count("*").alias("rows")))
+        assert parts.orderBy(F.desc("rows")).first().n >= 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_top_k_is_take_ordered(spark, small_dir):
     df = SQ.QUERIES["k09_top_products"](spark, small_dir)
     assert "TakeOrderedAndProject" in physical.plan_text(df, "simple")
@@ -181,10 +239,10 @@ def test_review_summary_mode_gives_the_same_kpis(spark, small_dir):
 def test_managed_partitioned_table(spark, small_dir):
     name = f"ordermart_gold_t.final_{uuid.uuid4().hex[:10]}"
     sinks.create_database(spark, name.split(".")[0])
-    w = wide.build_wide(SourceTables(spark, small_dir)).select("order_id", "price", "order_year_month")
+    w = wide.build_wide(SourceTables(spark, small_dir))
     sinks.save_table(w, name)
     t = spark.table(name)
-    assert t.count() == w.count()
+    assert t.count() == w.count() and sorted(t.columns) == sorted(w.columns) and len(t.columns) == 72
     assert "order_year_month" in [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 

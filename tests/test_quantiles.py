@@ -95,6 +95,8 @@ def test_two_scans_of_a_table_for_all_columns(spark, small_dir):
     for report in (quality.iqr_outliers(tables), quality.summary_stats(tables)):
         rows, jobs, scans = run_counting(spark, report)
         assert len(rows) == 3 and jobs <= 8 and scans <= 4
+        plan = physical.plan_text(report, "simple")
+        assert plan.count("BroadcastHashJoin") >= 2 and "Cartesian" not in plan     # no row is shuffled to meet its bracket
 
 
 def test_price_quartiles_per_seller(spark):
