@@ -2,8 +2,11 @@
 
 Pages are grouped by host. For each line that has a word, the pages that
 contain it (once or more) are divided by the host's page total; lines over
-``ratio`` that at least ``min_pages`` pages contain are dropped from every
-page of that host. Pages of one host with the same text count as one page,
+``ratio`` are dropped from every page of that host. A line must be on two
+pages or more, and over the ratio by ``sure`` standard deviations of what a
+line of just that ratio would show by chance: on a host of three pages two
+are enough, among fifty a line of two near copies is no boilerplate, and on a
+large host only the ratio counts. Pages of one host with the same text count as one page,
 so a page that was copied often does not turn its own text into
 boilerplate. Lines are compared exactly, as 64-bit hashes; lines without a
 word are kept.
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, shielded, written
 
-RATIO, MIN_PAGES = 0.02, 5
+RATIO, SURE = 0.02, 3.0
 
 
 def host_of(url: Column | str) -> Column:
@@ -39,26 +42,26 @@ def _lines(text: Column | str) -> Column:
     return F.split(text, "\n")
 
 
-def boilerplate(docs: DataFrame, host: str, text: str = "text", ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str, text: str = "text", ratio: float = RATIO, sure: float = SURE) -> DataFrame:
     """One row per host that has such lines: _host, _drop (hashes of lines)."""
     keys = F.array_distinct(F.transform(F.filter(_lines(text), lambda x: x.rlike(WORD)), lambda x: F.xxhash64(x)))
     pages = written(docs.select(F.col(host).alias("_host"), F.xxhash64(text).alias("_page"), keys.alias("_keys"))
                     .filter(F.col(text).isNotNull()).dropDuplicates(["_host", "_page"]).drop("_page"), "page-lines")
     totals = pages.groupBy("_host").agg(F.count("*").alias("pages"))
     counts = (pages.select("_host", F.explode("_keys").alias("_key")).groupBy("_host", "_key")
-              .agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages))
+              .agg(F.count("*").alias("n")).filter("n > 1"))
     over = counts.join(totals.withColumnRenamed("_host", "_own"), F.col("_host").eqNullSafe(F.col("_own")))
-    return (over.filter(F.col("n") > F.lit(ratio) * F.col("pages")).groupBy("_host")
+    expected = F.lit(ratio) * F.col("pages")
+    return (over.filter(F.col("n") > expected + F.lit(sure) * F.sqrt(expected)).groupBy("_host")
             .agg(F.sort_array(F.collect_list("_key")).alias("_drop")))
 
 
 def drop_boilerplate(docs: DataFrame, host: str, text: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, measures: bool = False) -> DataFrame:
+                     sure: float = SURE, measures: bool = False) -> DataFrame:
     """``docs`` with the lines dropped from ``text``; with ``measures`` also
     n_lines and n_dropped."""
     rows, names = shielded(docs, host, text)
-    drop = written(boilerplate(rows, host, text, ratio, min_pages), "boilerplate-lines")
+    drop = written(boilerplate(rows, host, text, ratio, sure), "boilerplate-lines")
     rows = rows.join(drop, F.col(host).eqNullSafe(F.col("_host")), "left")
     none = F.array().cast("array<bigint>")
     hits = F.array_intersect(F.transform(_lines(text), lambda x: F.xxhash64(x)), F.coalesce("_drop", none))
@@ -73,7 +76,7 @@ def drop_boilerplate(docs: DataFrame, host: str, text: str = "text", ratio: floa
     return rows.select(*names, "_n_lines", "_n_dropped").toDF(*docs.columns, "n_lines", "n_dropped")
 
 
-def oracle(ratio: float = RATIO, min_pages: int = MIN_PAGES) -> str:
+def oracle(ratio: float = RATIO, sure: float = SURE) -> str:
     """DuckDB SQL for the query over ``documents`` with ``source`` as host."""
     word = r"[^\x20\x09-\x0D]"
     return f"""
@@ -83,7 +86,7 @@ def oracle(ratio: float = RATIO, min_pages: int = MIN_PAGES) -> str:
         SELECT source, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM pages) GROUP BY source, line),
     boiler AS (SELECT l.source, list(l.line) AS lines FROM lines l JOIN totals t
         ON l.source IS NOT DISTINCT FROM t.source
-        WHERE l.n >= {min_pages} AND l.n > CAST({ratio} AS DOUBLE) * t.pages
+        WHERE l.n > 1 AND l.n > CAST({ratio} AS DOUBLE) * t.pages + CAST({sure} AS DOUBLE) * sqrt(CAST({ratio} AS DOUBLE) * t.pages)
           AND regexp_matches(l.line, '{word}') GROUP BY l.source),
     cut AS (SELECT d.doc_id, d.text, CASE WHEN b.lines IS NULL THEN string_split(d.text, chr(10))
           ELSE list_filter(string_split(d.text, chr(10)), lambda x: NOT list_contains(b.lines, x)) END AS kept

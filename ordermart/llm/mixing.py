@@ -43,12 +43,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WORD, importable, shielded, written
+from .fill_middle import BlockTree
 
 WEIGHTS, SHARE, MAX_REPEAT = (5, 2, 1), 1.5, 2.0
 BLOCK_WORDS, SHARD_BLOCKS, SEED = 8192, 128, 17
 BUCKET_ROWS = 512
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-NODES = 200_000             # tree nodes a task remembers
+TREE_BYTES = 32 << 20       # of tree nodes a task remembers
 TASK_SHARDS = 16            # most shards one task sorts, where there are more than shuffle partitions
 MOST_BLOCKS = 10 ** 9       # numpy's hypergeometric draws are exact below this
 
@@ -144,7 +145,7 @@ class Plan:
             mid = (lo + hi) // 2
             left = self._tree.get((lo, hi))
             if left is None:
-                if len(self._tree) >= NODES:
+                if len(self._tree) * (8 * len(self.quota) + 300) >= TREE_BYTES:
                     self._tree.clear()
                 room = self.total * mid // self.shards - self.total * lo // self.shards
                 rng = np.random.Generator(np.random.PCG64(_key("node", self.seed, lo, hi)))
@@ -227,14 +228,23 @@ def taken(docs: DataFrame, text: str = "text", source: str = "source", id_col: s
         T.StructField("shards", T.ArrayType(T.LongType())), T.StructField("positions", T.ArrayType(T.LongType()))]))
 
 
-def cut_words(text: str, first: int, words: int, size: int) -> str:
-    """The text from one word to another, with what stands between them; the
-    whole text where all words are taken."""
-    if words == size:
-        return text
-    data = text.encode("utf-8", "surrogatepass")
-    starts = [m.span() for m in _WORD.finditer(data)][first:first + words]
-    return data[starts[0][0]:starts[-1][1]].decode("utf-8", "surrogatepass")
+class Words:
+    """Cuts a text from one word to another, with what stands between them.
+    A tree over blocks of the text is built once, so a cut costs what it
+    gives, however long the text and however many its cuts."""
+
+    def __init__(self, text: str, size: int):
+        self.text, self.size = text, size
+        self.data, self.tree = b"", None
+
+    def cut(self, first: int, words: int) -> str:
+        if words == self.size:
+            return self.text
+        if self.tree is None:
+            self.data = self.text.encode("utf-8", "surrogatepass")
+            self.tree = BlockTree(self.data)
+        start = _WORD.search(self.data, self.tree.cut(first)[0]).start()
+        return self.data[start:self.tree.cut(first + words)[0]].decode("utf-8", "surrogatepass")
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", places: bool = False,
@@ -257,9 +267,10 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str
             texts, which, cut, shard, place, word = b.column(at).to_pylist(), [], [], [], [], []
             own = zip(*(b.column(width + k).to_pylist() for k in range(3)))
             for k, (s, n, offset) in enumerate(own):
+                part = Words(texts[k], n)
                 for to, position, first, words in plan.spans(s, offset, n):
                     which.append(k)
-                    cut.append(cut_words(texts[k], first, words, n))
+                    cut.append(part.cut(first, words))
                     shard.append(to)
                     place.append(position)
                     word.append(offset + first)

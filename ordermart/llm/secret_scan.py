@@ -3,18 +3,21 @@ Markov models. DataFrame functions only.
 
 The base patterns give spans in code points: a text is split at a pattern's
 matches, and the lengths of what lies between and of the matches add up to
-the positions. Further candidates are runs of ``RUN`` or more characters of
-base-64 alphabets that no base span touches. Two first-order Markov models
-over 66 characters, one of random strings and one of ordinary identifiers,
-are trained from labelled samples; a candidate is a secret when the log
+the positions. Further candidates are what base spans leave of the runs of
+characters of base-64 alphabets. Two first-order Markov models over 66
+characters, one of random strings and one of ordinary identifiers, are
+trained from labelled samples; a candidate is a secret when the log
 likelihood ratio of the models is at least ``MIN_TOTAL`` in all and
-``MIN_MEAN`` a character pair. A candidate without a letter (a number) never
-is one.
+``MIN_MEAN`` a character pair. Random strings gain about 2.5 a pair, so fewer
+than ``RUN`` characters do not tell; like the lengths of the base patterns it
+is part of what counts as a secret. A candidate without a letter (a number)
+never is one.
 
-``labelled_samples`` takes them from the documents: ordinary are the words of
-``SAMPLE_DOCS`` documents (a bound, chosen by hash), also in capitals, random
-are the values that the base patterns found (``SAMPLE_VALUES`` at most) and
-digests of those words. Everything else sees every text whole.
+``labelled_samples`` takes them from the documents: ordinary are the runs of
+the same alphabet in ``SAMPLE_DOCS`` documents (a bound, chosen by hash), also
+in capitals, random are the distinct values that the base patterns found
+(``SAMPLE_VALUES`` at most) and digests of those words. Everything else sees
+every text whole.
 
 One scan cuts out spans and candidates; only those are written and scored,
 nothing is shuffled. Rows: a null text is empty; repeated rows are scanned
@@ -40,10 +43,10 @@ KINDS = ["assign", "access", "hex", "random"]
 MIN_VALUE = 6
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
-RUN = 16
-CANDIDATE = rf"[A-Za-z0-9+/_-]{{{RUN},}}"
 SAMPLE_DOCS, SAMPLE_VALUES = 300, 5000
 MIN_TOTAL, MIN_MEAN = 20.0, 1.0
+RUN = 9
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{RUN},}}"
 SMOOTHING = 0.5
 CHUNK = 256                 # spans that one growing array holds
 _SPAN = "struct<start:int,kind:int,end:int,value:string>"
@@ -96,47 +99,55 @@ def _found(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
 
 
 def _apart(runs: Column, base: Column) -> Column:
-    """The runs (which do not overlap each other) that touch no base span: one
-    sweep over both in order. A run is held until what follows starts behind
-    its end; ``reach`` is how far base spans have come."""
+    """What base spans leave of the runs (which do not overlap each other):
+    one sweep over both in order. A run is held until something starts behind
+    its end, and loses what base spans cover; ``reach`` is how far these have
+    come."""
     is_run = lambda x: x["kind"] == len(KINDS) - 1
     none, far = F.lit(None).cast(_SPAN), F.lit((1 << 31) - 1)
     last = F.struct(far.alias("start"), F.lit(0).alias("kind"), far.alias("end"), F.lit("").alias("value"))
 
+    def part(run: Column, start: Column, end: Column) -> Column:
+        """The run from one place to another, null if nothing is left of it."""
+        value = run["value"].substr(start - run["start"] + 1, end - start)
+        return F.when(end > start, F.struct(start.alias("start"), run["kind"].alias("kind"), end.alias("end"),
+                                            value.alias("value"))).otherwise(none)
+
     def step(state: Column, x: Column) -> tuple[Column, Column]:
         held, reach = state["held"], state["reach"]
-        done = F.when(held["end"] <= x["start"], F.array(held)).otherwise(F.array().cast(f"array<{_SPAN}>"))
-        now = F.struct(F.when(is_run(x), reach).otherwise(F.greatest(reach, x["end"])).alias("reach"),
-                       F.when(is_run(x) & (reach <= x["start"]), x).otherwise(none).alias("held"))
-        return now, done
+        done = part(held, held["start"], F.least(held["end"], x["start"]))
+        after = F.when(is_run(x), part(x, F.greatest(x["start"], reach), x["end"])).otherwise(
+            part(held, F.greatest(held["start"], x["end"]), held["end"]))
+        now = F.struct(F.when(is_run(x), reach).otherwise(F.greatest(reach, x["end"])).alias("reach"), after.alias("held"))
+        return now, F.filter(F.array(done), lambda y: y.isNotNull())
 
     swept = _running(F.concat(F.sort_array(F.concat(base, runs)), F.array(last)),
                      F.struct(F.lit(0).alias("reach"), none.alias("held")), step)
-    return F.when(F.size(runs) > 0, swept).otherwise(runs)
+    return F.when((F.size(runs) > 0) & (F.size(base) > 0), swept).otherwise(runs)
 
 
 def cut_out(docs: DataFrame) -> DataFrame:
-    """doc_id, base (spans of the patterns, sorted) and candidates (runs that
-    touch none of them)."""
+    """doc_id, base (spans of the patterns, sorted) and candidates (what they
+    leave of runs, if it is long enough and has a letter)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
     rows = rows.select(
         "doc_id", F.filter(_found(F.col("text"), ASSIGN, "assign", 2), lambda x: F.char_length(x["value"]) >= MIN_VALUE).alias("assign"),
         _found(F.col("text"), ACCESS, "access").alias("access"), _found(F.col("text"), HEX, "hex").alias("hex"),
-        F.filter(_found(F.col("text"), CANDIDATE, "random"), lambda x: x["value"].rlike("[A-Za-z]")).alias("runs"))
+        _found(F.col("text"), CANDIDATE, "random").alias("runs"))
     rows = rows.withColumn("base", F.sort_array(F.concat("assign", "access", "hex")))
-    return rows.select("doc_id", "base", _apart(F.col("runs"), F.col("base")).alias("candidates"))
+    fit = lambda x: (F.char_length(x["value"]) >= RUN) & x["value"].rlike("[A-Za-z]")
+    return rows.select("doc_id", "base", F.filter(_apart(F.col("runs"), F.col("base")), fit).alias("candidates"))
 
 
 def labelled_samples(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """value and label (1 random, 0 ordinary) of bounded samples."""
-    n_docs, n_values = spans.agg(F.count("*"), F.coalesce(F.sum(F.size("base")), F.lit(0))).first()
-    few = sample(docs.select("doc_id", "text"), F.col("doc_id"), SAMPLE_DOCS, n_docs)
-    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z_-]{4,}"), F.lit(0))
-    words = written(few.select(F.explode(words).alias("value")), "ordinary-words")
+    found = written(spans.select(F.explode("base").alias("b")).select(F.col("b.value").alias("value")).distinct(), "values")
+    few = sample(docs.select("doc_id", "text"), F.col("doc_id"), SAMPLE_DOCS, spans.count())
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z0-9+/_-]{4,}"), F.lit(0))
+    words = written(few.select(F.explode(words).alias("value")).join(found, "value", "left_anti"), "ordinary-words")
     ordinary = words.unionByName(words.select(F.upper("value").alias("value")))
-    values = sample(spans.select(F.explode("base").alias("b")).select(F.col("b.value").alias("value")), F.col("value"),
-                    SAMPLE_VALUES, n_values)
+    values = sample(found, F.col("value"), SAMPLE_VALUES, found.count())
     digests = words.distinct().orderBy(F.xxhash64("value"), "value").limit(SAMPLE_VALUES).select(F.explode(F.array(
         F.md5("value"), F.base64(F.unhex(F.sha2("value", 256))), F.upper(F.md5("value")))).alias("value"))
     return (ordinary.withColumn("label", F.lit(0)).unionByName(values.withColumn("label", F.lit(1)))

@@ -113,3 +113,29 @@ def test_blocks_grow_before_the_tree_has_too_many():
     shards = {plan.shard(0, draw) for draw in range(0, plan.quota[0], plan.quota[0] // 50)}
     assert len(shards) > 40 and max(shards) < plan.shards
     assert mixing.Plan({"a": 10 ** 6, "b": 5}).block == mixing.BLOCK_WORDS
+
+
+def test_spans_of_long_texts_are_cut_in_linear_time(spark):
+    """Every span of a long text by brute force; one of 4 MB in many spans in seconds."""
+    import re
+    import time
+    text = " \n".join(f"wörd{i}" for i in range(500)) + "  "
+    spans = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    part = mixing.Words(text, len(spans))
+    for first in range(0, 500, 7):
+        for words in (1, 2, 250, 500 - first):
+            if first + words <= 500:
+                assert part.cut(first, words) == (text[spans[first][0]:spans[first + words - 1][1]] if words < 500 else text)
+    long = "some words of a text " * 200_000
+    n = len(long.split())
+    began, part = time.time(), mixing.Words(long, n)
+    assert sum(len(part.cut(k, 8192).split()) for k in range(0, n - 8192, 8192)) == n // 8192 * 8192
+    assert time.time() - began < 3
+
+
+def test_the_tree_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(mixing, "TREE_BYTES", 20_000)
+    plan = mixing.Plan({f"s{i}": 50_000 for i in range(100)}, block_words=100, shard_blocks=10)
+    for draw in range(0, plan.quota[0], 3):
+        plan.shard(0, draw)
+        assert len(plan._tree) * 8 * 100 <= 20_000

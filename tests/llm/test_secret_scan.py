@@ -51,6 +51,66 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert S.digest(S.scan(no_documents)).count() == 0
 
 
+def left_of_runs(text, base):
+    """Maximal pieces of runs outside base spans, long enough and with a letter."""
+    covered = [False] * (len(text) + 1)
+    for a, b in base:
+        covered[a:b] = [True] * (b - a)
+    out = []
+    for m in re.finditer(S.CANDIDATE, text):
+        start = None
+        for k in range(m.start(), m.end() + 1):
+            if k < m.end() and not covered[k]:
+                start = k if start is None else start
+            elif start is not None:
+                out.append((start, k))
+                start = None
+    return [(a, b) for a, b in out if b - a >= S.RUN and re.search("[A-Za-z]", text[a:b])]
+
+
+def random_of(text, base, table):
+    """The random spans by the definition: every piece, pair by pair."""
+    out = []
+    for a, b in left_of_runs(text, base):
+        pairs = [table[S.ALPHABET.index(x) * len(S.ALPHABET) + S.ALPHABET.index(y)] for x, y in zip(text[a:b], text[a + 1:b])]
+        total = sum(round(p, 6) for p in pairs)
+        if total >= S.MIN_TOTAL and total >= S.MIN_MEAN * len(pairs):
+            out.append((a, b))
+    return out
+
+
+def test_random_spans_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    made = [(-k, f"see {hashlib.sha512(str(k).encode()).hexdigest()[:9 + k]}/Xk{k}Qz9 x") for k in range(1, 40)]
+    docs = docs.unionByName(spark.createDataFrame(made, docs.schema))
+    samples = S.labelled_samples(docs, S.cut_out(docs)).persist()
+    table = S.ratio_table(samples)
+    found = 0
+    for r in S.scan(docs, samples).join(docs, "doc_id").collect():
+        want = random_of(r.text or "", [(x.start, x.end) for x in r.base], table)
+        assert [(x.start, x.end) for x in r.random] == want
+        found += len(want)
+    assert found
+    samples.unpersist()
+
+
+def test_parts_of_runs_beside_base_spans_are_scored(spark, documents):
+    text = "0123456789abcdef0123456789abcdef/Zk8qW3rT5yU7oP0aQ9wE8rT7yU6 and k9Xq7ZpL2vR4"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    samples = S.labelled_samples(documents, S.cut_out(documents))
+    spans = S.digest(S.scan(docs, samples)).first().spans
+    assert spans == "hex:0:32,random:32:60,random:65:77"
+
+
+def test_the_sample_is_of_distinct_values(spark, monkeypatch):
+    monkeypatch.setattr(S, "SAMPLE_VALUES", 50)
+    texts = ["token=" + "A" * 20] * 2900 + [f"token=value{i:04d}" for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    samples = S.labelled_samples(docs, S.cut_out(docs))
+    got = {r.value for r in samples.filter("label = 1").collect()} & {"A" * 20, *(f"value{i:04d}" for i in range(100))}
+    assert len(got) == 50
+
+
 def test_many_spans_in_one_text(spark):
     """Lists longer than a chunk, and runs before, behind, inside and across base spans."""
     digest = lambda k: hashlib.md5(str(k).encode()).hexdigest()
@@ -60,10 +120,7 @@ def test_many_spans_in_one_text(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).persist()
     check(docs)
     for r in S.cut_out(docs).join(docs, "doc_id").collect():
-        base = [(x.start, x.end) for x in r.base]
-        runs = [m.span() for m in re.finditer(S.CANDIDATE, r.text) if re.search("[A-Za-z]", m[0])]
-        apart = [(a, b) for a, b in runs if not any(c < b and a < d for c, d in base)]
-        assert [(x.start, x.end) for x in r.candidates] == apart
+        assert [(x.start, x.end) for x in r.candidates] == left_of_runs(r.text, [(x.start, x.end) for x in r.base])
         assert [r.text[x.start:x.end] for x in r.candidates] == [x.value for x in r.candidates]
     docs.unpersist()
 
