@@ -18,7 +18,8 @@ import numpy as np
 ORDER, BITS = 4, 6
 _MASK = (1 << BITS * (ORDER - 1)) - 1
 _HASH = np.uint32(0x9E3779B1)       # odd: multiplying by it is one-to-one on 32 bits
-_LIMIT = 0x250                      # code points from here on are one class
+_LATIN = 0x250                      # from here on letters are told by their number among the letters' classes
+_LIMIT = 0x10000                    # code points from here on are one class
 
 #: classes of single characters, by name; letters a-z and A-Z follow from 4 and 30
 BOUNDARY, SPACE, NEWLINE, DIGIT = 0, 1, 2, 3
@@ -45,8 +46,12 @@ def _classes() -> np.ndarray:
             out[cp] = COMMA
         elif c in "!?;:'\"()-":
             out[cp] = PROSE
+        elif c.isalpha() and cp >= _LATIN:          # letters of other scripts share the classes of a-z and A-Z
+            out[cp] = (30 if c.isupper() else 4) + ord(c.lower()[0]) % 26
         elif c.isalpha():
             out[cp] = UPPER if c.isupper() else LOWER
+        elif cp >= _LATIN:
+            out[cp] = OTHER
         else:
             out[cp] = CONTROL if cp < 32 or 127 <= cp < 160 else SYMBOL
     return out

@@ -9,11 +9,16 @@ from the ``tail`` quantile to the ``1 - tail`` quantile, widened by the
 factor ``margin`` on both sides. A document outside its language's band is
 rejected, and so is one that fails the base rules.
 
+A language in which no document is labelled good is judged by itself: all
+its documents are the reference, and its band lies ``FENCE`` interquartile
+ranges beyond their quartiles, widened alike, so only what is far from the
+rest is rejected. Documents are scored once; the scores are written, and
+bands and verdicts are read from them.
+
 Rows: a null text counts as empty (and fails the base rules); a null
-language is a language of its own; a language without good documents has no
-band, so only the base rules decide; repeated rows are judged each for
-itself; an empty table gives no rows. A document with any label row other
-than good is not reference text.
+language is a language of its own; repeated rows are judged each for itself;
+an empty table gives no rows. A document with any label row other than good
+is not good.
 """
 
 from __future__ import annotations
@@ -23,16 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.quantiles import exact_quantiles
+from ..plans.physical import broadcast_if_small
 from .common import importable, shielded, written
 from .ngram_model import Model, Scorer, grams, merge_counts, scratch
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
-TAIL, MARGIN = 0.0005, 1.3
+TAIL, MARGIN, FENCE = 0.0005, 1.3, 3.0
 SCORE_CHARS = 2_000_000     # texts scored at a time
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -133,18 +140,17 @@ def fit_models(counts: DataFrame) -> DataFrame:
 
 
 class Judge:
-    """Models and bands by language, as they are sent to the tasks."""
+    """The models by language, as they are sent to the tasks."""
 
     def __init__(self, models: dict[str | None, list[bytes]]):
-        self.models, self.bands = models, {}
+        self.models = models
         self._scorers: dict[str | None, Scorer] = {}
 
     def __getstate__(self):
-        return self.models, self.bands
+        return self.models
 
     def __setstate__(self, state):
-        self.models, self.bands = state
-        self._scorers = {}
+        self.models, self._scorers = state, {}
 
     def log_perplexity(self, langs: list, texts: list) -> list[float | None]:
         """Null where the language has no model."""
@@ -160,68 +166,83 @@ class Judge:
                 out[i] = -x
         return out
 
-    def in_band(self, lang: str | None, log_perplexity: float | None) -> bool:
-        if log_perplexity is None or lang not in self.bands:
-            return True
-        low, high = self.bands[lang]
-        return low <= log_perplexity <= high
 
+def _key() -> Column:
+    """A language as a value that is never null."""
+    return F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("n"))
 
-def fit_judge(docs: DataFrame, labels: DataFrame, tail: float = TAIL, margin: float = MARGIN) -> Judge:
-    """Fit models and bands on all good documents of (doc_id, lang, text)."""
-    importable(docs.sparkSession)
-    good = written(good_documents(labels), "good-documents")
-    rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    fitted = written(fit_models(count_grams(rows.join(good, "doc_id", "left_semi"))), "language-models").collect()
-    judge = Judge({r["lang"]: [bytes(x) for x in r["arrays"]] for r in fitted})
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = judge.log_perplexity(b.column(1).to_pylist(), b.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.float64())],
-                                             names=["doc_id", "lang", "log_perplexity"])
-
-    scored = rows.mapInArrow(score, T.StructType([rows.schema["doc_id"], rows.schema["lang"],
-                                                  T.StructField("log_perplexity", T.DoubleType())]))
-    ends = (scored.join(good, "doc_id", "left_semi").filter(F.col("log_perplexity").isNotNull()).groupBy("lang")
-            .agg(F.percentile_approx("log_perplexity", [tail, 1 - tail], 20000).alias("ends"))).collect()
-    wider = math.log(margin)
-    judge.bands = {r["lang"]: (r["ends"][0] - wider, r["ends"][1] + wider) for r in ends}
-    return judge
-
-
-def judged(docs: DataFrame, judge: Judge) -> DataFrame:
-    """All columns of ``docs`` and the five measures, base_failed,
-    log_perplexity and kept. Column names must not clash (``shielded``)."""
+def reference(rows: DataFrame, good: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The (lang, text) that models are counted from, and the languages (as
+    keys) that have no good document, one row each."""
+    keyed = rows.select("doc_id", _key().alias("key"))
+    lacking = written(keyed.select("key").distinct().join(keyed.join(good, "doc_id", "left_semi"), "key", "left_anti"),
+                      "languages-without-good-documents")
+    texts = rows.join(good, "doc_id", "left_semi").select("lang", "text")
+    if lacking.isEmpty():
+        return texts, lacking
+    own = rows.withColumn("key", _key()).join(broadcast_if_small(lacking), "key", "left_semi")
+    return texts.unionByName(own.select("lang", "text")), lacking
+
+
+def scored(docs: DataFrame, judge: Judge, *names: str) -> DataFrame:
+    """The columns ``names`` of ``docs`` and the five measures, base_failed,
+    log_perplexity. Column names must not clash (``shielded``)."""
     cols = docs.columns
-    text_at, lang_at = cols.index("text"), cols.index("lang")
+    text_at, lang_at, kept = cols.index("text"), cols.index("lang"), [cols.index(n) for n in names]
     added = [T.StructField(m, T.LongType()) for m in MEASURES] + [
-        T.StructField("base_failed", T.BooleanType()), T.StructField("log_perplexity", T.DoubleType()),
-        T.StructField("kept", T.BooleanType())]
-    schema = T.StructType([*docs.schema.fields, *added])
-    names = schema.fieldNames()
+        T.StructField("base_failed", T.BooleanType()), T.StructField("log_perplexity", T.DoubleType())]
+    schema = T.StructType([*(docs.schema[n] for n in names), *added])
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, langs = b.column(text_at).to_pylist(), b.column(lang_at).to_pylist()
             found = [measures(t) for t in texts]
-            failed = [base_failed(x[0], x[4]) for x in found]
-            score = judge.log_perplexity(langs, texts)
-            kept = [not f and judge.in_band(lang, s) for f, lang, s in zip(failed, langs, score)]
             new = [pa.array(c, pa.int64()) for c in (zip(*found) if found else [()] * 5)]
-            new += [pa.array(failed, pa.bool_()), pa.array(score, pa.float64()), pa.array(kept, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *new], names=names)
+            new += [pa.array([base_failed(x[0], x[4]) for x in found], pa.bool_()),
+                    pa.array(judge.log_perplexity(langs, texts), pa.float64())]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), *new], names=schema.fieldNames())
 
     return docs.mapInArrow(rate, schema)
 
 
+def bands(scores: DataFrame, good: DataFrame, lacking: DataFrame, tail: float = TAIL, margin: float = MARGIN) -> DataFrame:
+    """key, low, high: the band of each language, from (doc_id, lang,
+    log_perplexity)."""
+    rows = scores.select("doc_id", _key().alias("key"), F.col("log_perplexity").alias("v"))
+    rows = (rows.join(good, "doc_id", "left_semi").select("key", "v")
+            .unionByName(rows.join(broadcast_if_small(lacking), "key", "left_semi").select("key", "v")))
+    q, wider = F.col("quantiles"), math.log(margin)
+    ends = exact_quantiles(rows, ["key"], (tail, 1 - tail, 0.25, 0.75)).join(lacking.withColumn("alone", F.lit(True)), "key", "left")
+    far = FENCE * (q[3] - q[2])
+    return ends.select("key", (F.when(F.col("alone"), q[2] - far).otherwise(q[0]) - wider).alias("low"),
+                       (F.when(F.col("alone"), q[3] + far).otherwise(q[1]) + wider).alias("high"))
+
+
+def judged(docs: DataFrame, labels: DataFrame, *names: str) -> DataFrame:
+    """The columns ``names`` of ``docs`` (doc_id, lang, text and others) and
+    the five measures, base_failed, log_perplexity, kept. Models and bands
+    have one row for each language."""
+    importable(docs.sparkSession)
+    good = written(good_documents(labels), "good-documents")
+    texts, lacking = reference(docs, good)
+    fitted = written(fit_models(count_grams(texts)), "language-models").collect()
+    judge = Judge({r["lang"]: [bytes(x) for x in r["arrays"]] for r in fitted})
+    own = [n for n in ("doc_id", "lang") if n not in names]
+    scores = written(scored(docs, judge, *own, *names), "scored-documents")
+    ends = written(bands(scores, good, lacking), "perplexity-bands")
+    rows = scores.withColumn("_key", _key()).join(broadcast_if_small(ends), F.col("_key") == F.col("key"), "left")
+    inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
+    return rows.select(*names, *MEASURES, "base_failed", "log_perplexity", (~F.col("base_failed") & inside).alias("kept"))
+
+
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the five measures, base_failed, log_perplexity, kept."""
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    return judged(rows, fit_judge(rows, labels)).drop("lang", "text")
+    return judged(rows, labels, "doc_id")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
     rows, names = shielded(docs, "doc_id", "lang", "text")
-    return judged(rows, fit_judge(rows, labels)).filter("kept").select(*names).toDF(*docs.columns)
+    return judged(rows, labels, *names).filter("kept").select(*names).toDF(*docs.columns)

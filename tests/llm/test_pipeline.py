@@ -42,7 +42,7 @@ def test_quality_rules(spark, small_dir, stages):
 
 def test_line_dedup(stages):
     before = sorted(stages[1].collect(), key=lambda r: r.doc_id)
-    want = [t for _, t in brute_lines([(r.source, r.text) for r in before], 0.02, 5)]
+    want = [t for _, t in brute_lines([(r.source, r.text) for r in before], 0.02, 3.0)]
     after = sorted(stages[2].collect(), key=lambda r: r.doc_id)
     assert [(r.doc_id, r.text, r.n_chars) for r in after] == [(r.doc_id, t, len(t)) for r, t in zip(before, want)]
 

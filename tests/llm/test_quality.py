@@ -96,3 +96,57 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert kept.dtypes == odd_documents.dtypes and kept.filter("doc_id = 7").count() == 3
     assert Q.quality(no_documents, labels).count() == 0
     assert Q.quality(odd_documents, labels.limit(0)).filter("not base_failed and not kept").count() == 0
+
+
+def brute_kept(rows, good):
+    """Verdicts one document at a time: model and band of each language from
+    its good documents, or from all of them where none is good."""
+    langs = defaultdict(list)
+    for doc_id, lang, text in rows:
+        langs[lang].append((doc_id, text or ""))
+    out = {}
+    for lang, docs in langs.items():
+        own = [t for i, t in docs if i in good]
+        counts = Counter(g for t in own or [t for _, t in docs] for g in N.grams(t).tolist())
+        codes = np.array(sorted(counts))
+        model = N.Model.load(N.Model.fit(codes, np.array([counts[c] for c in codes])).dump())
+        score = {i: -float(model.log_prob(N.grams(t)).astype(np.float32).astype(float).mean()) for i, t in docs}
+        ref = sorted(score[i] for i, _ in docs if i in good) if own else sorted(score.values())
+        at = lambda p: ref[max(1, math.ceil(p * len(ref))) - 1]
+        far = 3 * (at(0.75) - at(0.25))
+        low, high = (at(Q.TAIL), at(1 - Q.TAIL)) if own else (at(0.25) - far, at(0.75) + far)
+        for i, t in docs:
+            out[i] = (score[i], low - math.log(Q.MARGIN), high + math.log(Q.MARGIN), Q.base_failed(*(lambda m: (m[0], m[4]))(brute(t))))
+    return out
+
+
+def check_kept(docs, labels):
+    rows = [(r.doc_id, r.lang, r.text) for r in docs.collect()]
+    want = brute_kept(rows, {r.doc_id for r in Q.good_documents(labels).collect()})
+    got = {r.doc_id: r for r in Q.quality(docs, labels).collect()}
+    for i, (score, low, high, failed) in want.items():
+        assert got[i].log_perplexity == pytest.approx(score, abs=1e-4)
+        if min(abs(score - low), abs(score - high)) > 1e-3:
+            assert got[i].kept == (not failed and low <= score <= high)
+    return got
+
+
+def test_verdicts_by_brute_force(spark, documents, small_dir):
+    check_kept(documents, spark.read.parquet(f"{small_dir}/labels.parquet"))
+
+
+def test_a_language_without_labels_and_another_script(spark):
+    """Russian prose and letter junk: with good documents, and in a language
+    where none is labelled."""
+    rng = np.random.default_rng(4)
+    stems = ["дом", "город", "ветер", "стол", "книга", "вода", "дорога", "время", "человек", "работа", "день", "рука", "жизнь"]
+    ends = ["а", "ы", "ов", "ом", "ами", "е", ""]
+    prose = lambda: " ".join(rng.choice(stems) + rng.choice(ends) for _ in range(80))
+    junk = lambda: " ".join("".join(rng.choice(list("абвгдежзийклмнопрстуфхцчшщъыьэюя"), 7)) for _ in range(80))
+    for lang_of_good in ("ru", None):
+        rows = [(i, "ru", prose()) for i in range(60)] + [(100 + i, "ru", junk()) for i in range(5)]
+        docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+        labels = spark.createDataFrame([(i, 1, 0) for i in range(30) if lang_of_good] + [(999, 1, 0)],
+                                       "doc_id long, quality int, toxic int")
+        got = check_kept(docs, labels)
+        assert all(r.kept == (i < 100) for i, r in got.items())
