@@ -5,8 +5,9 @@ stop-word density, length and link density of every block. Where a block
 stands (inside the article element, or inside a menu, header, footer,
 sidebar, notice, advert, form or comment section, told by tag, role, class
 and id) is one strong feature beside them: what stands in a menu and the like
-is out; inside the article a block stays unless it is full of links, outside
-it must be long and dense prose. Where the prose outside an article outweighs
+is out; inside the article a block is prose if the text rules say so and
+undecided if not (short, or full of links), outside it must be long and dense
+prose. Where the prose outside an article outweighs
 that inside (a teaser card), and on pages that name none, the text rules
 decide alone. An element that looks like a menu and the like but holds the
 article, or nearly all of a page without one, is a wrapper and says nothing.
@@ -14,7 +15,12 @@ article, or nearly all of a page without one, is a wrapper and says nothing.
 The second pass gives each block that is still undecided (short, middling or
 full of links) the label of the nearest decided block on its side of the
 article's border; where the nearest before and after differ, stop words
-decide, and where there is none, the side.
+decide, and only where there is none (an article of a few short blocks) the
+side does.
+
+Inside an article a class, id or role marks boilerplate only if a whole name
+of it says so (``share-buttons``, but not ``promotion-policy``). The end tag
+of an inline element ends that element alone, not the blocks opened in it.
 
 Scripts, styles and hidden elements are no text. Character references are
 decoded after the markup is cut, white space inside a block becomes one
@@ -62,6 +68,8 @@ IN = frozenset("article main".split())
 OUT_WORDS = frozenset("nav navbar navigation menu sidebar footer cookie cookies consent gdpr notice notices banner ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist disqus reply replies respond share sharing social related breadcrumb breadcrumbs popup modal overlay newsletter subscribe signup login search widget toolbar pagination pager masthead topbar contentinfo complementary alert skip".split())
 LAYOUT_WORDS = frozenset("nav navbar navigation menu sidebar footer header banner ad ads share sharing social breadcrumb breadcrumbs search widget toolbar masthead topbar skip".split())    # also name what a wrapper has or lacks
 IN_WORDS = frozenset("article main".split())
+#: fixed values: words that add nothing to such a name
+PLAIN_WORDS = frozenset("area bar block box buttons container content div group inner item items links list outer panel post posts row section slot unit widget wrap wrapper".split())
 
 SHORT, LONG = 70, 200                   # characters
 LINKS, STOP_LOW, STOP_HIGH = 0.4, 0.1, 0.25
@@ -81,7 +89,6 @@ class Block:
     place: str = ""                     # "in" the article, "out" of it, or nothing known; before ``settle`` also those of ``close``
     depth: int = 0                      # open elements that layout words mark
     heading: bool = False
-    item: bool = False
     linked: int = 0                     # characters inside links
     text: str = ""
 
@@ -99,8 +106,12 @@ def _place(name: str, attrs: str, inside: bool) -> str:
         for m in _ATTR.finditer(attrs):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id", "role"):
-                words = {w.lower() for w in _WORDS.findall(value)}
-                marks = words & OUT_WORDS | ({"header"} & words if not inside else set())
+                names = [{w.lower() for w in _WORDS.findall(x)} for x in value.split()]
+                words = set().union(*names)
+                if inside:              # a name marks boilerplate as a whole
+                    marks = set().union(*(n & OUT_WORDS for n in names if n <= OUT_WORDS | PLAIN_WORDS))
+                else:
+                    marks = words & (OUT_WORDS | {"header"})
                 if marks and name not in ("body", "html"):
                     said = "out" if inside else "layout" if marks <= LAYOUT_WORDS and said != "wrap" else "wrap"
                 elif not marks and words & IN_WORDS:
@@ -141,8 +152,7 @@ def blocks(page: str) -> list[Block]:
                  else "layout" if places["layout"] or places["laid"] else "")
         if inside() and place != "out":
             place = _BOTH.get(place, "in")
-        current = Block(place=place, depth=places["layout"],
-                        heading=any(names[n] for n in _HEADINGS), item=names["li"] > 0)
+        current = Block(place=place, depth=places["layout"], heading=any(names[n] for n in _HEADINGS))
 
     def pop_to(k: int) -> None:
         turned = any(n in BLOCK or p for n, p in stack[k:])
@@ -167,7 +177,15 @@ def blocks(page: str) -> list[Block]:
         name, attrs = m[2].lower(), m[3]
         if m[1]:
             if names[name]:
-                pop_to(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
+                k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
+                if name in BLOCK or not any(n in BLOCK for n, _ in stack[k + 1:]):
+                    pop_to(k)
+                else:                   # blocks opened inside an inline element outlive it
+                    _, place = stack.pop(k)
+                    names[name] -= 1
+                    places[place] -= 1
+                    if place:
+                        close()
             elif name in BLOCK:
                 close()
             continue
@@ -261,8 +279,7 @@ def first_pass(found: list[Block]) -> list[bool | None]:
             labels.append(t)
             b.place = ""                # no border that the second pass would have to mind
         elif b.place == "in":
-            linked = link_density(b)
-            labels.append(False if b.item and linked > 0.9 else None if t is False and (linked > LINKS or "©" in b.text) else True)
+            labels.append(True if t else None)
         else:
             labels.append(None if t and (len(b.text) < LONG or stop_density(b.text) < STOP_HIGH) else t)
     return labels

@@ -6,6 +6,7 @@ import time
 
 import pytest
 
+from ordermart.llm import html_extract
 from ordermart.llm.html_extract import extract, main_text
 
 STOPS = "The first of the paragraphs is long and it has the words that are in the list of the stop words, as it was to be."
@@ -29,6 +30,8 @@ def test_generated_pages(spark, small_dir):
     ("<nav><p>n</p></nav><article><p>t &amp; u&nbsp;&#233;</p></article><footer>&copy; f</footer>", "t & u é"),
     ("<article><p hidden>h</p><p style='display: none'>h</p><aside>s</aside><p>k</p></article>", "k"),
     ("<article><p>open <b>bold <i>both</article><p>out", "open bold both"),
+    ("<article><div class='promotion-policy'>kept</div><div class='share-buttons'>s</div><p class='x ad'>a</p><p id=related-posts>r</p></article>", "kept"),
+    ("<b><article><p>A</p></b><p>B</p></article>", "A\nB"), ("<article><a href=x><div>l</div></a><p>m <i>n</p><p>o</i></p></article>", "l\nm n\no"),
     ("<script>never closed", ""), ("<!-- never closed <p>x", ""), ("<p", "<p"), ("<a title='a>b' href=x>q</a>", ""),
 ])
 def test_hand_made(page, text):
@@ -61,7 +64,7 @@ BODY = f"Title\n{LONG_STOPS}\nShort.\n{LONG_STOPS}"
     (f"<main>{WIDE}</main><div class='sidebar'><article><p>{LONG_STOPS}</p></article></div>", BODY),
     (f"<div style='display:none'><article><p>{LONG_STOPS}</p></article></div><p>{STOPS}</p>", STOPS),
     (f"<article><p>{STOPS}</p><p><a href=x>All link</a></p><ul><li><a href=x>i</a><li><a href=x>j</a></ul><div><a href=x>All of it</a></div></article>",
-     f"{STOPS}\nAll link"),                                                       # a link alone goes with its neighbour
+     f"{STOPS}\nAll link\ni\nj\nAll of it"),                                       # links in an article go with its prose
     (f"<main class='with-sidebar'>{WIDE}</main><p>Imprint of the site</p>", BODY),
     (f"<div class='sidebar'><article>Short teaser</article></div><div>{WIDE}</div>", BODY),
     ("<form><article><p>a</p></article></form>", "a"), ("<article class=comment>c</article><p>body of a page</p>", "body of a page"),
@@ -70,6 +73,21 @@ def test_text_rules_run_beside_the_place(page, text):
     assert main_text(page) == text
 
 
+def test_both_passes_decide(spark, small_dir):
+    """Long blocks are prose by the text rules, short ones inherit; without
+    the second pass they would be lost."""
+    undecided = changed = 0
+    for r in spark.read.parquet(f"{small_dir}/pages.parquet").collect():
+        found = html_extract.blocks(r.html)
+        labels = html_extract.first_pass(found)
+        final = html_extract.second_pass(found, labels)
+        undecided += labels.count(None)
+        changed += [x is True for x in labels] != final
+        assert all(y == x for x, y in zip(labels, final) if x is not None)
+        assert True in labels
+    assert undecided > 50 and changed > 20
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (1, None, None), (None, "u", "<article>" + "<p>x" * 30_000 + "</article>"), (3, "u", "<div>" * 5000 + "deep")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
