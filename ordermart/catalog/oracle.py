@@ -289,6 +289,7 @@ def with_base(body: str) -> str:
 
 
 ITEM_KEY = "order_id, item_order_item_id"
+MASK_KEY = b"a key for tests"
 
 # --- per-key query bodies -------------------------------------------------------------
 BODIES: dict[str, str] = {}
@@ -327,6 +328,7 @@ SELECT review_order_id, {ordered_text('review_scores')} AS review_scores,
        {ordered_text('review_titles')} AS review_titles, {ordered_text('review_message')} AS review_message,
        {date_text('review_creation_date')} AS review_creation_date, review_answer_timestamp
 FROM rev_agg"""
+BODIES["reviews_in_chunks"] = BODIES["reviews_per_order"].replace("SELECT review_order_id,", "SELECT review_order_id, 0 AS chunk,")
 BODIES["review_summary_per_order"] = f"""
 SELECT review_order_id, count(*) AS review_count,
        CAST(sum(CASE WHEN review_score <> -1 THEN review_score END) AS BIGINT) AS review_score_sum,
@@ -739,6 +741,35 @@ SELECT coalesce(l.key, r.key) AS key, l.left_total, r.right_total,
 FROM (SELECT item_order_id AS key, {total('price + freight_value')} AS left_total FROM clean_items GROUP BY 1) l
 FULL OUTER JOIN (SELECT payment_order_id AS key, payment_value AS right_total FROM pay_agg) r ON l.key = r.key"""
 
+    raw = ("order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at, order_delivered_carrier_date, "
+           "order_delivered_customer_date, order_estimated_delivery_date")
+    l, r = f"SELECT {raw} FROM src_orders", f"SELECT {raw.replace('customer_id', 'order_customer_id', 1)} FROM clean_orders"
+    b["dq_row_differences"] = f"""
+SELECT order_id, 'left' AS side, count(*) AS rows FROM ({l} EXCEPT ALL {r}) GROUP BY order_id
+UNION ALL SELECT order_id, 'right', count(*) FROM ({r} EXCEPT ALL {l}) GROUP BY order_id"""
+
+    b["dq_numeric_drift"] = """
+, edges AS (SELECT quantile_disc(price, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]) AS e FROM wide),
+binned AS (SELECT order_year_month AS period, len(list_filter(e, lambda x: price > x)) AS bin, count(*) AS n
+           FROM wide, edges WHERE order_year_month IS NOT NULL AND price IS NOT NULL GROUP BY 1, 2),
+periods AS (SELECT period, sum(n) AS rows FROM binned GROUP BY period),
+dense AS (SELECT period, rows, b.bin, (coalesce(n, 0) + 0.5::DOUBLE) / (rows + 4) AS share
+          FROM periods CROSS JOIN (SELECT unnest(range(8)) AS bin) b LEFT JOIN binned USING (period, bin)),
+pairs AS (SELECT p.period, any_value(q.rows) AS prev_rows, sum((p.share - q.share) * ln(p.share / q.share)) AS psi
+          FROM dense p JOIN dense q ON p.bin = q.bin
+            AND p.period = strftime(CAST(q.period || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') GROUP BY p.period)
+SELECT period, CAST(rows AS BIGINT) AS rows, CAST(prev_rows AS BIGINT) AS prev_rows,
+       CAST(round(CAST(psi AS DECIMAL(38,12)), 6) AS DOUBLE) AS psi
+FROM periods LEFT JOIN pairs USING (period)"""
+
+    partners = {"products": "product_id", "sellers": "seller_id", "payments": "payment_order_id", "customers": "customer_id",
+                "reviews": "review_order_id", "geolocation": "geolocation_zip_code_prefix",
+                "translation": "product_category_name_english"}
+    b["dq_observed_write"] = union([
+        "SELECT 'rows' AS metric, count(*) AS value FROM wide",
+        "SELECT 'null_payment_value' AS metric, count(*) - count(payment_value) AS value FROM wide",
+        *[f"SELECT 'without_{n}' AS metric, count(*) - count({c}) AS value FROM wide" for n, c in partners.items()]])
+
     b["dq_drift"] = """
 , drift_counts AS (
   SELECT strftime(order_purchase_timestamp, '%Y-%m') AS order_year_month, order_status, count(*) AS rows
@@ -788,6 +819,10 @@ SELECT customer_id, sha256(customer_unique_id) AS customer_unique_id,
        substring(customer_city, 1, 1) || repeat('*', greatest(length(customer_city) - 1, 0)) AS customer_city,
        customer_state
 FROM src_customers"""
+    key = MASK_KEY.ljust(64, b"\0")
+    inner, outer = (f"unhex('{bytes(c ^ pad for c in key).hex()}')" for pad in (0x36, 0x5C))
+    b["dq_mask_keyed"] = b["dq_mask"].replace(
+        "sha256(customer_unique_id)", f"sha256({outer} || unhex(sha256({inner} || encode(customer_unique_id))))")
     b["dq_units"] = """
 SELECT product_id, product_weight_g / 1000.0 AS product_weight_kg, product_length_cm / 100.0 AS product_length_m,
        product_height_cm / 100.0 AS product_height_m, product_width_cm / 100.0 AS product_width_m,

@@ -131,6 +131,12 @@ def q_reviews_per_order(spark, d):
     return silver(spark, d).reviews
 
 
+@query("reviews_in_chunks")
+def q_reviews_in_chunks(spark, d):
+    """Lists of at most about 1000 reviews, an order's lists in chunks."""
+    return preagg.reviews_in_chunks(clean.clean_reviews(src(spark, d).order_reviews))
+
+
 @query("review_summary_per_order")
 def q_review_summary(spark, d):
     return preagg.review_summary_per_order(clean.clean_reviews(src(spark, d).order_reviews))
@@ -644,6 +650,26 @@ def dq_reconcile(spark, d):
     return Q.reconcile_totals(items, pays, "order_id", "items_total", "payment_value")
 
 
+@query("dq_row_differences")
+def dq_row_differences(spark, d):
+    """Rows of the raw orders that cleaning changed, and what became of them."""
+    t = src(spark, d)
+    cleaned = clean.clean_orders(t.orders).withColumnRenamed("order_customer_id", "customer_id")
+    return Q.row_differences(t.orders, cleaned.select(*t.orders.columns), "order_id")
+
+
+@query("dq_numeric_drift")
+def dq_numeric_drift(spark, d):
+    """Stability of the item price from month to month."""
+    return Q.numeric_drift(wide_table(spark, d, ["order_year_month", "price"]), "order_year_month", "price")
+
+
+@query("dq_observed_write")
+def dq_observed_write(spark, d):
+    """What the write of the wide table counted on the way."""
+    return Q.observed_write(wide_table(spark, d), _scratch(spark, "silver") + "/final_df")
+
+
 @query("dq_drift")
 def dq_drift(spark, d):
     o = features.add_year_month(clean.clean_orders(src(spark, d).orders))
@@ -696,6 +722,15 @@ def dq_mask(spark, d):
     return Q.mask_customers(src(spark, d).customers)
 
 
+#: stands for a key from a secret store
+MASK_KEY = b"a key for tests"
+
+
+@query("dq_mask_keyed")
+def dq_mask_keyed(spark, d):
+    return Q.mask_customers(src(spark, d).customers, MASK_KEY)
+
+
 @query("dq_units")
 def dq_units(spark, d):
     return Q.standardize_product_units(clean.clean_products(src(spark, d).products))

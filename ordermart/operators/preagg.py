@@ -46,6 +46,26 @@ def reviews_per_order(reviews_clean: DataFrame) -> DataFrame:
                     "review_creation_date", "review_answer_timestamp"))
 
 
+def reviews_in_chunks(reviews_clean: DataFrame, size: int = 1000) -> DataFrame:
+    """The lists of ``reviews_per_order`` for orders with any number of
+    reviews: one row per order and chunk, of about ``size`` reviews each,
+    dealt out by the review id. An order of at most ``size`` reviews is one
+    chunk (0) with the same lists. The orders cut into chunks are at most one
+    in ``size`` reviews; counting them is a partial aggregate, and only the
+    chunks, never a whole order, meet in one task."""
+    many = (reviews_clean.groupBy("review_order_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > size)
+            .select(F.col("review_order_id").alias("_order"), F.ceil(F.col("_n") / size).cast("int").alias("_chunks")))
+    dealt = reviews_clean.join(many, F.col("review_order_id") == F.col("_order"), "left")
+    chunk = F.pmod(F.xxhash64("review_id", "review_comment_message"), F.coalesce("_chunks", F.lit(1))).cast("int")
+    dealt = dealt.withColumn("chunk", chunk)
+    reviews = F.sort_array(F.collect_list(F.struct("review_id", "review_score", "review_comment_title", "review_comment_message")))
+    return (dealt.groupBy("review_order_id", "chunk").agg(reviews.alias("_r"), F.min("review_creation_date").alias("review_creation_date"),
+                                                          F.min("review_answer_timestamp").alias("review_answer_timestamp"))
+            .select("review_order_id", "chunk", F.col("_r.review_score").alias("review_scores"),
+                    F.col("_r.review_comment_title").alias("review_titles"), F.col("_r.review_comment_message").alias("review_message"),
+                    "review_creation_date", "review_answer_timestamp"))
+
+
 def review_summary_per_order(reviews_clean: DataFrame) -> DataFrame:
     """Constant-size review summary per order: the same information the
     feature and KPI rules read from the lists (review count, sum and count

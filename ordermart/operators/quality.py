@@ -182,6 +182,28 @@ def join_reconciliation(silver) -> DataFrame:
                                                            "null_payment_rows")
 
 
+#: columns of the wide table that are null where a left join found nothing
+JOIN_KEYS = {"products": "product_id", "sellers": "seller_id", "payments": "payment_order_id", "customers": "customer_id",
+             "reviews": "review_order_id", "geolocation": "geolocation_zip_code_prefix",
+             "translation": "product_category_name_english"}
+
+
+def observed_write(wide: DataFrame, path: str) -> DataFrame:
+    """Write the wide table and report what was counted while its rows went
+    to the files: all of them, those without a partner in each left join, and
+    those without a payment value. Nothing is evaluated a second time; the
+    counts belong to the tasks that wrote, so retried ones count once."""
+    from pyspark.sql import Observation
+
+    from ..plans import sinks
+    counts = {"rows": F.count(F.lit(1)), "null_payment_value": F.count_if(F.col("payment_value").isNull())}
+    counts |= {f"without_{name}": F.count_if(F.col(key).isNull()) for name, key in JOIN_KEYS.items()}
+    seen = Observation("wide-write")
+    sinks.write_wide(sinks.cluster_for_write(wide, [sinks.WIDE_PARTITION]).observe(seen, *[c.alias(n) for n, c in counts.items()]),
+                     path, how="none")
+    return wide.sparkSession.createDataFrame(sorted(seen.get.items()), "metric string, value long")
+
+
 # --- DQ11 / DQ12 -----------------------------------------------------------------------
 def orders_per_key_having(spark: SparkSession, df: DataFrame, key: str = "order_id") -> DataFrame:
     """``GROUP BY key HAVING count(*) > 1`` through the SQL surface."""
@@ -341,6 +363,40 @@ def reconcile_totals(left: DataFrame, right: DataFrame, key: str, left_value: st
     return j.select("key", "left_total", "right_total", diff.alias("difference"), status.alias("status"))
 
 
+def row_differences(left: DataFrame, right: DataFrame, key: str, segments: int = 4096, fan: int = 64) -> DataFrame:
+    """Rows of two tables of the same columns that have no equal in the
+    other: key, side, rows. Checksums (rows, and sums of two hashes of the
+    whole row) are compared by segments of the key's hash, then by ``fan``
+    parts of the segments that differ; only rows of parts that differ are
+    compared one by one. Equal tables shuffle checksums alone."""
+    columns = [F.col(c) for c in sorted(left.columns)] + [F.col(c).isNull() for c in sorted(left.columns)]
+
+    def hashed(df: DataFrame) -> DataFrame:
+        h = F.xxhash64(F.lit(2), key)
+        return df.select(F.col(key), F.pmod(h, F.lit(segments)).alias("_segment"),
+                         F.pmod(F.floor(h / segments), F.lit(fan)).alias("_part"),
+                         F.xxhash64(*columns).alias("_a"), F.xxhash64(F.lit(7), *columns).alias("_b"))
+
+    sides = {"left": hashed(left), "right": hashed(right)}
+
+    def unequal(by: list[str], frames: dict[str, DataFrame]) -> DataFrame:
+        """The groups whose checksums differ: at most segments * fan rows."""
+        sign = {"left": 1, "right": -1}
+        both = _union(df.select(*by, F.lit(sign[s]).alias("_s"), "_a", "_b") for s, df in frames.items())
+        total = lambda c: F.sum(F.col("_s") * F.col(c).cast("decimal(20,0)")).alias(c)
+        return (both.groupBy(*by).agg(F.sum("_s").alias("_n"), total("_a"), total("_b"))
+                .filter("_n <> 0 or _a <> 0 or _b <> 0").select(*by))
+
+    within = lambda by, groups: {s: df.join(F.broadcast(groups), by, "left_semi") for s, df in sides.items()}
+    first = unequal(["_segment"], sides)
+    parts = unequal(["_segment", "_part"], within(["_segment"], first))
+    rows = _union(df.select(F.col(key), F.lit(s).alias("side"), "_a", "_b") for s, df in within(["_segment", "_part"], parts).items())
+    surplus = (rows.groupBy(key, "_a", "_b").agg(F.sum(F.when(F.col("side") == "left", 1).otherwise(-1)).alias("n"))
+               .filter("n <> 0"))
+    side = F.when(F.col("n") > 0, "left").otherwise("right")
+    return surplus.groupBy(key, side.alias("side")).agg(F.sum(F.abs("n")).alias("rows"))
+
+
 # --- DQ22 distribution drift -----------------------------------------------------------------
 def category_drift(df: DataFrame, period: str, category: str) -> DataFrame:
     """Share of each category per period next to the previous period's."""
@@ -354,6 +410,29 @@ def category_drift(df: DataFrame, period: str, category: str) -> DataFrame:
             .withColumn("delta", F.round(F.col("share") - F.col("prev_share"), 6)))
 
 
+def numeric_drift(df: DataFrame, period: str, column: str, bins: int = 8) -> DataFrame:
+    """Population stability of a numeric column: the share of each of
+    ``bins`` bins, which the exact quantiles of all rows bound, per period
+    (a month, yyyy-MM) against the month before it. Bins without rows count
+    half a row. period, rows, prev_rows, psi."""
+    from ..functions.quantiles import column_values
+    edges = exact_quantiles(column_values(df, column), ["column_name"], [k / bins for k in range(1, bins)])
+    edge = edges.select("quantiles").scalar()
+    below = sum((F.col(column) > F.get(edge, F.lit(k))).cast("int") for k in range(bins - 1))
+    counts = (df.filter(F.col(period).isNotNull() & F.col(column).isNotNull())
+              .groupBy(F.col(period).alias("period"), below.alias("_bin")).agg(F.count("*").alias("_n")))
+    each = counts.groupBy("period").pivot("_bin", list(range(bins))).agg(F.first("_n"))      # one row a period
+    n = [F.coalesce(F.col(f"`{k}`"), F.lit(0)) for k in range(bins)]
+    now = each.select("period", sum(n[1:], n[0]).alias("rows"), F.array(*n).alias("_bins"))
+    before = now.select(F.date_format(F.add_months(F.to_date(F.concat("period", F.lit("-01"))), 1), "yyyy-MM").alias("period"),
+                        F.col("rows").alias("prev_rows"), F.col("_bins").alias("_prev"))
+    share = lambda x, total: (x + F.lit(0.5)) / (total + F.lit(0.5 * bins))
+    terms = F.zip_with("_bins", "_prev", lambda a, b: (share(a, F.col("rows")) - share(b, F.col("prev_rows")))
+                       * F.ln(share(a, F.col("rows")) / share(b, F.col("prev_rows"))))
+    psi = F.round(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), 6)
+    return now.join(before, "period", "left").select("period", "rows", "prev_rows", psi.alias("psi"))
+
+
 # --- DQ23 summary statistics -------------------------------------------------------------------------
 def summary_stats(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Count, mean, deviation, range and exact quartiles of some columns of
@@ -401,11 +480,25 @@ def freshness(df: DataFrame, ts: str, table: str, as_of: str | None = None, max_
 
 
 # --- DQ27 masking -------------------------------------------------------------------------------------------
-def mask_customers(customers: DataFrame) -> DataFrame:
-    """Pseudonymise the person key, keep only the zip region, hide the city."""
+def keyed_pseudonym(value: Column | str, key: bytes) -> Column:
+    """HMAC-SHA256 of a text, as hex: without the key a pseudonym can neither
+    be made nor looked up by hashing all ids. The key comes from the caller
+    (a secret store); it is part of the plan, so plans of such queries must
+    not be logged where the key may not be seen."""
+    import hashlib
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.unhex(F.lit(bytes(b ^ pad for b in key).hex())) for pad in (0x36, 0x5C))
+    text = (F.col(value) if isinstance(value, str) else value).cast("binary")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, text), 256))), 256)
+
+
+def mask_customers(customers: DataFrame, key: bytes | None = None) -> DataFrame:
+    """Pseudonymise the person key, keep only the zip region, hide the city.
+    With a ``key`` the pseudonym is keyed, without one it is a plain digest."""
+    person = F.sha2("customer_unique_id", 256) if key is None else keyed_pseudonym("customer_unique_id", key)
     return customers.select(
         "customer_id",
-        F.sha2("customer_unique_id", 256).alias("customer_unique_id"),
+        person.alias("customer_unique_id"),
         F.concat(F.substring("customer_zip_code_prefix", 1, 2), F.lit("***")).alias("customer_zip_code_prefix"),
         F.concat(F.substring("customer_city", 1, 1),
                  F.repeat(F.lit("*"), F.greatest(F.length("customer_city") - 1, F.lit(0)))).alias("customer_city"),

@@ -46,7 +46,9 @@ def cluster_for_write(df: DataFrame, partition_by: Sequence[str], how: str = "re
         return df.hint("rebalance", *partition_by)
     if how == "sort":
         return df.sortWithinPartitions(*partition_by)
-    raise ValueError("how must be 'rebalance' or 'sort'")
+    if how == "none":                       # arranged already
+        return df
+    raise ValueError("how must be 'rebalance', 'sort' or 'none'")
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
