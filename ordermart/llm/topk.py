@@ -11,11 +11,14 @@ one distance, such as copies, fill many chunks.
 
 Queries are packed into blocks in the same order. The triangle inequality
 bounds the score that any vector of a chunk can reach for any query of a
-block. The annuli that could hold the best scores are expanded first and
-give each query a lower bound for its k-th score; then all other annuli
-whose bound reaches it are compared, the rest are left out. Comparing is a
-matrix product; only scores that reach the query's bound leave a task, and
-the k best of each query are kept by a sort in bounded groups.
+block. The annuli at a block's own distance, of its ``NEAR`` nearest pivots,
+are expanded first and give each query a lower bound for its k-th score. That
+bound is a distance: of each pivot only annuli within it of the block's range
+can hold better scores. They are neighbours in the sorted index, so a pair of
+positions, found by merging the ends of the interval with the annuli, names
+them; pairs beyond it are never made. Comparing is a matrix product; only
+scores that reach the query's bound leave a task, and the k best of each
+query are kept by a sort in bounded groups.
 
 Rows: vectors that are null or hold a null or non-finite component take no
 part, nor do rows without an id; shorter vectors count as filled up with
@@ -39,7 +42,7 @@ from .common import importable, sample, written
 K, EVERY, SCALE = 20, 20, 64
 PIVOTS, SAMPLE = 32, 2048
 CHUNK, QUERY_BLOCK = 1024, 256
-FIRST = 4                               # annuli of a block that are expanded before the others
+NEAR = 4                                # pivots whose annuli at a block's distance are expanded first
 _SLACK = 1e-6                           # of M: what rounding can do to a distance
 
 
@@ -158,9 +161,29 @@ def _packed(keyed: DataFrame, space: Space, most: int, queries: bool, name: str)
         name)
 
 
-def _gap() -> Column:
-    """How far apart a block's queries and a chunk's vectors are at least."""
-    return F.greatest(F.col("c.low") - F.col("q.high"), F.col("q.low") - F.col("c.high"), F.lit(0.0))
+def _annuli(chunks: DataFrame) -> DataFrame:
+    """chunk, pivot, low, high, seq: the annuli of each pivot numbered from 1
+    in the order of the index."""
+    order = Window.partitionBy("pivot").orderBy("chunk")
+    return (chunks.select("chunk", F.col("ranges")[0].alias("c")).select("chunk", "c.pivot", "c.low", "c.high")
+            .withColumn("seq", F.row_number().over(order)))
+
+
+def _upto(asked: DataFrame, at: Column, annuli: DataFrame, end: str, name: str, ties: bool) -> DataFrame:
+    """``asked`` (with pivot) and how many annuli of the pivot have their
+    ``end`` below the distance ``at``, or at it with ``ties``: both are
+    merged in one order, one sort per pivot over what describes them."""
+    fields = asked.columns
+    both = (asked.select(F.struct(*fields).alias("row"), "pivot", at.alias("_at"), F.lit(0 if ties else -2).alias("_kind"))
+            .unionByName(annuli.select(F.lit(None).cast(f"struct<{_fields(asked)}>").alias("row"), "pivot",
+                                       F.col(end).alias("_at"), F.lit(-1).alias("_kind"))))
+    order = Window.partitionBy("pivot").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    counted = both.withColumn(name, F.count(F.when(F.col("row").isNull(), 1)).over(order).cast("int"))
+    return counted.filter(F.col("row").isNotNull()).select("row.*", name)
+
+
+def _fields(df: DataFrame) -> str:
+    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def _compared(pairs: DataFrame, blocks: DataFrame, chunks: DataFrame, space: Space) -> DataFrame:
@@ -216,27 +239,41 @@ def search(embeddings: DataFrame, every: int = EVERY) -> DataFrame:
     chunks = _packed(_keyed(vectors, space, False), space, CHUNK, False, "annuli")
     asked = vectors.filter(F.pmod("vec_id", F.lit(every)) == 0)
     blocks = _packed(_keyed(asked, space, True), space, QUERY_BLOCK, True, "query-blocks")
-    # a block meets every annulus of each pivot, with the gap between them
-    pairs = (blocks.select(F.col("chunk").alias("block"), "longest", F.explode("ranges").alias("q"))
-             .join(chunks.select("chunk", F.col("ranges")[0].alias("c")), F.col("q.pivot") == F.col("c.pivot"))
-             .select("block", "chunk", "longest", _gap().alias("gap")))
-    nearest = Window.partitionBy("block").orderBy("gap", "chunk")
-    pairs = written(pairs.withColumn("place", F.row_number().over(nearest)), "annulus-gaps")
+    annuli = written(_annuli(chunks), "annuli-by-pivot")
+    # the annuli around a block's own distance to its nearest pivot, and at its distance to the next ones
+    near = F.slice(F.array_sort(F.transform("ranges", lambda r: F.struct(r["high"], r["low"], r["pivot"]))), 1, NEAR)
+    asked = (blocks.select(F.col("chunk").alias("block"), F.posexplode(near).alias("place", "r"))
+             .select("block", "place", "r.pivot", "r.low"))
+    around = F.when(F.col("place") == 0, F.array(*map(F.lit, (-1, 0, 1)))).otherwise(F.array(F.lit(0)))
+    begun = (_upto(asked, F.col("low"), annuli, "low", "seq", True).withColumn("by", F.explode(around))
+             .select("block", "pivot", (F.greatest("seq", F.lit(1)) + F.col("by")).alias("seq")))
+    pairs = written(begun.join(annuli, ["pivot", "seq"]).select("block", "chunk"), "first-pairs")
     open_ = blocks.withColumn("bounds", F.lit(None).cast("binary"))
-    first = written(_top(_compared(pairs.filter(F.col("place") <= FIRST).select("block", "chunk"), open_, chunks,
-                                   space)).drop("rank"), "first-annuli")
+    first = written(_top(_compared(pairs, open_, chunks, space)).drop("rank"), "first-annuli")
     # the k-th score so far bounds a query; a query with fewer than k has no bound
     bound = (first.groupBy("query_id").agg(F.min("score").alias("score"), F.count("*").alias("n"))
              .select("query_id", F.when(F.col("n") >= K, F.col("score")).otherwise(-(2 ** 63)).alias("bound")))
     bounded = written(_with_bounds(blocks, bound), "bounded-blocks")
-    radius, slack = space.radius, _SLACK * space.radius
-    gap = F.greatest(F.col("gap") - slack, F.lit(0.0))
-    rest = (pairs.filter(F.col("place") > FIRST).join(bounded.select(F.col("chunk").alias("block"), "share"), "block")
-            .filter(F.lit(radius) - gap * gap / (2 * radius) >= F.col("share") - slack))
-    second = _compared(rest.select("block", "chunk"), bounded, chunks, space)
+    rest = _within(bounded, blocks, annuli, space).join(pairs, ["block", "chunk"], "left_anti")
+    second = _compared(rest, bounded, chunks, space)
     return _top(first.unionByName(second)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def _within(bounded: DataFrame, blocks: DataFrame, annuli: DataFrame, space: Space) -> DataFrame:
+    """block, chunk: the annuli that can hold a score as good as a bound. At
+    distance d a vector reaches length * (M - d * d / 2M), so d is at most
+    ``reach``; of each pivot these annuli follow one another."""
+    radius, slack = space.radius, _SLACK * space.radius
+    reach = F.sqrt(F.greatest(F.lit(2 * radius) * (F.lit(radius) - F.col("share") + F.lit(slack)), F.lit(0.0))) + F.lit(slack)
+    asked = (blocks.select("chunk", F.explode("ranges").alias("q")).join(bounded.select("chunk", reach.alias("reach")), "chunk")
+             .select(F.col("chunk").alias("block"), "q.pivot", (F.col("q.low") - F.col("reach")).alias("low"),
+                     (F.col("q.high") + F.col("reach")).alias("high")))
+    asked = _upto(asked, F.col("low"), annuli, "high", "before", False)
+    asked = _upto(asked, F.col("high"), annuli, "low", "last", True)
+    seq = F.explode(F.sequence(F.col("before") + 1, F.col("last"))).alias("seq")
+    return asked.filter("last > before").select("block", "pivot", seq).join(annuli, ["pivot", "seq"]).select("block", "chunk")
+
+
 def _with_bounds(blocks: DataFrame, bound: DataFrame) -> DataFrame:
     """Blocks with their queries' bounds in order, and the least of bound /
     length: a vector at distance d reaches length * (M - d * d / 2M)."""

@@ -30,7 +30,7 @@ def test_documents_table(spark, small_dir):
 
 
 def test_small_chunks_copies_and_clusters(spark, monkeypatch):
-    for name, value in (("CHUNK", 16), ("QUERY_BLOCK", 4), ("PIVOTS", 5), ("FIRST", 2)):
+    for name, value in (("CHUNK", 16), ("QUERY_BLOCK", 4), ("PIVOTS", 5), ("NEAR", 2)):
         monkeypatch.setattr(topk, name, value)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(6, 8))
@@ -64,4 +64,19 @@ def test_far_annuli_are_left_out(spark, monkeypatch):
     compared = topk._compared
     monkeypatch.setattr(topk, "_compared", lambda pairs, *a: seen.append(pairs.count()) or compared(pairs, *a))
     check(spark, rows)
-    assert sum(seen) < 0.6 * (3200 / 32) * 16
+    assert len(seen) == 2 and sum(seen) < 0.6 * (3200 / 32) * 16
+
+
+def test_pairs_beyond_the_bound_are_never_made(spark, monkeypatch):
+    """Many annuli per pivot: what is written and compared is a fraction of blocks times annuli."""
+    for name, value in (("CHUNK", 16), ("QUERY_BLOCK", 4), ("PIVOTS", 8)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(8, 6)) * 4
+    rows = [(i, (centres[i % 8] * (1 + (i // 8 % 40) / 10) + rng.normal(size=6) * 0.01).tolist()) for i in range(4000)]
+    made, sizes = [], []
+    within, packed = topk._within, topk._packed
+    monkeypatch.setattr(topk, "_within", lambda *a: made.append(within(*a)) or made[-1])
+    monkeypatch.setattr(topk, "_packed", lambda *a: sizes.append(packed(*a)) or sizes[-1])
+    check(spark, rows)
+    assert made[0].count() < 0.35 * sizes[0].count() * sizes[1].count()
