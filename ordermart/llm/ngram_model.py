@@ -1,10 +1,11 @@
 """A character n-gram model with modified Kneser-Ney smoothing.
 
-Characters are folded to 64 classes, so an n-gram of order 4 is a 24-bit
-number and a language has at most 64**4 of them: the model's size has a
-bound that does not depend on the corpus. Spark counts the n-grams of the
-highest order (see ``quality``); everything below them are continuation
-counts, which follow from the list of distinct n-grams.
+A code point below U+0800 (the Latin, Greek, Cyrillic, Hebrew and Arabic
+scripts among others) stands for itself, those above share 2,048 numbers by a
+hash; so an n-gram of order 4 is a 48-bit number, and a model holds as many
+as the corpus has. Spark counts the n-grams of the highest order (see
+``quality``); everything below them are continuation counts, which follow
+from the list of distinct n-grams.
 
 The finished model of a language is a set of arrays sorted by hash, one set
 per order: hash of the n-gram, log probability, and for contexts the log
@@ -15,60 +16,31 @@ from __future__ import annotations
 
 import numpy as np
 
-ORDER, BITS = 4, 6
-_MASK = (1 << BITS * (ORDER - 1)) - 1
-_HASH = np.uint32(0x9E3779B1)       # odd: multiplying by it is one-to-one on 32 bits
-_LATIN = 0x250                      # from here on letters are told by their number among the letters' classes
-_LIMIT = 0x10000                    # code points from here on are one class
-
-#: classes of single characters, by name; letters a-z and A-Z follow from 4 and 30
-BOUNDARY, SPACE, NEWLINE, DIGIT = 0, 1, 2, 3
-STOP, COMMA, PROSE, SYMBOL, LOWER, UPPER, OTHER, CONTROL = 56, 57, 58, 59, 60, 61, 62, 63
-
-
-def _classes() -> np.ndarray:
-    out = np.full(_LIMIT + 1, OTHER, np.uint32)
-    for cp in range(_LIMIT):
-        c = chr(cp)
-        if "a" <= c <= "z":
-            out[cp] = 4 + cp - ord("a")
-        elif "A" <= c <= "Z":
-            out[cp] = 30 + cp - ord("A")
-        elif c == "\n":
-            out[cp] = NEWLINE
-        elif c.isspace():
-            out[cp] = SPACE
-        elif c.isdigit():
-            out[cp] = DIGIT
-        elif c == ".":
-            out[cp] = STOP
-        elif c == ",":
-            out[cp] = COMMA
-        elif c in "!?;:'\"()-":
-            out[cp] = PROSE
-        elif c.isalpha() and cp >= _LATIN:          # letters of other scripts share the classes of a-z and A-Z
-            out[cp] = (30 if c.isupper() else 4) + ord(c.lower()[0]) % 26
-        elif c.isalpha():
-            out[cp] = UPPER if c.isupper() else LOWER
-        elif cp >= _LATIN:
-            out[cp] = OTHER
-        else:
-            out[cp] = CONTROL if cp < 32 or 127 <= cp < 160 else SYMBOL
-    return out
-
-
-_CLASS = _classes()
+ORDER, BITS = 4, 12
+OWN = 1 << BITS - 1                 # code points below stand for themselves
+BOUNDARY = 0
+_MASKS = [np.uint64((1 << BITS * k) - 1) for k in range(ORDER + 1)]
+_HASH = np.uint64(0x9E3779B97F4A7C15)   # odd: multiplying by it is one-to-one on 64 bits
+_STEP = np.uint64(BITS)
+CACHE_BITS = 20                     # remembered n-grams of a scorer
+
+
+def characters(text: str) -> np.ndarray:
+    """The numbers of a text's characters; none is the boundary's."""
+    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    shared = OWN + (cp * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(OWN)
+    return np.where(cp < OWN, np.maximum(cp, 1), shared).astype(np.uint64)
 
 
 def grams(text: str) -> np.ndarray:
     """The n-grams of a text, one for each character and one for its end;
     ORDER - 1 boundaries stand before it."""
-    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    c = np.zeros(len(cp) + ORDER, np.uint32)
-    c[ORDER - 1:-1] = _CLASS[np.minimum(cp, _LIMIT)]
+    own = characters(text)
+    c = np.full(len(own) + ORDER, BOUNDARY, np.uint64)
+    c[ORDER - 1:-1] = own
     g = c[ORDER - 1:].copy()
     for k in range(1, ORDER):
-        g |= c[ORDER - 1 - k:len(c) - k] << np.uint32(BITS * k)
+        g |= c[ORDER - 1 - k:len(c) - k] << np.uint64(BITS * k)
     return g
 
 
@@ -135,9 +107,9 @@ class Model:
         """Log probability of the last character given those before it."""
         out = np.full(len(codes), -BITS * np.log(2.0))
         for k in range(1, ORDER + 1):                       # a longer match overrides, a missing one backs off
-            own = codes & np.uint32((1 << BITS * k) - 1)
+            own = codes & _MASKS[k]
             value, found = _find(*self.orders[k - 1], own)
-            back, seen = _find(*self.contexts[k - 1], own >> np.uint32(BITS))
+            back, seen = _find(*self.contexts[k - 1], own >> _STEP)
             out = np.where(found, value, out + np.where(seen, back, 0.0))
         return out
 
@@ -146,13 +118,13 @@ class Model:
 
     @classmethod
     def load(cls, parts: list[bytes]) -> "Model":
-        pairs = [(np.frombuffer(parts[i], np.uint32), np.frombuffer(parts[i + 1], np.float32))
+        pairs = [(np.frombuffer(parts[i], np.uint64), np.frombuffer(parts[i + 1], np.float32))
                  for i in range(0, len(parts), 2)]
         return cls(pairs[:ORDER], pairs[ORDER:])
 
 
 def _by_hash(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h = codes.astype(np.uint32) * _HASH
+    h = codes.astype(np.uint64) * _HASH
     order = np.argsort(h)
     return h[order], values[order].astype(np.float32)
 
@@ -164,20 +136,28 @@ def _find(hashes: np.ndarray, values: np.ndarray, codes: np.ndarray) -> tuple[np
 
 
 class Scorer:
-    """Mean log probability of texts; each distinct n-gram of a batch is
-    looked up once, in a scratch array over all codes."""
+    """Mean log probability of texts. Each n-gram has one place by its hash
+    in a table of fixed size that remembers the last one looked up there, so
+    frequent n-grams are searched once."""
 
-    def __init__(self, model: Model, scratch: np.ndarray):
-        self.model, self.scratch = model, scratch
+    def __init__(self, model: Model):
+        self.model = model
+        self.codes = np.full(1 << CACHE_BITS, np.iinfo(np.uint64).max)         # no n-gram
+        self.values = np.zeros(1 << CACHE_BITS, np.float32)
+
+    def log_prob(self, codes: np.ndarray) -> np.ndarray:
+        place = (codes * _HASH >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
+        out = self.values[place]
+        missing = np.flatnonzero(self.codes[place] != codes)
+        if len(missing):
+            new, at = np.unique(codes[missing], return_inverse=True)
+            value = self.model.log_prob(new).astype(np.float32)
+            out[missing] = value[at]
+            place = (new * _HASH >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
+            self.values[place], self.codes[place] = value, new      # of two with one place the last stays in both
+        return out
 
     def mean_log_prob(self, texts: list[str]) -> np.ndarray:
         parts = [grams(t) for t in texts]
-        codes = np.concatenate(parts)
-        distinct = np.unique(codes)
-        self.scratch[distinct] = self.model.log_prob(distinct)
         sizes = np.array([len(p) for p in parts])
-        return np.add.reduceat(self.scratch[codes], np.cumsum(sizes) - sizes, dtype=np.float64) / sizes
-
-
-def scratch() -> np.ndarray:
-    return np.empty(1 << BITS * ORDER, np.float32)
+        return np.add.reduceat(self.log_prob(np.concatenate(parts)), np.cumsum(sizes) - sizes, dtype=np.float64) / sizes

@@ -2,9 +2,8 @@
 
 The reference text is every document that ``labels`` calls good (all of
 them, no sample). Spark counts its character 4-grams per language, each
-language's modified Kneser-Ney model is fitted from those counts
-(``ngram_model``: its size is bounded by the 64**4 possible n-grams), and
-the log perplexities of the good documents give each language its band:
+language's modified Kneser-Ney model is fitted from those counts (one task
+a language, over its distinct n-grams; ``ngram_model``), and the log perplexities of the good documents give each language its band:
 from the ``tail`` quantile to the ``1 - tail`` quantile, widened by the
 factor ``margin`` on both sides. A document outside its language's band is
 rejected, and so is one that fails the base rules.
@@ -35,7 +34,7 @@ from pyspark.sql import types as T
 from ..functions.quantiles import exact_quantiles
 from ..plans.physical import broadcast_if_small
 from .common import importable, shielded, written
-from .ngram_model import Model, Scorer, grams, merge_counts, scratch
+from .ngram_model import Model, Scorer, grams, merge_counts
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
@@ -107,10 +106,10 @@ def count_grams(texts: DataFrame) -> DataFrame:
                 held[lang] = codes, n
         for lang, (codes, n) in held.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int32)), pa.array(n)],
+                [pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(n)],
                 names=["lang", "code", "n"])
 
-    return (texts.select("lang", "text").mapInArrow(count, "lang string, code int, n long")
+    return (texts.select("lang", "text").mapInArrow(count, "lang string, code long, n long")
             .groupBy("lang", "code").agg(F.sum("n").alias("n")))
 
 
@@ -128,8 +127,8 @@ def _by_language(langs: list, texts: list) -> Iterator[tuple[str | None, list[tu
 
 
 def fit_models(counts: DataFrame) -> DataFrame:
-    """One row per language: the arrays of its model. A language's counts
-    are at most 64**4 rows, whatever the corpus."""
+    """One row per language: the arrays of its model, from its distinct
+    n-grams (their number grows with the corpus far slower than it)."""
     def fit(key, t):
         order = np.argsort(t["code"].to_numpy())
         model = Model.fit(t["code"].to_numpy()[order], t["n"].to_numpy()[order])
@@ -159,8 +158,7 @@ class Judge:
             if lang not in self.models:
                 continue
             if lang not in self._scorers:
-                room = next(iter(self._scorers.values())).scratch if self._scorers else scratch()
-                self._scorers[lang] = Scorer(Model.load(self.models[lang]), room)
+                self._scorers[lang] = Scorer(Model.load(self.models[lang]))
             means = self._scorers[lang].mean_log_prob([t for _, t in part])
             for (i, _), x in zip(part, means.tolist()):
                 out[i] = -x

@@ -30,14 +30,14 @@ def test_measures(text):
 
 def direct(grams):
     """Modified Kneser-Ney by its definition, with dictionaries."""
-    levels = [Counter(tuple(g >> 6 * k & 63 for k in range(3, -1, -1)) for g in grams.tolist())]
+    levels = [Counter(tuple(g >> N.BITS * k & 2 ** N.BITS - 1 for k in range(3, -1, -1)) for g in grams.tolist())]
     for _ in range(3):
         levels.insert(0, Counter(g[1:] for g in levels[0]))
     discounts = [N._discounts(np.array(list(x.values()), float)) for x in levels]
 
     def p(g):
         if not g:
-            return 1 / 64
+            return 2 ** -N.BITS
         level, d = levels[len(g) - 1], discounts[len(g) - 1]
         after = {h: n for h, n in level.items() if h[:-1] == g[:-1]}
         if not after:
@@ -54,10 +54,20 @@ def test_model_equals_the_definition():
     model, p = N.Model.fit(codes, n), direct(N.grams(corpus))
     model = N.Model.load(model.dump())
     probe = np.unique(np.concatenate([N.grams("the dog sat 7 ZZ"), N.grams(corpus)]))
-    want = [math.log(p(tuple(int(g) >> 6 * k & 63 for k in range(3, -1, -1)))) for g in probe]
+    want = [math.log(p(tuple(int(g) >> N.BITS * k & 2 ** N.BITS - 1 for k in range(3, -1, -1)))) for g in probe]
     assert np.allclose(model.log_prob(probe), want, atol=1e-4)
-    context = np.uint32(N.grams("the")[2] & 0x3FFFF) << np.uint32(6)
-    assert np.exp(model.log_prob(context | np.arange(64, dtype=np.uint32))).sum() == pytest.approx(1, abs=1e-4)
+    context = (N.grams("the")[2] & N._MASKS[3]) << N._STEP
+    assert np.exp(model.log_prob(context | np.arange(2 ** N.BITS, dtype=np.uint64))).sum() == pytest.approx(1, abs=1e-4)
+    scorer = N.Scorer(model)
+    for _ in range(2):                                          # new and remembered n-grams
+        assert np.allclose(scorer.log_prob(np.tile(probe, 3)), np.tile(want, 3), atol=1e-4)
+
+
+def test_characters_of_any_script_are_told_apart():
+    text = "aZ é Я я ש ع\0"
+    assert len(set(N.characters(text).tolist())) == len(set(text)) and 0 not in N.characters(text)
+    many = "".join(chr(0x4E00 + k) for k in range(3000)) + "😀"
+    assert len(set(N.characters(many).tolist())) > 1200 and N.characters(many).max() < 2 ** N.BITS
 
 
 def test_counts_are_those_of_all_good_documents(spark, small_dir, documents):
