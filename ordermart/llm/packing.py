@@ -135,7 +135,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, pat
             if out is None:
                 out = _Rows(b.column(0).type, TaskContext.get().partitionId() << _PART_SHIFT)
                 windows = Windows(window, open_windows, out.emit)
-            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).cast(pa.binary()).to_pylist())):
+            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode(x.as_py() for x in b.column(1).cast(pa.binary()))):
                 ids = np.concatenate([ids, end])
                 windows.add(doc, 0, ids, len(ids))
                 if len(out.rows) >= FLUSH_ROWS:

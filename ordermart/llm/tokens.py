@@ -22,7 +22,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator
 from itertools import chain, compress, count
 from operator import attrgetter
 
@@ -77,7 +77,7 @@ class ChunkTokenizer:
     def plain(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
 
-    def encode(self, texts: Sequence[str | bytes | None]) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str | bytes | None]) -> Iterator[np.ndarray]:
         """The ids of each text in turn, as unsigned 32-bit integers (null:
         none). Bytes are UTF-8; what is none stands for U+FFFD."""
         todo: list[bytes] = []
@@ -99,6 +99,7 @@ class ChunkTokenizer:
                         marked.append(_marked(segment))
                         owner.append(i)
         ids, ends = self._segment_ids(marked) if marked else (np.empty(0, "<u4"), np.empty(0, np.int64))
+        del marked
         ends_of = np.zeros(len(texts) + 1, dtype=np.int64)
         np.maximum.at(ends_of, np.array(owner, dtype=np.int64) + 1, ends)
         ends_of = np.maximum.accumulate(ends_of)
@@ -112,19 +113,24 @@ class ChunkTokenizer:
         """All ids of the segments, and where each segment's ids end."""
         last = np.cumsum([m.count(b"\0") + 1 for m in marked])        # chunks up to each segment's end
         joined = b"\0".join(marked)
+        marked.clear()
         text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 1, [None, pa.py_buffer(np.array([0, len(joined)])),
                                                                        pa.py_buffer(joined)])
         coded = pc.split_pattern(text, b"\0").flatten().dictionary_encode()
-        distinct = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
-        joined = pc.binary_join(distinct, pa.scalar(b"\0", pa.large_binary()))[0].as_py()
-        flat, length = self._chunk_ids(joined.decode("utf-8", "replace").split("\0"))
-        at, ends = _laid_out(length, coded.indices.to_numpy())
+        index, coded, text, joined = coded.indices.to_numpy(), coded.dictionary, None, None
+        distinct = pa.ListArray.from_arrays(pa.array([0, len(coded)], pa.int32()), coded)
+        chunks = pc.binary_join(distinct, pa.scalar(b"\0", pa.large_binary()))[0].as_py().decode("utf-8", "replace").split("\0")
+        del coded, distinct
+        flat, length = self._chunk_ids(chunks)
+        del chunks
+        at, ends = _laid_out(length, index)
         return flat[at], ends[last - 1]
 
     def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct chunks, one after the other, and how many each has."""
         bare = "\0".join(["", *chunks]).replace("\0 ", "\0").split("\0")[1:]      # without a space in front
         word = np.fromiter(map(str.isalpha, bare), bool, len(bare))
+        del bare
         pieces = dict(zip(compress(chunks, word), count()))
         parts = np.full((len(chunks), 2), -1)                       # each chunk's one or two pieces; the last has no ids
         parts[word, 0] = np.arange(len(pieces))

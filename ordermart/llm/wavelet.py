@@ -203,7 +203,7 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 
         for b in batches:
             done = []
-            for doc, x in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).cast(pa.binary()).to_pylist())):
+            for doc, x in zip(b.column(0).to_pylist(), encoder.encode(t.as_py() for t in b.column(1).cast(pa.binary()))):
                 names.append(doc)
                 ids.append(np.concatenate([x, end]).astype(np.uint32))
                 held += len(ids[-1])
