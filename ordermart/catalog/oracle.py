@@ -454,7 +454,7 @@ SELECT * FROM (
   FROM wide) WHERE rank <= 5"""
 BODIES["k12_seller_revenue_rank"] = f"""
 SELECT seller_id, total_revenue,
-       CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS INTEGER) AS revenue_rank
+       CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS BIGINT) AS revenue_rank
 FROM (SELECT seller_id, {total('price')} AS total_revenue FROM wide GROUP BY seller_id)"""
 BODIES["k13_dense_rank"] = f"""
 SELECT * FROM (

@@ -48,6 +48,6 @@ def global_rank(df: DataFrame, value: str, name: str = "rank", dense: bool = Fal
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(prior), F.lit(0)).alias("_off"))
     ranks = (local.join(F.broadcast(offsets), "_pid")
-             .select(F.col(value).alias("_v"), (F.lit(1) + F.col("_off") + F.col("_before")).cast("int").alias(name)))
+             .select(F.col(value).alias("_v"), (F.lit(1) + F.col("_off") + F.col("_before")).cast("long").alias(name)))
     return df.join(ranks, df[value].eqNullSafe(ranks["_v"]), "inner").drop("_v")
 
