@@ -19,6 +19,7 @@ of them: tokens of their own, around which the text is cut. With
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from array import array
@@ -147,7 +148,7 @@ class ChunkTokenizer:
             else:
                 rows.append((first, pieces.setdefault(chunk[len(head):], len(pieces))))
         parts[other] = np.array(rows, np.int64).reshape(-1, 2)
-        spelt = "\0".join(pieces).encode().decode("latin-1").translate(_BYTE_CHARS).split("\0") if pieces else []
+        spelt = codecs.charmap_decode("\0".join(pieces).encode(), "strict", _BYTE_CHARS)[0].split("\0") if pieces else []
         ids, length = array("I"), array("q")
         for k in range(0, len(spelt), PIECES):
             known = list(map(self.bpe.tokenize, spelt[k:k + PIECES]))
@@ -175,17 +176,17 @@ def _laid_out(length: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, ends
 
 
-def _byte_chars() -> dict[int, str]:
-    """The character that stands for each byte in a byte-level vocabulary:
-    printable Latin-1 characters stand for themselves, the others follow
-    from 256 on."""
+def _byte_chars() -> str:
+    """The character that stands for each byte in a byte-level vocabulary, by
+    byte: printable Latin-1 characters stand for themselves, the others
+    follow from 256 on. Byte 0 stays, as it separates pieces and is in none."""
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
     other = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(other)}
+    char = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(other)}
+    return "\0" + "".join(char[b] for b in range(1, 256))
 
 
 _BYTE_CHARS = _byte_chars()
-del _BYTE_CHARS[0]          # separates pieces and is in none
 _ID = attrgetter("id")
 
 
