@@ -287,3 +287,20 @@ def test_scans_of_the_silver_table_read_the_whole_wide_table(spark, small_dir, m
     monkeypatch.setattr(sinks, "write_wide", lambda df, path: (write(df, path), written.append(path)))
     assert SQ.QUERIES[name](spark, small_dir).count() > 0
     assert len(spark.read.parquet(*written).columns) == 72
+
+
+def test_whole_rows_are_written_without_a_shuffle(spark, scratch, jobs):
+    """A write of the wide table shuffles no whole rows; months stay folders."""
+    rows = spark.range(0, 4000, 1, 4).select("id", F.concat(F.lit("1998-0"), F.col("id") % 7 + 1).alias("order_year_month"),
+                                             F.lit(None).cast("double").alias("payment_value"),
+                                             *[F.col("id").alias(k) for k in sorted(set(quality.JOIN_KEYS.values()))])
+    with jobs() as ran:
+        sinks.write_wide(rows, f"{scratch}/a/final_df")
+    with jobs() as observed:
+        counts = quality.observed_write(rows, f"{scratch}/b/final_df").collect()
+    info = spark.sparkContext.statusTracker().getJobInfo
+    assert [len(info(j).stageIds) for j in ran] == [1]
+    assert all(len(info(j).stageIds) == 1 for j in observed) and {r.metric: r.value for r in counts}["rows"] == 4000
+    for x in "ab":
+        back = spark.read.parquet(f"{scratch}/{x}/final_df")
+        assert back.count() == 4000 and back.filter("order_year_month = '1998-03'").count() == rows.filter("order_year_month = '1998-03'").count()
