@@ -415,7 +415,12 @@ def numeric_drift(df: DataFrame, period: str, column: str, bins: int = 8) -> Dat
     ``bins`` bins, which the exact quantiles of all rows bound, per period
     (a month, yyyy-MM) against the month before it. Bins without rows count
     half a row. period, rows, prev_rows, psi."""
+    import uuid
+
     from ..functions.quantiles import column_values
+    from ..plans.sinks import materialize
+    # bounds and shares need several scans; what df is joined from is read for the first only
+    df = materialize(df.select(period, column), df.sparkSession, f"numeric-drift-{uuid.uuid4().hex}")
     edges = exact_quantiles(column_values(df, column), ["column_name"], [k / bins for k in range(1, bins)])
     edge = edges.select("quantiles").scalar()
     below = sum((F.col(column) > F.get(edge, F.lit(k))).cast("int") for k in range(bins - 1))

@@ -103,3 +103,10 @@ def test_price_quartiles_per_seller(spark):
     rows = [("s1", 10.0), ("s1", 30.0), ("s1", 20.0), ("s1", None), ("s2", 5.0), (None, 1.0), ("s3", None)]
     got = kpis.price_quartiles(spark.createDataFrame(rows, "seller_id string, price double")).collect()
     assert sorted(map(tuple, got)) == [("s1", 3, 10.0, 20.0, 30.0), ("s2", 1, 5.0, 5.0, 5.0)]
+
+
+def test_drift_reads_its_input_once(spark, small_dir, scratch):
+    from ordermart.operators import wide
+    rows = wide.build_wide(SourceTables(spark, small_dir), ["order_year_month", "price"])
+    plan = physical.plan_text(quality.numeric_drift(rows, "order_year_month", "price"))
+    assert "lineitem.parquet" not in plan and "numeric-drift" in plan
