@@ -331,8 +331,14 @@ def iqr_outliers(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], k: float
 
 
 def group_outliers(df: DataFrame, group: str, column: str, k: float = 1.5) -> DataFrame:
-    """The same within each group (a hot one is no single task's work)."""
-    found = outliers(df.select(F.col(group), F.col(column).cast("double").alias("v")), [group], k)
+    """The same within each group (a hot one is no single task's work). Group
+    and value are written once for both scans."""
+    import uuid
+
+    from ..plans.sinks import materialize
+    rows = materialize(df.select(F.col(group), F.col(column).cast("double").alias("v")), df.sparkSession,
+                       f"group-values-{uuid.uuid4().hex}")
+    found = outliers(rows, [group], k)
     return found.select(group, "q1", "q3", F.round("lower", 4).alias("lower_fence"),
                         F.round("upper", 4).alias("upper_fence"), "checked_rows", "below", "above")
 

@@ -110,3 +110,21 @@ def test_drift_reads_its_input_once(spark, small_dir, scratch):
     rows = wide.build_wide(SourceTables(spark, small_dir), ["order_year_month", "price"])
     plan = physical.plan_text(quality.numeric_drift(rows, "order_year_month", "price"))
     assert "lineitem.parquet" not in plan and "numeric-drift" in plan
+
+
+def test_rows_of_few_groups_are_not_sorted_by_group(spark):
+    """The brackets of few groups are broadcast: no join shuffles the rows by group."""
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    lines = physical.plan_text(QT.outliers(df, ["g"]), "simple").splitlines()
+    scans = [i for i, line in enumerate(lines) if "Range (0, 20000" in line]
+    assert scans
+    for i in scans:             # upwards from the rows: the bracket join comes before any shuffle
+        above = next(line for line in reversed(lines[:i]) if "Join" in line or "Exchange hash" in line)
+        assert "BroadcastHashJoin" in above
+
+
+def test_outliers_of_groups_read_their_input_once(spark, small_dir):
+    from ordermart.operators import wide
+    rows = wide.build_wide(SourceTables(spark, small_dir), ["product_category_name", "price"])
+    plan = physical.plan_text(quality.group_outliers(rows, "product_category_name", "price"))
+    assert "lineitem.parquet" not in plan and "group-values" in plan
