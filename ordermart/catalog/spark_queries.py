@@ -423,7 +423,7 @@ def dq_duplicates(spark, d):
 @query("dq_nulls")
 def dq_nulls(spark, d):
     tables = {k: v for k, v in src(spark, d).all().items() if k != "category_translation"}
-    tables["final"] = wide_table(spark, d)
+    tables["final"] = wide_table(spark, d, presence=True)
     return Q._union(Q.null_profile(df, name) for name, df in tables.items())
 
 

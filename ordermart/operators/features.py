@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -13,6 +13,9 @@ FEATURE_COLUMNS = (
     "actual_delivery_time", "estimated_delivery_time", "delivery_delay_time", "is_late",
 )
 
+#: those that read item columns; the others are the same for all items of an order
+ITEM_FEATURES = ("order_revenue",)
+
 
 def review_label(titles: str = "review_titles", messages: str = "review_message",
                  as_written: bool = False, summary: bool = False):
@@ -67,9 +70,13 @@ def add_features(wide: DataFrame, **options) -> DataFrame:
     return wide.withColumns(feature_columns(**options))
 
 
+def year_month(ts: str = "order_purchase_timestamp") -> Column:
+    return F.date_format(ts, "yyyy-MM")
+
+
 def add_year_month(df: DataFrame, ts: str = "order_purchase_timestamp",
                    name: str = "order_year_month") -> DataFrame:
-    return df.withColumn(name, F.date_format(ts, "yyyy-MM"))
+    return df.withColumn(name, year_month(ts))
 
 
 DELIVERY_COLUMNS = ("order_id", "order_status", "order_purchase_timestamp",

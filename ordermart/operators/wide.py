@@ -22,9 +22,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..plans import physical
 from . import clean, features, preagg, segments
 
@@ -69,12 +70,12 @@ class Silver:
     """Cleaned and pre-aggregated inputs of the wide table (all lazy; each is
     planned when it is first asked for)."""
 
-    def __init__(self, src, geo_mode: str = "one_per_zip", review_mode: str = "lists"):
+    def __init__(self, src, geo_mode: str = "one_per_zip", review_mode: str = "lists", presence: bool = False):
         if geo_mode not in GEO_MODES:
             raise ValueError(f"geo_mode must be one of {GEO_MODES}")
         if review_mode not in REVIEW_MODES:
             raise ValueError(f"review_mode must be one of {REVIEW_MODES}")
-        self.src, self.geo_mode, self.review_mode = src, geo_mode, review_mode
+        self.src, self.geo_mode, self.review_mode, self.presence = src, geo_mode, review_mode, presence
 
     def raw(self, name: str) -> DataFrame:
         return _table(self.src, name)
@@ -104,6 +105,9 @@ class Silver:
     @cached_property
     def reviews(self) -> DataFrame:
         reviews = clean.clean_reviews(self.raw("order_reviews"))
+        if self.presence:       # of a text, whether there is one and whether it is the no-review marker
+            reviews = reviews.withColumns({c: F.when(F.col(c) == C.NO_REVIEW, F.col(c)).when(F.col(c).isNotNull(), F.lit(""))
+                                           for c in ("review_comment_title", "review_comment_message")})
         return (preagg.reviews_per_order(reviews) if self.review_mode == "lists"
                 else preagg.review_summary_per_order(reviews))
 
@@ -244,15 +248,25 @@ _FEATURE_INPUTS = {
 }
 
 
+def _present(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """0 for each value and null for each null, except in the keys of joins
+    that are still to come."""
+    return df.select(*[F.col(c) if c in keys else F.when(F.col(c).isNotNull(), F.lit(0)).alias(c) for c in df.columns])
+
+
 def join_wide(silver: Silver, needed: Iterable[str] | None = None, *, partitions: int | None = None,
-              max_bytes: int | None = None) -> DataFrame:
+              max_bytes: int | None = None, order_features: Mapping[str, Column] | None = None) -> DataFrame:
     """The joins that the needed columns ask for (all by default), without
     features: rows = items with a matching order (times the geolocation
-    fan-out in as-written mode)."""
+    fan-out in as-written mode). ``order_features`` are columns to derive
+    from the order side, before the items are joined."""
     every = joined_columns(silver.review_mode) + SEGMENT_COLUMNS
     needed = set(every if needed is None else needed)
-    orders_part = order_side(silver, needed)
+    orders_part = order_side(silver, needed).withColumns(dict(order_features or {}))
     items = _attach_item_dims(silver.items, silver, needed, max_bytes, small=False)
+    if silver.presence:
+        orders_part = _present(orders_part, {"order_id", "customer_zip_code_prefix"})
+        items = _present(items, {"item_order_id", "item_product_id", "item_seller_id", "product_category_name"})
     if partitions:
         orders_part = orders_part.repartition(partitions, "order_id")
         items = items.repartition(partitions, "item_order_id")
@@ -272,7 +286,7 @@ def join_wide(silver: Silver, needed: Iterable[str] | None = None, *, partitions
         dim = silver.translation.withColumnRenamed("product_category_name", "_category")
         wide = _attach(wide, dim, silver.raw("category_translation"),
                        F.col("product_category_name") == F.col("_category"), max_bytes)
-    return wide.select(*[c for c in every if c in needed])
+    return wide.select(*[c for c in every if c in needed], *(order_features or {}))
 
 
 def joined_columns(review_mode: str = "lists") -> list[str]:
@@ -288,13 +302,16 @@ def wide_columns(review_mode: str = "lists") -> list[str]:
 
 def build_wide(src, columns: Iterable[str] | None = None, *, geo_mode: str = "one_per_zip", review_mode: str = "lists",
                partitions: int | None = None, max_bytes: int | None = None,
-               keep_sentinels: bool = False, as_written_review_label: bool = False) -> DataFrame:
+               keep_sentinels: bool = False, as_written_review_label: bool = False, presence: bool = False) -> DataFrame:
     """The wide table with features and ``order_year_month``: 72 columns with
     per-order review lists (the original data model), or with the
     constant-size review summary (``review_mode="summary"``) when an order
     may carry unbounded reviews. With ``columns`` only these are built, and
-    only the joins that they need are in the plan."""
-    silver = src if isinstance(src, Silver) else Silver(src, geo_mode, review_mode)
+    only the joins that they need are in the plan. ``presence`` builds the
+    same rows and columns for null counts: what is null is null, and other
+    values need not be kept, so the joins carry keys and marks instead of
+    texts (the order features are derived before them)."""
+    silver = src if isinstance(src, Silver) else Silver(src, geo_mode, review_mode, presence)
     every = wide_columns(silver.review_mode)
     wanted = every if columns is None else list(columns)
     unknown = set(wanted) - set(every)
@@ -306,8 +323,12 @@ def build_wide(src, columns: Iterable[str] | None = None, *, geo_mode: str = "on
                "order_estimated_delivery_date"}
     if silver.geo_mode == "as_written":
         needed.add("customer_zip_code_prefix")
-    wide = join_wide(silver, needed, partitions=partitions, max_bytes=max_bytes)
     derived = features.feature_columns(keep_sentinels=keep_sentinels, as_written_review_label=as_written_review_label,
                                        review_summary=silver.review_mode == "summary")
-    wide = wide.withColumns({n: e for n, e in derived.items() if n in wanted})
+    derived = {n: e for n, e in derived.items() if n in wanted}
+    if silver.presence:
+        early = {n: e for n, e in derived.items() if n not in features.ITEM_FEATURES} | {"order_year_month": features.year_month()}
+        wide = join_wide(silver, needed, partitions=partitions, max_bytes=max_bytes, order_features=early)
+        return wide.withColumns({n: e for n, e in derived.items() if n in features.ITEM_FEATURES}).select(*wanted)
+    wide = join_wide(silver, needed, partitions=partitions, max_bytes=max_bytes).withColumns(derived)
     return features.add_year_month(wide).select(*wanted)

@@ -304,3 +304,15 @@ def test_whole_rows_are_written_without_a_shuffle(spark, scratch, jobs):
     for x in "ab":
         back = spark.read.parquet(f"{scratch}/{x}/final_df")
         assert back.count() == 4000 and back.filter("order_year_month = '1998-03'").count() == rows.filter("order_year_month = '1998-03'").count()
+
+
+def test_presence_build_has_the_nulls_of_the_wide_table(spark, small_dir):
+    """Same rows, columns and nulls; texts and dates are not carried along.
+    ``max_bytes=0`` joins the products before the orders."""
+    t = SourceTables(spark, small_dir)
+    full = quality.null_profile(wide.build_wide(t)).collect()
+    for bound in (None, 0):
+        marks = wide.build_wide(t, presence=True, max_bytes=bound)
+        assert marks.columns == wide.WIDE_COLUMNS and marks.count() == wide.build_wide(t, ["order_id"]).count()
+        assert sorted(map(str, quality.null_profile(marks).collect())) == sorted(map(str, full))
+        assert {marks.schema[c].dataType.typeName() for c in ("review_message", "review_titles", "customer_city", "price")} == {"integer"}
