@@ -316,3 +316,13 @@ def test_presence_build_has_the_nulls_of_the_wide_table(spark, small_dir):
         assert marks.columns == wide.WIDE_COLUMNS and marks.count() == wide.build_wide(t, ["order_id"]).count()
         assert sorted(map(str, quality.null_profile(marks).collect())) == sorted(map(str, full))
         assert {marks.schema[c].dataType.typeName() for c in ("review_message", "review_titles", "customer_city", "price")} == {"integer"}
+
+
+def test_order_features_are_derived_once_an_order(spark, small_dir):
+    """What holds for a whole order is computed below the join with its items."""
+    built = wide.build_wide(SourceTables(spark, small_dir), ["order_id", "price", "order_revenue", "is_late", "order_year_month"])
+    lines = physical.plan_text(built, "simple").splitlines()
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "xxhash64" in line)
+    for rule in ("date_format", "datediff"):
+        assert any(rule in line for line in lines[join:]) and not any(rule in line for line in lines[:join])
+    assert any("price" in line and "freight_value" in line and " + " in line for line in lines[:join])
