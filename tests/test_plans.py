@@ -326,3 +326,70 @@ def test_order_features_are_derived_once_an_order(spark, small_dir):
     for rule in ("date_format", "datediff"):
         assert any(rule in line for line in lines[join:]) and not any(rule in line for line in lines[:join])
     assert any("price" in line and "freight_value" in line and " + " in line for line in lines[:join])
+
+
+def test_a_build_by_month_is_written_without_sorting_or_moving_whole_orders(spark, small_dir):
+    """Order rows are sorted by month and look up their items: the wide rows
+    are not sorted, and the order side is not shuffled for the item join."""
+    t = SourceTables(spark, small_dir)
+    built = sinks.cluster_for_write(wide.build_wide(t, by_month=True), [sinks.WIDE_PARTITION], "sort")
+    lines = physical.plan_text(built, "simple").splitlines()
+    join = next(i for i, line in enumerate(lines) if "ShuffledHashJoin" in line and "item_order_id" in line)
+    assert not any("Sort [order_year_month" in line for line in lines[:join])
+    assert sum("Sort [order_year_month" in line for line in lines[join:]) == 1
+    by_order = [line for line in lines if "Exchange hashpartitioning(" in line and "REPARTITION_BY_NUM" in line]
+    assert len(by_order) == 4                       # orders, payments, reviews, items
+    assert not any("xxhash64" in line for line in lines)
+    assert _fingerprint(wide.build_wide(t, by_month=True)) == _fingerprint(wide.build_wide(t))
+
+
+def test_a_build_by_month_deals_its_rows_out_by_their_number(spark, small_dir, monkeypatch):
+    t = SourceTables(spark, small_dir)
+    rows = wide.build_wide(t, ["order_id"]).count()
+    monkeypatch.setattr(wide, "TASK_ROWS", rows // 40)
+    built = wide.build_wide(t, by_month=True)
+    assert "hashpartitioning(item_order_id" in (plan := physical.plan_text(built, "simple")) and f", {-(-rows // (rows // 40))})" in plan
+    assert _fingerprint(built) == _fingerprint(wide.build_wide(t))
+
+
+def test_a_build_by_month_keeps_the_split_join_for_a_hot_order(spark, small_dir, monkeypatch):
+    t = SourceTables(spark, small_dir)
+    monkeypatch.setattr(wide, "ORDER_ROWS", 3)      # as if four items made an order hot
+    built = wide.build_wide(t, by_month=True)
+    joins = [line for line in physical.plan_text(built, "simple").splitlines() if "Join" in line and "item_order_id" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0] and "xxhash64" in joins[0]
+    assert _fingerprint(built) == _fingerprint(wide.build_wide(t))
+
+
+def test_ids_of_any_form_survive_a_build_by_month(spark, small_dir):
+    """Upper case, odd length, not hex, empty: equal to the plain build."""
+    t = SourceTables(spark, small_dir).all()
+
+    def odd(c):
+        return (F.when(F.col(c).startswith("0"), F.upper(c)).when(F.col(c).startswith("1"), F.concat(F.lit("n°"), c))
+                .when(F.col(c).startswith("2"), F.substring(c, 1, 31)).when(F.col(c).startswith("3"), F.concat(c, F.lit("00"))).otherwise(F.col(c)))
+    for name in ("orders", "order_items", "order_payments", "order_reviews"):
+        t[name] = t[name].withColumn("order_id", odd("order_id"))
+    t["order_reviews"] = t["order_reviews"].withColumn("review_id", odd("review_id"))
+    t["customers"] = t["customers"].withColumn("customer_unique_id", F.when(F.col("customer_id") % 5 != 0, odd("customer_unique_id")))
+    t["order_items"] = t["order_items"].union(t["order_items"].limit(50).withColumn("order_id", F.lit(None).cast("string")))
+    assert _fingerprint(wide.build_wide(t, by_month=True)) == _fingerprint(wide.build_wide(t))
+
+
+def test_packed_ids_are_short_and_come_back(spark):
+    from ordermart.functions import columns as C
+    ids = ["", "a", "ab", "AB", "zz", "é", "\x01ab", "0g", "00", "00 ", None, "-1", "1" * 15, "x" * 17, "f" * 32, "F" * 32]
+    df = spark.createDataFrame([(x,) for x in ids], "c string").withColumn("p", C.pack_id("c"))
+    back = df.withColumn("back", C.unpack_id("p")).collect()
+    assert all(r.back == r.c for r in back) and len({bytes(r.p) for r in back}) == len(ids)
+    assert {len(r.p) for r in back if r.c == "f" * 32} == {17}
+
+
+def test_whole_rows_are_written_with_zstd(spark, scratch):
+    rows = spark.range(10).select("id", F.lit("1998-01").alias("order_year_month"))
+    sinks.write_wide(rows, f"{scratch}/z/final_df")
+    name = f"ordermart_gold_t.z_{uuid.uuid4().hex[:10]}"
+    sinks.create_database(spark, name.split(".")[0])
+    sinks.save_table(rows, name)
+    for df in (spark.read.parquet(f"{scratch}/z/final_df"), spark.table(name)):
+        assert df.count() == 10 and all(f.endswith(".zstd.parquet") for f in df.inputFiles())
