@@ -361,6 +361,19 @@ def test_a_build_by_month_keeps_the_split_join_for_a_hot_order(spark, small_dir,
     assert _fingerprint(built) == _fingerprint(wide.build_wide(t))
 
 
+def test_a_build_by_month_keeps_the_sorted_join_for_a_hot_id_without_an_order(spark, small_dir):
+    """Items of an id that no order has count: a hash join would hold them."""
+    t = SourceTables(spark, small_dir).all()
+    stray = t["order_items"].limit(1).withColumn("order_id", F.lit("none")).crossJoin(spark.range(wide.ORDER_ROWS + 1)).drop("id")
+    t["order_items"] = t["order_items"].union(stray)
+    silver = wide.Silver(t)
+    built = wide.build_wide(silver, by_month=True)
+    assert silver.row_figures[1] == wide.ORDER_ROWS + 1
+    assert "ShuffledHashJoin" not in physical.plan_text(built, "simple")
+    assert _fingerprint(built) == _fingerprint(wide.build_wide(t))
+    assert silver.customer_segments().filter("order_customer_id is null").isEmpty()
+
+
 def test_ids_of_any_form_survive_a_build_by_month(spark, small_dir):
     """Upper case, odd length, not hex, empty: equal to the plain build."""
     t = SourceTables(spark, small_dir).all()
@@ -373,6 +386,7 @@ def test_ids_of_any_form_survive_a_build_by_month(spark, small_dir):
     t["order_reviews"] = t["order_reviews"].withColumn("review_id", odd("review_id"))
     t["customers"] = t["customers"].withColumn("customer_unique_id", F.when(F.col("customer_id") % 5 != 0, odd("customer_unique_id")))
     t["order_items"] = t["order_items"].union(t["order_items"].limit(50).withColumn("order_id", F.lit(None).cast("string")))
+    t["order_payments"] = t["order_payments"].union(t["order_payments"].limit(50).withColumn("order_id", F.lit(None).cast("string")))
     assert _fingerprint(wide.build_wide(t, by_month=True)) == _fingerprint(wide.build_wide(t))
 
 
